@@ -88,6 +88,7 @@ def test_lenient_numbers_and_dates(spark):
     assert out == [None, None, None, Decimal("-1"), Decimal("0"), Decimal("12.5"), None, None, Decimal("7")]
     tp = one(spark, [("3",), ("3.0",), ("3.5",), ("x",)], "c string", to_integral("c"))
     assert tp == [3, 3, None, None]
-    dates = one(spark, [("2024-01-15",), ("15/01/2024",), ("2024-01-15 13:45:00",), ("junk",), (None,)],
+    dates = one(spark, [("2024-01-15",), ("15/01/2024",), ("2024-01-15 13:45:00",), ("2024/1/15",),
+                        ("20240115",), ("2024-01-15T00:30:00",), ("junk",), (None,), ("2024-02-31",), ("",)],
                 "c string", to_date_lenient("c"))
-    assert dates == [dt.date(2024, 1, 15)] * 3 + [None, None]
+    assert dates == [dt.date(2024, 1, 15)] * 6 + [None, None, None, None]

@@ -1,46 +1,50 @@
-"""Lenient parsing: bad text becomes null instead of failing the job (ANSI-safe)."""
+"""Lenient parsing: bad text becomes null instead of failing the job (ANSI-safe).
 
-from __future__ import annotations
+Each helper references its input once. Filters on parsed columns are pushed
+below the projection that parses them, with the expression substituted in, so
+a helper that mentioned its input ten times would be evaluated ten times per
+row there.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .expressions import _col
 
-# Date layouts tried in order after ISO; the source relied on pandas guessing.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy")
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy/MM/dd HH:mm:ss")
+# Supported date layouts (time parts after a space or 'T' are dropped):
+#   yyyy-M-d, yyyy/M/d, yyyy.M.d, d/M/yyyy, d-M-yyyy, d.M.yyyy, yyyyMMdd
+_DATE_TOKEN = r"^([0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}|[0-9]{8})(?:[ T].*)?$"
+_DAY_FIRST = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})$"
+_YEAR_FIRST = r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})$"
+_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
 
 
 def blank_to_null(c: str | Column) -> Column:
     """Trimmed text, with '' turned into null."""
-    t = F.trim(_col(c).cast("string"))
-    return F.when(t == F.lit(""), F.lit(None).cast("string")).otherwise(t)
+    return F.nullif(F.trim(_col(c).cast("string")), F.lit(""))
 
 
 def to_number(c: str | Column, dtype: str = "decimal(18,6)") -> Column:
-    """Text to number; unparseable, NaN and infinite values become null."""
-    t = blank_to_null(c)
-    as_double = t.try_cast("double")
-    finite = as_double.isNotNull() & ~F.isnan(as_double) & (F.abs(as_double) < F.lit(float("inf")))
+    """Text to number; blank, unparseable, NaN and infinite values become null."""
+    t = F.trim(_col(c).cast("string"))
     if dtype == "double":
-        return F.when(finite, as_double)
-    # decimal: parse the text itself so no binary rounding creeps in
-    return F.when(finite, t.try_cast(dtype))
+        x = t.try_cast("double")
+        return F.when(F.abs(F.nanvl(x, F.lit(float("inf")))) < F.lit(float("inf")), x)
+    return t.try_cast(dtype)  # a decimal has no NaN/inf: those texts fail the cast
 
 
 def to_integral(c: str | Column, dtype: str = "smallint") -> Column:
-    """Text to a whole number; fractions and junk become null (row-level reject)."""
-    n = to_number(c, "decimal(38,10)")
-    return F.when(n == F.floor(n), n.try_cast(dtype))
-
-
-def to_date_lenient(c: str | Column, formats: Sequence[str] = DATE_FORMATS,
-                    ts_formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Text to date trying several layouts; time parts are dropped, junk is null."""
-    t = blank_to_null(c)
-    tries = [F.try_to_date(t, f) for f in formats]
-    tries += [F.to_date(F.try_to_timestamp(t, F.lit(f))) for f in ts_formats]
-    return F.coalesce(*tries)
+    """Text to a whole number ('3' and '3.0' -> 3); fractions and junk become null."""
+    n = F.trim(_col(c).cast("string")).try_cast("decimal(38,10)")
+    return F.when(n % F.lit(1) == F.lit(0), n.try_cast(dtype))
+
+
+def to_date_lenient(c: str | Column) -> Column:
+    """Text to date over the supported layouts; time parts dropped, junk -> null."""
+    token = F.regexp_extract(F.trim(_col(c).cast("string")), _DATE_TOKEN, 1)
+    iso = F.regexp_replace(token, _DAY_FIRST, "$3-$2-$1")
+    iso = F.regexp_replace(iso, _YEAR_FIRST, "$1-$2-$3")
+    iso = F.regexp_replace(iso, _COMPACT, "$1-$2-$3")
+    return F.try_to_date(iso, "yyyy-M-d")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import _col
+from ..session import cut_lineage
 
 
 # ---------------------------------------------------------------- conditional aggregates
@@ -122,10 +123,13 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
     Values are first counted per (group, value) - a partial aggregate, so a hot
     group is combined map-side. Then:
       * "builtin": ``percentile(value, probs, frequency)`` per group. Its buffer
-        holds the group's distinct values, so it is used only for groups with at
-        most `max_distinct_in_task` of them.
+        holds the group's distinct values, so it suits groups with at most
+        `max_distinct_in_task` of them.
       * "distributed": rank selection by radix buckets (exact, skew-safe).
-      * "auto": each group takes the path its distinct count allows.
+      * "auto": the counts are checkpointed (they are read several times) and
+        one small job finds the widest group; if it fits one task, "builtin"
+        runs over the checkpoint, else each group takes the path its distinct
+        count allows.
     """
     keys = list(keys)
     dtype = df.schema[value].dataType
@@ -164,9 +168,13 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
 
     if strategy == "builtin" or (strategy == "auto" and enc is None):
         return builtin(freq)
+    counts = cut_lineage(freq)
     if strategy == "distributed":
-        return distributed(freq)
-    width = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
-    narrow = freq.join(width.where(F.col("__d") <= max_distinct_in_task).select(*keys), on=keys, how="left_semi")
-    wide = freq.join(width.where(F.col("__d") > max_distinct_in_task).select(*keys), on=keys, how="left_semi")
+        return distributed(counts)
+    width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
+    widest = width.agg(F.max("__d")).first()[0] or 0
+    if widest <= max_distinct_in_task:
+        return builtin(counts)
+    narrow = counts.join(width.where(F.col("__d") <= max_distinct_in_task).select(*keys), on=keys, how="left_semi")
+    wide = counts.join(width.where(F.col("__d") > max_distinct_in_task).select(*keys), on=keys, how="left_semi")
     return builtin(narrow).unionByName(distributed(wide))

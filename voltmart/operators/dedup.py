@@ -27,21 +27,21 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     """One row per non-null key: the row with the smallest `order` value.
 
     Rows with a null key part never conflict (unique-constraint semantics) and
-    are all kept. `order` columns (arrival order) are dropped unless asked for.
+    are all kept: they are grouped by their own arrival order as well, which
+    must be unique per row. One aggregation pass, combined map-side, so a hot
+    key is reduced to one row per task before the shuffle. `order` columns
+    (arrival order) are dropped unless asked for.
     """
     keys = list(keys)
     order_names = [c for c in order if isinstance(c, str)]
-    order_key = F.struct(*_as_cols(order)).alias("__order")
+    order_key = F.struct(*_as_cols(order))
     payload_cols = [c for c in df.columns if c not in keys and (keep_order_cols or c not in order_names)]
     out_cols = [c for c in df.columns if c in keys or c in payload_cols]
-
-    keyed = df.where(~_any_null(keys))
-    winners = (keyed.groupBy(*keys)
-               .agg(F.min_by(F.struct(*payload_cols), order_key).alias("__row"))
-               .select(*keys, "__row.*")
-               .select(*out_cols))
-    null_keyed = df.where(_any_null(keys)).select(*out_cols)
-    return winners.unionByName(null_keyed)
+    tiebreak = F.when(_any_null(keys), order_key).alias("__nullkey")
+    return (df.groupBy(*keys, tiebreak)
+            .agg(F.min_by(F.struct(*payload_cols), order_key).alias("__row"))
+            .select(*keys, "__row.*")
+            .select(*out_cols))
 
 
 def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -49,14 +49,14 @@ def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str
     """Rows of `incoming` that a first-wins insert would add to `existing`.
 
     Earlier `order` beats later within the batch; existing rows beat all new
-    ones (left anti join on the key; null-key rows pass it untouched).
+    ones (left anti join on the key: a null key part equals nothing, so
+    null-key rows pass it untouched).
     """
     new_rows = first_wins(incoming, keys, order)
     if existing is None:
         return new_rows
-    present = existing.select(*keys).where(~_any_null(keys))
-    keyed = new_rows.where(~_any_null(keys)).join(present, on=list(keys), how="left_anti")
-    return keyed.select(*new_rows.columns).unionByName(new_rows.where(_any_null(keys)))
+    present = existing.select(*keys)
+    return new_rows.join(present, on=list(keys), how="left_anti")
 
 
 def table_after_insert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],

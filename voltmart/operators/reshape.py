@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions.parsing import blank_to_null, to_date_lenient, to_number
+from ..functions.parsing import to_date_lenient, to_number
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -59,7 +59,11 @@ def unpivot_periods(df: DataFrame, ids: Sequence[str] = C.GENERATION_ID_COLUMNS,
 
     Blank and null cells are dropped, values are parsed leniently (junk -> null,
     dropped), the date is parsed leniently, and rows missing date, period or
-    value are dropped. A narrow, shuffle-free transformation.
+    value are dropped. A narrow, shuffle-free transformation: each wide row
+    builds an array of (period, cell) pairs, keeps the non-blank ones, and
+    ``inline`` emits them, so empty cells never become rows (an Expand of 50
+    projections would emit every cell and, fused with the parsing, exceeds
+    what whole-stage codegen compiles).
     """
     missing = [c for c in ids if c not in df.columns]
     if missing:
@@ -67,14 +71,16 @@ def unpivot_periods(df: DataFrame, ids: Sequence[str] = C.GENERATION_ID_COLUMNS,
     values = period_columns(df.columns, prefix, max_period)
     if not values:
         raise ValueError(f"no {prefix}N columns present")
-    long = (df.select(*ids, *[F.col(v).cast("string") for v in values])
-            .unpivot(list(ids), values, "__label", "__raw"))
+    cells = F.array(*[F.struct(F.lit(int(v[len(prefix):])).cast("smallint").alias("p"),
+                               F.col(v).cast("string").alias("v")) for v in values])
+    present = F.filter(cells, lambda c: c["v"].isNotNull() & (F.trim(c["v"]) != F.lit("")))
+    if date_col:  # once per wide row, not per cell
+        df = df.withColumn(date_col, to_date_lenient(date_col)).where(F.col(date_col).isNotNull())
+    long = df.select(*ids, F.inline(present))
     long = long.withColumns({
-        period_name: F.regexp_replace(F.col("__label"), f"^{prefix}", "").cast("smallint"),
-        value_name: to_number(blank_to_null("__raw"), value_type),
+        period_name: F.col("p"),
+        value_name: to_number("v", value_type),
     })
-    if date_col:
-        long = long.withColumn(date_col, to_date_lenient(date_col))
     required = [period_name, value_name] + ([date_col] if date_col else [])
     return long.na.drop(subset=required).select(*ids, period_name, value_name)
 

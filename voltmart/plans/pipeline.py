@@ -30,11 +30,12 @@ class Pipeline:
     """Raw tables in, models out.
 
     raw: mapping with any of generation_output, wholesale_prices, weather_daily,
-    retail_prices (DataFrames shaped like schemas.RAW_*). Seeds default to the
+    retail_prices: DataFrames shaped like schemas.RAW_*, or zero-argument
+    callables returning them (built only if a model reads them). Seeds default to the
     fixed values; dim_date to the fixed calendar range.
     """
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame],
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame | Callable[[], DataFrame]],
                  seeds_override: Mapping[str, tuple[DataFrame, int | None]] | None = None,
                  percentile_strategy: str = "auto", share_form: str = "window"):
         self.spark = spark
@@ -47,8 +48,11 @@ class Pipeline:
 
     # -- inputs
     def source(self, name: str) -> DataFrame:
+        """A raw table; a callable entry is built on first use and kept."""
         if name not in self.raw:
             raise KeyError(f"raw table {name!r} not provided")
+        if callable(self.raw[name]):
+            self.raw[name] = self.raw[name]()
         return self.raw[name]
 
     def seed(self, name: str) -> tuple[DataFrame, int | None]:

@@ -77,9 +77,10 @@ def raw_weather(spark, sf_dir) -> DataFrame:
 
 def pipeline(spark, sf_dir, prices: str = "long", **kw) -> Pipeline:
     raw = {
-        "generation_output": raw_generation(spark, sf_dir),
-        "wholesale_prices": raw_prices(spark, sf_dir) if prices == "long" else raw_prices_month(spark, sf_dir),
-        "weather_daily": raw_weather(spark, sf_dir),
+        "generation_output": lambda: raw_generation(spark, sf_dir),
+        "wholesale_prices": (lambda: raw_prices(spark, sf_dir)) if prices == "long"
+        else (lambda: raw_prices_month(spark, sf_dir)),
+        "weather_daily": lambda: raw_weather(spark, sf_dir),
     }
     return Pipeline(spark, raw, **kw)
 

@@ -25,7 +25,18 @@ LAKES = ("lake_pukaki", "lake_tekapo", "lake_ohau", "lake_hawea", "lake_manapour
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the cluster's task slots.
+
+    A file with one row group is one scan task, which would leave every
+    map-side step (projection, partial aggregation) on a single core. Large
+    inputs already have more splits than slots, so this adds nothing there.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def _pick(values, index) -> F.Column:
