@@ -92,3 +92,13 @@ def test_lenient_numbers_and_dates(spark):
                         ("20240115",), ("2024-01-15T00:30:00",), ("junk",), (None,), ("2024-02-31",), ("",)],
                 "c string", to_date_lenient("c"))
     assert dates == [dt.date(2024, 1, 15)] * 6 + [None, None, None, None]
+
+
+def test_period_start_dst_aware(spark):
+    # NZ daylight saving ended 2024-04-07 03:00 local: that day has 50 periods.
+    d = dt.date(2024, 4, 7)
+    out = one(spark, [(d, 1), (d, 6), (d, 7), (d, 50)], "d date, tp smallint",
+              period_start("d", "tp", zone="Pacific/Auckland"))
+    # local midnight = 11:00 UTC the day before (NZDT, +13)
+    assert out == [dt.datetime(2024, 4, 6, 11, 0), dt.datetime(2024, 4, 6, 13, 30),
+                   dt.datetime(2024, 4, 6, 14, 0), dt.datetime(2024, 4, 7, 11, 30)]

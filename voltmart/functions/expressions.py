@@ -123,13 +123,21 @@ def round_money(c: str | Column, scale: int = 2) -> Column:
 
 # ---------------------------------------------------------------- time
 
-def period_start(date_col: str | Column, period_col: str | Column, minutes: int = 30) -> Column:
-    """Naive wall-clock start of a trading period: date + (tp - 1) * 30 minutes.
-
-    Period 49/50 roll into the next day, as in the source.
+def period_start(date_col: str | Column, period_col: str | Column, minutes: int = 30,
+                 zone: str | None = None) -> Column:
+    """Start of a trading period.
+
+    Default: naive wall-clock ``date + (tp - 1) * 30 minutes`` (periods 49/50
+    roll into the next day), as in the source. With `zone` (e.g.
+    'Pacific/Auckland'), the UTC instant instead: periods are consecutive
+    half-hours from local midnight, so a 46- or 50-period DST day maps to the
+    right instants.
     """
     offset = (_col(period_col).cast("int") - F.lit(1)) * F.lit(minutes)
-    return F.timestamp_add("MINUTE", offset, _col(date_col).cast("timestamp_ntz"))
+    if zone is None:
+        return F.timestamp_add("MINUTE", offset, _col(date_col).cast("timestamp_ntz"))
+    midnight_utc = F.to_utc_timestamp(_col(date_col).cast("timestamp_ntz"), zone).cast("timestamp_ntz")
+    return F.timestamp_add("MINUTE", offset, midnight_utc)
 
 
 def season(date_col: str | Column, case: str = "title") -> Column:

@@ -4,8 +4,8 @@ from .dedup import first_wins, insert_ignore, table_after_insert, upsert
 from .joins import enrich, left_join_on, maybe_broadcast, share_of_total
 from .quality import (check_balanced, check_not_null, check_unique, duplicate_keys, null_key_rows,
                       out_of_range, profile_series)
-from .reshape import (ensure_columns, normalise_headers, period_columns, pivot_periods, rename_present,
-                      select_present, union_all, unpivot_periods)
+from .reshape import (drop_incomplete, ensure_columns, head_rows, normalise_headers, ordered, period_columns,
+                      pivot_periods, register_view, rename_present, select_present, union_all, unpivot_periods)
 from .windows import days_since_last, lead_columns, rolling_count_if, rolling_sum, trailing, trailing_days
 
 __all__ = [
@@ -13,7 +13,7 @@ __all__ = [
     "sum_if", "unmapped_total", "weighted_total", "first_wins", "insert_ignore", "table_after_insert",
     "upsert", "enrich", "left_join_on", "maybe_broadcast", "share_of_total",
     "check_balanced", "check_not_null", "check_unique", "duplicate_keys", "null_key_rows",
-    "out_of_range", "profile_series", "ensure_columns", "normalise_headers", "period_columns",
+    "out_of_range", "profile_series", "drop_incomplete", "head_rows", "ordered", "register_view", "ensure_columns", "normalise_headers", "period_columns",
     "pivot_periods", "rename_present", "select_present", "union_all", "unpivot_periods",
     "days_since_last", "lead_columns", "rolling_count_if", "rolling_sum", "trailing", "trailing_days",
 ]

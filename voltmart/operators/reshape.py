@@ -35,6 +35,34 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+def drop_incomplete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Drop rows with a null or blank value in any of `cols`."""
+    cond = F.lit(True)
+    for c in cols:
+        v = F.col(c)
+        if isinstance(df.schema[c].dataType, T.StringType):
+            cond = cond & v.isNotNull() & (F.trim(v) != F.lit(""))
+        else:
+            cond = cond & v.isNotNull()
+    return df.where(cond)
+
+
+def head_rows(df: DataFrame, n: int = 3) -> DataFrame:
+    """First rows of a table for column inspection (the sample is the feature)."""
+    return df.limit(n)
+
+
+def ordered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Final ORDER BY with nulls last, as the source database sorts."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+
+
+def register_view(name: str, df: DataFrame) -> DataFrame:
+    """Expose a model to SQL (view materialisation)."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name; columns absent from a part become null."""
     dfs = list(dfs)
