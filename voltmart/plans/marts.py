@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import (flag_at_least, ratio, round_money, season, volatility_class, year_month)
+from ..functions import (flag_at_least, label_periods, ratio, round_money, season, volatility_class,
+                         year_month)
 from ..operators import (count_distinct_if, count_if, days_since_last, enrich, lead_columns,
                          percentiles, rolling_count_if, rolling_sum, unmapped_total, weighted_total)
 from .pipeline import Pipeline, model
@@ -50,12 +51,17 @@ def mart_generation_mix(p: Pipeline) -> DataFrame:
 
 
 def gen_context(p: Pipeline) -> DataFrame:
-    """One row per date from the (date, category) mix: the day-constant columns."""
+    """One row per date from the (date, category) mix: the day-constant columns.
+
+    The period label is a function of the date, so it is recomputed from the
+    group key rather than aggregated (a string max would force a sort-based
+    aggregate); the result equals max(nz_covid_period).
+    """
     mix = p.ref("int_generation_mix_daily")
-    return mix.groupBy("trading_date").agg(
-        F.max("renewable_pct").alias("renewable_pct"),
-        F.max("national_total_mwh").alias("national_total_mwh"),
-        F.max("nz_covid_period").alias("nz_covid_period"))
+    return (mix.groupBy("trading_date")
+            .agg(F.max("renewable_pct").alias("renewable_pct"),
+                 F.max("national_total_mwh").alias("national_total_mwh"))
+            .withColumn("nz_covid_period", label_periods("trading_date", C.COVID_PERIODS)))
 
 
 @model("price_daily_simple")
@@ -128,8 +134,8 @@ def weather_by_catchment(p: Pipeline) -> DataFrame:
 def prices_by_node_daily(p: Pipeline) -> DataFrame:
     s = p.ref("stg_wholesale_prices")
     bridge, n = p.seed("dim_concatchment_node")
-    # Only bridge nodes are ever joined, so drop the rest before aggregating;
-    # a 4-row broadcast semi join (or a pushed-down IN list for fixed seeds).
+    # Only bridge nodes are ever joined, so drop the rest before aggregating
+    # (a broadcast semi join against the bridge seed).
     s = enrich(s, bridge.select(F.col("pricing_node").alias("node")), on="node", how="left_semi", dim_rows=n)
     return s.groupBy("trading_date", "node").agg(
         *price_stats(s),
