@@ -24,12 +24,16 @@ from ..operators import (check_balanced, check_not_null, check_unique, completen
                          select_present, table_after_insert, union_all, unmapped_total, unpivot_periods,
                          upsert)
 from ..schemas import RAW_PRICES
+from ..session import scratch_path
+from ..sources.files import ORDER, list_files, read_prices, read_weather_json
 from ..sources import adapters as A
 from ..sources.calendar import spine_between, with_calendar_attributes
 from . import marts
 from .pipeline import Pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Price files before this day use the first header layout, later ones the second.
+LAYOUT_SWITCH = "2023-01-01"
 QUERIES: dict[str, Query] = {}
 
 
@@ -369,6 +373,46 @@ def q_union_missing(spark, sf_dir):
     return union_all(parts).select(*[f.name for f in RAW_PRICES.fields])
 
 
+@query("csv_roundtrip_ingest")
+def q_csv_roundtrip(spark, sf_dir):
+    """The long price feed written as raw price CSV files in two header layouts
+    (the later one without GenerationMegawatts, columns reordered, an extra
+    column in the earlier one), then read back by header and loaded first-wins
+    in file and row order. Files are written under the shared checkpoint folder."""
+    raw = A.raw_prices_orders(spark, sf_dir)
+    base = scratch_path(spark, "price-files")
+    names = dict(C.PRICE_COLUMN_MAP)
+    inv = {v: k for k, v in names.items()}
+    split = F.col("trading_date") < F.lit(LAYOUT_SWITCH)
+    early = raw.where(split).select(*[F.col(c).alias(inv[c]) for c in
+                                      ("trading_date", "trading_period", "node", "price", "load_mw", "generation_mw")],
+                                    F.lit("x").alias("Extra"), "o_orderkey")
+    late = raw.where(~split).select(*[F.col(c).alias(inv[c]) for c in
+                                      ("node", "price", "trading_date", "load_mw", "trading_period")], "o_orderkey")
+    for part, name in ((early, "a"), (late, "b")):
+        # dates never straddle files within a key, and rows keep arrival order in a file
+        (part.repartitionByRange(4, "TradingDate").sortWithinPartitions("TradingDate", "o_orderkey")
+         .drop("o_orderkey").write.option("header", True).csv(f"{base}/{name}"))
+    typed, _rejects = read_prices(spark, list_files(spark, base, "*.csv", recursive=True))
+    return first_wins(typed, C.PRICE_KEY, [ORDER])
+
+
+@query("weather_json_explode")
+def q_weather_json(spark, sf_dir):
+    """Weather written as one API-style document per lake (parallel daily arrays),
+    then exploded back to one row per lake and day."""
+    w = A.raw_weather_orders(spark, sf_dir)
+    base = scratch_path(spark, "weather-json")
+    series = w.groupBy("location").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("time").cast("string").alias("time"),
+        *[F.col(m).cast("double").alias(m) for m in C.WEATHER_MEASURES]))).alias("s"))
+    daily = F.struct(*[F.col(f"s.{c}").alias(c) for c in ("time",) + C.WEATHER_MEASURES])
+    docs = series.select("location", F.create_map(F.lit("precipitation_sum"), F.lit("mm")).alias("daily_units"),
+                         daily.alias("daily"))
+    docs.write.partitionBy("location").json(base)
+    return read_weather_json(spark, base)
+
+
 # ---------------------------------------------------------------- quality
 
 @query("unmapped_fuel_check")

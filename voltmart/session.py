@@ -68,6 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder for intermediate files."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

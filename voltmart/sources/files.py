@@ -33,9 +33,12 @@ def _with_order(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(ORDER, ORDER_TYPE)])
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
     """Distributed listing (path, name, size) without reading contents."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return (reader.load(path)
             .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
                     F.col("length").alias("file_size")))
 
@@ -191,11 +194,14 @@ def read_retail(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) ->
 def read_weather_json(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """API documents (parallel arrays under `daily`) -> one row per location and day.
 
-    The location comes from the file name `<location>_<start>_<end>.json`.
+    The location comes from the file name `<location>_<start>_<end>.json`, or
+    from a `location=<name>` folder when documents are stored partitioned.
     """
     docs = (spark.read.schema(S.WEATHER_JSON).option("multiLine", True)
             .option("pathGlobFilter", glob).json(path))
-    loc = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)_\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2}\.json$", 1)
+    from_name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)_\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2}\.json$", 1)
+    from_dir = F.regexp_extract(F.col("_metadata.file_path"), r"/location=([^/]+)/[^/]*$", 1)
+    loc = F.when(from_dir != F.lit(""), from_dir).otherwise(from_name)
     zipped = docs.select(loc.alias("location"),
                          F.inline(F.arrays_zip(*[F.col(f"daily.{c}").alias(c) for c in ("time",) + C.WEATHER_MEASURES])))
     return zipped.select(
