@@ -25,7 +25,7 @@ from ..operators import (check_balanced, check_not_null, check_unique, completen
                          upsert)
 from ..schemas import RAW_PRICES
 from ..session import scratch_path
-from ..sources.files import ORDER, list_files, read_prices, read_weather_json
+from ..sources.files import ORDER, list_files, read_generation, read_prices, read_weather_json
 from ..sources import adapters as A
 from ..sources.calendar import spine_between, with_calendar_attributes
 from . import marts
@@ -397,6 +397,26 @@ def q_csv_roundtrip(spark, sf_dir):
     return first_wins(typed, C.PRICE_KEY, [ORDER])
 
 
+@query("generation_file_ingest")
+def q_generation_files(spark, sf_dir):
+    """Generation written as wide per-period CSV files in two header layouts
+    (title-case ids then TP1..TP50; lower-case with the periods first and
+    reversed), then scanned by header, unpivoted and loaded first-wins."""
+    g = raw_generation(spark, sf_dir)
+    ids = list(C.GENERATION_ID_COLUMNS)
+    wide = pivot_periods(g, ids, "trading_period", "output_kw")
+    base = scratch_path(spark, "generation-files")
+    split = F.col("trading_date") < F.lit(LAYOUT_SWITCH)
+    periods = [f"{C.PERIOD_PREFIX}{i}" for i in range(1, C.MAX_PERIOD + 1)]
+    layout_a = wide.where(split).select(*[F.col(c).alias(c.title()) for c in ids],
+                                        *[F.col(p).alias(p.upper()) for p in periods])
+    layout_b = wide.where(~split).select(*reversed(periods), *reversed(ids))
+    for part, name in ((layout_a, "a"), (layout_b, "b")):
+        part.write.option("header", True).csv(f"{base}/{name}")
+    long, _rejects = read_generation(spark, list_files(spark, base, "*.csv", recursive=True))
+    return first_wins(long, C.GENERATION_KEY, [ORDER])
+
+
 @query("weather_json_explode")
 def q_weather_json(spark, sf_dir):
     """Weather written as one API-style document per lake (parallel daily arrays),
