@@ -29,8 +29,10 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     Rows with a null key part never conflict (unique-constraint semantics) and
     are all kept: they are grouped by their own arrival order as well, which
     must be unique per row. One aggregation pass, combined map-side, so a hot
-    key is reduced to one row per task before the shuffle. `order` columns
-    (arrival order) are dropped unless asked for.
+    key is reduced to one row per task before the shuffle. Each payload column
+    is its own ``min_by`` on the (unique) order, so all come from one row and
+    columns nobody reads downstream are pruned from the shuffle. `order`
+    columns (arrival order) are dropped unless asked for.
     """
     keys = list(keys)
     order_names = [c for c in order if isinstance(c, str)]
@@ -38,10 +40,10 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     payload_cols = [c for c in df.columns if c not in keys and (keep_order_cols or c not in order_names)]
     out_cols = [c for c in df.columns if c in keys or c in payload_cols]
     tiebreak = F.when(_any_null(keys), order_key).alias("__nullkey")
-    return (df.groupBy(*keys, tiebreak)
-            .agg(F.min_by(F.struct(*payload_cols), order_key).alias("__row"))
-            .select(*keys, "__row.*")
-            .select(*out_cols))
+    aggs = [F.min_by(F.col(c), order_key).alias(c) for c in payload_cols]
+    if not aggs:
+        aggs = [F.count(F.lit(1)).alias("__n")]
+    return df.groupBy(*keys, tiebreak).agg(*aggs).select(*out_cols)
 
 
 def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -49,14 +51,17 @@ def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str
     """Rows of `incoming` that a first-wins insert would add to `existing`.
 
     Earlier `order` beats later within the batch; existing rows beat all new
-    ones (left anti join on the key: a null key part equals nothing, so
-    null-key rows pass it untouched).
+    ones (left anti join on the key). Rows with a null key part can match
+    nothing, and all null keys would hash to one join partition, so they
+    bypass the join and are added back with a union.
     """
     new_rows = first_wins(incoming, keys, order)
     if existing is None:
         return new_rows
-    present = existing.select(*keys)
-    return new_rows.join(present, on=list(keys), how="left_anti")
+    null_key = _any_null(keys)
+    present = existing.select(*keys).where(~null_key)
+    keyed = new_rows.where(~null_key).join(present, on=list(keys), how="left_anti")
+    return keyed.select(*new_rows.columns).unionByName(new_rows.where(null_key))
 
 
 def table_after_insert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],

@@ -117,9 +117,8 @@ def pivot_periods(df: DataFrame, ids: Sequence[str], period_col: str, value_col:
                   prefix: str = C.PERIOD_PREFIX, max_period: int = C.MAX_PERIOD) -> DataFrame:
     """Long -> wide with one column per period (max per cell); inverse of unpivot_periods.
 
-    Written with explicit conditional aggregates so the period list is fixed and
-    no extra job is run to discover pivot values.
+    The period list is given, so no extra job runs to discover pivot values.
     """
-    aggs = [F.max(F.when(F.col(period_col) == i, F.col(value_col))).alias(f"{prefix}{i}")
-            for i in range(1, max_period + 1)]
-    return df.groupBy(*ids).agg(*aggs)
+    periods = list(range(1, max_period + 1))
+    wide = df.groupBy(*ids).pivot(period_col, periods).agg(F.max(value_col))
+    return wide.withColumnsRenamed({str(i): f"{prefix}{i}" for i in periods})

@@ -51,17 +51,36 @@ def mart_generation_mix(p: Pipeline) -> DataFrame:
 
 
 def gen_context(p: Pipeline) -> DataFrame:
-    """One row per date from the (date, category) mix: the day-constant columns.
+    """One row per date: the day-constant columns of the mix (see day context)."""
+    return p.ref("generation_day_context").select(
+        "trading_date", "renewable_pct", "national_total_mwh", "nz_covid_period")
 
-    The period label is a function of the date, so it is recomputed from the
-    group key rather than aggregated (a string max would force a sort-based
-    aggregate); the result equals max(nz_covid_period).
+
+@model("generation_day_context")
+def generation_day_context(p: Pipeline) -> DataFrame:
+    """Per day from the (date, category) mix: national total, renewable share,
+    emissions with coverage, intensity, and the period label.
+
+    The carbon, price-vs-generation and risk marts all read this one
+    aggregate, so each runs the generation chain once. The national total is
+    the sum of the day's category totals (the same decimal sum the mix carries),
+    renewable_pct is constant within a day, and the label is a function of the
+    date, recomputed rather than aggregated as a string.
     """
     mix = p.ref("int_generation_mix_daily")
-    return (mix.groupBy("trading_date")
-            .agg(F.max("renewable_pct").alias("renewable_pct"),
-                 F.max("national_total_mwh").alias("national_total_mwh"))
-            .withColumn("nz_covid_period", label_periods("trading_date", C.COVID_PERIODS)))
+    factors, n = p.seed("emission_factors")
+    joined = enrich(mix, factors, on="fuel_category", how="left", dim_rows=n)
+    daily = joined.groupBy("trading_date").agg(
+        F.sum("total_mwh").alias("national_total_mwh"),
+        F.max("renewable_pct").alias("renewable_pct"),
+        weighted_total("total_mwh", "emission_factor_kg_co2_per_mwh").alias("total_emissions_kg_co2"),
+        unmapped_total("emission_factor_kg_co2_per_mwh", "total_mwh").alias("unmapped_generation_mwh"))
+    return daily.select(
+        "trading_date", "national_total_mwh", "renewable_pct", "total_emissions_kg_co2", "unmapped_generation_mwh",
+        ratio("total_emissions_kg_co2", "national_total_mwh").alias("carbon_intensity_kg_co2_per_mwh"),
+        ratio(F.col("national_total_mwh") - F.col("unmapped_generation_mwh"), "national_total_mwh")
+        .alias("mapped_generation_pct"),
+        label_periods("trading_date", C.COVID_PERIODS).alias("nz_covid_period"))
 
 
 @model("price_daily_simple")
@@ -84,23 +103,13 @@ def mart_price_vs_generation(p: Pipeline) -> DataFrame:
 
 @model("mart_carbon_intensity_daily")
 def mart_carbon_intensity_daily(p: Pipeline) -> DataFrame:
-    # mart_generation_mix is int_generation_mix_daily left-joined to a unique-key
-    # calendar, so its (date, category, mwh) rows are the mix's own rows.
-    gen = p.ref("int_generation_mix_daily").select("trading_date", "fuel_category", "total_mwh")
-    factors, n = p.seed("emission_factors")
-    joined = enrich(gen, factors, on="fuel_category", how="left", dim_rows=n)
-    daily = joined.groupBy("trading_date").agg(
-        F.sum("total_mwh").alias("total_generation_mwh"),
-        weighted_total("total_mwh", "emission_factor_kg_co2_per_mwh").alias("total_emissions_kg_co2"),
-        unmapped_total("emission_factor_kg_co2_per_mwh", "total_mwh").alias("unmapped_generation_mwh"))
-    renew = gen_context(p).select("trading_date", "renewable_pct")
-    out = daily.select(
-        "trading_date", "total_generation_mwh", "total_emissions_kg_co2",
-        ratio("total_emissions_kg_co2", "total_generation_mwh").alias("carbon_intensity_kg_co2_per_mwh"),
-        "unmapped_generation_mwh",
-        ratio(F.col("total_generation_mwh") - F.col("unmapped_generation_mwh"), "total_generation_mwh")
-        .alias("mapped_generation_pct"),
-    ).join(renew, on="trading_date", how="left")
+    # The source reads mart_generation_mix, i.e. the mix left-joined to a
+    # unique-key calendar, so its (date, category, mwh) rows are the mix's own
+    # rows; renewable_pct is the per-day value of mart_price_vs_generation.
+    ctx = p.ref("generation_day_context")
+    out = ctx.select(
+        "trading_date", F.col("national_total_mwh").alias("total_generation_mwh"), "total_emissions_kg_co2",
+        "carbon_intensity_kg_co2_per_mwh", "unmapped_generation_mwh", "mapped_generation_pct", "renewable_pct")
     cols = ["date_day", "year", "month_number", "month_name", "quarter_in_year", "season", "month_year_label"]
     return with_dim_date(p, out, "trading_date", cols).select(*out.columns, *cols)
 
@@ -191,9 +200,10 @@ def price_daily_risk(p: Pipeline) -> DataFrame:
 @model("mart_price_risk_daily")
 def mart_price_risk_daily(p: Pipeline) -> DataFrame:
     pdly = p.ref("price_daily_risk")
-    joined = (pdly.join(gen_context(p), on="trading_date", how="left")
-              .join(p.ref("mart_carbon_intensity_daily").select("trading_date", "carbon_intensity_kg_co2_per_mwh"),
-                    on="trading_date", how="left"))
+    # generation and carbon context are one day-grain relation: a single join
+    ctx = p.ref("generation_day_context").select(
+        "trading_date", "renewable_pct", "national_total_mwh", "nz_covid_period", "carbon_intensity_kg_co2_per_mwh")
+    joined = pdly.join(ctx, on="trading_date", how="left")
     joined = joined.select(
         "trading_date", "avg_price_nzd_per_mwh", "min_price_nzd_per_mwh", "max_price_nzd_per_mwh",
         "median_price_nzd_per_mwh", "p95_price_nzd_per_mwh",
