@@ -133,3 +133,12 @@ def test_declared_table_is_idempotent(spark, tmp):
     create_table(spark, "wholesale_prices_decl", S.RAW_PRICES, f"{tmp}/decl")
     assert [f.name for f in spark.table("wholesale_prices_decl").schema] == [f.name for f in S.RAW_PRICES]
     spark.sql("DROP TABLE wholesale_prices_decl")
+
+
+def test_header_read_touches_only_first_line(spark, tmp):
+    # a big file: the first-line reader must not need the fallback scan
+    path = write(f"{tmp}/hdr/big.csv", "X,Y\n" + "1,2\n" * 200000)
+    rows = (spark.createDataFrame([(f"file:{path}",)], "path string")
+            .mapInPandas(FS._first_lines, "path string, header string").collect())
+    assert rows[0]["header"] == "X,Y"
+    assert FS.file_headers(spark, [f"file:{path}"]) == {("X", "Y"): [f"file:{path}"]}

@@ -3,11 +3,11 @@ JSON / CSV, with header drift handled by name, lenient typing, file lineage and
 a rejects table instead of a failed job.
 
 Header drift (H1): one ``read.csv`` over files with different headers maps
-columns by position. So the first line of every file is read once (a text scan
-keeping only each file's first split, pre-aggregated per file), files are
-grouped by header, and each group is read with its own all-string schema and
-``enforceSchema=false``; groups are then unioned by name. Only the small
-header -> files map reaches the driver.
+columns by position. So the first line of every file is read once (tasks open
+each file and stop at the first newline), files are grouped by header, and each
+group is read with its own all-string schema and ``enforceSchema=false``;
+groups are then unioned by name. Only the small header -> files map reaches
+the driver.
 """
 
 from __future__ import annotations
@@ -53,23 +53,66 @@ def select_files_by_year(files: DataFrame, start: int, end: int, name_col: str =
     return files.where(file_year(F.col(name_col)).between(start, end))
 
 
+def _arrow_uri(path: str) -> str:
+    """Hadoop-style URI -> one pyarrow.fs understands."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(hadoop):
+            return arrow + path[len(hadoop):]
+    return path
+
+
+def _first_lines(batches):
+    """mapInPandas body: the first line of each file, read with bounded I/O."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in batches:
+        heads = []
+        for path in pdf["path"]:
+            fs, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
+            buf = b""
+            with fs.open_input_stream(inner) as f:
+                while b"\n" not in buf:
+                    chunk = f.read(1 << 16)
+                    if not chunk:
+                        break
+                    buf += chunk
+            heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
+        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+
+
+def _first_lines_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Fallback for file systems Arrow cannot open: a text scan keeping each
+    file's first line (reads whole files, so only used when needed)."""
+    return (spark.read.text(list(paths))
+            .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("blk"),
+                    "value", F.monotonically_increasing_id().alias("rid"))
+            .where(F.col("blk") == 0)
+            .groupBy("path").agg(F.min_by("value", F.col("rid")).alias("header")))
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """Header (as a tuple of names) -> files having it.
 
-    The first line of a file is in its first split; taking the minimum of
-    (split start, row id) per file is a partial aggregate, so only one row per
-    file per task is shuffled.
+    Only the first line of each file is read: the path list is spread over the
+    task slots and each task opens its files with Arrow's file systems and
+    stops at the first newline, so the cost is one small read per file, not a
+    scan of the data. Only the small header -> files map reaches the driver.
     """
     if not paths:
         return {}
-    first = (spark.read.text(list(paths))
-             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("blk"),
-                     "value", F.monotonically_increasing_id().alias("rid"))
-             .where(F.col("blk") == 0)
-             .groupBy("path").agg(F.min_by("value", F.col("rid")).alias("header")))
+    paths = list(paths)
+    slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+    listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(slots)
+    try:
+        rows = listing.mapInPandas(_first_lines, "path string, header string").collect()
+    except Exception:  # noqa: BLE001 - unsupported file system: scan instead
+        rows = _first_lines_by_scan(spark, paths).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():  # one short row per file: bounded by the listing
-        header = tuple(h.strip().strip('"') for h in (row["header"] or "").lstrip("﻿").split(","))
+    for row in rows:  # one short row per file: bounded by the listing
+        header = tuple(h.strip().strip('"') for h in (row["header"] or "").lstrip("\ufeff").split(","))
         groups.setdefault(header, []).append(row["path"])
     return groups
 
