@@ -180,3 +180,18 @@ def test_quality_checks(spark):
     assert (u["duplicate_keys"], u["duplicate_rows"], u["passed"]) == (1, 2, False)
     bal = check_balanced(df, "k").collect()[0]
     assert (bal["min_rows"], bal["max_rows"], bal["passed"]) == (1, 2, False)
+
+
+def test_hot_key_first_wins_is_combined_map_side(spark):
+    # one key holds a third of all rows
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 997) + 2).cast("smallint").alias("tp"),
+        F.lit(dt.date(2024, 1, 1)).alias("d"), F.lit("HOT").alias("node"),
+        F.col("id").cast("decimal(18,6)").alias("price"), (n - F.col("id")).alias("ord")).repartition(8)
+    out = first_wins(df, KEYS, ["ord"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # a partial aggregate runs before the exchange, so the hot key leaves each task as one row
+    assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")
+    hot = out.where(F.col("tp") == 1).collect()
+    assert len(hot) == 1 and hot[0]["price"] == Decimal(n - 3)   # largest id with id % 3 == 0 has the smallest ord
