@@ -47,3 +47,11 @@ def test_plans_use_broadcast_for_dimensions_and_no_python(spark):
 def test_staging_filters_reach_the_scan(spark):
     p = QUERIES["stg_prices"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert "PushedFilters" in p
+
+
+def test_same_spec_windows_share_one_operator(spark):
+    p = QUERIES["mart_catchment_weather_pricing"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Window [") == 1
+    r = QUERIES["mart_price_risk"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # rolling counts / sums share one frame spec per length; days-since uses the running frame
+    assert "SinglePartition" in r  # day-grain series only (guarded by day_grain=True)

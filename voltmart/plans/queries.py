@@ -217,6 +217,7 @@ def q_spike_bitmask(spark, sf_dir):
 
 @query("volatility_class")
 def q_volatility_class(spark, sf_dir):
+    """Daily price shape, spike counts, range and the Calm..Extreme class (month feed)."""
     p = pipeline(spark, sf_dir, prices="month")
     d = p.ref("price_daily_risk")
     return d.select("*", (F.col("max_price_nzd_per_mwh") - F.col("min_price_nzd_per_mwh")).alias("price_range_nzd_per_mwh"),
