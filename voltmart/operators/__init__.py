@@ -1,5 +1,5 @@
-from .aggregates import (carry, completeness_pct, count_distinct_if, count_distinct_when, count_if,
-                         percentiles, sum_if, unmapped_total, weighted_total)
+from .aggregates import (bitmask_of, bits_set, carry, completeness_pct, count_distinct_if, count_distinct_when,
+                         count_if, percentiles, sum_if, unmapped_total, value_counts, weighted_total)
 from .dedup import first_wins, insert_ignore, table_after_insert, upsert
 from .joins import enrich, left_join_on, maybe_broadcast, share_of_total
 from .quality import (check_balanced, check_not_null, check_unique, duplicate_keys, null_key_rows,
@@ -9,7 +9,7 @@ from .reshape import (drop_incomplete, ensure_columns, head_rows, normalise_head
 from .windows import days_since_last, lead_columns, rolling_count_if, rolling_sum, trailing, trailing_days
 
 __all__ = [
-    "carry", "completeness_pct", "count_distinct_if", "count_distinct_when", "count_if", "percentiles",
+    "bitmask_of", "bits_set", "value_counts", "carry", "completeness_pct", "count_distinct_if", "count_distinct_when", "count_if", "percentiles",
     "sum_if", "unmapped_total", "weighted_total", "first_wins", "insert_ignore", "table_after_insert",
     "upsert", "enrich", "left_join_on", "maybe_broadcast", "share_of_total",
     "check_balanced", "check_not_null", "check_unique", "duplicate_keys", "null_key_rows",

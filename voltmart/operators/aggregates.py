@@ -30,19 +30,27 @@ def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def count_distinct_if(cond: Column, value: str | Column, max_value: int = 62) -> Column:
-    """Distinct count of a small non-negative integer where cond holds, in one pass.
+def bitmask_of(cond: Column, value: str | Column, max_value: int = 62) -> Column:
+    """Aggregate: OR of (1 << value) over rows where cond holds (null if none).
 
-    Each qualifying value sets one bit of a 64-bit mask; the mask is OR-ed per
-    group (partial-aggregable, O(1) state per group, so skew-safe) and its bits
-    are counted. Values outside [0, max_value] raise instead of miscounting.
+    O(1) state per group and partial-aggregable; masks of sub-groups OR
+    together. Values outside [0, max_value] raise instead of miscounting.
     """
     v = _col(value).cast("bigint")
-    in_range = v.between(0, max_value)
-    bit = F.when(in_range, F.call_function("shiftleft", F.lit(1).cast("bigint"), v.cast("int"))).otherwise(
-        F.raise_error(F.lit(f"count_distinct_if: value outside [0, {max_value}]")).cast("bigint"))
-    mask = F.bit_or(F.when(cond & v.isNotNull(), bit))
-    return F.coalesce(F.bit_count(mask).cast("bigint"), F.lit(0).cast("bigint"))
+    bit = F.when(v.between(0, max_value), F.call_function("shiftleft", F.lit(1).cast("bigint"), v.cast("int"))).otherwise(
+        F.raise_error(F.lit(f"bitmask_of: value outside [0, {max_value}]")).cast("bigint"))
+    return F.bit_or(F.when(cond & v.isNotNull(), bit))
+
+
+def bits_set(mask: str | Column) -> Column:
+    """Number of distinct values recorded in a mask (0 for a null mask)."""
+    return F.coalesce(F.bit_count(_col(mask)).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def count_distinct_if(cond: Column, value: str | Column, max_value: int = 62) -> Column:
+    """Distinct count of a small non-negative integer where cond holds, in one pass
+    (bitmask per group; skew-safe, one exchange)."""
+    return bits_set(bitmask_of(cond, value, max_value))
 
 
 def count_distinct_when(cond: Column, value: str | Column) -> Column:
@@ -112,9 +120,20 @@ def _radix_select(freq: DataFrame, keys: list[str], targets: DataFrame,
     return cur.select(*keys, "__rank", F.col(prefix[-1]).alias("__k"))
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    """Rows per (group, value) plus optional extra aggregates at that grain.
+
+    A partial aggregate (a hot group is combined map-side). Many per-group
+    measures can be finished from it - min/max, weighted sums, masks - and it is
+    the input of ``percentiles``, so one pass over the facts serves them all.
+    """
+    aggs = [F.count(F.lit(1)).alias("__c")] + [c.alias(n) for n, c in (extra or {}).items()]
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs)
+
+
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                 names: Sequence[str], strategy: str = "auto",
-                max_distinct_in_task: int = 1_000_000) -> DataFrame:
+                max_distinct_in_task: int = 1_000_000, counted: bool = False) -> DataFrame:
     """Exact continuous percentiles (linear interpolation, like percentile_cont).
 
     Returns keys + one double column per prob; groups whose values are all
@@ -136,8 +155,8 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
     enc = _exact_key(dtype, F.col(value))
     if enc is None and strategy == "distributed":
         raise ValueError("distributed percentiles need an exact numeric (decimal/integer) value")
-    freq = (df.where(F.col(value).isNotNull())
-            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c")))
+    # `counted`: df is already value_counts output (keys, value, __c, ...), e.g. a checkpoint
+    freq = df.select(*keys, value, "__c") if counted else value_counts(df, keys, value)
 
     def builtin(part: DataFrame) -> DataFrame:
         arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("__c"))
@@ -168,7 +187,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
 
     if strategy == "builtin" or (strategy == "auto" and enc is None):
         return builtin(freq)
-    counts = cut_lineage(freq)
+    counts = freq if counted else cut_lineage(freq)
     if strategy == "distributed":
         return distributed(counts)
     width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
