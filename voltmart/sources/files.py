@@ -69,18 +69,23 @@ def _first_lines(batches):
     import pyarrow.fs as pafs
 
     for pdf in batches:
-        heads = []
+        heads, errors = [], []
         for path in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
-            buf = b""
-            with fs.open_input_stream(inner) as f:
-                while b"\n" not in buf:
-                    chunk = f.read(1 << 16)
-                    if not chunk:
-                        break
-                    buf += chunk
-            heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+            fs, inner = pafs.FileSystem.from_uri(_arrow_uri(path))  # unknown scheme: caller falls back
+            try:
+                buf = b""
+                with fs.open_input_stream(inner) as f:
+                    while b"\n" not in buf:
+                        chunk = f.read(1 << 16)
+                        if not chunk:
+                            break
+                        buf += chunk
+                heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
+                errors.append(None)
+            except Exception as e:  # noqa: BLE001 - one bad file is reported, the rest load
+                heads.append(None)
+                errors.append(f"unreadable: {type(e).__name__}: {e}"[:300])
+        yield pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
 
 
 def _first_lines_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -90,11 +95,16 @@ def _first_lines_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame
             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("blk"),
                     "value", F.monotonically_increasing_id().alias("rid"))
             .where(F.col("blk") == 0)
-            .groupBy("path").agg(F.min_by("value", F.col("rid")).alias("header")))
+            .groupBy("path").agg(F.min_by("value", F.col("rid")).alias("header"))
+            .withColumn("error", F.lit(None).cast("string")))
+
+
+UNREADABLE: tuple[str, ...] = ()
 
 
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header (as a tuple of names) -> files having it.
+    """Header (as a tuple of names) -> files having it; unreadable files are
+    listed under the empty header ``UNREADABLE``.
 
     Only the first line of each file is read: the path list is spread over the
     task slots and each task opens its files with Arrow's file systems and
@@ -107,11 +117,14 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, .
     slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(slots)
     try:
-        rows = listing.mapInPandas(_first_lines, "path string, header string").collect()
+        rows = listing.mapInPandas(_first_lines, "path string, header string, error string").collect()
     except Exception:  # noqa: BLE001 - unsupported file system: scan instead
         rows = _first_lines_by_scan(spark, paths).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in rows:  # one short row per file: bounded by the listing
+        if row["error"] is not None:
+            groups.setdefault(UNREADABLE, []).append(row["path"])
+            continue
         header = tuple(h.strip().strip('"') for h in (row["header"] or "").lstrip("\ufeff").split(","))
         groups.setdefault(header, []).append(row["path"])
     return groups
@@ -168,7 +181,9 @@ def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
     for header, fs in groups.items():
         lower = {h.lower() for h in header}
         missing = [c for c in ids if c not in lower]
-        if missing or not any(h.startswith(C.PERIOD_PREFIX) for h in lower):
+        if header == UNREADABLE:
+            rejected += [(f, "unreadable file") for f in fs]
+        elif missing or not any(h.startswith(C.PERIOD_PREFIX) for h in lower):
             rejected += [(f, f"missing columns: {missing or ['tpN']}") for f in fs]
         else:
             ok += fs
@@ -210,7 +225,9 @@ def read_prices(spark: SparkSession, files: DataFrame | Sequence[str]) -> tuple[
     for header, fs in file_headers(spark, paths).items():
         present = {mapping.get(h, h) for h in header}
         missing = [c for c in C.PRICE_REQUIRED if c not in present]
-        if missing:
+        if header == UNREADABLE:
+            rejected += [(f, "unreadable file") for f in fs]
+        elif missing:
             rejected += [(f, f"missing required columns: {missing}") for f in fs]
         else:
             ok += fs
