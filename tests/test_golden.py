@@ -64,3 +64,47 @@ def test_generation_mix_golden(spark):
     assert mix["Coal"]["is_renewable"] is False and mix["Hydro"]["dim_season"] == "Summer"
     daily = p.ref("int_generation_daily").where(F.col("station_name") == "G1").first()
     assert daily["trading_periods_with_data"] == 1 and daily["data_completeness_pct"] == Decimal("2.1")
+
+
+def weather(spark):
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    rows = [  # waitaki has three lakes, waikato one; day 3 missing for waitaki (rows, not days)
+        ("lake_pukaki", D1, "3.00", "1.00"), ("lake_tekapo", D1, "0.00", "2.00"), ("lake_ohau", D1, "0.00", "3.00"),
+        ("lake_pukaki", D2, "30.00", "4.00"), ("lake_tekapo", D2, "30.00", "5.00"), ("lake_ohau", D2, "15.00", None),
+        ("lake_pukaki", D4, "0.99", "6.00"),
+        ("lake_taupo", D1, "1.00", "7.00"),
+        ("nowhere", D1, "99.00", "0.00"),                                       # unknown lake: dropped by the join
+    ]
+    return spark.createDataFrame(
+        [(loc, d, Decimal(p), Decimal("0"), None if s is None else Decimal(s), Decimal(s or "0"), Decimal("1"),
+          Decimal("-1"), t0) for loc, d, p, s in rows], S.RAW_WEATHER)
+
+
+def test_catchment_mart_golden(spark):
+    p = Pipeline(spark, {"weather_daily": weather(spark), "wholesale_prices": prices(spark)})
+    got = {(r["catchment"], r["observation_date"]): r for r in p.ref("mart_catchment_weather_pricing_daily").collect()}
+    assert set(got) == {("waitaki", D1), ("waitaki", D2), ("waitaki", D4), ("waikato", D1)}
+    w1, w2, w4, k1 = got[("waitaki", D1)], got[("waitaki", D2)], got[("waitaki", D4)], got[("waikato", D1)]
+    assert (w1["total_precip_mm"], w1["lake_count"], w1["pricing_node"]) == (Decimal("3.00"), 3, "BEN2202")
+    assert w1["avg_precip_mm"] == Decimal("1.000000") and w1["is_wet_day"] is True and w1["is_heavy_rain_day"] is False
+    assert w2["avg_precip_mm"] == Decimal("25.000000") and w2["is_heavy_rain_day"] is True
+    assert w2["total_snowfall_cm"] == Decimal("9.00")                       # null snowfall skipped
+    assert w4["is_wet_day"] is False and w4["season"] == "summer"
+    # rolling sums count rows: day 4 follows day 2 directly in the waitaki series
+    assert [got[("waitaki", d)]["precip_7d_rolling_sum"] for d in (D1, D2, D4)] == [
+        Decimal("3.00"), Decimal("78.00"), Decimal("78.99")]
+    # node prices: none of the fixture prices are at BEN2202 / ARA2201, so prices and leads are null
+    assert w1["avg_price_nzd_per_mwh"] is None and w1["price_lead_1d"] is None
+    assert k1["island"] == "North" and k1["precip_30d_rolling_sum"] == Decimal("1.00")
+    assert (k1["year"], k1["month_name"], k1["day_of_week"], k1["is_weekend"]) == (2024, "January", 1, False)
+
+
+def test_catchment_leads_follow_rows(spark):
+    node_prices = spark.createDataFrame(
+        [(d, 1, "BEN2202", Decimal(v), None, None) for d, v in ((D1, "10"), (D2, "20"), (D4, "40"))], S.RAW_PRICES)
+    p = Pipeline(spark, {"weather_daily": weather(spark), "wholesale_prices": node_prices})
+    got = {r["observation_date"]: r for r in p.ref("mart_catchment_weather_pricing_daily")
+           .where(F.col("catchment") == "waitaki").collect()}
+    assert [got[d]["avg_price_nzd_per_mwh"] for d in (D1, D2, D4)] == [Decimal("10.00"), Decimal("20.00"), Decimal("40.00")]
+    assert [got[d]["price_lead_1d"] for d in (D1, D2, D4)] == [Decimal("20.00"), Decimal("40.00"), None]
+    assert got[D1]["price_lead_3d"] is None
