@@ -139,7 +139,7 @@ def test_header_read_touches_only_first_line(spark, tmp):
     # a big file: the first-line reader must not need the fallback scan
     path = write(f"{tmp}/hdr/big.csv", "X,Y\n" + "1,2\n" * 200000)
     rows = (spark.createDataFrame([(f"file:{path}",)], "path string")
-            .mapInPandas(FS._first_lines, "path string, header string, error string").collect())
+            .mapInPandas(FS.first_line_reader(), "path string, header string, error string").collect())
     assert rows[0]["header"] == "X,Y" and rows[0]["error"] is None
     gone = f"file:{tmp}/hdr/vanished.csv"   # listed, then gone before it was read
     assert FS.file_headers(spark, [f"file:{path}", gone]) == {("X", "Y"): [f"file:{path}"], FS.UNREADABLE: [gone]}

@@ -12,6 +12,7 @@ the driver.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,39 +54,46 @@ def select_files_by_year(files: DataFrame, start: int, end: int, name_col: str =
     return files.where(file_year(F.col(name_col)).between(start, end))
 
 
-def _arrow_uri(path: str) -> str:
-    """Hadoop-style URI -> one pyarrow.fs understands."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
-        if path.startswith(hadoop):
-            return arrow + path[len(hadoop):]
-    return path
-
-
-def _first_lines(batches):
-    """mapInPandas body: the first line of each file, read with bounded I/O."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    for pdf in batches:
-        heads, errors = [], []
-        for path in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(_arrow_uri(path))  # unknown scheme: caller falls back
-            try:
-                buf = b""
-                with fs.open_input_stream(inner) as f:
-                    while b"\n" not in buf:
-                        chunk = f.read(1 << 16)
-                        if not chunk:
-                            break
-                        buf += chunk
-                heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-                errors.append(None)
-            except Exception as e:  # noqa: BLE001 - one bad file is reported, the rest load
-                heads.append(None)
-                errors.append(f"unreadable: {type(e).__name__}: {e}"[:300])
-        yield pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
+def first_line_reader():
+    """mapInPandas body reading the first line of each file with bounded I/O.
+
+    Built as a self-contained closure so it ships to executors by value: the
+    tasks do not need this package installed. Hadoop-style URIs are mapped to
+    ones Arrow's file systems open (file:/x -> file:///x, s3a:// -> s3://).
+    A file that cannot be read is reported in `error` instead of failing.
+    """
+    def read(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        def arrow_uri(path):
+            if path.startswith("file:") and not path.startswith("file://"):
+                return "file://" + path[len("file:"):]
+            for hadoop in ("s3a://", "s3n://"):
+                if path.startswith(hadoop):
+                    return "s3://" + path[len(hadoop):]
+            return path
+
+        for pdf in batches:
+            heads, errors = [], []
+            for path in pdf["path"]:
+                fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))  # unknown scheme: caller falls back
+                try:
+                    buf = b""
+                    with fs.open_input_stream(inner) as f:
+                        while b"\n" not in buf:
+                            chunk = f.read(1 << 16)
+                            if not chunk:
+                                break
+                            buf += chunk
+                    heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 - one bad file is reported, the rest load
+                    heads.append(None)
+                    errors.append(f"unreadable: {type(e).__name__}: {e}"[:300])
+            yield pd.DataFrame({"path": pdf["path"], "header": heads, "error": errors})
+
+    return read
 
 
 def _first_lines_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -117,8 +125,10 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, .
     slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(slots)
     try:
-        rows = listing.mapInPandas(_first_lines, "path string, header string, error string").collect()
-    except Exception:  # noqa: BLE001 - unsupported file system: scan instead
+        rows = listing.mapInPandas(first_line_reader(), "path string, header string, error string").collect()
+    except Exception as e:  # noqa: BLE001 - unsupported file system: scan instead
+        warnings.warn(f"first-line header read failed ({type(e).__name__}); falling back to a full text scan",
+                      RuntimeWarning, stacklevel=2)
         rows = _first_lines_by_scan(spark, paths).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in rows:  # one short row per file: bounded by the listing
