@@ -72,9 +72,11 @@ def test_prices_rename_missing_optional_and_rejects(spark, tmp):
         (dt.date(2024, 1, 1), 1, "BEN2202", Decimal("100.500000"), Decimal("10.000000"), None),
         (dt.date(2024, 1, 2), 3, "MAN2201", Decimal("600.000000"), Decimal("1.000000"), Decimal("2.000000")),
     ]
-    # re-run: unchanged
+    # re-runs add nothing (each writes an empty batch) and the table stays the same
+    load_insert_ignore(spark, base, typed, C.PRICE_KEY, [FS.ORDER], S.RAW_PRICES)
     load_insert_ignore(spark, base, typed, C.PRICE_KEY, [FS.ORDER], S.RAW_PRICES)
     assert read_table(spark, base).count() == 2
+    assert sorted(os.listdir(base)) == ["batch=1", "batch=2", "batch=3"]
 
 
 def test_weather_json_and_csv_upsert(spark, tmp):

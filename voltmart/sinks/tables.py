@@ -1,10 +1,14 @@
 """Table writes on plain Parquet.
 
-Keyed loads (insert-ignore, upsert) never overwrite the directory they read:
-each load writes a new version directory ``<base>/v=<n>``. Part files become
+Keyed loads never overwrite the directory they read, and part files become
 visible only when the write job commits (the staging folder is hidden from
-listings), so readers take the newest version that has data files; a failed or
-lost job leaves the previous version readable.
+listings), so a failed or lost job leaves the table as it was.
+
+* Insert-ignore tables are append-only: a load writes just the rows it adds as
+  a new ``<base>/batch=<n>`` directory (cost: the new rows plus an anti join on
+  the keys, not a rewrite), and the table is the union of committed batches.
+* Upsert tables change existing rows, so a load writes a whole new version
+  ``<base>/v=<n>`` and readers take the newest one.
 """
 
 from __future__ import annotations
@@ -19,14 +23,19 @@ from ..operators.dedup import insert_ignore, upsert
 from ..schemas import ddl
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _committed(spark: SparkSession, base: str, kind: str) -> list[int]:
+    """Numbers of the committed `kind=<n>` directories under `base` (kind: v or batch)."""
     try:
         parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                  .option("recursiveFileLookup", True).load(base).select("path"))
-        found = parts.select(F.regexp_extract("path", r"/v=(\d+)/[^/]+$", 1).alias("v")).distinct().collect()
+        found = parts.select(F.regexp_extract("path", rf"/{kind}=(\d+)/[^/]+$", 1).alias("n")).distinct().collect()
     except Exception:  # noqa: BLE001 - no table yet
         return []
-    return sorted(int(r["v"]) for r in found if r["v"])
+    return sorted(int(r["n"]) for r in found if r["n"])
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    return _committed(spark, base, "v")
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
@@ -35,12 +44,25 @@ def latest_version(spark: SparkSession, base: str) -> str | None:
 
 
 def read_table(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """Current rows: all committed batches of an append table, or the newest version."""
+    base = base.rstrip("/")
+    batches = _committed(spark, base, "batch")
+    if batches:
+        return spark.read.parquet(*[f"{base}/batch={b}" for b in batches])
     path = latest_version(spark, base)
     if path is None:
         return spark.createDataFrame([], schema) if schema is not None else None
     return spark.read.parquet(path)
 
 
+def append_batch(df: DataFrame, base: str) -> str:
+    """Write `df` as the next batch of the append table at `base`."""
+    bs = _committed(df.sparkSession, base, "batch")
+    path = f"{base.rstrip('/')}/batch={(bs[-1] + 1) if bs else 1}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def write_version(df: DataFrame, base: str, sort_by: Sequence[str] = ()) -> str:
     """Write `df` as the next version of the table at `base` and return its path."""
     spark = df.sparkSession
@@ -53,11 +75,11 @@ def write_version(df: DataFrame, base: str, sort_by: Sequence[str] = ()) -> str:
 
 def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
                        order: Sequence[str | Column], schema: T.StructType) -> str:
-    """First-wins load of `incoming` into the versioned table at `base`."""
+    """First-wins load of `incoming` into the append table at `base`: only the
+    rows whose key is new are written, as one more batch."""
     existing = read_table(spark, base, schema)
     added = insert_ignore(incoming, keys, order, existing)
-    cols = [f.name for f in schema.fields]
-    return write_version(existing.select(*cols).unionByName(added.select(*cols)), base)
+    return append_batch(added.select(*[f.name for f in schema.fields]), base)
 
 
 def load_upsert(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
