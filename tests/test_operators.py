@@ -195,3 +195,12 @@ def test_hot_key_first_wins_is_combined_map_side(spark):
     assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")
     hot = out.where(F.col("tp") == 1).collect()
     assert len(hot) == 1 and hot[0]["price"] == Decimal(n - 3)   # largest id with id % 3 == 0 has the smallest ord
+
+
+def test_decimal_bounds_check(spark):
+    from voltmart import schemas as S
+    from voltmart.operators import out_of_range
+    df = spark.createDataFrame([(Decimal("12.34"), Decimal("999.99")), (Decimal("10000.5"), Decimal("1000.00")),
+                                (None, Decimal("-5"))], "precipitation_sum decimal(18,2), temperature_2m_mean decimal(18,2)")
+    got = {r["column_name"]: (r["overflow_count"], r["passed"]) for r in out_of_range(df, S.RAW_WEATHER).collect()}
+    assert got == {"precipitation_sum": (1, False), "temperature_2m_mean": (1, False)}

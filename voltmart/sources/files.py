@@ -140,15 +140,17 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, .
     return groups
 
 
-def read_csv_by_header(spark: SparkSession, paths: Sequence[str], lower: bool = True,
-                       corrupt_col: str | None = None) -> DataFrame:
+def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[str, ...], list[str]],
+                       lower: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """All-string read of CSV files whose headers may differ, matched by name.
 
-    Adds file lineage (`file_name`) and an arrival order column (`__arrival`:
-    file name, split start, row id) for first-wins loading.
+    `paths` may already be grouped by header (as ``split_files_by_schema``
+    returns them). Adds file lineage (`file_name`) and an arrival order column
+    (`__arrival`: file name, split start, row id) for first-wins loading.
     """
+    groups = paths if isinstance(paths, dict) else file_headers(spark, paths)
     parts = []
-    for header, files in sorted(file_headers(spark, paths).items()):
+    for header, files in sorted(groups.items()):
         names = [h.lower() if lower else h for h in header]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         if corrupt_col:
@@ -176,6 +178,29 @@ def _paths(files: DataFrame | Sequence[str]) -> list[str]:
     return sorted(files)
 
 
+def split_files_by_schema(spark: SparkSession, paths: Sequence[str], required: Sequence[str],
+                          rename: dict[str, str] | None = None, lower: bool = False,
+                          need_prefix: str | None = None) -> tuple[dict[tuple[str, ...], list[str]], DataFrame]:
+    """Files whose header holds every required column -> accepted (header ->
+    files); the rest, and unreadable files, -> a rejects DataFrame (path, reason)."""
+    rename = rename or {}
+    accepted: dict[tuple[str, ...], list[str]] = {}
+    rejected = []
+    for header, fs in file_headers(spark, paths).items():
+        names = {rename.get(h, h) for h in header}
+        names = {n.lower() for n in names} if lower else names
+        missing = [c for c in required if c not in names]
+        if need_prefix and not any(n.startswith(need_prefix) for n in names):
+            missing.append(f"{need_prefix}N")
+        if header == UNREADABLE:
+            rejected += [(f, "unreadable file") for f in fs]
+        elif missing:
+            rejected += [(f, f"missing required columns: {missing}") for f in fs]
+        else:
+            accepted[header] = sorted(fs)
+    return accepted, spark.createDataFrame(rejected, "path string, reason string")
+
+
 # ---------------------------------------------------------------- generation
 
 def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
@@ -185,19 +210,7 @@ def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
     A file missing an id column is rejected whole (the source raised for it);
     the remaining files load.
     """
-    paths = _paths(files)
-    groups = file_headers(spark, paths)
-    ok, rejected = [], []
-    for header, fs in groups.items():
-        lower = {h.lower() for h in header}
-        missing = [c for c in ids if c not in lower]
-        if header == UNREADABLE:
-            rejected += [(f, "unreadable file") for f in fs]
-        elif missing or not any(h.startswith(C.PERIOD_PREFIX) for h in lower):
-            rejected += [(f, f"missing columns: {missing or ['tpN']}") for f in fs]
-        else:
-            ok += fs
-    rejects = spark.createDataFrame(rejected, "path string, reason string")
+    ok, rejects = split_files_by_schema(spark, _paths(files), ids, lower=True, need_prefix=C.PERIOD_PREFIX)
     if not ok:
         return spark.createDataFrame([], _with_order(S.RAW_GENERATION)), rejects
     wide = normalise_headers(read_csv_by_header(spark, ok))
@@ -229,19 +242,7 @@ def read_prices(spark: SparkSession, files: DataFrame | Sequence[str]) -> tuple[
     optional columns filled with null; files without a required column are
     rejected whole and the rest load.
     """
-    paths = _paths(files)
-    mapping = dict(C.PRICE_COLUMN_MAP)
-    ok, rejected = [], []
-    for header, fs in file_headers(spark, paths).items():
-        present = {mapping.get(h, h) for h in header}
-        missing = [c for c in C.PRICE_REQUIRED if c not in present]
-        if header == UNREADABLE:
-            rejected += [(f, "unreadable file") for f in fs]
-        elif missing:
-            rejected += [(f, f"missing required columns: {missing}") for f in fs]
-        else:
-            ok += fs
-    rejects = spark.createDataFrame(rejected, "path string, reason string")
+    ok, rejects = split_files_by_schema(spark, _paths(files), C.PRICE_REQUIRED, rename=dict(C.PRICE_COLUMN_MAP))
     if not ok:
         return spark.createDataFrame([], _with_order(S.RAW_PRICES)), rejects
     raw = read_csv_by_header(spark, ok, lower=False)
