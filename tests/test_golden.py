@@ -108,3 +108,10 @@ def test_catchment_leads_follow_rows(spark):
     assert [got[d]["avg_price_nzd_per_mwh"] for d in (D1, D2, D4)] == [Decimal("10.00"), Decimal("20.00"), Decimal("40.00")]
     assert [got[d]["price_lead_1d"] for d in (D1, D2, D4)] == [Decimal("20.00"), Decimal("40.00"), None]
     assert got[D1]["price_lead_3d"] is None
+
+
+def test_daily_average_is_rounded_once(spark):
+    # mean 123.4449995: rounding at 6 places first would give 123.45; the true value rounds to 123.44
+    rows = [(D1, 1, "A", Decimal("123.444999"), None, None), (D1, 2, "A", Decimal("123.445000"), None, None)]
+    p = Pipeline(spark, {"wholesale_prices": spark.createDataFrame(rows, S.RAW_PRICES)})
+    assert p.ref("price_daily_risk").first()["avg_price_nzd_per_mwh"] == Decimal("123.44")

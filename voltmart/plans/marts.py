@@ -199,7 +199,8 @@ def price_daily_risk(p: Pipeline) -> DataFrame:
         counts = cut_lineage(counts)  # read twice below; cut so the prices are scanned once
     n = F.sum("__c")
     daily = counts.groupBy("trading_date").agg(
-        round_money((F.sum(F.col(pr) * F.col("__c")) / n).cast("decimal(38,10)")).alias("avg_price_nzd_per_mwh"),
+        # weighted sum widened to scale 10 first, so the mean is rounded once at scale 10 as avg() does
+        round_money(F.sum(F.col(pr) * F.col("__c")).cast("decimal(38,10)") / n).alias("avg_price_nzd_per_mwh"),
         round_money(F.min(pr)).alias("min_price_nzd_per_mwh"),
         round_money(F.max(pr)).alias("max_price_nzd_per_mwh"),
         F.coalesce(F.sum(F.when(F.col("__spike"), F.col("__c"))), F.lit(0)).cast("bigint").alias("spike_records_count"),
