@@ -3,64 +3,64 @@
 A file-source stream picks up only files not seen before (the stream's
 checkpoint remembers them, which replaces "skip files already present").
 ``trigger(availableNow=True)`` processes everything pending and stops, so the
-same code runs as a scheduled batch. Each micro-batch is merged first-wins into
-the versioned price table; a restarted query resumes from its checkpoint, and a
-micro-batch that fails is retried whole (writes go to a new version directory,
-so a half-written batch is never read).
+same code runs as a scheduled batch.
 
-Within a micro-batch, earlier file names and earlier rows win; rows already in
-the table beat all new ones.
+The stream carries file paths only (a binaryFile source with the content column
+pruned, so nothing is read there). Each micro-batch then loads its files with
+the batch reader: headers matched by name per file (a CSV stream with a fixed
+schema would map columns by position), files without the required columns go
+to the rejects table, and rows are merged first-wins into the append-only price
+table (within a micro-batch earlier file names and rows win; rows already in
+the table beat new ones, so across micro-batches arrival order decides). A restarted query resumes from its checkpoint; a micro-batch that fails
+is retried whole, and its merge is idempotent.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as C
 from .. import schemas as S
 from ..session import ensure_checkpoint_dir
-from ..sinks.tables import load_insert_ignore
-from ..sources.files import ORDER, coerce_prices
-from ..operators.reshape import rename_present, select_present
+from ..sinks.tables import append, load_insert_ignore
+from ..sources.files import ORDER, read_prices
 
-# Price files carry the raw headers; read every column as text.
-PRICE_FILE_SCHEMA = T.StructType([T.StructField(raw, T.StringType()) for raw, _ in C.PRICE_COLUMN_MAP])
 
+# The binaryFile source's fixed schema (streams must declare it); only `path` is selected.
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-def price_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(PRICE_FILE_SCHEMA).option("header", True)
+
+def new_price_files(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of newly arrived price file paths (contents are not read here)."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", C.CSV_FILE_GLOB))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(source_dir).withColumns({"__f": F.col("_metadata.file_name"),
-                                              "__b": F.col("_metadata.file_block_start")})
-    raw = rename_present(raw, C.PRICE_COLUMN_MAP)
-    return select_present(raw, [f.name for f in S.RAW_PRICES.fields] + ["__f", "__b"])
-
-
-def with_arrival_order(batch: DataFrame) -> DataFrame:
-    """Arrival order inside one micro-batch: file name, split start, row position."""
-    return batch.withColumn(ORDER, F.struct(F.col("__f").alias("f"), F.col("__b").alias("b"),
-                                            F.monotonically_increasing_id().alias("r"))).drop("__f", "__b")
+    return reader.load(source_dir).select("path")
 
 
 def start_price_ingest(spark: SparkSession, source_dir: str, table_base: str,
-                       checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                       checkpoint: str | None = None, available_now: bool = True,
+                       rejects_path: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Run the incremental load; returns the StreamingQuery (await or stop it).
 
-    A micro-batch is a bounded set of new files (``maxFilesPerTrigger`` bounds
-    it further), so the per-batch merge is an ordinary batch job.
+    A micro-batch is a bounded set of new files (``max_files_per_trigger``
+    bounds it further); only their paths reach the driver, and the merge is an
+    ordinary distributed batch job.
     """
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/price_ingest"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        typed = coerce_prices(with_arrival_order(batch))
+        paths = [r["path"] for r in batch.collect()]   # file names of this micro-batch only
+        if not paths:
+            return
+        typed, rejects = read_prices(batch.sparkSession, paths)
+        if rejects_path:
+            append(rejects, rejects_path)
         load_insert_ignore(batch.sparkSession, table_base, typed, C.PRICE_KEY, [ORDER], S.RAW_PRICES)
 
-    writer = (price_file_stream(spark, source_dir).writeStream
+    writer = (new_price_files(spark, source_dir, max_files_per_trigger).writeStream
               .foreachBatch(merge).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
