@@ -90,7 +90,13 @@ def test_weather_json_and_csv_upsert(spark, tmp):
     assert rows(w, "location", "time", "precipitation_sum")[:2] == [
         ("lake_pukaki", dt.date(2024, 1, 1), Decimal("1.20")), ("lake_pukaki", dt.date(2024, 1, 2), None)]
     write_csv(w, f"{tmp}/weather_csv")
+    # a second export with its columns in another order and one measure missing
+    write(f"{tmp}/weather_csv/late.csv", "time,temperature_2m_mean,location,precipitation_sum\n2024-01-03,11.5,lake_ohau,2.25\n")
     back = FS.read_weather_csv(spark, f"{tmp}/weather_csv")
+    late = back.where(F.col("location") == "lake_ohau").first()
+    assert (late["time"], late["precipitation_sum"], late["temperature_2m_mean"], late["rain_sum"]) == (
+        dt.date(2024, 1, 3), Decimal("2.25"), Decimal("11.50"), None)
+    back = back.where(F.col("location") != "lake_ohau")
     base = f"{tmp}/tables/weather_daily"
     load_upsert(spark, base, back, C.WEATHER_KEY, [FS.ORDER], S.RAW_WEATHER)
     first = read_table(spark, base)
@@ -107,9 +113,10 @@ def test_weather_json_and_csv_upsert(spark, tmp):
 
 def test_retail_lineage_and_append(spark, tmp):
     write(f"{tmp}/retail/a.csv", "region,network,avg_cost_cents_per_kwh\nAuckland,Vector,30.5\n")
-    write(f"{tmp}/retail/b.csv", "region,network,avg_cost_cents_per_kwh,extra\nOtago,Aurora,28.1,1\n")
+    write(f"{tmp}/retail/b.csv", "network,avg_cost_cents_per_kwh,region,extra\nAurora,28.1,Otago,1\n")
     df = FS.read_retail(spark, f"{tmp}/retail")
-    assert sorted(r["raw_filename"] for r in df.collect()) == ["a.csv", "b.csv"]
+    got = sorted((r["raw_filename"], r["region"], r["network"], r["avg_cost_cents_per_kwh"]) for r in df.collect())
+    assert got == [("a.csv", "Auckland", "Vector", 30.5), ("b.csv", "Otago", "Aurora", 28.1)]   # by name
     append(df, f"{tmp}/retail_out")
     append(df, f"{tmp}/retail_out")
     assert spark.read.parquet(f"{tmp}/retail_out").count() == 4
@@ -120,6 +127,8 @@ def test_seed_csv_leading_blank(spark, tmp):
                  "fuel_category,emission_factor_kg_co2_per_mwh\nCoal,900\nOther, 200\n")
     got = {r[0]: r[1] for r in read_seed(spark, path, "emission_factors").collect()}
     assert got == {"Coal": 900, "Other": 200}
+    path = write(f"{tmp}/seeds2/dim_concatchment_node.csv", "pricing_node,catchment\nBEN2202,waitaki\n")
+    assert [tuple(r) for r in read_seed(spark, path, "dim_concatchment_node").collect()] == [("waitaki", "BEN2202")]
 
 
 def test_file_year_filter(spark, tmp):

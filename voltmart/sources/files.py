@@ -254,10 +254,18 @@ def read_prices(spark: SparkSession, files: DataFrame | Sequence[str]) -> tuple[
 # ---------------------------------------------------------------- retail
 
 def read_retail(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) -> DataFrame:
-    """Retail summary CSVs kept as found (inferred types) plus `raw_filename`."""
-    df = (spark.read.option("header", True).option("inferSchema", True)
-          .option("pathGlobFilter", glob).csv(path))
-    return df.withColumn("raw_filename", F.col("_metadata.file_name"))
+    """Retail summary CSVs kept as found (inferred types) plus `raw_filename`.
+
+    Columns are unknown in advance and may differ per file, so files are read
+    per header (each group with its own inferred schema) and unioned by name.
+    """
+    paths = _paths(list_files(spark, path, glob))
+    parts = [spark.read.option("header", True).option("inferSchema", True).csv(files)
+             .withColumn("raw_filename", F.col("_metadata.file_name"))
+             for header, files in sorted(file_headers(spark, paths).items()) if header != UNREADABLE]
+    if not parts:
+        raise FileNotFoundError(f"no readable retail files under {path}")
+    return union_all(parts)
 
 
 # ---------------------------------------------------------------- weather
@@ -281,12 +289,17 @@ def read_weather_json(spark: SparkSession, path: str, glob: str = "*.json") -> D
         *[F.col(m).cast(S.RAW_WEATHER[m].dataType).alias(m) for m in C.WEATHER_MEASURES])
 
 
-def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Exported weather CSV (location, time, six measures) with its declared types."""
-    raw = spark.read.option("header", True).schema(
-        T.StructType([T.StructField(f.name, T.StringType()) for f in S.WEATHER_CSV.fields])).csv(path)
+def read_weather_csv(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) -> DataFrame:
+    """Exported weather CSV files (location, time, six measures) with the declared
+    types, columns matched by name; absent measures are null, and files without
+    location or time are skipped (see ``split_files_by_schema`` for the list)."""
+    groups, _rejects = split_files_by_schema(spark, _paths(list_files(spark, path, glob, recursive=True)),
+                                             ["location", "time"])
+    if not groups:
+        raise FileNotFoundError(f"no weather files with location and time under {path}")
+    raw = ensure_columns(read_csv_by_header(spark, groups, lower=False),
+                         T.StructType([T.StructField(m, T.StringType()) for m in C.WEATHER_MEASURES]))
     return raw.select(
         "location", to_date_lenient("time").alias("time"),
         *[to_number(m, S.RAW_WEATHER[m].dataType.simpleString()).alias(m) for m in C.WEATHER_MEASURES],
-        F.struct(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                 F.monotonically_increasing_id().alias("r")).alias(ORDER))
+        ORDER)

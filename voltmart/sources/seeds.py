@@ -22,10 +22,11 @@ def seed(spark: SparkSession, name: str) -> tuple[DataFrame, int]:
 
 
 def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Seed CSV with its declared schema; leading blanks in cells are ignored
-    (one factor cell reads ' 200', which would otherwise parse as null)."""
-    df = (spark.read.option("header", True)
-          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-          .option("mode", "PERMISSIVE")
-          .schema(S.SEEDS[name]).csv(path))
-    return df.where(F.col(S.SEEDS[name].fields[0].name).isNotNull())
+    """Seed CSV with its declared schema, columns matched by header name; leading
+    and trailing blanks in cells are ignored (one factor cell reads ' 200')."""
+    schema = S.SEEDS[name]
+    raw = (spark.read.option("header", True)
+           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+           .csv(path))
+    typed = raw.select(*[F.trim(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return typed.where(F.col(schema.fields[0].name).isNotNull())
