@@ -204,3 +204,12 @@ def test_decimal_bounds_check(spark):
                                 (None, Decimal("-5"))], "precipitation_sum decimal(18,2), temperature_2m_mean decimal(18,2)")
     got = {r["column_name"]: (r["overflow_count"], r["passed"]) for r in out_of_range(df, S.RAW_WEATHER).collect()}
     assert got == {"precipitation_sum": (1, False), "temperature_2m_mean": (1, False)}
+
+
+def test_spread_only_rebalances_under_split_scans(spark):
+    from voltmart.sources.adapters import spread
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    many = spark.range(0, 100, 1, slots * 2)
+    assert spread(one).rdd.getNumPartitions() == slots
+    assert spread(many) is many
