@@ -162,7 +162,7 @@ def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[st
         df = reader.csv(sorted(files))
         df = df.withColumns({
             "file_name": F.col("_metadata.file_name"),
-            ORDER: F.struct(F.col("_metadata.file_name").alias("f"),
+            ORDER: F.struct(F.col("_metadata.file_path").alias("f"),   # path order = name order within a folder
                             F.col("_metadata.file_block_start").alias("b"),
                             F.monotonically_increasing_id().alias("r")),
         })
