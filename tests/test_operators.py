@@ -213,3 +213,17 @@ def test_spread_only_rebalances_under_split_scans(spark):
     many = spark.range(0, 100, 1, slots * 2)
     assert spread(one).rdd.getNumPartitions() == slots
     assert spread(many) is many
+
+
+def test_percentiles_distributed_all_radix_levels(spark):
+    # unscaled keys up to ~1e17 (> 2**42) and negative: every 21-bit level and the arithmetic shift are used
+    df = spark.range(5000).select(
+        (F.col("id") % 3).cast("string").alias("g"),
+        (((F.col("id") * 104729) % 200003 - 100001) * F.lit(Decimal("999983.123457"))).cast("decimal(18,6)").alias("v"))
+    probs = [0.0, 0.01, 0.5, 0.95, 0.999, 1.0]
+    names = [f"p{i}" for i in range(len(probs))]
+    a = {r["g"]: [r[n] for n in names] for r in percentiles(df, ["g"], "v", probs, names, strategy="builtin").collect()}
+    b = {r["g"]: [r[n] for n in names] for r in percentiles(df, ["g"], "v", probs, names, strategy="distributed").collect()}
+    assert set(a) == set(b) == {"0", "1", "2"}
+    for g in a:
+        assert b[g] == pytest.approx(a[g], rel=1e-12)
