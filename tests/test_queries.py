@@ -55,3 +55,9 @@ def test_same_spec_windows_share_one_operator(spark):
     r = QUERIES["mart_price_risk"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # rolling counts / sums share one frame spec per length; days-since uses the running frame
     assert "SinglePartition" in r  # day-grain series only (guarded by day_grain=True)
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    for name, q in QUERIES.items():
+        p = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
