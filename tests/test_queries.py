@@ -57,7 +57,9 @@ def test_same_spec_windows_share_one_operator(spark):
     assert "SinglePartition" in r  # day-grain series only (guarded by day_grain=True)
 
 
-def test_no_cross_or_nested_loop_joins(spark):
+def test_no_cross_joins_and_no_python_in_any_query(spark):
     for name, q in QUERIES.items():
         p = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+        for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
+            assert node not in p, (name, node)
