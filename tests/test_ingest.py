@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from voltmart import constants as C
 from voltmart import schemas as S
 from voltmart.operators import first_wins
-from voltmart.sinks import append, create_table, load_insert_ignore, load_upsert, read_table, write_csv
+from voltmart.sinks import (append, create_table, load_insert_ignore, load_upsert, read_table, register_table,
+                            write_csv)
 from voltmart.sources import files as FS
 from voltmart.sources.seeds import read_seed
 
@@ -77,6 +78,8 @@ def test_prices_rename_missing_optional_and_rejects(spark, tmp):
     load_insert_ignore(spark, base, typed, C.PRICE_KEY, [FS.ORDER], S.RAW_PRICES)
     assert read_table(spark, base).count() == 2
     assert sorted(os.listdir(base)) == ["batch=1", "batch=2", "batch=3"]
+    register_table(spark, "wholesale_prices_current", base)
+    assert spark.sql("SELECT count(*) AS n FROM wholesale_prices_current").first()["n"] == 2
 
 
 def test_weather_json_and_csv_upsert(spark, tmp):

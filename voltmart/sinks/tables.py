@@ -55,6 +55,16 @@ def read_table(spark: SparkSession, base: str, schema: T.StructType | None = Non
     return spark.read.parquet(path)
 
 
+def register_table(spark: SparkSession, name: str, base: str, schema: T.StructType | None = None) -> DataFrame:
+    """Point the SQL name `name` at the table's current rows (re-run after each load:
+    readers of the name then see the new batch or version, never a partial write)."""
+    df = read_table(spark, base, schema)
+    if df is None:
+        raise FileNotFoundError(f"no committed data under {base}")
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def append_batch(df: DataFrame, base: str) -> str:
     """Write `df` as the next batch of the append table at `base`."""
     bs = _committed(df.sparkSession, base, "batch")
