@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from . import license_diagonals, piece_spans, quality_ledger, rank_merge, threshold_topk, token_dac
+from . import (
+    language_fusion, license_diagonals, piece_spans, quality_ledger, rank_merge, soft_mix, threshold_topk, token_dac,
+    weighted_minhash, wrapper_induction,
+)
 
 QUERIES = {f.__name__: f for f in (
     quality_ledger.op1_quality_ledger,
     token_dac.op2_token_dac,
+    soft_mix.op3_soft_mix,
+    weighted_minhash.op4_weighted_minhash,
     threshold_topk.op5_threshold_topk,
     piece_spans.op6_piece_spans,
     rank_merge.op7_rank_merge,
+    language_fusion.op8_language_fusion,
     license_diagonals.op9_license_diagonals,
+    wrapper_induction.op10_wrapper_induction,
 )}
 
 ORACLES = {"op5_threshold_topk": threshold_topk.ORACLE}
