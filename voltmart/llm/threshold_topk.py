@@ -24,7 +24,7 @@ SCALE = 1024
 K = 10
 QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 8192
-STEP = 64  # list entries taken from every dimension at a time
+STEP = 32  # list entries taken from every dimension in the first step
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -37,39 +37,48 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 def threshold_topk(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
-    """(query number, vec_id, score) of each query's k best vectors of one block, ties to the smaller id."""
+    """(query number, vec_id, score) of each query's k best vectors of one block, ties to the smaller id.
+
+    Steps double in depth: a query that can stop early stops early, one that can't takes few steps.
+    """
     n, dims = vectors.shape
-    order = np.argsort(vectors, axis=0, kind="stable")
-    lists = np.take_along_axis(vectors, order, axis=0)
+    order = np.argsort(vectors.T, axis=1, kind="stable")  # one ascending list per dimension
+    lists = np.take_along_axis(np.ascontiguousarray(vectors.T), order, axis=1)
+    largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * dims
+    exact = vectors.astype(np.float64) if largest < 2 ** 53 else vectors  # sums of such products are whole doubles
     found = []
     for number, (query, own) in enumerate(zip(queries, query_ids, strict=True)):
-        active = np.flatnonzero(query)
-        down = query[active] > 0  # from the largest value where the weight is positive, else from the smallest
-        seen = np.zeros(n, dtype=bool)
-        best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
-        depth = 0
-        if not len(active):  # every score is 0
-            seen[:] = True
-            met = np.flatnonzero(ids != own)
-            best_ids, best = np.sort(ids[met])[:k], np.zeros(min(k, len(met)), np.int64)
-            depth = n
+        weights = query.astype(exact.dtype)
+        up, down = np.flatnonzero(query < 0), np.flatnonzero(query > 0)  # read from the smallest, from the largest value
+        seen = ids == own  # the own rows are no candidates
+        best_ids, best = np.empty(0, np.int64), np.empty(0, exact.dtype)
+        depth, step = 0, STEP
         while depth < n:
-            end = min(depth + STEP, n)
-            rows = np.where(down[None, :], np.arange(n - 1 - depth, n - 1 - end, -1)[:, None], np.arange(depth, end)[:, None])
-            met = np.unique(order[rows, active[None, :]])
-            met = met[~seen[met]]
-            seen[met] = True
-            met = met[ids[met] != own]
-            scores = vectors[met] @ query
-            best_ids, best = np.concatenate([best_ids, ids[met]]), np.concatenate([best, scores])
+            end = min(depth + step, n) if len(up) or len(down) else n
+            met = np.zeros(n, dtype=bool)
+            met[order[up, depth:end]] = True
+            met[order[down, n - end:n - depth]] = True
+            if end == n:
+                met[:] = True
+            met &= ~seen
+            seen |= met
+            rows = np.flatnonzero(met)
+            scores = (exact[rows] if len(rows) < n else exact) @ weights
+            if len(best) == k:  # only scores that reach the k-th can enter
+                strong = scores >= best[-1]
+                rows, scores = rows[strong], scores[strong]
+            elif len(rows) > k:
+                strong = scores >= np.partition(scores, -k)[-k]
+                rows, scores = rows[strong], scores[strong]
+            best_ids, best = np.concatenate([best_ids, ids[rows]]), np.concatenate([best, scores])
             top = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[top], best[top]
-            depth = end
+            depth, step = end, step * 2
             if depth < n and len(best) == k:
-                last = lists[np.where(down, n - depth, depth - 1), active]
-                if best[-1] > int(last @ query[active]):
+                bound = lists[up, depth - 1] @ query[up] + lists[down, n - depth] @ query[down]
+                if best[-1] > bound:
                     break
-        found.append((np.full(len(best), number), best_ids, best))
+        found.append((np.full(len(best), number), best_ids, best.astype(np.int64)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
 
 
