@@ -128,44 +128,136 @@ DOUBLE_SPACE = re.compile(r"\s[ \n]")
 UNIT = re.compile(r"\s*\S+|\s+\Z")
 
 
-def units(text: str) -> list[str]:
-    """Cuts before spaces and line feeds that follow a visible character; joined, the units are the text."""
-    if not text:
-        return []
-    if "\x00" in text or DOUBLE_SPACE.search(text):
-        return UNIT.findall(text)
-    parts = text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
-    return parts if parts[0] else parts[1:]
+class UnitTable:
+    """Numbers (token ids, counts) of texts, put together from those of their units.
 
+    A text is cut before spaces and line feeds that follow a visible character. ``compute`` (a list of units -> an
+    array of numbers each) is asked once per distinct unit; what it gave is kept in flat arrays behind an open hash
+    table, under a 128-bit hash of the unit's bytes. A full table is emptied; it saves time and changes no result.
+    """
 
-class UnitCache:
-    """What ``compute`` (a list of units -> a value each) gave, remembered in two generations of bounded size.
+    def __init__(self, compute, limit: int = 1_000_000, block: int = 1 << 21):
+        self.compute, self.limit, self.block = compute, limit, block
+        self._reset()
+
+    def _reset(self) -> None:
+        self.slots = np.full(1 << 22, -1, dtype=np.int32)
+        self.key = np.empty((0, 2), dtype=_U64)
+        self.at, self.length = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.values = np.empty(0, dtype=np.uint32)
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        """Entry number of each key, -1 where there is none."""
+        place = (key[:, 0] & _U64(len(self.slots) - 1)).astype(np.int64)
+        entry = self.slots[place]
+        if not len(self.key):
+            return entry
+        rest = np.flatnonzero((entry >= 0) & (self.key[entry] != key).any(axis=1))
+        while len(rest):
+            place[rest] = (place[rest] + 1) % len(self.slots)
+            entry[rest] = self.slots[place[rest]]
+            found = entry[rest]
+            rest = rest[(found >= 0) & (self.key[found] != key[rest]).any(axis=1)]
+        return entry
+
+    def _add(self, key: np.ndarray, numbers: list[np.ndarray]) -> None:
+        """Put in new, distinct keys."""
+        lengths = np.array([len(x) for x in numbers], dtype=np.int64)
+        new = np.arange(len(self.key), len(self.key) + len(key), dtype=np.int32)
+        self.key = np.concatenate([self.key, key])
+        self.at = np.concatenate([self.at, len(self.values) + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.values = np.concatenate([self.values, *numbers]).astype(np.uint32, copy=False)
+        place = (key[:, 0] & _U64(len(self.slots) - 1)).astype(np.int64)
+        while len(new):
+            free = self.slots[place] < 0
+            self.slots[place[free]] = new[free]
+            late = self.slots[place] != new
+            new, place = new[late], (place[late] + 1) % len(self.slots)
+
+    def _numbers(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all units (which begin at ``starts``), and how many each unit has."""
+        a = np.frombuffer(data, dtype=np.uint8)
+        gaps = np.diff(starts, append=len(a))
+        place = np.arange(len(a)) - np.repeat(starts, gaps)
+        powers = _powers(1 << max(6, int(gaps.max()).bit_length()))[place]
+        codes = _unit_codes()
+        key = np.column_stack([mix(np.add.reduceat(codes[i][a] * powers, starts)) for i in (0, 1)])
+        if len(self.key) > self.limit:
+            self._reset()
+        entry = self._find(key)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            _, first, back = np.unique(key[missing, 0], return_index=True, return_inverse=True)
+            if (key[missing[first]][back] != key[missing]).any():  # units that differ in the second half only
+                _, first, back = np.unique(key[missing], axis=0, return_index=True, return_inverse=True)
+            new = missing[first]
+            stops = starts[new] + gaps[new]
+            units = [data[i:j].decode("utf-8", "surrogatepass") for i, j in zip(starts[new].tolist(), stops.tolist(), strict=True)]
+            before = len(self.key)
+            self._add(key[new], self.compute(units))
+            entry[missing] = before + back
+        lengths = self.length[entry]
+        take = np.arange(lengths.sum()) + np.repeat(self.at[entry] - (np.cumsum(lengths) - lengths), lengths)
+        return self.values[take], lengths
+
+    def _many(self, texts: list[tuple[bytes, np.ndarray | None]]) -> list[np.ndarray]:
+        """Numbers per non-empty text; a text comes with the starts of its units, or is cut here."""
+        data = b"".join(t for t, _ in texts)
+        sizes = np.array([len(t) for t, _ in texts], dtype=np.int64)
+        begin = np.cumsum(sizes) - sizes
+        a = np.frombuffer(data, dtype=np.uint8)
+        cut = (a == 0x20) | (a == 0x0A)
+        for (text, own), at in zip(texts, begin.tolist(), strict=True):
+            if own is not None:
+                cut[at:at + len(text)] = False
+                cut[at + own] = True
+        cut[begin] = True
+        starts = np.flatnonzero(cut)
+        numbers, lengths = self._numbers(data, starts)
+        ends = np.cumsum(lengths)[np.append(np.searchsorted(starts, begin[1:]), len(starts)) - 1]
+        return np.split(numbers, ends[:-1])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Numbers of each whole text; long texts go through in pieces, short ones many at a time."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held, owners, size = [], [], 0
+
+        def flush():
+            nonlocal held, owners, size
+            if held:
+                for owner, numbers in zip(owners, self._many(held), strict=True):
+                    out[owner].append(numbers)
+            held, owners, size = [], [], 0
+
+        for number, text in enumerate(texts):
+            data = text.encode("utf-8", "surrogatepass")
+            own = None
+            if DOUBLE_SPACE.search(text):
+                sizes = np.array([len(u.encode("utf-8", "surrogatepass")) for u in UNIT.findall(text)], dtype=np.int64)
+                own = np.cumsum(sizes) - sizes
+            at = 0
+            while at < len(data):
+                end = min(at + self.block, len(data))
+                if end < len(data):  # a piece ends where a unit begins
+                    if own is None:
+                        spaces = [x for x in (data.find(b" ", end), data.find(b"\n", end)) if x >= 0]
+                        end = min(spaces, default=len(data))
+                    else:
+                        later = np.searchsorted(own, end)
+                        end = int(own[later]) if later < len(own) else len(data)
+                held.append((data[at:end], None if own is None else own[(own >= at) & (own < end)] - at))
+                owners.append(number)
+                size += end - at
+                at = end
+                if size >= self.block:
+                    flush()
+        flush()
+        empty = np.empty(0, dtype=np.uint32)
+        return [x[0] if len(x) == 1 else np.concatenate(x) if x else empty for x in out]
 
-    A full young generation becomes the old one; a unit found there moves back to the young one. Long units are not
-    remembered. The cache saves time and changes no value.
-    """
 
-    def __init__(self, compute, size: int = 250_000, longest: int = 64, batch: int = 20_000):
-        self.compute, self.size, self.longest, self.batch = compute, size, longest, batch
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def lookup(self, split: list[list[str]]) -> list[list]:
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        found = [list(map(young.get, parts)) for parts in split]
-        gaps = [[i for i, value in enumerate(values) if value is None] for values in found]
-        missing = {parts[i] for parts, places in zip(split, gaps, strict=True) for i in places}
-        young.update([(u, old[u]) for u in missing if u in old])
-        fresh = [u for u in missing if u not in young]
-        for at in range(0, len(fresh), self.batch):
-            some = fresh[at:at + self.batch]
-            young.update(zip(some, self.compute(some), strict=True))
-        for parts, values, places in zip(split, found, gaps, strict=True):
-            for i in places:
-                values[i] = young[parts[i]]
-        for unit in fresh:
-            if len(unit) > self.longest:
-                del young[unit]
-        return found
+@functools.cache
+def _unit_codes() -> tuple[np.ndarray, np.ndarray]:
+    n = np.arange(1, 257, dtype=_U64)
+    return mix(n * _U64(_STEP)), mix(n * _U64(0xC2B2AE3D27D4EB4F) + _U64(1))

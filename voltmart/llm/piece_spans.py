@@ -5,8 +5,8 @@ and writes its replacement; every normalised byte keeps the source bytes it came
 text, so cumulated piece lengths and that alignment give each piece's span in the original bytes.
 
 Segmentation is the sentencepiece library's. For models whose pieces never hold a visible character before the space
-mark, texts are cut before single spaces and line feeds and the library is asked once per distinct unit (a bounded
-cache); other texts and models are encoded whole.
+mark, texts are cut before single spaces and line feeds and the library is asked once per distinct unit
+(common.UnitTable); other texts and models are encoded whole.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; a null doc_id is carried; repeated
 rows are encoded one by one; extra columns are ignored; an empty table gives an empty result.
@@ -135,37 +135,29 @@ class PieceEncoder:
         self.mark = self.processor.piece_to_id(MARK)
         self.by_units = bool(plain and apart and self.byte_fallback and not proto.trainer_spec.treat_whitespace_as_suffix
                              and proto.pieces[self.mark].piece == MARK)
-        self.seen = common.UnitCache(self._encode_units)
+        self.table = common.UnitTable(self._encode_units)
 
-    def _parts(self, text: str) -> list[str] | None:
-        """Units of a text: its start, ' word' as 'word', and line feeds with what follows; None: encode it whole."""
-        if not self.by_units or not text or text[0].isspace() or text[-1] == " " or common.DOUBLE_SPACE.search(text) or MARK in text or "\x00" in text:
-            return None
-        return text.replace("\n", " \n").split(" ")
+    def _cuttable(self, text: str) -> bool:
+        return self.by_units and text != "" and not (text[0].isspace() or text[-1] == " " or MARK in text or "\x00" in text
+                                                     or common.DOUBLE_SPACE.search(text))
 
-    def _encode_units(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+    def _encode_units(self, units: list[str]) -> list[np.ndarray]:
+        """' word' has the ids of 'word' (the dummy prefix is its space); a line feed takes no space mark."""
         out = []
-        for unit, ids in zip(units, self.processor.encode(units, num_threads=1), strict=True):
-            if unit[:1] == "\n":
+        found = self.processor.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        for unit, ids in zip(units, found, strict=True):
+            if unit[0] == "\n":
                 if ids[0] != self.mark:
                     raise ValueError("a line feed joined the space mark")
-                del ids[0]
-            out.append((np.array(ids, dtype="<u4").tobytes(), ",".join(map(str, ids)).encode()))
+                ids = ids[1:]
+            out.append(np.array(ids, dtype=np.uint32))
         return out
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
-        """Per text the ids and their decimal form, comma-joined."""
-        split = [self._parts(t) for t in texts]
-        found = iter(self.seen.lookup([p for p in split if p is not None]))
-        out = []
-        for text, parts in zip(texts, split, strict=True):
-            if parts is None:
-                ids = self.processor.encode(text)
-                out.append((np.array(ids, dtype="<u4"), ",".join(map(str, ids)).encode()))
-            else:
-                codes = next(found)
-                out.append((np.frombuffer(b"".join([c[0] for c in codes]), dtype="<u4"), b",".join([c[1] for c in codes])))
-        return out
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each whole text."""
+        cuttable = [self._cuttable(t) for t in texts]
+        found = iter(self.table.encode([t for t, c in zip(texts, cuttable, strict=True) if c]))
+        return [next(found) if c else np.array(self.processor.encode(t), dtype=np.uint32) for t, c in zip(texts, cuttable, strict=True)]
 
     def piece_lengths(self, text: str, ids: np.ndarray) -> np.ndarray:
         """Normalised bytes of each piece."""
@@ -203,7 +195,7 @@ def encoded_pieces(docs: DataFrame, file_name: str = "piece_bpe_32k.model") -> D
         encoder = piece_encoder(public_tokenizers.path(file_name))
         for pdf in batches:
             texts = pdf["text"].tolist()
-            ids = [x for x, _ in encoder.encode(texts)]
+            ids = encoder.encode(texts)
             spans = [encoder.spans(t, x) for t, x in zip(texts, ids, strict=True)]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [x.astype(np.int64) for x in ids],
                                 "begins": [s[:, 0] for s in spans], "ends": [s[:, 1] for s in spans],
@@ -215,9 +207,10 @@ def encoded_pieces(docs: DataFrame, file_name: str = "piece_bpe_32k.model") -> D
 
 def digests(texts: list[str], encoder: PieceEncoder) -> pd.DataFrame:
     rows = []
-    for text, (ids, decimal) in zip(texts, encoder.encode(texts), strict=True):
-        spans = encoder.spans(text, ids)
-        decoded = encoder.processor.decode(ids.tolist()) if len(ids) else ""
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        spans, listed = encoder.spans(text, ids), ids.tolist()
+        decoded = encoder.processor.decode(listed) if listed else ""
+        decimal = ",".join(map(str, listed)).encode()
         rows.append((len(ids), hashlib.sha256(decimal).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(),
                      int((spans[:, 1] - spans[:, 0]).sum()), zlib.crc32(spans.astype("<i8").tobytes())))
     return pd.DataFrame(rows, columns=FIELDS.names)

@@ -5,8 +5,8 @@ neighbouring pair, takes the lowest rank within each sequence, and merges all pl
 once; sequences without a mergeable pair leave the batch. What remains per sequence are its tokens.
 
 Texts are cut into units before a space or line feed that follows a visible character: pre-token patterns of this kind
-never reach across such a place, so a unit's count does not depend on its neighbours and can be remembered. The memory
-of units is a bounded cache (cleared when full); it changes no result.
+never reach across such a place, so a unit's count does not depend on its neighbours and can be remembered (see
+common.UnitTable).
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; a null doc_id is carried; repeated rows are counted
 one by one; extra columns are ignored; an empty table gives an empty result.
@@ -55,7 +55,7 @@ class RankMerger:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.seen = common.UnitCache(self._count_units)
+        self.seen = common.UnitTable(lambda units: list(np.array(self._count_units(units), dtype=np.uint32)[:, None]))
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.size + right
@@ -108,7 +108,7 @@ class RankMerger:
         return (extra + np.bincount(np.array(owner), weights=counts[back], minlength=len(units)).astype(np.int64)).tolist()
 
     def count(self, texts: list[str]) -> list[int]:
-        return [sum(found) for found in self.seen.lookup([common.units(t) for t in texts])]
+        return [int(found.sum()) for found in self.seen.encode(texts)]
 
 
 @functools.cache

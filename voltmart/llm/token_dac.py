@@ -110,7 +110,7 @@ class Shard:
 # --- tokens ----------------------------------------------------------------------------------------------------------
 
 class UnitEncoder:
-    """Ids of whole texts from the tokenizers library, which is asked once per distinct unit (common.units).
+    """Ids of whole texts from the tokenizers library, which is asked once per distinct unit (common.UnitTable).
 
     Units go to it many at a time with zero bytes between them; a first pre-tokenizer sets those apart, so that each
     is one known id, and every unit is pre-tokenized by itself.
@@ -123,27 +123,26 @@ class UnitEncoder:
         self.joined = Tokenizer.from_file(path)
         self.joined.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\x00", "isolated"), self.whole.pre_tokenizer])
         (self.zero,) = self.whole.encode("\x00", add_special_tokens=False).ids
-        self.seen = common.UnitCache(self._encode_units)
+        self.table = common.UnitTable(self._encode_units)
 
-    def _encode_units(self, units: list[str]) -> list[bytes]:
-        out = []
+    def _encode_units(self, units: list[str]) -> list[np.ndarray]:
         plain = [u for u in units if "\x00" not in u]
         texts = ["\x00".join(plain[at:at + 500]) for at in range(0, len(plain), 500)]
+        out = []
         for code in self.joined.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(code.ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.zero), len(ids)).tolist()
-            data, at = ids.tobytes(), 0
-            for end in ends:
-                out.append(data[4 * at:4 * end])
+            ids = np.array(code.ids, dtype=np.uint32)
+            at = 0
+            for end in np.append(np.flatnonzero(ids == self.zero), len(ids)).tolist():
+                out.append(ids[at:end])
                 at = end + 1
         if len(plain) == len(units):
             return out
         known = iter(out)
         return [next(known) if "\x00" not in u else
-                np.array(self.whole.encode(u, add_special_tokens=False).ids, dtype="<u4").tobytes() for u in units]
+                np.array(self.whole.encode(u, add_special_tokens=False).ids, dtype=np.uint32) for u in units]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(found), dtype="<u4") for found in self.seen.lookup([common.units(t) for t in texts])]
+        return self.table.encode(texts)
 
 
 @functools.cache
