@@ -20,7 +20,6 @@ from __future__ import annotations
 import html as html_lib
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -177,7 +176,7 @@ class Slot:
     __slots__ = ("sign", "children", "texts")
 
     def __init__(self, sign: int):
-        self.sign, self.children, self.texts = sign, [], Counter()
+        self.sign, self.children, self.texts = sign, [], {}
 
 
 def tree(data: bytes) -> Slot:
@@ -218,11 +217,18 @@ def match(a: Slot, b: Slot, pairs: dict) -> int:
             chosen += [(x, y) for x, y, w in found if w]
             size += sum(w for *_, w in found)
         else:
-            weight = [[match(x, y, pairs) for y in columns] for x in rows]
-            best = [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)]
-            for r, line in enumerate(weight):
+            weight = [[0 if x.sign != y.sign else match(x, y, pairs) if x.children and y.children else 1 for y in columns] for x in rows]
+            best = [[0] * (len(columns) + 1)]
+            for line in weight:
+                above, row, last = best[-1], [0], 0
                 for c, w in enumerate(line):
-                    best[r + 1][c + 1] = max(best[r][c + 1], best[r + 1][c], best[r][c] + w)
+                    other = above[c + 1]
+                    if other > last:
+                        last = other
+                    if w and above[c] + w > last:
+                        last = above[c] + w
+                    row.append(last)
+                best.append(row)
             r, c = len(rows), len(columns)
             size += best[r][c]
             middle = []
@@ -246,7 +252,8 @@ def grow(wrapper: Slot, page: Slot) -> None:
     todo = [(wrapper, page)]
     while todo:
         a, b = todo.pop()
-        a.texts.update(b.texts)
+        for text, n in b.texts.items():
+            a.texts[text] = a.texts.get(text, 0) + n
         partner = {id(y): x for x, y in pairs.get((id(a), id(b)), ())}
         if not partner:
             a.children = a.children + b.children
