@@ -8,7 +8,7 @@ For every language l the fused log score adds
   - a host prior: text posteriors summed per host by grouped aggregation, without the row's own share, smoothed with
     the parent domain's, which is smoothed with the whole corpus'.
 
-The trigram model is fitted on the FIT_ROWS labelled rows of smallest text hash (a documented bound); everything else
+The trigram model is fitted on the FIT_ROWS labelled rows of smallest id hash (a documented bound); everything else
 covers all rows. The host table is written to the shared folder and read again, so that Spark knows its size and
 broadcasts it only below its own threshold; beyond, it is a sort-merge join whose hot hosts adaptive execution splits.
 
@@ -77,9 +77,9 @@ class TrigramModel:
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> TrigramModel:
-    """Trigram counts per language of the ``rows`` rows (text, lang) of smallest text hash."""
-    sample = (labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != ""))
-              .select("text", "lang").orderBy(F.xxhash64("text"), "text", "lang").limit(rows))
+    """Trigram counts per language of ``rows`` labelled rows (doc_id, text, lang), chosen by hash."""
+    named = labelled.where(F.col("lang").isNotNull() & (F.col("lang") != "")).select("doc_id", "text", "lang")
+    sample = common.bounded_sample(named, rows, "doc_id", "lang").where(F.col("text").isNotNull()).select("text", "lang")
 
     def counted(batches):
         for pdf in batches:

@@ -1,6 +1,6 @@
 """Mixing to target weights with soft domain membership, with DataFrame operations only.
 
-1. A naive Bayes classifier over words is fitted on labelled rows (the FIT_ROWS of smallest text hash, a documented
+1. A naive Bayes classifier over words is fitted on labelled rows (the FIT_ROWS of smallest id hash, a documented
    bound) and keeps its MODEL_WORDS most telling words; it gives every document a posterior over the domains, its
    evidence tempered to at most EVIDENCE_WORDS telling words.
 2. Rates r >= 0 are fitted so that the expected domain tokens sum(r * tokens * posterior) meet the targets: accelerated
@@ -57,8 +57,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, size: int = MO
     spark = docs.sparkSession
     named = (labels.select("doc_id", domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
              .where(F.col("domain").isNotNull()).groupBy("doc_id").agg(F.max("domain").alias("domain")))
-    sample = (docs.select("doc_id", "text").join(named, "doc_id").select("text", "domain")
-              .orderBy(F.xxhash64("text"), "text", "domain").limit(rows))
+    # at most ``rows`` labels, so they can be broadcast and the texts stay where they are
+    chosen = common.bounded_sample(named, rows, "doc_id")
+    sample = common.bounded_sample(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), rows, "doc_id").select("text", "domain")
     path = scratch_path(spark, "mix-model")
     sample.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words")).write.mode("errorifexists").parquet(f"{path}/sample")
     sample = spark.read.parquet(f"{path}/sample")
