@@ -6,8 +6,10 @@
    uniform one, looked up in fixed pools by bits of the shingle's hash), banded BANDS x ROWS.
 3. Equal texts are one node from the start. Nodes that share a band bucket are candidates. First every member of a
    bucket is compared with the bucket's smallest member; components of the verified links make classes. Then, in
-   buckets that still hold several classes, every two members of different classes are compared. So no link that a
-   bucket shows is lost for the classes, while a large group of copies costs a star, not all of its pairs.
+   buckets that still hold several classes, the members outside the largest class are compared with all members, in
+   blocks of at most BLOCK rows a side; a pair that several buckets show is compared in the first of them, and only
+   links leave the block. So no link that a bucket shows is lost for the classes, a large group of copies costs a star,
+   and no pairs are written out.
 4. A pair is a link if the weighted Jaccard similarity of the whole texts is at least THRESHOLD.
 
 With BANDS x ROWS = 16 x 3, a pair at the threshold is missed with probability (1 - 0.8 ** 3) ** 16 = 1e-5.
@@ -37,6 +39,7 @@ BANDS, ROWS = 16, 3
 HASHES = BANDS * ROWS
 DF_BUCKETS = 1 << 18
 CHUNK = 2048
+BLOCK = 512
 POOL = 1 << 16
 
 
@@ -175,6 +178,58 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: flo
     return joined.mapInPandas(compared, "a binary, b binary, similarity double").where(F.col("similarity") >= threshold)
 
 
+def _block_links(pdf: pd.DataFrame, idf: np.ndarray, threshold: float) -> pd.DataFrame:
+    """Links between the left rows (outsiders) and the right rows of one block, across classes."""
+    pdf = pdf.sort_values("node", ignore_index=True)
+    bucket = pdf["bucket"].iloc[0]
+    left, right = pdf[pdf["side"] == 0].reset_index(drop=True), pdf[pdf["side"] == 1].reset_index(drop=True)
+    found: list[tuple] = []
+    if len(left) and len(right):
+        vectors = [weights(t, idf) for t in right["text"]]
+        names, numbers = np.unique(np.concatenate([v[0] for v in vectors]), return_inverse=True)
+        weight = np.concatenate([v[1] for v in vectors])
+        starts = np.cumsum([0, *[len(v[0]) for v in vectors[:-1]]])
+        totals = np.add.reduceat(weight.astype(np.float64), starts)
+        right_bands = np.stack(right["bands"].to_list())
+        right_nodes, right_roots, outside = right["node"].to_numpy(), right["root"].to_numpy(), right["outside"].to_numpy()
+        mark = np.zeros(len(names), dtype=np.float32)
+        for node, root, text, band in zip(left["node"], left["root"], left["text"], left["bands"], strict=True):
+            agree = right_bands == np.asarray(band)[None, :]
+            first = agree.argmax(axis=1)
+            wanted = (right_roots != root) & (right_bands[np.arange(len(first)), first] == bucket) & agree.any(axis=1)
+            wanted &= ~outside | (right_nodes > node)  # two outsiders meet in both orders; one is enough
+            if not wanted.any():
+                continue
+            shingle, own = weights(text, idf)
+            at = np.minimum(np.searchsorted(names, shingle), len(names) - 1)
+            known = names[at] == shingle
+            mark[at[known]] = own[known]
+            low = np.add.reduceat(np.minimum(mark[numbers], weight).astype(np.float64), starts)
+            mark[at[known]] = 0
+            similarity = low / (totals + float(own.sum(dtype=np.float64)) - low)
+            for j in np.flatnonzero(wanted & (similarity >= threshold)):
+                found.append((node, right_nodes[j], float(similarity[j])))
+    return pd.DataFrame(found, columns=["a", "b", "similarity"])
+
+
+def block_links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """Links across classes within the buckets of ``members`` (bucket, node, root): a, b, similarity."""
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max(F.struct("n", "root"))["root"].alias("main"))
+    sizes = sizes.where(F.col("n") > F.col("top"))
+    dealt = (members.join(sizes, "bucket").withColumn("outside", F.col("root") != F.col("main"))
+             .withColumn("rows", F.ceil(F.col("n") / block).cast("int")).withColumn("outs", F.ceil((F.col("n") - F.col("top")) / block).cast("int"))
+             .withColumn("deal", F.xxhash64("node", F.lit(3))).withColumn("i", F.pmod("deal", "outs").cast("int")).withColumn("j", F.pmod("deal", "rows").cast("int")))
+    count = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    place = lambda side, i, j: F.struct(F.lit(side).alias("side"), i.alias("at"), j.alias("to"))
+    as_right = F.transform(count("outs"), lambda i: place(1, i, F.col("j")))
+    as_left = F.when(F.col("outside"), F.transform(count("rows"), lambda j: place(0, F.col("i"), j))).otherwise(F.array().cast(
+        "array<struct<side:int,at:int,to:int>>"))
+    placed = dealt.join(texts, "node").select("bucket", "node", "root", "outside", "bands", "text", F.inline(F.concat(as_right, as_left)))
+    return placed.groupBy("bucket", "at", "to").applyInPandas(
+        lambda pdf: _block_links(pdf, idf, threshold), "a binary, b binary, similarity double")
+
+
 def components(edges: DataFrame, path: str) -> DataFrame:
     """node and root (smallest node of its component) from edges a, b; alternating large and small stars.
 
@@ -209,22 +264,19 @@ def near_duplicates(docs: DataFrame, path: str | None = None, threshold: float =
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     members = _stored(buckets.join(shared, "bucket").select("bucket", "node", "leader"), f"{path}/members")
-    wanted = members.select("node").distinct()
-    texts = (common.text_of(docs).withColumn("node", node_of(F.col("text"))).join(wanted, "node", "left_semi")
-             .dropDuplicates(["node"]))
+    # one row of each text, by its smallest id; joined on both, so many copies of a text don't meet in one task
+    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    wanted = members.select("node").distinct().join(nodes.select("node", "bands", key.alias("id")), "node")
+    texts = (common.text_of(docs, "doc_id").withColumn("node", node_of(F.col("text"))).withColumn("id", key)
+             .join(wanted, ["node", "id"]).dropDuplicates(["node", "id"]).select("node", "text", "bands"))
     texts = _stored(texts, f"{path}/texts")
     pairs = _stored(members.where(F.col("node") != F.col("leader")).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), f"{path}/pairs")
     links = _stored(verified(pairs, texts, idf, threshold), f"{path}/links")
     roots = components(links, f"{path}/components")
     # what is left: members of one bucket in different classes
     placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
-    placed = _stored(placed.join(mixed.select("bucket"), "bucket", "left_semi"), f"{path}/mixed")
-    one, two = placed.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")), placed.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-    rest = (one.join(two, "bucket").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    more = verified(_stored(rest, f"{path}/rest"), texts, idf, threshold)
-    roots = components(links.unionByName(_stored(more, f"{path}/more")), f"{path}/classes")
+    more = _stored(block_links(_stored(placed, f"{path}/placed"), texts, idf, threshold), f"{path}/more")
+    roots = components(links.unionByName(more), f"{path}/classes")
     classed = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("node"))
     reps = classed.groupBy("root").agg(F.min(first).alias("rep"))
