@@ -178,38 +178,44 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: flo
     return joined.mapInPandas(compared, "a binary, b binary, similarity double").where(F.col("similarity") >= threshold)
 
 
-def _block_links(pdf: pd.DataFrame, idf: np.ndarray, threshold: float) -> pd.DataFrame:
-    """Links between the left rows (outsiders) and the right rows of one block, across classes."""
-    pdf = pdf.sort_values("node", ignore_index=True)
-    bucket = pdf["bucket"].iloc[0]
-    left, right = pdf[pdf["side"] == 0].reset_index(drop=True), pdf[pdf["side"] == 1].reset_index(drop=True)
-    found: list[tuple] = []
-    if len(left) and len(right):
-        vectors = [weights(t, idf) for t in right["text"]]
-        names, numbers = np.unique(np.concatenate([v[0] for v in vectors]), return_inverse=True)
-        weight = np.concatenate([v[1] for v in vectors])
-        starts = np.cumsum([0, *[len(v[0]) for v in vectors[:-1]]])
-        totals = np.add.reduceat(weight.astype(np.float64), starts)
-        right_bands = np.stack(right["bands"].to_list())
-        right_nodes, right_roots, outside = right["node"].to_numpy(), right["root"].to_numpy(), right["outside"].to_numpy()
-        mark = np.zeros(len(names), dtype=np.float32)
-        for node, root, text, band in zip(left["node"], left["root"], left["text"], left["bands"], strict=True):
-            agree = right_bands == np.asarray(band)[None, :]
-            first = agree.argmax(axis=1)
-            wanted = (right_roots != root) & (right_bands[np.arange(len(first)), first] == bucket) & agree.any(axis=1)
-            wanted &= ~outside | (right_nodes > node)  # two outsiders meet in both orders; one is enough
-            if not wanted.any():
-                continue
-            shingle, own = weights(text, idf)
-            at = np.minimum(np.searchsorted(names, shingle), len(names) - 1)
-            known = names[at] == shingle
-            mark[at[known]] = own[known]
-            low = np.add.reduceat(np.minimum(mark[numbers], weight).astype(np.float64), starts)
-            mark[at[known]] = 0
-            similarity = low / (totals + float(own.sum(dtype=np.float64)) - low)
-            for j in np.flatnonzero(wanted & (similarity >= threshold)):
-                found.append((node, right_nodes[j], float(similarity[j])))
-    return pd.DataFrame(found, columns=["a", "b", "similarity"])
+def _links_of(bucket: int, rows: list[tuple], idf: np.ndarray, threshold: float) -> list[tuple]:
+    """Links across classes between the left rows (outsiders) and the right rows of one block; rows are
+    (side, node, root, outside, bands, text)."""
+    left, right = [r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1]
+    if not left or not right:
+        return []
+    theirs = np.stack([r[4] for r in right])
+    nodes, outside = np.array([r[1] for r in right], dtype=object), np.array([r[3] for r in right])
+    roots = np.array([r[2] for r in right], dtype=object)
+    meetings = []
+    for row in left:
+        agree = theirs == row[4][None, :]
+        first = theirs[np.arange(len(right)), agree.argmax(axis=1)]
+        # in the first bucket the two share, and two outsiders, who meet in both orders, in one of them
+        wanted = (first == bucket) & agree.any(axis=1) & (roots != row[2]) & (~outside | (nodes > row[1]))
+        if wanted.any():
+            meetings.append((row, wanted))
+    if not meetings:
+        return []
+    needed = np.flatnonzero(np.any([w for _, w in meetings], axis=0))
+    vectors = {r[1]: weights(r[5], idf) for r in [*(right[j] for j in needed), *(row for row, _ in meetings)]}
+    names, numbers = np.unique(np.concatenate([vectors[nodes[j]][0] for j in needed]), return_inverse=True)
+    weight = np.concatenate([vectors[nodes[j]][1] for j in needed])
+    starts = np.cumsum([0, *[len(vectors[nodes[j]][0]) for j in needed[:-1]]])
+    totals = np.add.reduceat(weight.astype(np.float64), starts)
+    mark = np.zeros(len(names), dtype=np.float32)
+    found = []
+    for row, wanted in meetings:
+        shingle, own = vectors[row[1]]
+        at = np.minimum(np.searchsorted(names, shingle), len(names) - 1)
+        known = names[at] == shingle
+        mark[at[known]] = own[known]
+        low = np.add.reduceat(np.minimum(mark[numbers], weight).astype(np.float64), starts)
+        mark[at[known]] = 0
+        similarity = low / (totals + float(own.sum(dtype=np.float64)) - low)
+        for j in np.flatnonzero(wanted[needed] & (similarity >= threshold)):
+            found.append((row[1], nodes[needed[j]], float(similarity[j])))
+    return found
 
 
 def block_links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
@@ -226,8 +232,23 @@ def block_links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold
     as_left = F.when(F.col("outside"), F.transform(count("rows"), lambda j: place(0, F.col("i"), j))).otherwise(F.array().cast(
         "array<struct<side:int,at:int,to:int>>"))
     placed = dealt.join(texts, "node").select("bucket", "node", "root", "outside", "bands", "text", F.inline(F.concat(as_right, as_left)))
-    return placed.groupBy("bucket", "at", "to").applyInPandas(
-        lambda pdf: _block_links(pdf, idf, threshold), "a binary, b binary, similarity double")
+
+    def linked(batches):
+        key, rows = None, []
+        for pdf in batches:
+            found = []
+            for bucket, at, to, *row in zip(*[pdf[c] for c in ("bucket", "at", "to", "side", "node", "root", "outside", "bands", "text")], strict=True):
+                if key != (bucket, at, to):
+                    found += _links_of(key[0], rows, idf, threshold) if rows else []
+                    key, rows = (bucket, at, to), []
+                rows.append(row)
+            yield pd.DataFrame(found, columns=["a", "b", "similarity"])
+        if rows:
+            yield pd.DataFrame(_links_of(key[0], rows, idf, threshold), columns=["a", "b", "similarity"])
+
+    # blocks are runs of sorted rows: most are tiny, and a group of their own in Python would cost more than they do
+    runs = placed.repartition("bucket", "at", "to").sortWithinPartitions("bucket", "at", "to", "side", "node")
+    return runs.mapInPandas(linked, "a binary, b binary, similarity double")
 
 
 def components(edges: DataFrame, path: str) -> DataFrame:
