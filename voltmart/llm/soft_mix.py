@@ -164,9 +164,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """doc_id, row, copies (equal input rows), tokens, p, rate, times (how often each of them is given out)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "mix")
-    posteriors(docs, fit(docs, labels)).write.mode("errorifexists").parquet(path)
+    model = fit(docs, labels)
+    posteriors(docs, model).write.mode("errorifexists").parquet(path)
     known = spark.read.parquet(path)
-    steps, _ = solve(known, targets, total)
+    steps = solve(known, targets, total)[0] if model.words is not None else []
     chance = F.pmod(F.xxhash64("doc_id", "row", F.lit(7)), F.lit(1 << 20)) / float(1 << 20)
     return known.withColumn("rate", rate_of(steps)).withColumn("times", F.floor(F.col("rate") + chance).cast("int"))
 
