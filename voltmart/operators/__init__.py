@@ -1,4 +1,4 @@
-from .aggregates import (bitmask_of, bits_set, carry, completeness_pct, count_distinct_if, count_distinct_when,
+from .aggregates import (bitmask_of, bits_set, carry, completeness_pct, count_distinct_if, count_distinct_when, outside_mask,
                          count_if, percentiles, sum_if, unmapped_total, value_counts, weighted_total)
 from .dedup import first_wins, insert_ignore, table_after_insert, upsert
 from .joins import enrich, left_join_on, maybe_broadcast, share_of_total

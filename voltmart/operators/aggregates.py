@@ -47,10 +47,17 @@ def bits_set(mask: str | Column) -> Column:
     return F.coalesce(F.bit_count(_col(mask)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def outside_mask(cond: Column, value: str | Column, max_value: int = 62) -> Column:
+    """Aggregate: the distinct values a mask of [0, max_value] cannot hold (usually none)."""
+    v = _col(value)
+    return F.collect_set(F.when(cond & ~v.between(0, max_value), v))
+
+
 def count_distinct_if(cond: Column, value: str | Column, max_value: int = 62) -> Column:
-    """Distinct count of a small non-negative integer where cond holds, in one pass
-    (bitmask per group; skew-safe, one exchange)."""
-    return bits_set(bitmask_of(cond, value, max_value))
+    """Distinct count of an integer where cond holds, in one pass (bitmask per group for
+    the small values, a set for any others; skew-safe, one exchange)."""
+    small = cond & _col(value).between(0, max_value)
+    return bits_set(bitmask_of(small, value, max_value)) + F.size(outside_mask(cond, value, max_value))
 
 
 def count_distinct_when(cond: Column, value: str | Column) -> Column:
@@ -91,6 +98,16 @@ def _exact_key(dtype: T.DataType, value: Column) -> tuple[Column, int] | None:
     return None
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys where null equals null: the group of the null key is a group like any other."""
+    named = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    joined = left.join(named, on, how)
+    return joined if how == "left_semi" else joined.drop(*[f"__r_{k}" for k in keys])
+
+
 def _radix_select(freq: DataFrame, keys: list[str], targets: DataFrame,
                   bits: int = 21, levels: int = 3) -> DataFrame:
     """Value at each 0-based target rank of each group, without gathering a group.
@@ -108,12 +125,12 @@ def _radix_select(freq: DataFrame, keys: list[str], targets: DataFrame,
         data = freq.withColumns({f"__b{j}": F.shiftright("__k", bits * (levels - 1 - j)) for j in range(lvl + 1)})
         if prefix:
             wanted = cur.select(*keys, *prefix).distinct()
-            data = data.join(wanted, on=keys + prefix, how="left_semi")
+            data = _same_keys(data, wanted, keys + prefix, "left_semi")
         part = keys + prefix
         counts = data.groupBy(*part, bucket).agg(F.sum("__c").alias("__n"))
         w = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         counts = counts.withColumn("__end", F.sum("__n").over(w)).withColumn("__start", F.col("__end") - F.col("__n"))
-        cur = (cur.join(counts, on=part)
+        cur = (_same_keys(cur, counts, part)
                .where((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__end")))
                .select(*keys, "__rank", *prefix, bucket, (F.col("__r") - F.col("__start")).alias("__r")))
         prefix.append(bucket)
@@ -175,7 +192,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
         divisor = float(10 ** scale)
         at = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
             F.struct("__rank", (F.col("__k").cast("double") / F.lit(divisor)).alias("__v")))).alias("__m"))
-        out = sizes.join(at, on=keys)
+        out = _same_keys(sizes, at, keys)
         cols = []
         for p, n in zip(probs, names):
             x = (F.col("__total") - 1).cast("double") * F.lit(float(p))
@@ -194,6 +211,6 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
     widest = width.agg(F.max("__d")).first()[0] or 0
     if widest <= max_distinct_in_task:
         return builtin(counts)
-    narrow = counts.join(width.where(F.col("__d") <= max_distinct_in_task).select(*keys), on=keys, how="left_semi")
-    wide = counts.join(width.where(F.col("__d") > max_distinct_in_task).select(*keys), on=keys, how="left_semi")
+    narrow = _same_keys(counts, width.where(F.col("__d") <= max_distinct_in_task).select(*keys), keys, "left_semi")
+    wide = _same_keys(counts, width.where(F.col("__d") > max_distinct_in_task).select(*keys), keys, "left_semi")
     return builtin(narrow).unionByName(distributed(wide))

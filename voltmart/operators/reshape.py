@@ -120,5 +120,8 @@ def pivot_periods(df: DataFrame, ids: Sequence[str], period_col: str, value_col:
     The period list is given, so no extra job runs to discover pivot values.
     """
     periods = list(range(1, max_period + 1))
+    unknown = F.concat(F.lit(f"pivot_periods: period outside [1, {max_period}]: "), F.col(period_col).cast("string"))
+    df = df.withColumn(period_col, F.when(F.col(period_col).isNull() | F.col(period_col).between(1, max_period), F.col(period_col))
+                       .otherwise(F.raise_error(unknown).cast(df.schema[period_col].dataType)))
     wide = df.groupBy(*ids).pivot(period_col, periods).agg(F.max(value_col))
     return wide.withColumnsRenamed({str(i): f"{prefix}{i}" for i in periods})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import (flag_at_least, label_periods, ratio, round_money, season, volatility_class,
                          year_month)
-from ..operators import (bitmask_of, bits_set, count_if, days_since_last, enrich, lead_columns, percentiles,
+from ..operators import (bitmask_of, bits_set, count_if, days_since_last, enrich, lead_columns, outside_mask, percentiles,
                          rolling_count_if, rolling_sum, unmapped_total, value_counts, weighted_total)
 from ..session import cut_lineage
 from .pipeline import Pipeline, model
@@ -193,7 +193,8 @@ def price_daily_risk(p: Pipeline) -> DataFrame:
     pr, spike = "price_nzd_per_mwh", F.col("is_price_spike")
     counts = value_counts(s, ["trading_date"], pr, {
         "__spike": F.max(spike),
-        "__mask": bitmask_of(spike, "trading_period"),
+        "__mask": bitmask_of(spike & F.col("trading_period").between(0, 62), "trading_period"),
+        "__other": outside_mask(spike, "trading_period"),  # periods no mask holds; usually none
     })
     if p.percentile_strategy != "builtin":
         counts = cut_lineage(counts)  # read twice below; cut so the prices are scanned once
@@ -204,7 +205,7 @@ def price_daily_risk(p: Pipeline) -> DataFrame:
         round_money(F.min(pr)).alias("min_price_nzd_per_mwh"),
         round_money(F.max(pr)).alias("max_price_nzd_per_mwh"),
         F.coalesce(F.sum(F.when(F.col("__spike"), F.col("__c"))), F.lit(0)).cast("bigint").alias("spike_records_count"),
-        bits_set(F.bit_or("__mask")).alias("spike_periods_distinct"))
+        (bits_set(F.bit_or("__mask")) + F.size(F.array_distinct(F.flatten(F.collect_list("__other"))))).alias("spike_periods_distinct"))
     pct = percentiles(counts, ["trading_date"], pr, [0.5, 0.95], ["__median", "__p95"],
                       strategy=p.percentile_strategy, counted=True)
     return daily.join(pct, on="trading_date", how="left").select(

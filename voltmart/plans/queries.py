@@ -392,7 +392,7 @@ def q_csv_roundtrip(spark, sf_dir):
                                       ("node", "price", "trading_date", "load_mw", "trading_period")], "o_orderkey")
     for part, name in ((early, "a"), (late, "b")):
         # dates never straddle files within a key, and rows keep arrival order in a file
-        (part.repartitionByRange(4, "TradingDate").sortWithinPartitions("TradingDate", "o_orderkey")
+        (part.repartitionByRange("TradingDate").sortWithinPartitions("TradingDate", "o_orderkey")
          .drop("o_orderkey").write.option("header", True).csv(f"{base}/{name}"))
     typed, _rejects = read_prices(spark, list_files(spark, base, "*.csv", recursive=True))
     return first_wins(typed, C.PRICE_KEY, [ORDER])

@@ -34,7 +34,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -65,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="voltmart-ckpt-", dir=os.environ.get("VOLTMART_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
     return scratch

@@ -13,8 +13,10 @@ listings), so a failed or lost job leaves the table as it was.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +31,27 @@ def _committed(spark: SparkSession, base: str, kind: str) -> list[int]:
         parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                  .option("recursiveFileLookup", True).load(base).select("path"))
         found = parts.select(F.regexp_extract("path", rf"/{kind}=(\d+)/[^/]+$", 1).alias("n")).distinct().collect()
-    except Exception:  # noqa: BLE001 - no table yet
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise  # a failed listing is not an empty table
         return []
     return sorted(int(r["n"]) for r in found if r["n"])
 
 
+def _write_next(df: DataFrame, base: str, kind: str, numbers: list[int]) -> str:
+    """Write `df` as ``<kind>=<n>``, one above the committed ones; a folder that a crashed
+    load left under that number is passed over by taking the clock's."""
+    path = f"{base.rstrip('/')}/{kind}={numbers[-1] + 1 if numbers else 1}"
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        path = f"{base.rstrip('/')}/{kind}={time.time_ns() // 1000}"
+        df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
     return _committed(spark, base, "v")
 
@@ -68,19 +86,14 @@ def register_table(spark: SparkSession, name: str, base: str, schema: T.StructTy
 def append_batch(df: DataFrame, base: str) -> str:
     """Write `df` as the next batch of the append table at `base`."""
     bs = _committed(df.sparkSession, base, "batch")
-    path = f"{base.rstrip('/')}/batch={(bs[-1] + 1) if bs else 1}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    return _write_next(df, base, "batch", bs)
 
 
 def write_version(df: DataFrame, base: str, sort_by: Sequence[str] = ()) -> str:
     """Write `df` as the next version of the table at `base` and return its path."""
     spark = df.sparkSession
     vs = _versions(spark, base)
-    path = f"{base.rstrip('/')}/v={(vs[-1] + 1) if vs else 1}"
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("errorifexists").parquet(path)
-    return path
+    return _write_next(df.sortWithinPartitions(*sort_by) if sort_by else df, base, "v", vs)
 
 
 def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
