@@ -26,7 +26,7 @@ def generation(spark):
     return spark.createDataFrame(rows, S.RAW_GENERATION)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "distributed"])
+@pytest.mark.parametrize("strategy", ["builtin", "distributed"])
 def test_price_risk_mart_golden(spark, strategy):
     p = Pipeline(spark, {"wholesale_prices": prices(spark), "generation_output": generation(spark)},
                  percentile_strategy=strategy)

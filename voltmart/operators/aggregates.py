@@ -8,14 +8,13 @@ operator because an exact quantile of a hot group must not be computed in one ta
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import _col
-from ..session import cut_lineage
 
 
 # ---------------------------------------------------------------- conditional aggregates
@@ -88,14 +87,51 @@ def carry(c: str | Column) -> Column:
 
 # ---------------------------------------------------------------- exact percentiles
 
-def _exact_key(dtype: T.DataType, value: Column) -> tuple[Column, int] | None:
-    """Order-preserving 64-bit integer encoding of an exact numeric, with its scale."""
+_IMPLICIT_ONE = 1 << 52       # IEEE 754 double: 52 fraction bits, exponent bias 1023
+_EXPONENT_MAX = 2047
+
+
+def _double_key(x: Column) -> Column:
+    """Order-preserving 64-bit integer of a double: its IEEE magnitude bits, negated for negative values.
+
+    Computed with exact steps (scaling by powers of two). log2 may be one off next to
+    a power of two, so the exponent is corrected before use.
+    """
+    two = F.lit(2.0)
+
+    def bits(a: Column) -> Column:
+        guess = F.floor(F.log2(a))
+        exponent = F.element_at(F.transform(F.array(guess), lambda e: (
+            F.when(F.pow(two, e) > a, e - 1).when(F.pow(two, e + 1) <= a, e + 1).otherwise(e))), 1)
+        normal = F.element_at(F.transform(F.array(exponent), lambda e: (
+            (e + 1023) * F.lit(_IMPLICIT_ONE) + ((a / F.pow(two, e) - 1) * F.lit(float(_IMPLICIT_ONE))).cast("bigint"))), 1)
+        return (F.when(F.isnan(a), F.lit(_EXPONENT_MAX * _IMPLICIT_ONE + 1))
+                .when(a == F.lit(float("inf")), F.lit(_EXPONENT_MAX * _IMPLICIT_ONE))
+                .when(a < F.lit(2.0 ** -1022), (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("bigint"))
+                .otherwise(normal))
+
+    return F.when(x < 0, -bits(F.abs(x))).otherwise(bits(F.abs(x)))
+
+
+def _double_of_key(k: Column) -> Column:
+    """Inverse of ``_double_key``."""
+    a = F.abs(k)
+    exponent, fraction = F.shiftright(a, 52), a.bitwiseAND(F.lit(_IMPLICIT_ONE - 1))
+    magnitude = (F.when((exponent == _EXPONENT_MAX) & (fraction != 0), F.lit(float("nan")))
+                 .when(exponent == 0, a.cast("double") * F.lit(2.0 ** -1074))
+                 .otherwise((fraction.cast("double") / F.lit(float(_IMPLICIT_ONE)) + 1)
+                            * F.pow(F.lit(2.0), exponent.cast("double") - 1023)))
+    return F.when(k < 0, -magnitude).otherwise(magnitude)
+
+
+def _order_key(dtype: T.DataType, value: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """Order-preserving 64-bit integer encoding of a number, and the way back to a double."""
     if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
         unscaled = (value * F.lit(10 ** dtype.scale)).cast("bigint") if dtype.scale else value.cast("bigint")
-        return unscaled, dtype.scale
+        return unscaled, lambda k: k.cast("double") / F.lit(float(10 ** dtype.scale))
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return value.cast("bigint"), 0
-    return None
+        return value.cast("bigint"), lambda k: k.cast("double")
+    return _double_key(value.cast("double")), _double_of_key
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -113,7 +149,7 @@ def _radix_select(freq: DataFrame, keys: list[str], targets: DataFrame,
     """Value at each 0-based target rank of each group, without gathering a group.
 
     freq: keys + __k (bigint, order-preserving) + __c (multiplicity).
-    targets: keys + __rank. Each level narrows to the bucket of the next `bits`
+    targets: keys + __total + __rank. Each level narrows to the bucket of the next `bits`
     high bits that holds the rank: a group-by on (group, prefix, bucket) and a
     running count over at most 2**bits buckets per (group, prefix). Arithmetic
     shift is monotone, so negative keys order correctly.
@@ -132,9 +168,9 @@ def _radix_select(freq: DataFrame, keys: list[str], targets: DataFrame,
         counts = counts.withColumn("__end", F.sum("__n").over(w)).withColumn("__start", F.col("__end") - F.col("__n"))
         cur = (_same_keys(cur, counts, part)
                .where((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__end")))
-               .select(*keys, "__rank", *prefix, bucket, (F.col("__r") - F.col("__start")).alias("__r")))
+               .select(*keys, "__total", "__rank", *prefix, bucket, (F.col("__r") - F.col("__start")).alias("__r")))
         prefix.append(bucket)
-    return cur.select(*keys, "__rank", F.col(prefix[-1]).alias("__k"))
+    return cur.select(*keys, "__total", "__rank", F.col(prefix[-1]).alias("__k"))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -149,68 +185,46 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, extra: dict[str
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                names: Sequence[str], strategy: str = "auto",
-                max_distinct_in_task: int = 1_000_000, counted: bool = False) -> DataFrame:
+                names: Sequence[str], strategy: str = "distributed") -> DataFrame:
     """Exact continuous percentiles (linear interpolation, like percentile_cont).
 
     Returns keys + one double column per prob; groups whose values are all
-    null are absent (join back with a left join).
+    null are absent (join back with a left join). The null key is a group like
+    any other. Lazy: no job runs while the plan is built.
 
     Values are first counted per (group, value) - a partial aggregate, so a hot
-    group is combined map-side. Then:
+    group is combined map-side. Then, at every size alike:
+      * "distributed": rank selection by radix buckets of an order-preserving
+        integer of the value (any numeric type); no group is held in one task.
+        The counts' exchange is the same in every level, so it is written once.
       * "builtin": ``percentile(value, probs, frequency)`` per group. Its buffer
-        holds the group's distinct values, so it suits groups with at most
-        `max_distinct_in_task` of them.
-      * "distributed": rank selection by radix buckets (exact, skew-safe).
-      * "auto": the counts are checkpointed (they are read several times) and
-        one small job finds the widest group; if it fits one task, "builtin"
-        runs over the checkpoint, else each group takes the path its distinct
-        count allows.
+        holds the group's distinct values: only for groups known to be small.
     """
     keys = list(keys)
-    dtype = df.schema[value].dataType
-    enc = _exact_key(dtype, F.col(value))
-    if enc is None and strategy == "distributed":
-        raise ValueError("distributed percentiles need an exact numeric (decimal/integer) value")
-    # `counted`: df is already value_counts output (keys, value, __c, ...), e.g. a checkpoint
-    freq = df.select(*keys, value, "__c") if counted else value_counts(df, keys, value)
-
-    def builtin(part: DataFrame) -> DataFrame:
+    freq = value_counts(df, keys, value)
+    if strategy == "builtin":
         arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]), F.col("__c"))
-        return (part.groupBy(*keys).agg(arr.alias("__p"))
+        return (freq.groupBy(*keys).agg(arr.alias("__p"))
                 .select(*keys, *[F.col("__p")[i].alias(n) for i, n in enumerate(names)]))
-
-    def distributed(part: DataFrame) -> DataFrame:
-        key_col, scale = _exact_key(dtype, F.col(value))
-        f = part.select(*keys, key_col.alias("__k"), "__c")   # injective: still one row per value
-        sizes = f.groupBy(*keys).agg(F.sum("__c").alias("__total"))
-        pos = [(F.col("__total") - 1).cast("double") * F.lit(float(p)) for p in probs]
-        ranks = F.array_distinct(F.array(*[F.floor(x).cast("bigint") for x in pos],
-                                         *[F.ceil(x).cast("bigint") for x in pos]))
-        targets = sizes.select(*keys, F.explode(ranks).alias("__rank"))
-        picked = _radix_select(f, keys, targets)
-        divisor = float(10 ** scale)
-        at = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
-            F.struct("__rank", (F.col("__k").cast("double") / F.lit(divisor)).alias("__v")))).alias("__m"))
-        out = _same_keys(sizes, at, keys)
-        cols = []
-        for p, n in zip(probs, names):
-            x = (F.col("__total") - 1).cast("double") * F.lit(float(p))
-            lo, hi = F.floor(x).cast("bigint"), F.ceil(x).cast("bigint")
-            vlo, vhi = F.element_at("__m", lo), F.element_at("__m", hi)
-            cols.append(F.when(lo == hi, vlo)
-                        .otherwise((hi.cast("double") - x) * vlo + (x - lo.cast("double")) * vhi).alias(n))
-        return out.select(*keys, *cols)
-
-    if strategy == "builtin" or (strategy == "auto" and enc is None):
-        return builtin(freq)
-    counts = freq if counted else cut_lineage(freq)
-    if strategy == "distributed":
-        return distributed(counts)
-    width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
-    widest = width.agg(F.max("__d")).first()[0] or 0
-    if widest <= max_distinct_in_task:
-        return builtin(counts)
-    narrow = _same_keys(counts, width.where(F.col("__d") <= max_distinct_in_task).select(*keys), keys, "left_semi")
-    wide = _same_keys(counts, width.where(F.col("__d") > max_distinct_in_task).select(*keys), keys, "left_semi")
-    return builtin(narrow).unionByName(distributed(wide))
+    if strategy != "distributed":
+        raise ValueError(f"unknown percentile strategy {strategy!r}")
+    key_col, to_double = _order_key(df.schema[value].dataType, F.col(value))
+    f = freq.select(*keys, key_col.alias("__k"), "__c")
+    sizes = f.groupBy(*keys).agg(F.sum("__c").alias("__total"))
+    pos = [(F.col("__total") - 1).cast("double") * F.lit(float(p)) for p in probs]
+    ranks = F.array_distinct(F.array(*[F.floor(x).cast("bigint") for x in pos],
+                                     *[F.ceil(x).cast("bigint") for x in pos]))
+    targets = sizes.select(*keys, "__total", F.explode(ranks).alias("__rank"))
+    picked = _radix_select(f, keys, targets)
+    # at most two ranks per prob in a group: a bounded map
+    at = picked.groupBy(*keys).agg(
+        F.first("__total").alias("__total"),
+        F.map_from_entries(F.collect_list(F.struct("__rank", to_double(F.col("__k")).alias("__v")))).alias("__m"))
+    cols = []
+    for p, n in zip(probs, names):
+        x = (F.col("__total") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(x).cast("bigint"), F.ceil(x).cast("bigint")
+        vlo, vhi = F.element_at("__m", lo), F.element_at("__m", hi)
+        cols.append(F.when(lo == hi, vlo)
+                    .otherwise((hi.cast("double") - x) * vlo + (x - lo.cast("double")) * vhi).alias(n))
+    return at.select(*keys, *cols)

@@ -10,25 +10,28 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import _col, ratio
 
-# Row bound under which a dimension is broadcast by hint; above it the planner
+# Size under which a dimension is broadcast by hint; above it the planner
 # (and AQE's runtime statistics) decides.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 16 << 20
 
 
-def maybe_broadcast(dim: DataFrame, dim_rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count is known and small.
+def maybe_broadcast(dim: DataFrame, dim_rows: int | None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only for a side whose size is known and small.
 
     `dim_rows` comes from whoever built the dimension (a seed's row count, the
-    number of days in a calendar range); None means unknown, so the planner and
-    AQE's runtime statistics choose the strategy instead.
+    number of days in a calendar range); the size is that count times the
+    schema's row width as Spark estimates it. None means unknown, so the planner
+    and AQE's runtime statistics choose the strategy instead.
     """
-    return F.broadcast(dim) if dim_rows is not None and dim_rows <= max_rows else dim
+    if dim_rows is None or dim_rows * dim._jdf.schema().defaultSize() > max_bytes:
+        return dim
+    return F.broadcast(dim)
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "left",
-           dim_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a dimension; broadcast when its row bound is known and small."""
-    return df.join(maybe_broadcast(dim, dim_rows, max_rows), on=on, how=how)
+           dim_rows: int | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join a dimension; broadcast when its size bound is known and small."""
+    return df.join(maybe_broadcast(dim, dim_rows, max_bytes), on=on, how=how)
 
 
 def left_join_on(df: DataFrame, other: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import (flag_at_least, label_periods, ratio, round_money, season, volatility_class,
                          year_month)
-from ..operators import (bitmask_of, bits_set, count_if, days_since_last, enrich, lead_columns, outside_mask, percentiles,
-                         rolling_count_if, rolling_sum, unmapped_total, value_counts, weighted_total)
-from ..session import cut_lineage
+from ..operators import (count_distinct_if, count_if, days_since_last, enrich, lead_columns, percentiles,
+                         rolling_count_if, rolling_sum, unmapped_total, weighted_total)
 from .pipeline import Pipeline, model
 
 DATE_DIM_COLUMNS = ["date_day", "year", "month_number", "month_name", "quarter_in_year", "day_of_week",
@@ -183,38 +182,30 @@ def mart_catchment_weather_pricing_daily(p: Pipeline) -> DataFrame:
 
 @model("price_daily_risk")
 def price_daily_risk(p: Pipeline) -> DataFrame:
-    """Daily price shape and spike measures from one pass over the prices.
-
-    The (day, price) counts - with the spike flag and a mask of spiking periods
-    at that grain - are built once and checkpointed; avg/min/max, spike counts,
-    distinct spike periods and the exact percentiles are all finished from it.
-    """
+    """Daily price shape and spike measures, lazily: the plain measures from
+    ``price_daily_spikes`` (models without percentiles read that one alone) and the exact
+    percentiles as a branch of their own."""
     s = p.ref("stg_wholesale_prices")
-    pr, spike = "price_nzd_per_mwh", F.col("is_price_spike")
-    counts = value_counts(s, ["trading_date"], pr, {
-        "__spike": F.max(spike),
-        "__mask": bitmask_of(spike & F.col("trading_period").between(0, 62), "trading_period"),
-        "__other": outside_mask(spike, "trading_period"),  # periods no mask holds; usually none
-    })
-    if p.percentile_strategy != "builtin":
-        counts = cut_lineage(counts)  # read twice below; cut so the prices are scanned once
-    n = F.sum("__c")
-    daily = counts.groupBy("trading_date").agg(
-        # weighted sum widened to scale 10 first, so the mean is rounded once at scale 10 as avg() does
-        round_money(F.sum(F.col(pr) * F.col("__c")).cast("decimal(38,10)") / n).alias("avg_price_nzd_per_mwh"),
-        round_money(F.min(pr)).alias("min_price_nzd_per_mwh"),
-        round_money(F.max(pr)).alias("max_price_nzd_per_mwh"),
-        F.coalesce(F.sum(F.when(F.col("__spike"), F.col("__c"))), F.lit(0)).cast("bigint").alias("spike_records_count"),
-        (bits_set(F.bit_or("__mask")) + F.size(F.array_distinct(F.flatten(F.collect_list("__other"))))).alias("spike_periods_distinct"))
-    pct = percentiles(counts, ["trading_date"], pr, [0.5, 0.95], ["__median", "__p95"],
-                      strategy=p.percentile_strategy, counted=True)
-    return daily.join(pct, on="trading_date", how="left").select(
+    pct = percentiles(s, ["trading_date"], "price_nzd_per_mwh", [0.5, 0.95], ["__median", "__p95"],
+                      strategy=p.percentile_strategy)
+    return p.ref("price_daily_spikes").join(pct, on="trading_date", how="left").select(
         "trading_date", "avg_price_nzd_per_mwh", "min_price_nzd_per_mwh", "max_price_nzd_per_mwh",
         round_money("__median").alias("median_price_nzd_per_mwh"),
         round_money("__p95").alias("p95_price_nzd_per_mwh"),
         "spike_records_count", "spike_periods_distinct")
 
 
+@model("price_daily_spikes")
+def price_daily_spikes(p: Pipeline) -> DataFrame:
+    """Daily price range and spike measures: one aggregate, one exchange."""
+    s = p.ref("stg_wholesale_prices")
+    spike = F.col("is_price_spike")
+    return s.groupBy("trading_date").agg(
+        *price_stats(s),
+        count_if(spike).alias("spike_records_count"),
+        count_distinct_if(spike, "trading_period").alias("spike_periods_distinct"))
+
+
 @model("mart_price_risk_daily")
 def mart_price_risk_daily(p: Pipeline) -> DataFrame:
     pdly = p.ref("price_daily_risk")

@@ -37,7 +37,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame | Callable[[], DataFrame]],
                  seeds_override: Mapping[str, tuple[DataFrame, int | None]] | None = None,
-                 percentile_strategy: str = "auto", share_form: str = "window"):
+                 percentile_strategy: str = "distributed", share_form: str = "window"):
         self.spark = spark
         self.raw = dict(raw)
         self._seeds = dict(seeds_override or {})

@@ -173,9 +173,9 @@ def _month_prices(spark, sf_dir) -> DataFrame:
 
 @query("price_percentiles")
 def q_price_percentiles(spark, sf_dir):
-    """Exact median and p95 per day (per-group strategy chosen by distinct count)."""
+    """Exact median and p95 per day, a group's values counted in one task (days of one month feed)."""
     s = _month_prices(spark, sf_dir)
-    p = percentiles(s, ["trading_date"], "price_nzd_per_mwh", [0.5, 0.95], ["m", "p"], strategy="auto")
+    p = percentiles(s, ["trading_date"], "price_nzd_per_mwh", [0.5, 0.95], ["m", "p"], strategy="builtin")
     return p.select("trading_date", round_money("m").alias("median_price_nzd_per_mwh"),
                     round_money("p").alias("p95_price_nzd_per_mwh"))
 
@@ -228,7 +228,7 @@ def q_volatility_class(spark, sf_dir):
 @query("spike_rolling")
 def q_spike_rolling(spark, sf_dir):
     """Rolling spike breadth/depth and days since last spike on the month feed."""
-    d = pipeline(spark, sf_dir, prices="month").ref("price_daily_risk")
+    d = pipeline(spark, sf_dir, prices="month").ref("price_daily_spikes")
     d = d.select("trading_date", "spike_periods_distinct",
                  (F.col("spike_periods_distinct") > 0).alias("is_spike_day"))
     return marts.add_risk_windows(d)
@@ -237,7 +237,7 @@ def q_spike_rolling(spark, sf_dir):
 @query("days_since_last_spike")
 def q_days_since(spark, sf_dir):
     """Days since the last spike day over the long feed (gaps between days counted)."""
-    d = pipeline(spark, sf_dir).ref("price_daily_risk")
+    d = pipeline(spark, sf_dir).ref("price_daily_spikes")
     d = d.select("trading_date", (F.col("spike_periods_distinct") > 0).alias("is_spike_day"))
     return d.withColumn("days_since_last_spike", days_since_last("trading_date", F.col("is_spike_day"), None,
                                                                  day_grain=True))
