@@ -40,7 +40,8 @@ def test_generation_header_drift_and_first_wins(spark, tmp):
           "21,junk,1,S3,P3,N1,G3,Coal,T\n")
     write(f"{d}/202403_Generation_MD.csv", "a,b\n1,2\n")
     long, rejects = FS.read_generation(spark, FS.list_files(spark, d, C.GENERATION_FILE_GLOB))
-    assert [r["path"].rsplit("/", 1)[-1] for r in rejects.collect()] == ["202403_Generation_MD.csv"]
+    assert sorted((r["path"].rsplit("/", 1)[-1][:6], r["reason"].split(":")[0], (r["record"] or "")[:9]) for r in rejects.collect()) == [
+        ("202401", "not a number", "tp2=abc"), ("202402", "no trading_date", '{"site_co'), ("202403", "missing required columns", "")]
     table = first_wins(long, C.GENERATION_KEY, [FS.ORDER])
     got = rows(table, "poc_code", "trading_period", "output_kw", "fuel_code")
     assert got == sorted([
@@ -65,7 +66,8 @@ def test_prices_rename_missing_optional_and_rejects(spark, tmp):
           "MAN2201,2024-01-02,600,3,2,1\n")
     write(f"{d}/20240103_Prices.csv", "TradingDate,PointOfConnectionCode\n2024-01-03,X\n")
     typed, rejects = FS.read_prices(spark, FS.list_files(spark, d, "*.csv"))
-    assert [r["reason"] for r in rejects.collect()] == ["missing required columns: ['trading_period', 'price']"]
+    assert sorted(r["reason"] for r in rejects.collect()) == [
+        "missing required columns: ['trading_period', 'price']", "no valid price", "no valid trading_period"]
     base = f"{tmp}/tables/wholesale_prices"
     load_insert_ignore(spark, base, typed, C.PRICE_KEY, [FS.ORDER], S.RAW_PRICES)
     t = read_table(spark, base)
@@ -89,13 +91,15 @@ def test_weather_json_and_csv_upsert(spark, tmp):
                      "temperature_2m_max": [15.0, 16.0], "temperature_2m_min": [9.0, 10.0]}}
     write(f"{tmp}/cache/lake_pukaki_2024-01-01_2025-12-31.json", json.dumps(doc, indent=2))
     write(f"{tmp}/cache/lake_taupo_2024-01-01_2025-12-31.json", json.dumps(doc))
-    w = FS.read_weather_json(spark, f"{tmp}/cache")
+    w, rejected = FS.read_weather_json(spark, f"{tmp}/cache")
+    assert rejected.count() == 0
+    w = w.drop(FS.ORDER)
     assert rows(w, "location", "time", "precipitation_sum")[:2] == [
         ("lake_pukaki", dt.date(2024, 1, 1), Decimal("1.20")), ("lake_pukaki", dt.date(2024, 1, 2), None)]
     write_csv(w, f"{tmp}/weather_csv")
     # a second export with its columns in another order and one measure missing
     write(f"{tmp}/weather_csv/late.csv", "time,temperature_2m_mean,location,precipitation_sum\n2024-01-03,11.5,lake_ohau,2.25\n")
-    back = FS.read_weather_csv(spark, f"{tmp}/weather_csv")
+    back, _ = FS.read_weather_csv(spark, f"{tmp}/weather_csv")
     late = back.where(F.col("location") == "lake_ohau").first()
     assert (late["time"], late["precipitation_sum"], late["temperature_2m_mean"], late["rain_sum"]) == (
         dt.date(2024, 1, 3), Decimal("2.25"), Decimal("11.50"), None)
@@ -117,7 +121,7 @@ def test_weather_json_and_csv_upsert(spark, tmp):
 def test_retail_lineage_and_append(spark, tmp):
     write(f"{tmp}/retail/a.csv", "region,network,avg_cost_cents_per_kwh\nAuckland,Vector,30.5\n")
     write(f"{tmp}/retail/b.csv", "network,avg_cost_cents_per_kwh,region,extra\nAurora,28.1,Otago,1\n")
-    df = FS.read_retail(spark, f"{tmp}/retail")
+    df, _ = FS.read_retail(spark, f"{tmp}/retail")
     got = sorted((r["raw_filename"], r["region"], r["network"], r["avg_cost_cents_per_kwh"]) for r in df.collect())
     assert got == [("a.csv", "Auckland", "Vector", 30.5), ("b.csv", "Otago", "Aurora", 28.1)]   # by name
     append(df, f"{tmp}/retail_out")
@@ -157,3 +161,43 @@ def test_header_read_touches_only_first_line(spark, tmp):
     assert rows[0]["header"] == "X,Y" and rows[0]["error"] is None
     gone = f"file:{tmp}/hdr/vanished.csv"   # listed, then gone before it was read
     assert FS.file_headers(spark, [f"file:{path}", gone]) == {("X", "Y"): [f"file:{path}"], FS.UNREADABLE: [gone]}
+
+
+def test_every_record_is_loaded_or_rejected(spark, tmp):
+    """NA tokens, short and long records, odd names, broken documents, overflow, columns of unlike types."""
+    d = f"{tmp}/p"
+    write(f"{d}/a.csv", "TradingDate,TradingPeriodNumber,PointOfConnectionCode,DollarsPerMegawattHour,LoadMegawatts\n"
+          "2024-01-01,1,NA,5,1\n2024-01-01,2,BEN2202,5\n2024-01-01,3,BEN2202,5,1,9\n2024-01-01,4,BEN2202,n/a,1\n")
+    typed, rejects = FS.read_prices(spark, FS.list_files(spark, d, "*.csv"))
+    assert [(r["trading_period"], r["load_mw"]) for r in typed.collect()] == [(2, None)]
+    assert sorted(r["reason"] for r in rejects.collect()) == ["more cells than the header", "no valid node", "no valid price"]
+
+    write(f"{tmp}/r/a.csv", "n,m\n10,1.5\n")
+    write(f"{tmp}/r/b.csv", "m,n\n2,x\n3,4,5\n")
+    rows_, rejects = FS.read_retail(spark, f"{tmp}/r")
+    assert dict(rows_.dtypes) == {"n": "string", "m": "double", "raw_filename": "string"}
+    assert sorted((r["n"], r["m"]) for r in rows_.collect()) == [("10", 1.5), ("x", 2.0)]
+    assert [r["record"] for r in rejects.collect()] == ["3,4,5"]
+
+    daily = {"time": ["2024-01-01", "x", "2024-01-03"], "precipitation_sum": [1.0, 1.0, 99999.0]}
+    write(f"{tmp}/w/lake_taupo_2024-01-01_2024-01-03.json", json.dumps({"daily": daily}))
+    write(f"{tmp}/w/odd name.json", json.dumps({"daily": daily}))
+    write(f"{tmp}/w/lake_ohau_2024-01-01_2024-01-03.json", "{broken")
+    rows_, rejects = FS.read_weather_json(spark, f"{tmp}/w")
+    assert [(r["location"], r["time"]) for r in rows_.collect()] == [("lake_taupo", dt.date(2024, 1, 1))]
+    assert sorted(r["reason"] for r in rejects.collect()) == [
+        "no location in the file name", "no valid time", "not a weather document", "precipitation_sum out of range"]
+
+
+def test_two_documents_of_one_day_resolve_by_file_order(spark, tmp):
+    for name, mm in (("2024-01-01_2024-01-01", 1.0), ("2024-01-01_2024-02-01", 2.0)):
+        write(f"{tmp}/w/lake_taupo_{name}.json", json.dumps({"daily": {"time": ["2024-01-01"], "precipitation_sum": [mm]}}))
+    w, _ = FS.read_weather_json(spark, f"{tmp}/w")
+    load_upsert(spark, f"{tmp}/t", w, C.WEATHER_KEY, [FS.ORDER], S.RAW_WEATHER)
+    assert [r["precipitation_sum"] for r in read_table(spark, f"{tmp}/t").collect()] == [Decimal("2.00")]
+
+
+def test_slash_dates_either_way_round(spark):
+    from voltmart.functions import to_date_lenient
+    r = spark.sql("SELECT '3/4/2024' AS d").select(to_date_lenient("d"), to_date_lenient("d", day_first=False)).first()
+    assert tuple(r) == (dt.date(2024, 4, 3), dt.date(2024, 3, 4))

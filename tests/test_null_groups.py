@@ -58,6 +58,35 @@ def test_a_crashed_batch_does_not_block_the_next(spark, tmp):
     assert tables.read_table(spark, base).count() == 2
 
 
+def test_a_batch_without_its_success_marker_is_not_read(spark, tmp):
+    base = f"{tmp}/t"
+    df = spark.createDataFrame([(1,)], "a int")
+    tables.append_batch(df, base)
+    os.remove(f"{tables.append_batch(df, base)}/_SUCCESS")
+    assert tables.read_table(spark, base).count() == 1
+    tables.append_batch(df, base)
+    assert tables.read_table(spark, base).count() == 2
+
+
+def test_month_load_reads_only_the_months_it_touches(spark, tmp):
+    import datetime as dt
+    from voltmart import schemas as S
+    from voltmart.plans import Pipeline
+    base, keys = f"{tmp}/t", ["trading_date", "trading_period", "node"]
+    rows = [(dt.date(2024, m, 1), 1, "BEN2202", None, None, None) for m in (1, 2, 3)]
+    feed = spark.createDataFrame(rows, S.RAW_PRICES).withColumn("seq", F.lit(1))
+    tables.load_insert_ignore(spark, base, feed, keys, ["seq"], S.RAW_PRICES, month_of="trading_date")
+    tables.load_insert_ignore(spark, base, feed, keys, ["seq"], S.RAW_PRICES, month_of="trading_date")
+    assert tables.read_table(spark, base).count() == 3
+    one = tables.read_table(spark, base, months=[202402])
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "202402" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    staged = Pipeline(spark, {"wholesale_prices": tables.read_table(spark, base)}).ref("stg_wholesale_prices")
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(price)" in plan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+
+
 def test_only_a_missing_path_is_an_empty_table(spark, tmp):
     assert tables.read_table(spark, f"{tmp}/none") is None
     with pytest.raises(Exception):

@@ -52,11 +52,6 @@ def test_plans_use_broadcast_for_dimensions_and_no_python(spark):
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_staging_filters_reach_the_scan(spark):
-    p = QUERIES["stg_prices"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
-    assert "PushedFilters" in p
-
-
 def test_same_spec_windows_share_one_operator(spark):
     p = QUERIES["mart_catchment_weather_pricing"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert p.count("Window [") == 1

@@ -126,6 +126,10 @@ WEATHER_KEY = ("location", "time")
 WEATHER_MEASURES = ("precipitation_sum", "rain_sum", "snowfall_sum",
                     "temperature_2m_mean", "temperature_2m_max", "temperature_2m_min")
 
+# Texts that count as a missing cell in the raw CSV feeds (matched whole, case as given).
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+             "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
 # File-name patterns.
 GENERATION_FILE_GLOB = "*_Generation_MD.csv"
 CSV_FILE_GLOB = "*.csv"

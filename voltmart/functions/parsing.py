@@ -16,7 +16,7 @@ from .expressions import _col
 # Supported date layouts (time parts after a space or 'T' are dropped):
 #   yyyy-M-d, yyyy/M/d, yyyy.M.d, d/M/yyyy, d-M-yyyy, d.M.yyyy, yyyyMMdd
 _DATE_TOKEN = r"^([0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}|[0-9]{8})(?:[ T].*)?$"
-_DAY_FIRST = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})$"
+_YEAR_LAST = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})$"
 _YEAR_FIRST = r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})$"
 _COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
 
@@ -41,10 +41,11 @@ def to_integral(c: str | Column, dtype: str = "smallint") -> Column:
     return F.when(n % F.lit(1) == F.lit(0), n.try_cast(dtype))
 
 
-def to_date_lenient(c: str | Column) -> Column:
-    """Text to date over the supported layouts; time parts dropped, junk -> null."""
+def to_date_lenient(c: str | Column, day_first: bool = True) -> Column:
+    """Text to date over the supported layouts; time parts dropped, junk -> null.
+    `day_first` reads 3/4/2024 as 3 April, else as 4 March."""
     token = F.regexp_extract(F.trim(_col(c).cast("string")), _DATE_TOKEN, 1)
-    iso = F.regexp_replace(token, _DAY_FIRST, "$3-$2-$1")
+    iso = F.regexp_replace(token, _YEAR_LAST, "$3-$2-$1" if day_first else "$3-$1-$2")
     iso = F.regexp_replace(iso, _YEAR_FIRST, "$1-$2-$3")
     iso = F.regexp_replace(iso, _COMPACT, "$1-$2-$3")
     return F.try_to_date(iso, "yyyy-M-d")

@@ -28,14 +28,12 @@ MARTS = {
 
 
 def build_all(p: Pipeline, out_dir: str, marts: dict[str, list[str]] | None = None) -> dict[str, str]:
-    """Write shared models, then each mart, under `out_dir`; returns name -> path."""
+    """Write shared models, then each mart, under `out_dir`; returns name -> path of the version written."""
     out_dir = out_dir.rstrip("/")
     paths: dict[str, str] = {}
     for name in SHARED:
-        paths[name] = f"{out_dir}/_shared/{name}"
-        p.materialise(name, paths[name])
+        paths[name] = p.materialise(name, f"{out_dir}/_shared/{name}", sort_by=["trading_date"])
     for name, sort_by in (marts or MARTS).items():
         df: DataFrame = p.ref(name)
-        paths[name] = f"{out_dir}/{name}"
-        materialise(df, paths[name], sort_by=sort_by)
+        paths[name] = materialise(df, f"{out_dir}/{name}", sort_by=sort_by)
     return paths

@@ -9,10 +9,11 @@ consumers (stg_wholesale_prices has four).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sinks.tables import materialise
 from ..sources import calendar as cal
 from ..sources import seeds
 
@@ -76,9 +77,8 @@ class Pipeline:
             self._built[name] = MODELS[name](self)
         return self._built[name]
 
-    def materialise(self, name: str, path: str, mode: str = "overwrite") -> DataFrame:
-        """Write a model to Parquet and use the written copy downstream."""
-        df = self.ref(name)
-        df.write.mode(mode).parquet(path)
-        self._built[name] = self.spark.read.parquet(path)
-        return self._built[name]
+    def materialise(self, name: str, path: str, sort_by: Sequence[str] = ()) -> str:
+        """Write a model as a new version under `path`, use the written copy downstream, return its path."""
+        written = materialise(self.ref(name), path, sort_by)
+        self._built[name] = self.spark.read.parquet(written)
+        return written

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,13 +19,17 @@ from ..functions import round_money, to_date_lenient, to_integral, to_number
 from ..functions import volatility_class
 from ..operators import (check_balanced, check_not_null, check_unique, completeness_pct,
                          count_distinct_if, count_distinct_when, count_if, days_since_last, enrich,
-                         ensure_columns, first_wins, insert_ignore, lead_columns, normalise_headers,
-                         percentiles, pivot_periods, profile_series, rename_present, rolling_sum,
+                         ensure_columns, first_wins, head_rows, insert_ignore, lead_columns, normalise_headers,
+                         ordered, out_of_range, percentiles, pivot_periods, profile_series, register_view, rename_present, rolling_sum,
                          select_present, table_after_insert, union_all, unmapped_total, unpivot_periods,
                          upsert)
-from ..schemas import RAW_PRICES
+from ..schemas import RAW_PRICES, RAW_WEATHER
 from ..session import scratch_path
-from ..sources.files import ORDER, list_files, read_generation, read_prices, read_weather_json
+from ..sinks import (append, create_table, load_insert_ignore, load_upsert, materialise, read_table, write_csv)
+from ..sources.files import (ORDER, list_files, read_generation, read_prices, read_retail, read_weather_csv,
+                             read_weather_json, select_files_by_year)
+from ..sources.seeds import read_seed, seed
+from ..streaming.incremental import start_price_ingest
 from ..sources import adapters as A
 from ..sources.calendar import spine_between, with_calendar_attributes
 from . import marts
@@ -348,15 +352,21 @@ def q_insert_ignore_null_keys(spark, sf_dir):
 @query("upsert_weather")
 def q_upsert_weather(spark, sf_dir):
     """Weather loaded in two overlapping fetches; the later fetch wins per (lake, day)."""
-    o = A.table(spark, sf_dir, "orders")
-    first = A.raw_weather_orders(spark, sf_dir, o.where(F.col("o_orderdate") < F.lit("1998-01-01")))
-    second = A.raw_weather_orders(spark, sf_dir, o.where(F.col("o_orderdate") >= F.lit("1997-01-01")))
-    second = second.withColumn("precipitation_sum", (F.col("precipitation_sum") + F.lit(Decimal("0.5"))).cast("decimal(6,2)"))
+    first, second = weather_fetches(spark, sf_dir)
     table0 = upsert(None, first, C.WEATHER_KEY)
     table1 = upsert(table0, second, C.WEATHER_KEY)
     return table1.drop("inserted_at")
 
 
+def weather_fetches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two weather fetches that overlap in 1997; the later one reports half a millimetre more."""
+    o = A.table(spark, sf_dir, "orders")
+    first = A.raw_weather_orders(spark, sf_dir, o.where(F.col("o_orderdate") < F.lit("1998-01-01")))
+    second = A.raw_weather_orders(spark, sf_dir, o.where(F.col("o_orderdate") >= F.lit("1997-01-01")))
+    return first, second.withColumn("precipitation_sum",
+                                    (F.col("precipitation_sum") + F.lit(Decimal("0.5"))).cast("decimal(6,2)"))
+
+
 @query("union_missing_columns")
 def q_union_missing(spark, sf_dir):
     """Two price file layouts (raw headers, one without generation) unioned by name."""
@@ -380,8 +390,17 @@ def q_csv_roundtrip(spark, sf_dir):
     (the later one without GenerationMegawatts, columns reordered, an extra
     column in the earlier one), then read back by header and loaded first-wins
     in file and row order. Files are written under the shared checkpoint folder."""
-    raw = A.raw_prices_orders(spark, sf_dir)
     base = scratch_path(spark, "price-files")
+    early, late = price_file_layouts(spark, sf_dir)
+    write_price_files(early, f"{base}/a")
+    write_price_files(late, f"{base}/b")
+    typed, _rejects = read_prices(spark, list_files(spark, base, "*.csv", recursive=True))
+    return first_wins(typed, C.PRICE_KEY, [ORDER])
+
+
+def price_file_layouts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The long price feed in two raw layouts: before and from the switch day."""
+    raw = A.raw_prices_orders(spark, sf_dir)
     names = dict(C.PRICE_COLUMN_MAP)
     inv = {v: k for k, v in names.items()}
     split = F.col("trading_date") < F.lit(LAYOUT_SWITCH)
@@ -390,12 +409,163 @@ def q_csv_roundtrip(spark, sf_dir):
                                     F.lit("x").alias("Extra"), "o_orderkey")
     late = raw.where(~split).select(*[F.col(c).alias(inv[c]) for c in
                                       ("node", "price", "trading_date", "load_mw", "trading_period")], "o_orderkey")
-    for part, name in ((early, "a"), (late, "b")):
-        # dates never straddle files within a key, and rows keep arrival order in a file
-        (part.repartitionByRange("TradingDate").sortWithinPartitions("TradingDate", "o_orderkey")
-         .drop("o_orderkey").write.option("header", True).csv(f"{base}/{name}"))
-    typed, _rejects = read_prices(spark, list_files(spark, base, "*.csv", recursive=True))
-    return first_wins(typed, C.PRICE_KEY, [ORDER])
+    return early, late
+
+
+def write_price_files(part: DataFrame, folder: str) -> None:
+    """Dates never straddle files within a key, and rows keep arrival order in a file."""
+    (part.repartitionByRange("TradingDate").sortWithinPartitions("TradingDate", "o_orderkey")
+     .drop("o_orderkey").write.mode("append").option("header", True).csv(folder))
+
+
+@query("incremental_price_ingest")
+def q_incremental(spark, sf_dir):
+    """The same price files arriving in two lots, each picked up by a run of the
+    file stream and merged first-wins into the month-partitioned price table."""
+    base = scratch_path(spark, "price-stream")
+    for lot in price_file_layouts(spark, sf_dir):
+        write_price_files(lot, f"{base}/incoming")
+        run = start_price_ingest(spark, f"{base}/incoming", f"{base}/table", f"{base}/checkpoint",
+                                 rejects_path=f"{base}/rejects")
+        run.awaitTermination()
+    return read_table(spark, f"{base}/table", RAW_PRICES)
+
+
+@query("price_file_rejects")
+def q_price_file_rejects(spark, sf_dir):
+    """Month feed as files with junk dates, fractional periods, missing nodes and bad prices,
+    and files without a price column: records kept back per reason (0: whole files)."""
+    e = A.raw_prices_events(spark, sf_dir, keep=("event_type",))
+    et = F.col("event_type")
+    names = {new: old for old, new in C.PRICE_COLUMN_MAP}
+    faulty = e.select(
+        F.when(et == "error", F.lit("junk")).otherwise(F.col("trading_date").cast("string")).alias(names["trading_date"]),
+        F.when(et == "signup", F.concat(F.col("trading_period").cast("string"), F.lit(".5")))
+         .otherwise(F.col("trading_period").cast("string")).alias(names["trading_period"]),
+        F.when(F.col("event_id") % 10 == 0, F.lit("NA")).otherwise(F.col("node")).alias(names["node"]),
+        F.when(et == "click", F.lit("abc")).otherwise(F.col("price").cast("string")).alias(names["price"]))
+    base = scratch_path(spark, "price-rejects")
+    write_csv(faulty, f"{base}/a")
+    write_csv(faulty.drop(names["price"]), f"{base}/b")
+    typed, rejects = read_prices(spark, list_files(spark, base, "*.csv", recursive=True))
+    loaded = typed.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("records"))
+    return loaded.unionByName(rejects.groupBy("reason").agg(F.count("record").alias("records")))
+
+
+@query("retail_lineage")
+def q_retail_lineage(spark, sf_dir):
+    """Customer accounts as retail summary files in two layouts (a column that is a number in
+    one and text in the other, columns reordered), read by header and appended twice."""
+    c = A.table(spark, sf_dir, "customer")
+    base = scratch_path(spark, "retail-files")
+    odd = F.col("c_custkey") % 2 == 1
+    nation = F.col("c_nationkey").cast("string")
+    cols = [F.col("c_mktsegment").alias("region"), F.col("c_custkey").alias("account"), F.col("c_acctbal").alias("avg_cost")]
+    c.where(odd).select(*cols, nation.alias("plan")).write.mode("append").option("header", True).csv(base)
+    c.where(~odd).select(F.concat(F.lit("P"), nation).alias("plan"), *reversed(cols)).write.mode("append").option("header", True).csv(base)
+    rows, _rejects = read_retail(spark, base)
+    out = scratch_path(spark, "retail-table")
+    append(rows, out)
+    append(rows, out)
+    return (spark.read.parquet(out)
+            .select("region", "account", "avg_cost", "plan", F.col("raw_filename").endswith(".csv").alias("has_lineage")))
+
+
+@query("weather_csv_roundtrip")
+def q_weather_csv(spark, sf_dir):
+    """Weather exported as CSV and read back with the declared types."""
+    base = scratch_path(spark, "weather-csv")
+    write_csv(A.raw_weather_orders(spark, sf_dir), base)
+    rows, _rejects = read_weather_csv(spark, base)
+    return rows.drop(ORDER)
+
+
+@query("seed_csv_factors")
+def q_seed_csv(spark, sf_dir):
+    """The emission-factor seed written and read as CSV, joined to the daily mix."""
+    seed_df, n = seed(spark, "emission_factors")
+    base = scratch_path(spark, "seed-csv")
+    write_csv(seed_df, base)
+    mix = pipeline(spark, sf_dir).ref("int_generation_mix_daily")
+    return enrich(mix, read_seed(spark, base, "emission_factors"), on="fuel_category", how="left", dim_rows=n).select(
+        "trading_date", "fuel_category", "total_mwh", "emission_factor_kg_co2_per_mwh")
+
+
+@query("file_year_filter")
+def q_file_years(spark, sf_dir):
+    """Monthly file names of the generation feed whose leading year lies in 2021..2024."""
+    g = A.raw_generation_lineitem(spark, sf_dir)
+    names = g.select(F.concat(F.date_format("trading_date", "yyyyMM"), F.lit("_Generation_MD.csv")).alias("file_name"))
+    return select_files_by_year(names, 2021, 2024).groupBy("file_name").agg(F.count(F.lit(1)).alias("rows_in_month"))
+
+
+@query("range_check")
+def q_range_check(spark, sf_dir):
+    """Weather measures times 40 against the declared decimals: values they cannot hold."""
+    w = A.raw_weather_orders(spark, sf_dir)
+    wide = w.select(*[(F.col(m) * F.lit(40)).cast("decimal(18,2)").alias(m) for m in C.WEATHER_MEASURES])
+    return out_of_range(wide, RAW_WEATHER)
+
+
+@query("upsert_stamp")
+def q_upsert_stamp(spark, sf_dir):
+    """Load stamps after two overlapping fetches: untouched rows keep the first one."""
+    first, second = weather_fetches(spark, sf_dir)
+    t0 = upsert(None, first, C.WEATHER_KEY, stamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    t1 = upsert(t0, second, C.WEATHER_KEY, stamp=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    return t1.select("location", "time", F.date_format("inserted_at", "yyyy-MM-dd").alias("loaded_on"))
+
+
+@query("insert_ignore_table")
+def q_insert_ignore_table(spark, sf_dir):
+    """Long feed, then month feed, loaded into a stored month-partitioned table."""
+    base = scratch_path(spark, "price-table")
+    load_insert_ignore(spark, base, A.raw_prices_orders(spark, sf_dir), C.PRICE_KEY, ["o_orderkey"], RAW_PRICES,
+                       month_of="trading_date")
+    load_insert_ignore(spark, base, A.raw_prices_events(spark, sf_dir), C.PRICE_KEY, ["event_id"], RAW_PRICES,
+                       month_of="trading_date")
+    return read_table(spark, base)
+
+
+@query("upsert_table")
+def q_upsert_table(spark, sf_dir):
+    """Two loads of a stored weather table, the second holding every row twice: the later one wins."""
+    base = scratch_path(spark, "weather-table")
+    first, second = weather_fetches(spark, sf_dir)
+    stale = second.withColumn("precipitation_sum", F.lit(Decimal("0")).cast("decimal(6,2)"))
+    twice = second.withColumn("__seq", F.lit(2)).unionByName(stale.withColumn("__seq", F.lit(1)))
+    load_upsert(spark, base, first, C.WEATHER_KEY, [], RAW_WEATHER)
+    load_upsert(spark, base, twice, C.WEATHER_KEY, ["__seq"], RAW_WEATHER)
+    return read_table(spark, base).drop("inserted_at")
+
+
+@query("declared_table_roundtrip")
+def q_declared_table(spark, sf_dir):
+    """A declared table filled, fully refreshed as a new version, and read through a view."""
+    base = scratch_path(spark, "declared")
+    name = "declared_" + base.rsplit("-", 1)[-1]
+    create_table(spark, name, RAW_PRICES, f"{base}/raw")
+    raw_prices(spark, sf_dir).select(*[f.name for f in RAW_PRICES.fields]).write.insertInto(name)
+    for _ in range(2):
+        materialise(spark.table(name), f"{base}/mart", sort_by=["trading_date"])
+    return register_view(f"{name}_view", read_table(spark, f"{base}/mart"))
+
+
+@query("mart_ordered")
+def q_mart_ordered(spark, sf_dir):
+    """The price-against-generation mart in its final order (nulls last), with the position of
+    each row as sorted; one row per day, so the numbering is bounded by the calendar."""
+    m = pipeline(spark, sf_dir).ref("mart_price_vs_generation")
+    cols = ["avg_price_nzd_per_mwh", "trading_date"]
+    placed = ordered(m.select(*cols), cols).withColumn("__at", F.monotonically_increasing_id())
+    return placed.select(*cols, F.row_number().over(Window.orderBy("__at")).alias("position"))
+
+
+@query("demand_head")
+def q_demand_head(spark, sf_dir):
+    """The first three days of the demand mart (a sample of rows is the feature)."""
+    m = pipeline(spark, sf_dir).ref("mart_daily_demand")
+    return head_rows(ordered(m.select("trading_date", "total_demand_mwh"), ["trading_date"]), 3)
 
 
 @query("generation_file_ingest")
@@ -431,7 +601,8 @@ def q_weather_json(spark, sf_dir):
     docs = series.select("location", F.create_map(F.lit("precipitation_sum"), F.lit("mm")).alias("daily_units"),
                          daily.alias("daily"))
     docs.write.partitionBy("location").json(base)
-    return read_weather_json(spark, base)
+    rows, _rejects = read_weather_json(spark, base)
+    return rows.drop(ORDER)
 
 
 # ---------------------------------------------------------------- quality

@@ -1,22 +1,23 @@
 """Table writes on plain Parquet.
 
-Keyed loads never overwrite the directory they read, and part files become
-visible only when the write job commits (the staging folder is hidden from
-listings), so a failed or lost job leaves the table as it was.
+Loads never overwrite the directory they read. A batch or version counts as
+committed once its write job left the ``_SUCCESS`` marker, so a failed or lost
+job leaves the table as it was, whatever files it left behind; the next load
+takes a number above every folder present.
 
 * Insert-ignore tables are append-only: a load writes just the rows it adds as
   a new ``<base>/batch=<n>`` directory (cost: the new rows plus an anti join on
   the keys, not a rewrite), and the table is the union of committed batches.
-* Upsert tables change existing rows, so a load writes a whole new version
-  ``<base>/v=<n>`` and readers take the newest one.
+  With `month_of`, batches are partitioned by month and the anti join reads only
+  the months that the incoming rows touch.
+* Upsert tables and full refreshes write a whole new version ``<base>/v=<n>``
+  and readers take the newest committed one.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,52 +26,48 @@ from ..operators.dedup import insert_ignore, upsert
 from ..schemas import ddl
 
 
+MONTH = "load_month"
+
+
+def _numbers(spark: SparkSession, base: str, kind: str, marker: str = "") -> list[int]:
+    """Numbers of the `kind=<n>` folders under `base` (kind: v or batch) that hold `marker`.
+    One listing of folder names; a listing that fails raises, only a missing path is empty."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{kind}=*{marker}")
+    found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath) or []
+    folders = [f.getPath().getParent().getName() if marker else f.getPath().getName() for f in found]
+    return sorted(int(n.split("=")[1]) for n in folders if n.split("=")[1].isdigit())
+
+
 def _committed(spark: SparkSession, base: str, kind: str) -> list[int]:
-    """Numbers of the committed `kind=<n>` directories under `base` (kind: v or batch)."""
-    try:
-        parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .option("recursiveFileLookup", True).load(base).select("path"))
-        found = parts.select(F.regexp_extract("path", rf"/{kind}=(\d+)/[^/]+$", 1).alias("n")).distinct().collect()
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise  # a failed listing is not an empty table
-        return []
-    return sorted(int(r["n"]) for r in found if r["n"])
-
-
-def _write_next(df: DataFrame, base: str, kind: str, numbers: list[int]) -> str:
-    """Write `df` as ``<kind>=<n>``, one above the committed ones; a folder that a crashed
-    load left under that number is passed over by taking the clock's."""
-    path = f"{base.rstrip('/')}/{kind}={numbers[-1] + 1 if numbers else 1}"
-    try:
-        df.write.mode("errorifexists").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_ALREADY_EXISTS":
-            raise
-        path = f"{base.rstrip('/')}/{kind}={time.time_ns() // 1000}"
-        df.write.mode("errorifexists").parquet(path)
-    return path
+    return _numbers(spark, base, kind, "/_SUCCESS")
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    return _committed(spark, base, "v")
+def _write_next(df: DataFrame, base: str, kind: str, partition_by: Sequence[str] = ()) -> str:
+    """Write `df` as ``<kind>=<n>``, one above every folder present, committed or not."""
+    path = f"{base.rstrip('/')}/{kind}={max(_numbers(df.sparkSession, base, kind), default=0) + 1}"
+    w = df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    return path
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
-    vs = _versions(spark, base)
+    vs = _committed(spark, base, "v")
     return f"{base.rstrip('/')}/v={vs[-1]}" if vs else None
 
 
-def read_table(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Current rows: all committed batches of an append table, or the newest version."""
+def read_table(spark: SparkSession, base: str, schema: T.StructType | None = None,
+               months: Sequence[int] | None = None) -> DataFrame | None:
+    """Current rows: all committed batches of an append table, or the newest version. `months`
+    (year * 100 + month) keeps only those partitions of a table loaded with `month_of`."""
     base = base.rstrip("/")
-    batches = _committed(spark, base, "batch")
-    if batches:
-        return spark.read.parquet(*[f"{base}/batch={b}" for b in batches])
-    path = latest_version(spark, base)
-    if path is None:
+    paths = [f"{base}/batch={b}" for b in _committed(spark, base, "batch")] or [
+        p for p in [latest_version(spark, base)] if p]
+    if not paths:
         return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(path)
+    df = spark.read.option("basePath", base).parquet(*paths)   # folder levels become columns: v or batch, month
+    if months is not None:
+        df = df.where(F.col(MONTH).isin(list(months)))
+    return df.drop("v", "batch", MONTH)
 
 
 def register_table(spark: SparkSession, name: str, base: str, schema: T.StructType | None = None) -> DataFrame:
@@ -83,26 +80,35 @@ def register_table(spark: SparkSession, name: str, base: str, schema: T.StructTy
     return df
 
 
-def append_batch(df: DataFrame, base: str) -> str:
+def append_batch(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
     """Write `df` as the next batch of the append table at `base`."""
-    bs = _committed(df.sparkSession, base, "batch")
-    return _write_next(df, base, "batch", bs)
+    return _write_next(df, base, "batch", partition_by)
 
 
-def write_version(df: DataFrame, base: str, sort_by: Sequence[str] = ()) -> str:
+def write_version(df: DataFrame, base: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> str:
     """Write `df` as the next version of the table at `base` and return its path."""
-    spark = df.sparkSession
-    vs = _versions(spark, base)
-    return _write_next(df.sortWithinPartitions(*sort_by) if sort_by else df, base, "v", vs)
+    return _write_next(df.sortWithinPartitions(*sort_by) if sort_by else df, base, "v", partition_by)
 
 
 def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
-                       order: Sequence[str | Column], schema: T.StructType) -> str:
+                       order: Sequence[str | Column], schema: T.StructType, month_of: str | None = None) -> str:
     """First-wins load of `incoming` into the append table at `base`: only the
-    rows whose key is new are written, as one more batch."""
-    existing = read_table(spark, base, schema)
-    added = insert_ignore(incoming, keys, order, existing)
-    return append_batch(added.select(*[f.name for f in schema.fields]), base)
+    rows whose key is new are written, as one more batch.
+
+    `month_of` names a date column of the key: batches are then partitioned by its
+    month, sorted by it, and the stored keys are read only for the months that occur
+    in `incoming` (their numbers, bounded by the calendar, are all the driver sees).
+    Use it for every load of a table or for none.
+    """
+    columns = [f.name for f in schema.fields]
+    if month_of is None:
+        added = insert_ignore(incoming, keys, order, read_table(spark, base, schema))
+        return append_batch(added.select(*columns), base)
+    month = F.year(month_of) * 100 + F.month(month_of)
+    months = [r[0] for r in incoming.select(month).distinct().collect() if r[0] is not None]
+    existing = read_table(spark, base, schema, months)
+    added = insert_ignore(incoming, keys, order, existing).select(*columns, month.alias(MONTH))
+    return append_batch(added.hint("rebalance", MONTH).sortWithinPartitions(MONTH, month_of), base, [MONTH])
 
 
 def load_upsert(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
@@ -118,12 +124,10 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def materialise(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
-    """Full-refresh table write; rows sorted within files for min/max pruning."""
-    w = (df.sortWithinPartitions(*sort_by) if sort_by else df).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def materialise(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> str:
+    """Full refresh: a new version under `path` (readers of ``read_table`` keep the old one until
+    it is complete); rows sorted within files for min/max pruning. Returns the version's path."""
+    return write_version(df, path, sort_by, partition_by)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -12,7 +12,6 @@ the driver.
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,9 +22,12 @@ from .. import constants as C
 from .. import schemas as S
 from ..functions.parsing import to_date_lenient, to_integral, to_number
 from ..operators.reshape import (ensure_columns, normalise_headers, rename_present, select_present,
-                                 union_all, unpivot_periods)
+                                 period_columns, union_all, unpivot_periods)
 
 ORDER = "__arrival"
+MALFORMED = "__malformed"
+# what every reader reports: a whole file (record null) or one record it did not load
+REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("path", "reason", "record")])
 ORDER_TYPE = T.StructType([T.StructField("f", T.StringType()), T.StructField("b", T.LongType()),
                            T.StructField("r", T.LongType())])
 
@@ -54,14 +56,19 @@ def select_files_by_year(files: DataFrame, start: int, end: int, name_col: str =
     return files.where(file_year(F.col(name_col)).between(start, end))
 
 
+UNKNOWN = "scheme not known to Arrow"
+
+
 def first_line_reader():
     """mapInPandas body reading the first line of each file with bounded I/O.
 
     Built as a self-contained closure so it ships to executors by value: the
-    tasks do not need this package installed. Hadoop-style URIs are mapped to
+    tasks do not need this package installed (the error text is bound as a local). Hadoop-style URIs are mapped to
     ones Arrow's file systems open (file:/x -> file:///x, s3a:// -> s3://).
     A file that cannot be read is reported in `error` instead of failing.
     """
+    UNKNOWN_SCHEME = UNKNOWN
+
     def read(batches):
         import pandas as pd
         import pyarrow.fs as pafs
@@ -77,7 +84,12 @@ def first_line_reader():
         for pdf in batches:
             heads, errors = [], []
             for path in pdf["path"]:
-                fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))  # unknown scheme: caller falls back
+                try:
+                    fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))
+                except Exception:  # noqa: BLE001 - a scheme Arrow does not know: the caller asks Hadoop's client
+                    heads.append(None)
+                    errors.append(UNKNOWN_SCHEME)
+                    continue
                 try:
                     buf = b""
                     with fs.open_input_stream(inner) as f:
@@ -96,15 +108,18 @@ def first_line_reader():
     return read
 
 
-def _first_lines_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Fallback for file systems Arrow cannot open: a text scan keeping each
-    file's first line (reads whole files, so only used when needed)."""
-    return (spark.read.text(list(paths))
-            .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("blk"),
-                    "value", F.monotonically_increasing_id().alias("rid"))
-            .where(F.col("blk") == 0)
-            .groupBy("path").agg(F.min_by("value", F.col("rid")).alias("header"))
-            .withColumn("error", F.lit(None).cast("string")))
+def _first_line_by_hadoop(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
+    """(first line, error) of one file through Spark's own file system client: one small read."""
+    jvm = spark._jvm
+    try:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        stream = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(jpath)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine(), None
+        finally:
+            stream.close()
+    except Exception as e:  # noqa: BLE001 - one bad file is reported, the rest load
+        return None, f"unreadable: {type(e).__name__}"
 
 
 UNREADABLE: tuple[str, ...] = ()
@@ -124,43 +139,42 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, .
     paths = list(paths)
     slots = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     listing = spark.createDataFrame([(p,) for p in paths], "path string").repartition(slots)
-    try:
-        rows = listing.mapInPandas(first_line_reader(), "path string, header string, error string").collect()
-    except Exception as e:  # noqa: BLE001 - unsupported file system: scan instead
-        warnings.warn(f"first-line header read failed ({type(e).__name__}); falling back to a full text scan",
-                      RuntimeWarning, stacklevel=2)
-        rows = _first_lines_by_scan(spark, paths).collect()
+    rows = listing.mapInPandas(first_line_reader(), "path string, header string, error string").collect()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in rows:  # one short row per file: bounded by the listing
-        if row["error"] is not None:
-            groups.setdefault(UNREADABLE, []).append(row["path"])
+    for path, line, error in rows:  # one short row per file: bounded by the listing
+        if error == UNKNOWN:
+            line, error = _first_line_by_hadoop(spark, path)
+        if error is not None:
+            groups.setdefault(UNREADABLE, []).append(path)
             continue
-        header = tuple(h.strip().strip('"') for h in (row["header"] or "").lstrip("\ufeff").split(","))
-        groups.setdefault(header, []).append(row["path"])
+        header = tuple(h.strip().strip('"') for h in (line or "").lstrip("\ufeff").split(","))
+        groups.setdefault(header, []).append(path)
     return groups
 
 
 def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[str, ...], list[str]],
-                       lower: bool = True, corrupt_col: str | None = None) -> DataFrame:
+                       lower: bool = True, na_tokens: Sequence[str] = C.NA_TOKENS) -> DataFrame:
     """All-string read of CSV files whose headers may differ, matched by name.
 
     `paths` may already be grouped by header (as ``split_files_by_schema``
-    returns them). Adds file lineage (`file_name`) and an arrival order column
-    (`__arrival`: file name, split start, row id) for first-wins loading.
+    returns them). Cells that equal one of `na_tokens` become null. Adds file
+    lineage (`file_name`), an arrival order column (`__arrival`: file path, split
+    start, row id) for first-wins loading, and `__malformed`: the text of a
+    record with more cells than its header (null for sound and for short ones,
+    whose missing cells are null).
     """
     groups = paths if isinstance(paths, dict) else file_headers(spark, paths)
     parts = []
     for header, files in sorted(groups.items()):
         names = [h.lower() if lower else h for h in header]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        if corrupt_col:
-            schema = schema.add(T.StructField(corrupt_col, T.StringType()))
-        reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-                  .option("mode", "PERMISSIVE"))
-        if corrupt_col:
-            reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-        df = reader.csv(sorted(files))
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(sorted(files)))
+        bare = F.regexp_replace(MALFORMED, '"[^"]*"', "")   # quoted cells may hold commas
+        cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
         df = df.withColumns({
+            **{n: F.when(~F.col(f"`{n}`").isin(*na_tokens), F.col(f"`{n}`")) for n in names},
+            MALFORMED: F.when(cells > len(names), F.col(MALFORMED)),
             "file_name": F.col("_metadata.file_name"),
             ORDER: F.struct(F.col("_metadata.file_path").alias("f"),   # path order = name order within a folder
                             F.col("_metadata.file_block_start").alias("b"),
@@ -182,7 +196,7 @@ def split_files_by_schema(spark: SparkSession, paths: Sequence[str], required: S
                           rename: dict[str, str] | None = None, lower: bool = False,
                           need_prefix: str | None = None) -> tuple[dict[tuple[str, ...], list[str]], DataFrame]:
     """Files whose header holds every required column -> accepted (header ->
-    files); the rest, and unreadable files, -> a rejects DataFrame (path, reason)."""
+    files); the rest, and unreadable files, -> a rejects DataFrame (path, reason, record)."""
     rename = rename or {}
     accepted: dict[tuple[str, ...], list[str]] = {}
     rejected = []
@@ -193,113 +207,176 @@ def split_files_by_schema(spark: SparkSession, paths: Sequence[str], required: S
         if need_prefix and not any(n.startswith(need_prefix) for n in names):
             missing.append(f"{need_prefix}N")
         if header == UNREADABLE:
-            rejected += [(f, "unreadable file") for f in fs]
+            rejected += [(f, "unreadable file", None) for f in fs]
         elif missing:
-            rejected += [(f, f"missing required columns: {missing}") for f in fs]
+            rejected += [(f, f"missing required columns: {missing}", None) for f in fs]
         else:
             accepted[header] = sorted(fs)
-    return accepted, spark.createDataFrame(rejected, "path string, reason string")
+    return accepted, spark.createDataFrame(rejected, REJECTS)
+
+
+def _row_rejects(df: DataFrame, reason: Column, record: Column | None = None) -> DataFrame:
+    """Records of `df` (with the arrival column) that a reader does not load, where `reason` is not null."""
+    cells = [c for c in df.columns if c not in (ORDER, MALFORMED, "file_name")]
+    text = record if record is not None else F.to_json(F.struct(*[F.col(f"`{c}`") for c in cells]))
+    if MALFORMED in df.columns:
+        text = F.coalesce(F.col(MALFORMED), text)
+    return df.select(F.col(f"{ORDER}.f").alias("path"), reason.alias("reason"), text.alias("record")).where(
+        F.col("reason").isNotNull())
+
+
+def _malformed() -> Column:
+    return F.when(F.col(MALFORMED).isNotNull(), F.lit("more cells than the header"))
 
 
 # ---------------------------------------------------------------- generation
 
 def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
                     ids: Sequence[str] = C.GENERATION_ID_COLUMNS) -> tuple[DataFrame, DataFrame]:
-    """Wide generation files -> (long rows with arrival order, rejected files).
+    """Wide generation files -> (long rows with arrival order, rejects).
 
     A file missing an id column is rejected whole (the source raised for it);
-    the remaining files load.
+    the remaining files load. Rejected too are wide records with too many cells or
+    without a date, and cells that hold something other than a number.
     """
     ok, rejects = split_files_by_schema(spark, _paths(files), ids, lower=True, need_prefix=C.PERIOD_PREFIX)
     if not ok:
         return spark.createDataFrame([], _with_order(S.RAW_GENERATION)), rejects
     wide = normalise_headers(read_csv_by_header(spark, ok))
-    long = unpivot_periods(wide.select(*ids, ORDER, *[c for c in wide.columns if c.startswith(C.PERIOD_PREFIX)]),
-                           list(ids) + [ORDER])
-    return long.select(*[f.name for f in S.RAW_GENERATION.fields], ORDER), rejects
+    periods = period_columns(wide.columns)
+    wide = wide.select(*ids, ORDER, MALFORMED, *periods)
+    no_date = F.when(to_date_lenient("trading_date").isNull(), F.lit("no trading_date"))
+    bad_row = F.coalesce(_malformed(), no_date)
+    sound = wide.where(bad_row.isNull())
+    cells = sound.select(ORDER, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("cell"), F.col(c).alias("text")) for c in periods])))
+    bad_cell = F.when((F.trim("text") != F.lit("")) & to_number("text").isNull(), F.lit("not a number"))
+    long = unpivot_periods(sound.drop(MALFORMED), list(ids) + [ORDER])
+    return (long.select(*[f.name for f in S.RAW_GENERATION.fields], ORDER),
+            rejects.unionByName(_row_rejects(wide, bad_row))
+            .unionByName(_row_rejects(cells, bad_cell, F.concat_ws("=", "cell", "text"))))
 
 
 # ---------------------------------------------------------------- prices
 
-def coerce_prices(df: DataFrame) -> DataFrame:
-    """Raw price text -> typed rows; incomplete rows dropped (row-level reject)."""
-    df = ensure_columns(df, T.StructType([T.StructField(c, T.StringType()) for c in ("load_mw", "generation_mw")]))
-    typed = df.select(
-        to_date_lenient("trading_date").alias("trading_date"),
-        to_integral("trading_period", "smallint").alias("trading_period"),
-        F.col("node"),
-        to_number("price").alias("price"),
+def coerce_prices(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw price text (with the arrival column) -> (typed rows, rejected records): a record is
+    rejected if it has too many cells or lacks a valid date, whole period, node or price."""
+    df = ensure_columns(df, T.StructType([T.StructField(c, T.StringType()) for c in ("load_mw", "generation_mw", MALFORMED)]))
+    typed = {
+        "trading_date": to_date_lenient("trading_date"),
+        "trading_period": to_integral("trading_period", "smallint"),
+        "node": F.col("node"),
+        "price": to_number("price"),
+    }
+    reason = F.coalesce(_malformed(), *[F.when(e.isNull(), F.lit(f"no valid {n}")) for n, e in typed.items()])
+    rows = df.where(F.col(MALFORMED).isNull()).select(
+        *[e.alias(n) for n, e in typed.items()],
         to_number("load_mw").alias("load_mw"),
         to_number("generation_mw").alias("generation_mw"),
         *[c for c in df.columns if c in (ORDER, "file_name")])
-    return typed.na.drop(subset=list(C.PRICE_REQUIRED))
+    return rows.na.drop(subset=list(C.PRICE_REQUIRED)), _row_rejects(df, reason)
 
 
 def read_prices(spark: SparkSession, files: DataFrame | Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Nodal price files -> (typed rows with arrival order, rejected files).
+    """Nodal price files -> (typed rows with arrival order, rejects).
 
     Raw headers are renamed where present, extra columns dropped, absent
     optional columns filled with null; files without a required column are
-    rejected whole and the rest load.
+    rejected whole and the rest load, less the records listed in the rejects.
     """
     ok, rejects = split_files_by_schema(spark, _paths(files), C.PRICE_REQUIRED, rename=dict(C.PRICE_COLUMN_MAP))
     if not ok:
         return spark.createDataFrame([], _with_order(S.RAW_PRICES)), rejects
     raw = read_csv_by_header(spark, ok, lower=False)
     raw = rename_present(raw, C.PRICE_COLUMN_MAP)
-    raw = select_present(raw, [f.name for f in S.RAW_PRICES.fields] + [ORDER])
-    return coerce_prices(raw).select(*[f.name for f in S.RAW_PRICES.fields], ORDER), rejects
+    raw = select_present(raw, [f.name for f in S.RAW_PRICES.fields] + [ORDER, MALFORMED])
+    typed, bad = coerce_prices(raw)
+    return typed.select(*[f.name for f in S.RAW_PRICES.fields], ORDER), rejects.unionByName(bad)
 
 
 # ---------------------------------------------------------------- retail
 
-def read_retail(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) -> DataFrame:
-    """Retail summary CSVs kept as found (inferred types) plus `raw_filename`.
+def typed_by_content(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Text columns cast to bigint or double where every value of the whole column allows it
+    (one aggregate over the data; only two flags per column reach the driver)."""
+    whole = {c: F.every(F.col(f"`{c}`").try_cast("bigint").isNotNull() | F.col(f"`{c}`").isNull()) for c in cols}
+    real = {c: F.every(F.col(f"`{c}`").try_cast("double").isNotNull() | F.col(f"`{c}`").isNull()) for c in cols}
+    held = df.agg(*[F.struct(whole[c], real[c], F.max(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    kinds = {c: ("bigint" if w else "double") for c, (w, r, any_value) in zip(cols, held) if any_value and r}
+    return df.withColumns({c: F.col(f"`{c}`").try_cast(k) for c, k in kinds.items()}) if kinds else df
+
+
+def read_retail(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) -> tuple[DataFrame, DataFrame]:
+    """Retail summary CSVs -> (rows as found plus `raw_filename`, rejects).
 
-    Columns are unknown in advance and may differ per file, so files are read
-    per header (each group with its own inferred schema) and unioned by name.
+    Columns are unknown in advance and may differ per file: all are read as text by
+    header, unioned by name, and typed only once over all files, so a column that is
+    a number in one file and text in another is text.
     """
-    paths = _paths(list_files(spark, path, glob))
-    parts = [spark.read.option("header", True).option("inferSchema", True).csv(files)
-             .withColumn("raw_filename", F.col("_metadata.file_name"))
-             for header, files in sorted(file_headers(spark, paths).items()) if header != UNREADABLE]
-    if not parts:
+    accepted, rejects = split_files_by_schema(spark, _paths(list_files(spark, path, glob)), [])
+    if not accepted:
         raise FileNotFoundError(f"no readable retail files under {path}")
-    return union_all(parts)
+    raw = read_csv_by_header(spark, accepted, lower=False)
+    cols = [c for c in raw.columns if c not in (ORDER, MALFORMED, "file_name")]
+    rows = raw.where(F.col(MALFORMED).isNull()).select(*[F.col(f"`{c}`") for c in cols], F.col("file_name").alias("raw_filename"))
+    return typed_by_content(rows, cols), rejects.unionByName(_row_rejects(raw, _malformed()))
 
 
 # ---------------------------------------------------------------- weather
 
-def read_weather_json(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """API documents (parallel arrays under `daily`) -> one row per location and day.
+def _typed_weather(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Weather records as text -> (typed rows, rejects): a record is rejected without a location
+    or date, or with a measure that its declared type cannot hold."""
+    typed = {m: to_number(m, S.RAW_WEATHER[m].dataType.simpleString()) for m in C.WEATHER_MEASURES}
+    overflow = [F.when(F.col(m).isNotNull() & to_number(m, "double").isNotNull() & e.isNull(), F.lit(f"{m} out of range"))
+                for m, e in typed.items()]
+    reason = F.coalesce(*([_malformed()] if MALFORMED in raw.columns else []),
+                        F.when(F.coalesce(F.trim("location"), F.lit("")) == F.lit(""), F.lit("no location")),
+                        F.when(to_date_lenient("time").isNull(), F.lit("no valid time")), *overflow)
+    rows = raw.where(reason.isNull()).select(
+        "location", to_date_lenient("time").alias("time"), *[e.alias(m) for m, e in typed.items()], ORDER)
+    return rows, _row_rejects(raw, reason)
+
+
+def read_weather_json(spark: SparkSession, path: str, glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """API documents (parallel arrays under `daily`) -> (one row per location and day with
+    arrival order, rejects).
 
     The location comes from the file name `<location>_<start>_<end>.json`, or
-    from a `location=<name>` folder when documents are stored partitioned.
+    from a `location=<name>` folder when documents are stored partitioned. Broken
+    documents and those without a location are rejected whole.
     """
-    docs = (spark.read.schema(S.WEATHER_JSON).option("multiLine", True)
-            .option("pathGlobFilter", glob).json(path))
+    broken = "__broken"
+    docs = (spark.read.schema(T.StructType([*S.WEATHER_JSON.fields, T.StructField(broken, T.StringType())])).option("multiLine", True)
+            .option("columnNameOfCorruptRecord", broken).option("pathGlobFilter", glob).json(path))
     from_name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)_\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2}\.json$", 1)
     from_dir = F.regexp_extract(F.col("_metadata.file_path"), r"/location=([^/]+)/[^/]*$", 1)
-    loc = F.when(from_dir != F.lit(""), from_dir).otherwise(from_name)
-    zipped = docs.select(loc.alias("location"),
-                         F.inline(F.arrays_zip(*[F.col(f"daily.{c}").alias(c) for c in ("time",) + C.WEATHER_MEASURES])))
-    return zipped.select(
-        "location",
-        to_date_lenient("time").alias("time"),
-        *[F.col(m).cast(S.RAW_WEATHER[m].dataType).alias(m) for m in C.WEATHER_MEASURES])
-
-
-def read_weather_csv(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) -> DataFrame:
-    """Exported weather CSV files (location, time, six measures) with the declared
-    types, columns matched by name; absent measures are null, and files without
-    location or time are skipped (see ``split_files_by_schema`` for the list)."""
-    groups, _rejects = split_files_by_schema(spark, _paths(list_files(spark, path, glob, recursive=True)),
-                                             ["location", "time"])
+    docs = docs.select(F.when(from_dir != F.lit(""), from_dir).otherwise(from_name).alias("location"),
+                       F.col("_metadata.file_path").alias("path"), "daily", broken)
+    reason = F.coalesce(F.when(F.col(broken).isNotNull() | F.col("daily.time").isNull(), F.lit("not a weather document")),
+                        F.when(F.col("location") == F.lit(""), F.lit("no location in the file name")))
+    rejected = docs.select("path", reason.alias("reason"), F.lit(None).cast("string").alias("record"), "daily").where(
+        F.col("reason").isNotNull()).drop("daily")
+    # a measure that a document lacks is null on every day (zipping a null array would drop the days)
+    measures = [F.coalesce(f"daily.{m}", F.array().cast("array<double>")).alias(m) for m in C.WEATHER_MEASURES]
+    series = F.arrays_zip(F.col("daily.time").alias("time"), *measures)
+    days = docs.where(reason.isNull()).select("location", "path", F.posexplode(series).alias("pos", "day"))
+    raw = days.select("location", *[F.col(f"day.{c}").cast("string").alias(c) for c in ("time",) + C.WEATHER_MEASURES],
+                      F.struct(F.col("path").alias("f"), F.lit(0).cast("bigint").alias("b"),
+                               F.col("pos").cast("bigint").alias("r")).alias(ORDER))
+    rows, bad = _typed_weather(raw)
+    return rows, rejected.unionByName(bad)
+
+
+def read_weather_csv(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) -> tuple[DataFrame, DataFrame]:
+    """Exported weather CSV files (location, time, six measures) -> (rows with the declared
+    types and arrival order, rejects); columns matched by name, absent measures are null."""
+    groups, rejects = split_files_by_schema(spark, _paths(list_files(spark, path, glob, recursive=True)),
+                                            ["location", "time"])
     if not groups:
         raise FileNotFoundError(f"no weather files with location and time under {path}")
     raw = ensure_columns(read_csv_by_header(spark, groups, lower=False),
                          T.StructType([T.StructField(m, T.StringType()) for m in C.WEATHER_MEASURES]))
-    return raw.select(
-        "location", to_date_lenient("time").alias("time"),
-        *[to_number(m, S.RAW_WEATHER[m].dataType.simpleString()).alias(m) for m in C.WEATHER_MEASURES],
-        ORDER)
+    rows, bad = _typed_weather(raw.select("location", "time", *C.WEATHER_MEASURES, ORDER, MALFORMED))
+    return rows, rejects.unionByName(bad)

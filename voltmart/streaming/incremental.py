@@ -22,8 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as C
 from .. import schemas as S
-from ..session import ensure_checkpoint_dir
-from ..sinks.tables import append, load_insert_ignore
+from ..sinks.tables import load_insert_ignore
 from ..sources.files import ORDER, read_prices
 
 
@@ -41,24 +40,26 @@ def new_price_files(spark: SparkSession, source_dir: str, max_files_per_trigger:
 
 
 def start_price_ingest(spark: SparkSession, source_dir: str, table_base: str,
-                       checkpoint: str | None = None, available_now: bool = True,
+                       checkpoint: str, available_now: bool = True,
                        rejects_path: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Run the incremental load; returns the StreamingQuery (await or stop it).
 
+    `checkpoint` is the stream's own folder on shared storage, the same in every
+    session: it is what remembers the files already loaded.
+
     A micro-batch is a bounded set of new files (``max_files_per_trigger``
     bounds it further); only their paths reach the driver, and the merge is an
     ordinary distributed batch job.
     """
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/price_ingest"
-
     def merge(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]   # file names of this micro-batch only
         if not paths:
             return
         typed, rejects = read_prices(batch.sparkSession, paths)
         if rejects_path:
-            append(rejects, rejects_path)
-        load_insert_ignore(batch.sparkSession, table_base, typed, C.PRICE_KEY, [ORDER], S.RAW_PRICES)
+            # keyed by the micro-batch, so a retry replaces its own rejects
+            rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/micro_batch={batch_id}")
+        load_insert_ignore(batch.sparkSession, table_base, typed, C.PRICE_KEY, [ORDER], S.RAW_PRICES, month_of="trading_date")
 
     writer = (new_price_files(spark, source_dir, max_files_per_trigger).writeStream
               .foreachBatch(merge).option("checkpointLocation", checkpoint))
