@@ -29,10 +29,10 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     Rows with a null key part never conflict (unique-constraint semantics) and
     are all kept: they are grouped by their own arrival order as well, which
     must be unique per row. One aggregation pass, combined map-side, so a hot
-    key is reduced to one row per task before the shuffle. Each payload column
-    is its own ``min_by`` on the (unique) order, so all come from one row and
-    columns nobody reads downstream are pruned from the shuffle. `order`
-    columns (arrival order) are dropped unless asked for.
+    key is reduced to one row per task before the shuffle. The payload travels
+    as one struct, so the order value is carried once per row: select the
+    columns you need before. `order` columns (arrival order) are dropped unless
+    asked for.
     """
     keys = list(keys)
     order_names = [c for c in order if isinstance(c, str)]
@@ -40,10 +40,9 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     payload_cols = [c for c in df.columns if c not in keys and (keep_order_cols or c not in order_names)]
     out_cols = [c for c in df.columns if c in keys or c in payload_cols]
     tiebreak = F.when(_any_null(keys), order_key).alias("__nullkey")
-    aggs = [F.min_by(F.col(c), order_key).alias(c) for c in payload_cols]
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("__n")]
-    return df.groupBy(*keys, tiebreak).agg(*aggs).select(*out_cols)
+    row = F.min_by(F.struct(*payload_cols), order_key) if payload_cols else F.count(F.lit(1))
+    return (df.groupBy(*keys, tiebreak).agg(row.alias("__row"))
+            .select(*[c if c in keys else F.col(f"__row.`{c}`").alias(c) for c in out_cols]))
 
 
 def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
