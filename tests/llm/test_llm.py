@@ -374,6 +374,18 @@ def test_boilerplate_and_broken_markup():
     assert wrapper_induction.main_text(page) == "T & x\nOne two three a < b <tag>\nx\ny\nc1\nc2\nd"
 
 
+def test_template_is_learned_inside_articles(spark):
+    page = lambda i, ad="": (f"<body>{ad}<article><h1>Story {i}</h1><p>It begins <b>here</b> with {i * 7}</p><p>Share <a>this</a> story</p>"
+                             f"<p>More {i * 11}</p><div>Subscribe to our letter</div></article>")
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(8)]
+    rows += [(100 + i, f"http://h.example/{i}", page(3, f"<p>top {i}</p>")) for i in range(20)]  # copies of one article
+    rows += [(200 + i, f"http://h.example/x{i}", f"<p>Plain {i}</p><p>Foot</p>") for i in range(30)]  # pages without one
+    out = wrapper_induction.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r.page_id: r.text for r in out.collect()}
+    assert all(got[i] == f"Story {i}\nIt begins here with {i * 7}\nMore {i * 11}" for i in range(8))
+    assert all(got[100 + i] == got[3] for i in range(20)) and all(got[200 + i] == f"Plain {i}" for i in range(30))
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, docs, odd, empty):

@@ -6,8 +6,10 @@ the wrapper tree grown so far. A node whose text is the same on most of a host's
 varies is content. Votes are summed over the host's blocks, so hosts of any size are split over many tasks.
 
 What the tags themselves say is used as well: navigation, footers, asides, forms, scripts, reader comments, adverts and
-the like never are content. Inside an explicit article (or main) element constant nodes stay, because copies of one
-article, or passages that many articles share, are constant too; outside one, only varying nodes are content.
+the like never are content, and a page with an explicit article (or main) element is read, and aligned, from there on.
+Inside an article, too, a node is template if its own text stands at the same path in at least half of the host's
+distinct articles; copies of one article (equal in all own texts) count once. There, text with inline markup is judged
+as a whole: a constant word or link within a varying sentence is content.
 
 Defined results: a null or empty html has the empty text; a null page_id or url is carried (pages without a host share
 one); repeated rows are extracted one by one, and only count once each in the votes' share; extra columns are ignored;
@@ -152,17 +154,19 @@ def _own_text(node: Node) -> str:
 # --- skeletons and simple tree matching ------------------------------------------------------------------------------
 
 def skeleton(root: Node) -> bytes:
-    """Pre-order rows (depth, signature, hash of own text) of the nodes that may hold text."""
-    rows = []
+    """Pre-order rows (depth, signature, hash of own text) of the nodes that may be content; the first one stands for the
+    page and says whether it has an article."""
+    explicit, tops = _tops(root)
+    rows = [(0, int(explicit), 0)]
 
     def walk(node: Node, depth: int) -> None:
         text = _own_text(node)
         rows.append((depth, node.sign, zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0))
         for x in node.items:
-            if isinstance(x, Node) and x.tag not in RAW and x.tag not in VOID:
+            if isinstance(x, Node) and not x.never and x.tag not in RAW and x.tag not in VOID:
                 walk_stack.append((x, depth + 1))
 
-    walk_stack = [(root, 0)]
+    walk_stack = [(x, 1) for x in reversed(tops)]
     while walk_stack:  # children are pushed last to first, so rows come out in page order
         before = len(walk_stack) - 1
         node, depth = walk_stack.pop()
@@ -297,39 +301,29 @@ def votes(pages: list[bytes]) -> dict[int, int]:
 
 def main_text(page: str, template: frozenset | set = frozenset()) -> str:
     """Blocks of the page's content, one per line. ``template``: keys of the host's constant nodes."""
-    root = parse(page)
-    mains = []
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        if node.never:
-            continue
-        if node.main:
-            mains.append(node)
-            continue
-        todo += [x for x in reversed(node.items) if isinstance(x, Node)]
-    inner = [a for m in mains if m.tag != "article" for a in _articles(m)]
-    if inner:  # a main element around articles: the articles
-        mains = [a for m in mains for a in ([m] if m.tag == "article" else _articles(m) or [m])]
-    explicit = any(_has_text(m) for m in mains)
+    explicit, tops = _tops(parse(page))
     blocks: list[str] = []
     held: list[str] = []
+    varies = False  # whether what is held has text that is not template
 
     def close() -> None:
-        text = SPACES.sub(" ", html_lib.unescape("".join(held))).strip()
+        nonlocal varies
+        text = SPACES.sub(" ", html_lib.unescape("".join(held))).strip() if varies else ""
         held.clear()
+        varies = False
         if text:
             blocks.append(text)
 
-    for top in mains if explicit else [root]:
-        # (node, path) to open, or None to end a block
-        stack: list = [(top, 0)]
+    for top in tops:
+        # (node, path) to open, (string, whether it is template), or None to end a block
+        stack: list = [(top, path_key(0, int(explicit)))]
         while stack:
             item = stack.pop()
             if item is None:
                 close()
-            elif isinstance(item, str):
-                held.append(item)
+            elif isinstance(item[0], str):
+                held.append(item[0])
+                varies = varies or not item[1] and bool(html_lib.unescape(item[0]).strip())
             else:
                 node, parent = item
                 if node.never or node.tag in RAW:
@@ -343,15 +337,34 @@ def main_text(page: str, template: frozenset | set = frozenset()) -> str:
                     close()
                     stack.append(None)
                 constant = False
-                if not explicit and template:
+                if template:
                     text = _own_text(node)
                     constant = bool(text) and path_key(path, zlib.crc32(text.encode("utf-8", "surrogatepass"))) in template
-                stack += [x if isinstance(x, str) else (x, path) for x in reversed(node.items)
-                          if not (constant and isinstance(x, str))]
+                stack += [(x, constant if isinstance(x, str) else path) for x in reversed(node.items)
+                          if explicit or not (constant and isinstance(x, str))]
         close()
     return "\n".join(blocks)
 
 
+def _tops(root: Node) -> tuple[bool, list[Node]]:
+    """Whether the page has an explicit main part with text, and the nodes to read: these parts, or the whole page."""
+    mains = []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.never:
+            continue
+        if node.main:
+            mains.append(node)
+            continue
+        todo += [x for x in reversed(node.items) if isinstance(x, Node)]
+    inner = [a for m in mains if m.tag != "article" for a in _articles(m)]
+    if inner:  # a main element around articles: the articles
+        mains = [a for m in mains for a in ([m] if m.tag == "article" else _articles(m) or [m])]
+    explicit = any(_has_text(m) for m in mains)
+    return explicit, mains if explicit else [root]
+
+
 def _articles(node: Node) -> list[Node]:
     found, todo = [], [node]
     while todo:
@@ -381,28 +394,30 @@ def _has_text(node: Node) -> bool:
 
 def _skeletons(batches):
     for pdf in batches:
-        yield pd.DataFrame({"host": pdf["host"], "skeleton": [skeleton(parse(h)) for h in pdf["html"]]})
+        found = [skeleton(parse(h)) for h in pdf["html"]]
+        yield pd.DataFrame({"host": pdf["host"], "article": [x[4] == 1 for x in found], "skeleton": found})
 
 
 def _block_votes(pdf: pd.DataFrame) -> pd.DataFrame:
     found = votes(sorted(set(pdf["skeleton"])))
-    return pd.DataFrame({"host": pdf["host"].iloc[0], "node": pd.Series(list(found), dtype="int64"),
+    return pd.DataFrame({"host": pdf["host"].iloc[0], "article": pdf["article"].iloc[0], "node": pd.Series(list(found), dtype="int64"),
                          "n": pd.Series(list(found.values()), dtype="int64")})
 
 
 def induce(pages: DataFrame, path: str) -> DataFrame:
-    """host and template: keys of the nodes whose text is constant over the host's distinct pages."""
+    """host and template: keys of the nodes whose text is constant over the host's distinct articles, or its distinct
+    pages without one."""
     spark = pages.sparkSession
-    slim = pages.select("host", "html").mapInPandas(_skeletons, "host string, skeleton binary").withColumn("copy", F.xxhash64("skeleton"))
-    # equal skeletons (copies of a page) say nothing about what is template; of each, one is enough
+    slim = pages.select("host", "html").mapInPandas(_skeletons, "host string, article boolean, skeleton binary").withColumn("copy", F.xxhash64("skeleton"))
+    # equal skeletons (copies of an article, whatever stands around it, or of a page) say nothing about what is template; of each, one is enough
     slim.dropDuplicates(["host", "copy"]).write.mode("errorifexists").parquet(f"{path}/skeletons")
     slim = spark.read.parquet(f"{path}/skeletons")
-    slim.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") > 1).write.mode("errorifexists").parquet(f"{path}/hosts")
+    slim.groupBy("host", "article").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") > 1).write.mode("errorifexists").parquet(f"{path}/hosts")
     hosts = spark.read.parquet(f"{path}/hosts")
     blocks = F.ceil(F.col("pages") / BLOCK_PAGES)
-    dealt = slim.join(hosts, "host").withColumn("block", F.pmod("copy", blocks).cast("int"))
-    voted = dealt.groupBy("host", "block").applyInPandas(_block_votes, "host string, node long, n long")
-    shared = voted.groupBy("host", "node").agg(F.sum("n").alias("n")).join(hosts, "host")
+    dealt = slim.join(hosts, ["host", "article"]).withColumn("block", F.pmod("copy", blocks).cast("int"))
+    voted = dealt.groupBy("host", "article", "block").applyInPandas(_block_votes, "host string, article boolean, node long, n long")
+    shared = voted.groupBy("host", "article", "node").agg(F.sum("n").alias("n")).join(hosts, ["host", "article"])
     constant = shared.where((F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("pages")))
     # at most the nodes of a page times 1 / TEMPLATE_SHARE per host
     constant.groupBy("host").agg(F.collect_list("node").alias("template")).write.mode("errorifexists").parquet(f"{path}/templates")
