@@ -249,6 +249,23 @@ def test_near_duplicates_against_all_pairs(spark, docs):
         assert by_row((r.doc_id, r.class_id) for r in out) == by_row((i, want[i, t]) for i, t in texts_of(df))
 
 
+def test_copies_in_a_large_group_are_linked(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows, base = [], [word() for _ in range(240)]
+    for i in range(60):  # a third of the rows
+        text = list(base)
+        for j in rng.sample(range(240), 2):
+            text[j] = word()
+        rows.append((i, " ".join(text)))
+    rows += [(100 + i, " ".join(word() for _ in range(240))) for i in range(120)]
+    out = {r.doc_id: r.class_id for r in weighted_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [set(weighted_minhash.shingle_counts(t)[0].tolist()) for _, t in rows[:60]]
+    near = [(a, b) for a, b in itertools.combinations(range(60), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(near) > 1000 and all(out[a] == out[b] for a, b in near)
+    assert all(out[100 + i] == 100 + i for i in range(120))
+
+
 def test_samples_estimate_the_weighted_similarity():
     rng = np.random.default_rng(1)
     off = []
