@@ -187,6 +187,19 @@ def test_mixing_meets_its_targets(spark, docs):
     assert min(rates) >= 0 and len(rates) == docs.select("doc_id").distinct().count()
 
 
+@pytest.mark.parametrize("share", [(0.70, 0.2999, 0.0001), (0.9899, 0.01, 0.0001)])
+def test_mixing_meets_the_targets_of_rare_domains(spark, share):
+    rows = [(round(x * 1e6), 1, [float(i == j) for j in range(3)]) for i, x in enumerate(share)]
+    steps, result = soft_mix.solve(spark.createDataFrame(rows, "tokens long, copies long, p array<double>"))
+    assert (np.abs(result["reached"] - result["targets"]) <= 0.01 * result["targets"]).all() and len(steps) < 100
+
+
+def test_mixing_tells_when_no_rates_meet_the_targets(spark):
+    rows = [(1000, 1, [0.4, 0.3, 0.3]), (500, 1, [0.5, 0.3, 0.2])]
+    with pytest.warns(UserWarning, match="no rates meet"):
+        soft_mix.solve(spark.createDataFrame(rows, "tokens long, copies long, p array<double>"))
+
+
 def test_mixing_classifier_on_held_out_labels(spark):
     big = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")

@@ -4,9 +4,10 @@
    bound) and keeps its MODEL_WORDS most telling words; it gives every document a posterior over the domains, its
    evidence tempered to at most EVIDENCE_WORDS telling words.
 2. Rates r >= 0 are fitted so that the expected domain tokens sum(r * tokens * posterior) meet the targets: accelerated
-   projected gradient descent on the squared misfit of each domain over its target. A step needs only one sum per domain
-   over all documents; every document's rate follows from the few step vectors, so no state is kept per document.
-   Targets that no rates can meet are met as closely as the misfit allows.
+   projected gradient descent on the squared misfit of each domain over its expected tokens, so that a rare domain moves
+   as fast as a plentiful one. A step needs only a few sums per domain over all documents; every document's rate follows
+   from the step vectors, so no state is kept per document. Steps end when every target is met, or when the projected
+   gradient vanishes: targets that no rates can meet are met as closely as the misfit allows, with a warning.
 3. A document is given out floor(rate + u) times, u from a hash of its id and text.
 
 Defined results: a null or empty text has 0 tokens, the prior as posterior, and a rate like any other; labels that are
@@ -18,6 +19,7 @@ text are mixed alike, each by itself; extra columns are ignored; with empty tabl
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,8 +35,9 @@ MODEL_WORDS = 4096
 MIN_COUNT = 5
 EVIDENCE_WORDS = 12
 ABSENT = -1e9  # log prior of a domain without labelled rows
-STEPS = 40
-TOLERANCE = 1e-4  # of the total: largest misfit, or largest change of a domain's tokens in a step
+LIMIT = 1000  # steps; solve fails when they don't suffice
+TOLERANCE = 1e-3  # misfit of a domain over its target (of targets under TOLERANCE of the total: over that)
+STILL = 1e-5  # likewise, the tokens that a step still moves within a domain
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -117,9 +120,9 @@ def _walk(steps: list[tuple[float, np.ndarray]]) -> Column:
     def follow(at: Column, step: Column) -> Column:
         down = sum((F.col("p")[i] * step[i + 1] for i in range(len(DOMAINS))), F.lit(0.0))
         ahead = at["r"] + step[0] * (at["r"] - at["last"])
-        return F.struct(F.greatest(F.lit(0.0), ahead - down).alias("r"), at["r"].alias("last"))
+        return F.struct(F.greatest(F.lit(0.0), ahead - down).alias("r"), at["r"].alias("last"), ahead.alias("ahead"))
 
-    return F.aggregate(path, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("last")), follow)
+    return F.aggregate(path, F.struct(*[F.lit(1.0).alias(x) for x in ("r", "last", "ahead")]), follow)
 
 
 def solve(known: DataFrame, targets: dict[str, float] | None = None, total: float | None = None) -> tuple[list, dict]:
@@ -131,7 +134,6 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
     k = range(len(DOMAINS))
     weight = F.col("tokens") * F.col("copies")
     gram = known.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("all"),
-                     *[F.coalesce(F.sum(weight * F.col("p")[i] * F.col("p")[j]), F.lit(0.0)).alias(f"g{i}{j}") for i in k for j in k if i <= j],
                      *[F.coalesce(F.sum(weight * F.col("p")[i]), F.lit(0.0)).alias(f"e{i}") for i in k]).first()
     expected = np.array([gram[f"e{i}"] for i in k])
     share = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS], dtype=float) * (expected > 0)
@@ -141,22 +143,31 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
     top = int(share.argmax())
     total = max(float(gram["all"]), expected[top] / share[top]) if total is None else total
     wanted = share * total
-    scale = np.where(expected > 0, 1.0 / np.maximum(wanted, 1e-3 * total), 0.0)  # squared misfit over the target
-    g = np.array([[gram[f"g{min(i, j)}{max(i, j)}"] for j in k] for i in k])
-    size = 1.0 / max(np.linalg.eigvalsh(np.sqrt(scale)[:, None] * g * np.sqrt(scale)[None, :]).max(), 1e-12)
+    # posteriors add up to 1, so with this scale the largest eigenvalue is 1, and so is the step size
+    scale = np.where(expected > 0, 1.0 / np.where(expected > 0, expected, 1.0), 0.0)
+    bound = np.maximum(wanted, TOLERANCE * total)
     steps: list[tuple[float, np.ndarray]] = []
-    reached = before = ahead = expected
-    pace = 1.0
-    while len(steps) < STEPS and np.abs(reached - wanted).max() > TOLERANCE * total:
+    reached = before = expected
+    pace, moved, last = 1.0, np.inf, np.inf
+    while (np.abs(reached - wanted) > TOLERANCE * bound).any():
+        if np.max(moved) <= STILL:
+            warnings.warn(f"no rates meet the targets {dict(zip(DOMAINS, wanted))}; reached: {dict(zip(DOMAINS, reached))}", stacklevel=2)
+            break
+        if len(steps) == LIMIT:
+            raise RuntimeError(f"mixing: after {LIMIT} steps {dict(zip(DOMAINS, reached))}, wanted {dict(zip(DOMAINS, wanted))}")
+        misfit = float((scale * (reached - wanted) ** 2).sum())
+        if misfit > last:  # momentum leads away: begin anew
+            pace = 1.0
+        last = misfit
         following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
         momentum, pace = (pace - 1) / following if steps else 0.0, following
         ahead = reached + momentum * (reached - before)  # totals are linear in the rates
-        steps.append((momentum, size * scale * (ahead - wanted)))
-        sums = known.select(weight.alias("n"), "p", rate_of(steps).alias("rate")).agg(
-            *[F.sum(F.col("n") * F.col("p")[i] * F.col("rate")).alias(f"e{i}") for i in k]).first()
-        before, reached = reached, np.array([float(x) for x in sums])
-        if np.abs(reached - before).max() <= TOLERANCE / 10 * total:
-            break
+        steps.append((momentum, scale * (ahead - wanted)))
+        sums = known.select(weight.alias("n"), "p", _walk(steps).alias("at")).agg(
+            *[F.sum(F.col("n") * F.col("p")[i] * F.col("at.r")).alias(f"e{i}") for i in k],
+            *[F.sum(F.col("n") * F.col("p")[i] * F.abs(F.col("at.r") - F.col("at.ahead"))).alias(f"m{i}") for i in k]).first()
+        before, reached = reached, np.array([float(sums[f"e{i}"]) for i in k])
+        moved = np.array([float(sums[f"m{i}"]) for i in k]) / bound
     return steps, {"targets": wanted, "reached": reached}
 
 
