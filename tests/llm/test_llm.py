@@ -416,6 +416,11 @@ def test_template_is_learned_inside_articles(spark):
     assert all(got[100 + i] == got[3] for i in range(20)) and all(got[200 + i] == f"Plain {i}" for i in range(30))
 
 
+def test_deep_pages_are_matched():
+    pages = [wrapper_induction.skeleton(wrapper_induction.parse("<div>" * 5000 + f"<p>Story {i}</p><p>Foot</p>")) for i in range(2)]
+    assert sorted(wrapper_induction.votes(pages).values()) == [2]
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, docs, odd, empty):

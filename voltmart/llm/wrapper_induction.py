@@ -35,7 +35,6 @@ from .language_fusion import host_of
 BLOCK_PAGES = 64
 TEMPLATE_SHARE = 0.5
 TEMPLATE_PAGES = 3
-MAX_MATCH_CELLS = 20_000  # of one pair of child lists; longer rests are aligned in order
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -176,20 +175,20 @@ def skeleton(root: Node) -> bytes:
 
 
 class Slot:
-    """A node of the wrapper: its signature, its children, and how often each own text stood there."""
-    __slots__ = ("sign", "children", "texts")
+    """A node of the wrapper: its signature, its children, and on which pages (bits) each own text stood there."""
+    __slots__ = ("sign", "children", "texts", "shape")
 
     def __init__(self, sign: int):
-        self.sign, self.children, self.texts = sign, [], {}
+        self.sign, self.children, self.texts, self.shape = sign, [], {}, -1
 
 
-def tree(data: bytes) -> Slot:
+def tree(data: bytes, page: int = 0) -> Slot:
     rows = np.frombuffer(data, "<u4").reshape(-1, 3).tolist()
     path: list[Slot] = []
     for depth, sign, text in rows:
         slot = Slot(sign)
         if text:
-            slot.texts[text] = 1
+            slot.texts[text] = 1 << page
         del path[depth:]
         if path:
             path[-1].children.append(slot)
@@ -197,68 +196,113 @@ def tree(data: bytes) -> Slot:
     return path[0]
 
 
-def match(a: Slot, b: Slot, pairs: dict) -> int:
-    """Simple tree matching: the most nodes two trees share in order, root to root; fills pairs[(a, b)] per child pair."""
-    if a.sign != b.sign:
-        return 0
-    left, right, size = a.children, b.children, 1
-    chosen = []
-    lo, ends = 0, []
-    # equal leaves at either end are matched as they stand (an optimal choice)
-    same = lambda x, y: x.sign == y.sign and not x.children and not y.children
-    while lo < min(len(left), len(right)) and same(left[lo], right[lo]):
-        chosen.append((left[lo], right[lo]))
-        lo += 1
-    i, j = len(left), len(right)
-    while i > lo and j > lo and same(left[i - 1], right[j - 1]):
-        i, j = i - 1, j - 1
-        ends.append((left[i], right[j]))
-    size += len(chosen) + len(ends)
-    rows, columns = left[lo:i], right[lo:j]
-    if rows and columns:
-        if len(rows) * len(columns) > MAX_MATCH_CELLS:
-            found = [(x, y, match(x, y, pairs)) for x, y in zip(rows, columns)]
-            chosen += [(x, y) for x, y, w in found if w]
-            size += sum(w for *_, w in found)
-        else:
-            weight = [[0 if x.sign != y.sign else match(x, y, pairs) if x.children and y.children else 1 for y in columns] for x in rows]
-            best = [[0] * (len(columns) + 1)]
-            for line in weight:
-                above, row, last = best[-1], [0], 0
-                for c, w in enumerate(line):
-                    other = above[c + 1]
-                    if other > last:
-                        last = other
-                    if w and above[c] + w > last:
-                        last = above[c] + w
-                    row.append(last)
-                best.append(row)
-            r, c = len(rows), len(columns)
-            size += best[r][c]
-            middle = []
-            while r and c:
-                if best[r][c] == best[r - 1][c]:
-                    r -= 1
-                elif best[r][c] == best[r][c - 1]:
-                    c -= 1
-                else:
-                    r, c = r - 1, c - 1
-                    middle.append((rows[r], columns[c]))
-            chosen += middle[::-1]
-    pairs[id(a), id(b)] = chosen + ends[::-1]
-    return size
-
-
-def grow(wrapper: Slot, page: Slot) -> None:
+class Shapes:
+    """Simple tree matching (the most nodes two trees share in order, root to root) over shapes: numbers of equal trees of
+    signatures. A pair of shapes is matched once, on an explicit stack, so trees may be deep."""
+
+    def __init__(self):
+        self.known: dict = {}
+        self.sign, self.kids, self.nodes, self.sizes = [], [], [], {}
+
+    def put(self, root: Slot) -> None:
+        """Give every slot of the tree its shape."""
+        order = [root]
+        for slot in order:
+            order += slot.children
+        for slot in reversed(order):
+            key = slot.sign, tuple(x.shape for x in slot.children)
+            if key not in self.known:
+                self.known[key] = len(self.sign)
+                self.sign.append(slot.sign)
+                self.kids.append(key[1])
+                self.nodes.append(1 + sum(self.nodes[x] for x in key[1]))
+            slot.shape = self.known[key]
+
+    def _size(self, x: int, y: int) -> int | None:
+        if self.sign[x] != self.sign[y]:
+            return 0
+        if x == y:
+            return self.nodes[x]
+        return self.sizes.get((x, y)) if self.kids[x] and self.kids[y] else 1
+
+    def _ends(self, x: int, y: int) -> tuple[int, int, int]:
+        """How many children are equal from the left, and where those equal from the right begin; equal trees at either
+        end are matched as they stand (an optimal choice)."""
+        left, right, lo = self.kids[x], self.kids[y], 0
+        while lo < min(len(left), len(right)) and left[lo] == right[lo]:
+            lo += 1
+        i, j = len(left), len(right)
+        while i > lo and j > lo and left[i - 1] == right[j - 1]:
+            i, j = i - 1, j - 1
+        return lo, i, j
+
+    def match(self, x: int, y: int) -> int:
+        todo = [(x, y)]
+        while todo:
+            x, y = todo[-1]
+            if self._size(x, y) is not None:
+                todo.pop()
+                continue
+            lo, i, j = self._ends(x, y)
+            rows, columns = self.kids[x][lo:i], self.kids[y][lo:j]
+            others = set(columns)
+            missing = [(r, c) for r in set(rows) for c in others if self._size(r, c) is None]
+            if missing:
+                todo += missing
+                continue
+            ends = sum(self.nodes[k] for k in self.kids[x][:lo] + self.kids[x][i:])
+            self.sizes[x, y] = 1 + ends + int(self._scores(rows, columns)[-1])
+            todo.pop()
+        return self._size(x, y)
+
+    def _weights(self, rows, columns) -> dict[int, np.ndarray]:
+        names, at = np.unique(np.array(columns, dtype=np.int64), return_inverse=True)
+        names = names.tolist()
+        return {x: np.array([self.match(x, y) for y in names], dtype=np.int64)[at] for x in set(rows)}
+
+    def _scores(self, rows, columns) -> np.ndarray:
+        """The best weight of all rows against the first n columns, for every n; memory for one line."""
+        line = np.zeros(len(columns) + 1, dtype=np.int64)
+        weight = self._weights(rows, columns) if rows and columns else {}
+        for x in rows if columns else ():
+            line[1:] = np.maximum(line[1:], np.where(weight[x] > 0, line[:-1] + weight[x], 0))
+            np.maximum.accumulate(line, out=line)
+        return line
+
+    def align(self, x: int, y: int) -> list[tuple[int, int]]:
+        """Positions of the matched children of two trees with equal roots. Long lists are halved where the best
+        alignment passes, so memory is bounded and the alignment exact for every length."""
+        lo, i, j = self._ends(x, y)
+        left, right = self.kids[x], self.kids[y]
+        pairs = [(k, k) for k in range(lo)] + [(i + k, j + k) for k in range(len(left) - i)]
+        todo = [(lo, i, lo, j)]
+        while todo:
+            r0, r1, c0, c1 = todo.pop()
+            if r0 == r1 or c0 == c1:
+                continue
+            rows, columns = left[r0:r1], right[c0:c1]
+            if len(rows) == 1:
+                weight = self._weights(rows, columns)[rows[0]]
+                c = int(weight.argmax())
+                if weight[c]:
+                    pairs.append((r0, c0 + c))
+                continue
+            middle = len(rows) // 2
+            cut = int((self._scores(rows[:middle], columns) + self._scores(rows[middle:][::-1], columns[::-1])[::-1]).argmax())
+            todo += [(r0, r0 + middle, c0, c0 + cut), (r0 + middle, r1, c0 + cut, c1)]
+        return sorted(pairs)
+
+
+def grow(wrapper: Slot, page: Slot, shapes: Shapes) -> None:
     """Align a page with the wrapper: aligned nodes add their texts, new ones join at their place."""
-    pairs: dict = {}
-    match(wrapper, page, pairs)
+    shapes.put(wrapper)
+    shapes.put(page)
     todo = [(wrapper, page)]
     while todo:
         a, b = todo.pop()
-        for text, n in b.texts.items():
-            a.texts[text] = a.texts.get(text, 0) + n
-        partner = {id(y): x for x, y in pairs.get((id(a), id(b)), ())}
+        for text, which in b.texts.items():
+            a.texts[text] = a.texts.get(text, 0) | which
+        partner = {id(b.children[j]): a.children[i] for i, j in (shapes.align(a.shape, b.shape) if a.sign == b.sign else ())}
         if not partner:
             a.children = a.children + b.children
             continue
@@ -281,20 +325,19 @@ def path_key(parent: int, sign: int) -> int:
 
 def votes(pages: list[bytes]) -> dict[int, int]:
     """For one block of distinct pages: how many share a text at an aligned node, by (path, text); at least two do."""
-    wrapper = tree(pages[0])
-    for data in pages[1:]:
-        grow(wrapper, tree(data))
-    found: dict[int, int] = {}
+    wrapper, shapes = tree(pages[0]), Shapes()
+    for number, data in enumerate(pages[1:], 1):
+        grow(wrapper, tree(data, number), shapes)
+    found: dict[int, int] = {}  # pages of all slots of the same path and text
     todo = [(wrapper, 0)]
     while todo:
         slot, parent = todo.pop()
         path = path_key(parent, slot.sign)
-        for text, n in slot.texts.items():
-            if n > 1 or len(pages) == 1:
-                key = path_key(path, text)
-                found[key] = max(found.get(key, 0), n)
+        for text, which in slot.texts.items():
+            key = path_key(path, text)
+            found[key] = found.get(key, 0) | which
         todo += [(c, path) for c in slot.children]
-    return found
+    return {key: which.bit_count() for key, which in found.items() if which.bit_count() > 1 or len(pages) == 1}
 
 
 # --- extraction ------------------------------------------------------------------------------------------------------
