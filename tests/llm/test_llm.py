@@ -421,6 +421,16 @@ def test_deep_pages_are_matched():
     assert sorted(wrapper_induction.votes(pages).values()) == [2]
 
 
+def test_long_child_lists_are_aligned_exactly():
+    flat = lambda i: "".join(f"<p class=c{k % 50}>Line {k}</p>" + (f"<div>New {i}</div>" if k == 20 * i else "") for k in range(400))
+    pages = [wrapper_induction.skeleton(wrapper_induction.parse(flat(i))) for i in range(6)]
+    assert sorted(wrapper_induction.votes(pages).values()) == [6] * 400
+    shapes = wrapper_induction.Shapes()
+    one, two = wrapper_induction.tree(pages[0]), wrapper_induction.tree(pages[5])
+    shapes.put(one), shapes.put(two)
+    assert shapes.match(one.shape, two.shape) == len(wrapper_induction.skeleton(wrapper_induction.parse(flat(9)))) // 12 - 1
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, docs, odd, empty):
