@@ -416,6 +416,17 @@ def test_template_is_learned_inside_articles(spark):
     assert all(got[100 + i] == got[3] for i in range(20)) and all(got[200 + i] == f"Plain {i}" for i in range(30))
 
 
+@pytest.mark.parametrize("names", ['class="content has-sidebar"', 'class="no-sidebar"', 'class="entry share-enabled"', 'class="page with-comments"',
+                                   'id="ad-free"', 'class="sidebar-layout"'])
+def test_names_do_not_hide_the_page(names):
+    page = f"<body><div {names}><article><p>Story</p></article><div class='share-box'>no</div></div></body>"
+    assert wrapper_induction.main_text(page) == "Story"
+    if "layout" not in names:
+        assert wrapper_induction.main_text(f"<body><div {names}><p>Story</p><div class='comment body'>no</div></div></body>") == "Story"
+    beside = "<body><article><p>Story</p></article><div class='related-posts'><article><p>Other</p></article></div></body>"
+    assert wrapper_induction.main_text(beside) == "Story"
+
+
 def test_deep_pages_are_matched():
     pages = [wrapper_induction.skeleton(wrapper_induction.parse("<div>" * 5000 + f"<p>Story {i}</p><p>Foot</p>")) for i in range(2)]
     assert sorted(wrapper_induction.votes(pages).values()) == [2]

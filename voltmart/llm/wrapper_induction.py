@@ -56,6 +56,8 @@ NEVER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "share sharing social related recommended comment comments reply replies disqus respond subscribe "
                         "newsletter signup login footer pagination pager toolbar skip widget outbrain taboola hidden".split())
 MAIN_WORDS = frozenset("article content main post entry story body text page wrapper container".split())
+COMMENT_WORDS = frozenset("comment comments reply respond ad sponsored promo related".split())
+STATE_WORDS = frozenset("no has with without free enabled disabled".split())  # a name with one tells what the page has
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<", re.S)
@@ -65,17 +67,27 @@ SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "sign", "items", "never", "main")
+    __slots__ = ("tag", "sign", "items", "never", "main", "named")
 
-    def __init__(self, tag: str, sign: int = 0, never: bool = False, main: bool = False):
+    def __init__(self, tag: str, sign: int = 0, never: bool = False, main: bool = False, named: bool = False):
         self.tag, self.sign, self.never, self.main = tag, sign, never, main
+        self.named = named  # never content by its names alone
         self.items: list = []  # child nodes and strings, in page order
 
 
-def _kind(tag: str, attributes: str, inside_main: bool) -> tuple[int, bool, bool]:
-    """Signature (tag and class), whether the element never is content, and whether it is an explicit main part."""
+def _named(found: dict, words: frozenset) -> bool:
+    """Whether class or id holds one of the words: in a name of only such words, or in another one of an element that no
+    name calls a main part."""
+    names = [{w.lower() for w in NAME_PART.findall(x)} for k in ("class", "id") for x in found.get(k, "").split()]
+    hits = [x for x in names if x & words and not x & STATE_WORDS]
+    return any(x <= words for x in hits) or bool(hits) and not any(x and x <= MAIN_WORDS for x in names)
+
+
+def _kind(tag: str, attributes: str, inside_main: bool) -> tuple[int, bool, bool, bool]:
+    """Signature (tag and class), whether the element never is content, whether it is an explicit main part, and whether
+    only its names say the former."""
     if not attributes or attributes.isspace():
-        return zlib.crc32(tag.encode()), tag in NEVER or tag == "header" and not inside_main, tag in ("article", "main")
+        return zlib.crc32(tag.encode()), tag in NEVER or tag == "header" and not inside_main, tag in ("article", "main"), False
     found = {}
     for name, value in ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), value.strip("\"'") if value else "")
@@ -83,13 +95,14 @@ def _kind(tag: str, attributes: str, inside_main: bool) -> tuple[int, bool, bool
     never = tag in NEVER or tag == "header" and not inside_main or role in NEVER_ROLES or "hidden" in found \
         or found.get("aria-hidden", "").lower() == "true" or SPACES.sub("", found.get("style", "").lower()).startswith("display:none")
     main = tag in ("article", "main") or role in ("main", "article") or "articlebody" in found.get("itemprop", "").lower()
+    named = False
     if not never and tag not in ("html", "body"):
-        names = {w.lower() for part in (found.get("class", ""), found.get("id", "")) for w in NAME_PART.findall(part)}
-        never = bool(names & NEVER_WORDS) and not main
         if main and tag == "article":  # reader comments are often articles of their own
-            never = bool(names & {"comment", "comments", "reply", "respond", "ad", "sponsored", "promo", "related"})
+            never = _named(found, COMMENT_WORDS)
+        else:
+            never = named = not main and _named(found, NEVER_WORDS)
     sign = zlib.crc32(f"{tag}.{' '.join(sorted(found.get('class', '').split()))}".encode())
-    return sign, never, main
+    return sign, never, main, named
 
 
 def parse(page: str) -> Node:
@@ -131,8 +144,7 @@ def parse(page: str) -> Node:
                         break
                 elif name in SCOPE.get(tag, ()) or name not in INLINE and name not in ends and name != "p":
                     break
-        sign, never, main = _kind(tag, attributes or "", depth_main > 0)
-        node = Node(tag, sign, never, main)
+        node = Node(tag, *_kind(tag, attributes or "", depth_main > 0))
         stack[-1].items.append(node)
         if tag in VOID or (attributes or "").rstrip().endswith("/") and tag in RAW | {"path", "g", "circle", "rect"}:
             continue
@@ -142,7 +154,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
             continue
         stack.append(node)
-        depth_main += main
+        depth_main += node.main
     return root
 
 
@@ -391,8 +403,24 @@ def main_text(page: str, template: frozenset | set = frozenset()) -> str:
 
 def _tops(root: Node) -> tuple[bool, list[Node]]:
     """Whether the page has an explicit main part with text, and the nodes to read: these parts, or the whole page."""
-    mains = []
-    todo = [root]
+    mains = _mains(root)
+    if not any(_has_text(m) for m in mains):  # names don't hide the page's only article
+        opened = []
+        for m, above in _mains_within_named(root):
+            if _has_text(m):
+                opened += above
+        for node in opened:
+            node.never = False
+        mains = _mains(root) if opened else mains
+    inner = [a for m in mains if m.tag != "article" for a in _articles(m)]
+    if inner:  # a main element around articles: the articles
+        mains = [a for m in mains for a in ([m] if m.tag == "article" else _articles(m) or [m])]
+    explicit = any(_has_text(m) for m in mains)
+    return explicit, mains if explicit else [root]
+
+
+def _mains(root: Node) -> list[Node]:
+    mains, todo = [], [root]
     while todo:
         node = todo.pop()
         if node.never:
@@ -401,11 +429,22 @@ def _tops(root: Node) -> tuple[bool, list[Node]]:
             mains.append(node)
             continue
         todo += [x for x in reversed(node.items) if isinstance(x, Node)]
-    inner = [a for m in mains if m.tag != "article" for a in _articles(m)]
-    if inner:  # a main element around articles: the articles
-        mains = [a for m in mains for a in ([m] if m.tag == "article" else _articles(m) or [m])]
-    explicit = any(_has_text(m) for m in mains)
-    return explicit, mains if explicit else [root]
+    return mains
+
+
+def _mains_within_named(root: Node):
+    """Main parts inside elements that only their names hide, with these elements; also those inside other main parts."""
+    todo: list = [(root, ())]
+    while todo:
+        node, above = todo.pop()
+        if node.never and not node.named:
+            continue
+        if node.named:
+            above = (*above, node)
+        if node.main and above:
+            yield node, above
+            continue
+        todo += [(x, above) for x in reversed(node.items) if isinstance(x, Node)]
 
 
 def _articles(node: Node) -> list[Node]:
