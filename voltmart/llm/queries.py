@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    language_fusion, license_diagonals, piece_spans, quality_ledger, rank_merge, soft_mix, threshold_topk, token_dac,
+    conversation_trie, language_fusion, license_diagonals, piece_spans, quality_ledger, rank_merge, soft_mix, spelling_variants, threshold_topk, token_dac,
     weighted_minhash, wrapper_induction,
 )
 
@@ -18,6 +18,9 @@ QUERIES = {f.__name__: f for f in (
     language_fusion.op8_language_fusion,
     license_diagonals.op9_license_diagonals,
     wrapper_induction.op10_wrapper_induction,
+    conversation_trie.op11_prefix_trie,
+    spelling_variants.op12_spelling_variants,
 )}
 
-ORACLES = {"op5_threshold_topk": threshold_topk.ORACLE}
+ORACLES = {"op5_threshold_topk": threshold_topk.ORACLE, "op11_prefix_trie": conversation_trie.ORACLE,
+           "op12_spelling_variants": spelling_variants.ORACLE}
