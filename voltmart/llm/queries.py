@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    conversation_trie, language_fusion, license_diagonals, piece_spans, quality_ledger, rank_merge, soft_mix, spelling_variants, threshold_topk, token_dac,
+    attention_scores, conversation_trie, language_fusion, license_diagonals, piece_spans, quality_ledger, rank_merge, soft_mix, spelling_variants, threshold_topk, token_dac,
     weighted_minhash, wrapper_induction,
 )
 
@@ -20,6 +20,7 @@ QUERIES = {f.__name__: f for f in (
     wrapper_induction.op10_wrapper_induction,
     conversation_trie.op11_prefix_trie,
     spelling_variants.op12_spelling_variants,
+    attention_scores.op13_attention_scores,
 )}
 
 ORACLES = {"op5_threshold_topk": threshold_topk.ORACLE, "op11_prefix_trie": conversation_trie.ORACLE,
