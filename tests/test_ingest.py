@@ -170,7 +170,7 @@ def test_every_record_is_loaded_or_rejected(spark, tmp):
           "2024-01-01,1,NA,5,1\n2024-01-01,2,BEN2202,5\n2024-01-01,3,BEN2202,5,1,9\n2024-01-01,4,BEN2202,n/a,1\n")
     typed, rejects = FS.read_prices(spark, FS.list_files(spark, d, "*.csv"))
     assert [(r["trading_period"], r["load_mw"]) for r in typed.collect()] == [(2, None)]
-    assert sorted(r["reason"] for r in rejects.collect()) == ["more cells than the header", "no valid node", "no valid price"]
+    assert sorted(r["reason"] for r in rejects.collect()) == ["malformed record", "no valid node", "no valid price"]
 
     write(f"{tmp}/r/a.csv", "n,m\n10,1.5\n")
     write(f"{tmp}/r/b.csv", "m,n\n2,x\n3,4,5\n")
@@ -201,3 +201,101 @@ def test_slash_dates_either_way_round(spark):
     from voltmart.functions import to_date_lenient
     r = spark.sql("SELECT '3/4/2024' AS d").select(to_date_lenient("d"), to_date_lenient("d", day_first=False)).first()
     assert tuple(r) == (dt.date(2024, 4, 3), dt.date(2024, 3, 4))
+
+
+def test_quoted_line_feeds_and_header_commas(spark, tmp):
+    """Values equal to those of a plain CSV reader, whatever the file blocks; a file with an open quote is a reject."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(7)
+    cells = ["x", "line one\nline two", 'say ""hi""', "a,b", "", '5" pipe', "\n\n", "end\n", "plain"]
+    d = f"{tmp}/retail"
+    want = []
+    for number in range(2):
+        out = io.StringIO()
+        names = ["plan, name", "note", "n"] if number else ["note", "plan, name", "n"]
+        w = csv.writer(out, lineterminator="\n")
+        w.writerow(names)
+        for i in range(300):
+            row = {"plan, name": rng.choice(cells), "note": rng.choice(cells), "n": str(i)}
+            w.writerow([row[n] for n in names])
+            want.append((row["plan, name"] or None, row["note"] or None, i))
+        write(f"{d}/f{number}.csv", out.getvalue())
+    write(f"{d}/f2.csv", 'n,note\n7,5" pipe\n8,6" pipe\n')  # quotes inside unquoted cells are text
+    want += [(None, '5" pipe', 7), (None, '6" pipe', 8)]
+    write(f"{d}/f3.csv", 'n,note\n1,"never closed\n2,x\n')
+    write(f"{d}/f4.csv", 'n,"open\n1,2\n')
+    for size in ("134217728", "256", "64"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got, rejects = FS.read_retail(spark, d)
+            assert rows(got, "plan, name", "note", "n") == sorted(want, key=repr)
+            assert sorted(r["path"].rsplit("/", 1)[-1] for r in rejects.collect()) == ["f3.csv", "f4.csv"]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_quoted_line_feed_is_one_record(spark, tmp):
+    write(f"{tmp}/r/a.csv", 'plan,note,n\n"x","line one\nline two",3\ny,z,4\n')
+    write(f"{tmp}/r/b.csv", '"plan, name",n\np,1\n')
+    got, rejects = FS.read_retail(spark, f"{tmp}/r")
+    assert rows(got, "plan", "note", "plan, name", "n") == sorted([("x", "line one\nline two", None, 3), ("y", "z", None, 4), (None, None, "p", 1)], key=repr)
+    assert not rejects.collect()
+
+
+def weather_rows(spark, days, value):
+    from voltmart.schemas import RAW_WEATHER
+    measures = [f.name for f in RAW_WEATHER.fields if f.name not in ("location", "time", "inserted_at")]
+    data = [("lake", d, *[Decimal(value)] * len(measures)) for d in days]
+    return spark.createDataFrame(data, "location string, time date, " + ", ".join(f"{m} decimal(6,2)" for m in measures)).select(
+        "location", "time", *[F.col(m).cast(RAW_WEATHER[m].dataType).alias(m) for m in measures])
+
+
+def test_upsert_writes_only_the_months_it_touches(spark, tmp):
+    from voltmart.schemas import RAW_WEATHER
+    from voltmart.sinks import month_folders, superseded
+    base = f"{tmp}/weather"
+    jan, feb, mar = (dt.date(2024, m, 5) for m in (1, 2, 3))
+    load = lambda rows: load_upsert(spark, base, rows, C.WEATHER_KEY, [], RAW_WEATHER, month_of="time")
+    load(weather_rows(spark, [jan, feb, mar, mar + dt.timedelta(1)], "1"))
+    load(weather_rows(spark, [mar, dt.date(2024, 4, 1)], "2"))
+    assert {n for n in os.listdir(f"{base}/load=2") if n.startswith("load_month")} == {"load_month=202403", "load_month=202404"}
+    assert {m: p[-24:-18] for m, p in month_folders(spark, base).items()} == {202401: "load=1", 202402: "load=1", 202403: "load=2", 202404: "load=2"}
+    got = lambda: rows(read_table(spark, base), "time", "precipitation_sum")
+    want = sorted([(jan, Decimal("1.00")), (feb, Decimal("1.00")), (mar, Decimal("2.00")), (mar + dt.timedelta(1), Decimal("1.00")),
+                   (dt.date(2024, 4, 1), Decimal("2.00"))], key=repr)
+    assert got() == want
+    assert superseded(spark, base) == [f"{base}/load=1/load_month=202403"]
+    # a load that crashed before its marker counts for nothing, whatever it left
+    os.makedirs(f"{base}/load=3/load_month=202401")
+    with open(f"{base}/load=3/load_month=202401/part-0.parquet", "w") as f:
+        f.write("half a file")
+    assert got() == want
+    load(weather_rows(spark, [jan], "3"))
+    assert os.path.isdir(f"{base}/load=4") and (jan, Decimal("3.00")) in got()
+    assert {f.rsplit("/", 2)[-2] for f in read_table(spark, base, months=[202404]).inputFiles()} == {"load_month=202404"}
+
+
+def test_upsert_by_month_needs_the_date_in_the_key(spark, tmp):
+    import pytest
+    from voltmart.schemas import RAW_WEATHER
+    with pytest.raises(ValueError):
+        load_upsert(spark, f"{tmp}/w", weather_rows(spark, [dt.date(2024, 1, 1)], "1"), ["location"], [], RAW_WEATHER, month_of="time")
+
+
+def test_rows_in_are_rows_loaded_and_conflicts(spark, tmp):
+    from voltmart.sinks import read_conflicts
+    day = dt.date(2024, 1, 1)
+    schema = "trading_date date, trading_period smallint, node string, price decimal(18,6), load_mw decimal(18,6), generation_mw decimal(18,6), seq int"
+    rows_in = lambda keys: spark.createDataFrame([(day, p, n, Decimal(i), None, None, i) for i, (p, n) in enumerate(keys)], schema)
+    base, total = f"{tmp}/prices", 0
+    for number, (keys, lost) in enumerate([
+            ([(1, "A"), (1, "A"), (2, "A"), (3, None), (3, None)], [(1, "A", 1, False)]),
+            ([(1, "A"), (1, "A"), (4, "A"), (4, "A"), (4, "A"), (3, None)], [(1, "A", 2, True), (4, "A", 2, False)])], 1):
+        load_insert_ignore(spark, base, rows_in(keys), C.PRICE_KEY, ["seq"], S.RAW_PRICES, month_of="trading_date", conflicts=True)
+        ledger = read_conflicts(spark, base, number)
+        assert rows(ledger, "trading_period", "node", "n_lost", "to_stored") == lost
+        before, total = total, read_table(spark, base).count()
+        assert len(keys) == total - before + sum(r["n_lost"] for r in ledger.collect())

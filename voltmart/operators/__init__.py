@@ -1,6 +1,6 @@
 from .aggregates import (bitmask_of, bits_set, carry, completeness_pct, count_distinct_if, count_distinct_when, outside_mask,
                          count_if, percentiles, sum_if, unmapped_total, value_counts, weighted_total)
-from .dedup import first_wins, insert_ignore, table_after_insert, upsert
+from .dedup import conflict_ledger, first_wins, insert_ignore, insert_with_conflicts, table_after_insert, upsert
 from .joins import enrich, left_join_on, maybe_broadcast, share_of_total
 from .quality import (check_balanced, check_not_null, check_unique, duplicate_keys, null_key_rows,
                       out_of_range, profile_series)
@@ -10,7 +10,7 @@ from .windows import days_since_last, lead_columns, rolling_count_if, rolling_su
 
 __all__ = [
     "bitmask_of", "bits_set", "value_counts", "carry", "completeness_pct", "count_distinct_if", "count_distinct_when", "count_if", "percentiles",
-    "sum_if", "unmapped_total", "weighted_total", "first_wins", "insert_ignore", "table_after_insert",
+    "sum_if", "unmapped_total", "weighted_total", "conflict_ledger", "first_wins", "insert_ignore", "insert_with_conflicts", "table_after_insert",
     "upsert", "enrich", "left_join_on", "maybe_broadcast", "share_of_total",
     "check_balanced", "check_not_null", "check_unique", "duplicate_keys", "null_key_rows",
     "out_of_range", "profile_series", "drop_incomplete", "head_rows", "ordered", "register_view", "ensure_columns", "normalise_headers", "period_columns",

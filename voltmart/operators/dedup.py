@@ -23,9 +23,11 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-               keep_order_cols: bool = False) -> DataFrame:
+               keep_order_cols: bool = False, count_as: str | None = None) -> DataFrame:
     """One row per non-null key: the row with the smallest `order` value.
 
+    `count_as` names a column for how many rows the key had, counted in the same pass.
+
     Rows with a null key part never conflict (unique-constraint semantics) and
     are all kept: they are grouped by their own arrival order as well, which
     must be unique per row. One aggregation pass, combined map-side, so a hot
@@ -41,8 +43,9 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     out_cols = [c for c in df.columns if c in keys or c in payload_cols]
     tiebreak = F.when(_any_null(keys), order_key).alias("__nullkey")
     row = F.min_by(F.struct(*payload_cols), order_key) if payload_cols else F.count(F.lit(1))
-    return (df.groupBy(*keys, tiebreak).agg(row.alias("__row"))
-            .select(*[c if c in keys else F.col(f"__row.`{c}`").alias(c) for c in out_cols]))
+    counts = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    return (df.groupBy(*keys, tiebreak).agg(row.alias("__row"), *counts)
+            .select(*[c if c in keys else F.col(f"__row.`{c}`").alias(c) for c in out_cols], *([count_as] if count_as else [])))
 
 
 def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -63,6 +66,31 @@ def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str
     return keyed.select(*new_rows.columns).unionByName(new_rows.where(null_key))
 
 
+def insert_with_conflicts(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                          existing: DataFrame | None = None) -> DataFrame:
+    """One row per key of `incoming` with its winner, `__n` (rows the key had) and `__stored` (the key was in `existing`,
+    so every one of those rows lost). Rows with a null key are rows of their own.
+
+    The rows to add are those not stored; `conflict_ledger` makes the rest. One aggregation and one join for both.
+    """
+    rows = first_wins(incoming, keys, order, count_as="__n")
+    if existing is None:
+        return rows.withColumn("__stored", F.lit(False))
+    null_key = _any_null(keys)
+    # a stored key is there once, so the join adds no rows
+    present = existing.select(*keys).where(~null_key).withColumn("__stored", F.lit(True))
+    keyed = rows.where(~null_key).join(present, on=list(keys), how="left").withColumn("__stored", F.coalesce("__stored", F.lit(False)))
+    nulls = rows.where(null_key).withColumn("__stored", F.lit(False))
+    return keyed.select(*nulls.columns).unionByName(nulls)
+
+
+def conflict_ledger(resolved: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``insert_with_conflicts`` with rows that were not loaded: n_lost of them, `to_stored` if a stored row won
+    (else the earliest row of the same load did)."""
+    lost = F.col("__n") - F.when(F.col("__stored"), 0).otherwise(1)
+    return resolved.select(*keys, lost.alias("n_lost"), F.col("__stored").alias("to_stored")).where("n_lost > 0")
+
+
 def table_after_insert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
                        order: Sequence[str | Column]) -> DataFrame:
     """Full table state after insert-ignore of `incoming` into `existing`."""

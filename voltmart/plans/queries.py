@@ -25,7 +25,7 @@ from ..operators import (check_balanced, check_not_null, check_unique, completen
                          upsert)
 from ..schemas import RAW_PRICES, RAW_WEATHER
 from ..session import scratch_path
-from ..sinks import (append, create_table, load_insert_ignore, load_upsert, materialise, read_table, write_csv)
+from ..sinks import (append, create_table, load_insert_ignore, load_upsert, materialise, read_conflicts, read_table, write_csv)
 from ..sources.files import (ORDER, list_files, read_generation, read_prices, read_retail, read_weather_csv,
                              read_weather_json, select_files_by_year)
 from ..sources.seeds import read_seed, seed
@@ -471,6 +471,18 @@ def q_retail_lineage(spark, sf_dir):
             .select("region", "account", "avg_cost", "plan", F.col("raw_filename").endswith(".csv").alias("has_lineage")))
 
 
+@query("csv_quoted_records")
+def q_csv_quoted(spark, sf_dir):
+    """Customers as CSV whose cells hold line feeds, commas and quotes and whose header holds a comma, read by header."""
+    c = A.table(spark, sf_dir, "customer")
+    base = scratch_path(spark, "quoted-files")
+    note = F.concat_ws("\n", F.concat(F.lit('say "'), "c_name", F.lit('",')), "c_mktsegment", F.when(F.col("c_custkey") % 3 == 0, F.lit("")))
+    (c.select(F.col("c_custkey").alias("account"), note.alias("note"), F.col("c_acctbal").alias("balance, total"))
+     .write.options(header=True, escape='"', ignoreTrailingWhiteSpace=False).csv(base))
+    rows, _rejects = read_retail(spark, base)
+    return rows.select("account", "note", F.col("`balance, total`").cast("double").alias("balance"))
+
+
 @query("weather_csv_roundtrip")
 def q_weather_csv(spark, sf_dir):
     """Weather exported as CSV and read back with the declared types."""
@@ -534,11 +546,20 @@ def q_upsert_table(spark, sf_dir):
     first, second = weather_fetches(spark, sf_dir)
     stale = second.withColumn("precipitation_sum", F.lit(Decimal("0")).cast("decimal(6,2)"))
     twice = second.withColumn("__seq", F.lit(2)).unionByName(stale.withColumn("__seq", F.lit(1)))
-    load_upsert(spark, base, first, C.WEATHER_KEY, [], RAW_WEATHER)
-    load_upsert(spark, base, twice, C.WEATHER_KEY, ["__seq"], RAW_WEATHER)
+    load_upsert(spark, base, first, C.WEATHER_KEY, [], RAW_WEATHER, month_of="time")
+    load_upsert(spark, base, twice, C.WEATHER_KEY, ["__seq"], RAW_WEATHER, month_of="time")
     return read_table(spark, base).drop("inserted_at")
 
 
+@query("load_conflicts")
+def q_load_conflicts(spark, sf_dir):
+    """Rows of the month feed that lost their key on loading it after the long feed: to a stored row, or to an earlier row of the feed."""
+    base = scratch_path(spark, "conflict-table")
+    for rows, order in ((A.raw_prices_orders(spark, sf_dir), "o_orderkey"), (A.raw_prices_events(spark, sf_dir), "event_id")):
+        load_insert_ignore(spark, base, rows, C.PRICE_KEY, [order], RAW_PRICES, month_of="trading_date", conflicts=True)
+    return read_conflicts(spark, base, 2).select(*C.PRICE_KEY, "n_lost", "to_stored")
+
+
 @query("declared_table_roundtrip")
 def q_declared_table(spark, sf_dir):
     """A declared table filled, fully refreshed as a new version, and read through a view."""

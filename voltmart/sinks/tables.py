@@ -10,7 +10,11 @@ takes a number above every folder present.
   the keys, not a rewrite), and the table is the union of committed batches.
   With `month_of`, batches are partitioned by month and the anti join reads only
   the months that the incoming rows touch.
-* Upsert tables and full refreshes write a whole new version ``<base>/v=<n>``
+* Upsert tables loaded with `month_of` write only the months that the incoming
+  rows touch: a load is ``<base>/load=<n>/load_month=<m>``, each month whole, and
+  readers take every month from its newest committed load. One marker commits a
+  load's months together, so a crash leaves all of them as they were.
+* Other upserts and full refreshes write a whole new version ``<base>/v=<n>``
   and readers take the newest committed one.
 """
 
@@ -22,8 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import insert_ignore, upsert
+from ..operators.dedup import conflict_ledger, insert_ignore, insert_with_conflicts, upsert
 from ..schemas import ddl
+from ..session import scratch_path
 
 
 MONTH = "load_month"
@@ -55,19 +60,38 @@ def latest_version(spark: SparkSession, base: str) -> str | None:
     return f"{base.rstrip('/')}/v={vs[-1]}" if vs else None
 
 
+def month_folders(spark: SparkSession, base: str) -> dict[int, str]:
+    """Newest committed folder of each month of an upsert table loaded by month; one listing of folder names."""
+    base = base.rstrip("/")
+    done = set(_committed(spark, base, "load"))
+    if not done:
+        return {}
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/load=*/{MONTH}=*")
+    newest: dict[int, int] = {}
+    for f in jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath) or []:
+        load, month = int(f.getPath().getParent().getName().split("=")[1]), int(f.getPath().getName().split("=")[1])
+        if load in done:
+            newest[month] = max(load, newest.get(month, 0))
+    return {m: f"{base}/load={n}/{MONTH}={m}" for m, n in sorted(newest.items())}
+
+
 def read_table(spark: SparkSession, base: str, schema: T.StructType | None = None,
                months: Sequence[int] | None = None) -> DataFrame | None:
     """Current rows: all committed batches of an append table, or the newest version. `months`
     (year * 100 + month) keeps only those partitions of a table loaded with `month_of`."""
     base = base.rstrip("/")
-    paths = [f"{base}/batch={b}" for b in _committed(spark, base, "batch")] or [
-        p for p in [latest_version(spark, base)] if p]
+    by_month = month_folders(spark, base)
+    if by_month:
+        paths = [p for m, p in by_month.items() if months is None or m in months]
+    else:
+        paths = [f"{base}/batch={b}" for b in _committed(spark, base, "batch")] or [
+            p for p in [latest_version(spark, base)] if p]
     if not paths:
         return spark.createDataFrame([], schema) if schema is not None else None
-    df = spark.read.option("basePath", base).parquet(*paths)   # folder levels become columns: v or batch, month
+    df = spark.read.option("basePath", base).parquet(*paths)   # folder levels become columns: v, batch or load, month
     if months is not None:
         df = df.where(F.col(MONTH).isin(list(months)))
-    return df.drop("v", "batch", MONTH)
+    return df.drop("v", "batch", "load", MONTH)
 
 
 def register_table(spark: SparkSession, name: str, base: str, schema: T.StructType | None = None) -> DataFrame:
@@ -90,8 +114,14 @@ def write_version(df: DataFrame, base: str, sort_by: Sequence[str] = (), partiti
     return _write_next(df.sortWithinPartitions(*sort_by) if sort_by else df, base, "v", partition_by)
 
 
+def _months(incoming: DataFrame, month: Column) -> list[int]:
+    """Months that occur in `incoming`: numbers bounded by the calendar."""
+    return [r[0] for r in incoming.select(month).distinct().collect() if r[0] is not None]
+
+
 def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
-                       order: Sequence[str | Column], schema: T.StructType, month_of: str | None = None) -> str:
+                       order: Sequence[str | Column], schema: T.StructType, month_of: str | None = None,
+                       conflicts: bool = False) -> str:
     """First-wins load of `incoming` into the append table at `base`: only the
     rows whose key is new are written, as one more batch.
 
@@ -99,24 +129,67 @@ def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys
     month, sorted by it, and the stored keys are read only for the months that occur
     in `incoming` (their numbers, bounded by the calendar, are all the driver sees).
     Use it for every load of a table or for none.
+
+    With `conflicts` the keys whose rows were not all loaded are kept too (``read_conflicts``),
+    so that rows in = rows loaded + sum of n_lost. Winners and losers come from one pass, which
+    is written to the shared scratch folder first.
     """
     columns = [f.name for f in schema.fields]
+    month = F.year(month_of) * 100 + F.month(month_of) if month_of else None
+    existing = read_table(spark, base, schema, _months(incoming, month) if month_of else None)
+    if conflicts:
+        staged = scratch_path(spark, "load")
+        insert_with_conflicts(incoming, keys, order, existing).write.mode("errorifexists").parquet(staged)
+        resolved = spark.read.parquet(staged)
+        added = resolved.where(~F.col("__stored"))
+        ledger = conflict_ledger(resolved, keys)
+    else:
+        added = insert_ignore(incoming, keys, order, existing)
     if month_of is None:
-        added = insert_ignore(incoming, keys, order, read_table(spark, base, schema))
-        return append_batch(added.select(*columns), base)
-    month = F.year(month_of) * 100 + F.month(month_of)
-    months = [r[0] for r in incoming.select(month).distinct().collect() if r[0] is not None]
-    existing = read_table(spark, base, schema, months)
-    added = insert_ignore(incoming, keys, order, existing).select(*columns, month.alias(MONTH))
-    return append_batch(added.hint("rebalance", MONTH).sortWithinPartitions(MONTH, month_of), base, [MONTH])
+        path = append_batch(added.select(*columns), base)
+    else:
+        rows = added.select(*columns, month.alias(MONTH))
+        path = append_batch(rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH, month_of), base, [MONTH])
+    if conflicts:  # under the batch's number; a crash before this leaves the batch without its ledger, never the reverse
+        ledger.write.mode("overwrite").parquet(f"{base.rstrip('/')}/conflicts/{path.rsplit('/', 1)[-1]}")
+    return path
+
+
+def read_conflicts(spark: SparkSession, base: str, batch: int) -> DataFrame:
+    """Keys, n_lost and to_stored of the rows that the given batch's load did not add."""
+    return spark.read.parquet(f"{base.rstrip('/')}/conflicts/batch={batch}")
 
 
 def load_upsert(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
-                order: Sequence[str | Column], schema: T.StructType, stamp_col: str = "inserted_at") -> str:
-    """Last-wins load of `incoming` into the versioned table at `base`."""
-    existing = read_table(spark, base, schema)
-    merged = upsert(existing, incoming, keys, order, stamp_col)
-    return write_version(merged.select(*[f.name for f in schema.fields]), base)
+                order: Sequence[str | Column], schema: T.StructType, stamp_col: str = "inserted_at",
+                month_of: str | None = None) -> str:
+    """Last-wins load of `incoming` into the table at `base`.
+
+    `month_of` names a date column of the key: only the months that occur in `incoming` are read and
+    written again, each whole, as one more committed load. Without it a new version of the whole
+    table is written. Use it for every load of a table or for none.
+    """
+    columns = [f.name for f in schema.fields]
+    if month_of is None:
+        existing = read_table(spark, base, schema)
+        return write_version(upsert(existing, incoming, keys, order, stamp_col).select(*columns), base)
+    if month_of not in keys:
+        raise ValueError("month_of must be part of the key: else a row could move between months")
+    month = F.year(month_of) * 100 + F.month(month_of)
+    existing = read_table(spark, base, schema, _months(incoming, month))
+    merged = upsert(existing, incoming, keys, order, stamp_col).select(*columns, month.alias(MONTH))
+    return _write_next(merged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, month_of), base, "load", [MONTH])
+
+
+def superseded(spark: SparkSession, base: str) -> list[str]:
+    """Month folders that a newer committed load has replaced, for the caller to delete once no reader is left on them."""
+    base = base.rstrip("/")
+    now = {p.rsplit(f"{base}/", 1)[-1] for p in month_folders(spark, base).values()}
+    done = set(_committed(spark, base, "load"))
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/load=*/{MONTH}=*")
+    found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath) or []
+    names = sorted(f"{f.getPath().getParent().getName()}/{f.getPath().getName()}" for f in found)
+    return [f"{base}/{n}" for n in names if n not in now and int(n.split("/")[0].split("=")[1]) in done]
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -5,16 +5,18 @@ a rejects table instead of a failed job.
 Header drift (H1): one ``read.csv`` over files with different headers maps
 columns by position. So the first line of every file is read once (tasks open
 each file and stop at the first newline), files are grouped by header, and each
-group is read with its own all-string schema and ``enforceSchema=false``;
-groups are then unioned by name. Only the small header -> files map reaches
-the driver.
+group is read with its own all-string schema; groups are then unioned by name.
+Only the small header -> files map reaches the driver. Files in which quoted
+cells hold line feeds are cut into records first (csv_records), block by block.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +25,7 @@ from .. import schemas as S
 from ..functions.parsing import to_date_lenient, to_integral, to_number
 from ..operators.reshape import (ensure_columns, normalise_headers, rename_present, select_present,
                                  period_columns, union_all, unpivot_periods)
+from .csv_records import files_with_open_lines, records
 
 ORDER = "__arrival"
 MALFORMED = "__malformed"
@@ -57,6 +60,7 @@ def select_files_by_year(files: DataFrame, start: int, end: int, name_col: str =
 
 
 UNKNOWN = "scheme not known to Arrow"
+LONGEST_HEADER = 1 << 20  # bytes
 
 
 def first_line_reader():
@@ -67,7 +71,7 @@ def first_line_reader():
     ones Arrow's file systems open (file:/x -> file:///x, s3a:// -> s3://).
     A file that cannot be read is reported in `error` instead of failing.
     """
-    UNKNOWN_SCHEME = UNKNOWN
+    UNKNOWN_SCHEME, LONGEST = UNKNOWN, LONGEST_HEADER
 
     def read(batches):
         import pandas as pd
@@ -98,6 +102,8 @@ def first_line_reader():
                             if not chunk:
                                 break
                             buf += chunk
+                            if len(buf) > LONGEST:
+                                raise ValueError(f"no line end in the first {LONGEST} bytes")
                     heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - one bad file is reported, the rest load
@@ -147,11 +153,19 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, .
         if error is not None:
             groups.setdefault(UNREADABLE, []).append(path)
             continue
-        header = tuple(h.strip().strip('"') for h in (line or "").lstrip("\ufeff").split(","))
-        groups.setdefault(header, []).append(path)
+        groups.setdefault(header_names(line or ""), []).append(path)
     return groups
 
 
+def header_names(line: str) -> tuple[str, ...]:
+    """Names of a header line, quoted ones with commas in them too; UNREADABLE if a quote stays open or a name repeats."""
+    try:
+        names = tuple(h.strip() for h in next(csv.reader([line.lstrip("\ufeff")], strict=True), [""]))
+    except csv.Error:
+        return UNREADABLE
+    return names if len(set(names)) == len(names) else UNREADABLE
+
+
 def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[str, ...], list[str]],
                        lower: bool = True, na_tokens: Sequence[str] = C.NA_TOKENS) -> DataFrame:
     """All-string read of CSV files whose headers may differ, matched by name.
@@ -161,31 +175,53 @@ def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[st
     lineage (`file_name`), an arrival order column (`__arrival`: file path, split
     start, row id) for first-wins loading, and `__malformed`: the text of a
     record with more cells than its header (null for sound and for short ones,
-    whose missing cells are null).
+    whose missing cells are null), or what is wrong with a file whose last quote
+    stays open.
     """
     groups = paths if isinstance(paths, dict) else file_headers(spark, paths)
+    # Spark reports paths URL-encoded
+    open_files = {_bare(p) for f in files_with_open_lines(spark, [f for files in groups.values() for f in files]) for p in (f, unquote(f))} if groups else set()
     parts = []
     for header, files in sorted(groups.items()):
         names = [h.lower() if lower else h for h in header]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
-        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(sorted(files)))
-        bare = F.regexp_replace(MALFORMED, '"[^"]*"', "")   # quoted cells may hold commas
-        cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
-        df = df.withColumns({
-            **{n: F.when(~F.col(f"`{n}`").isin(*na_tokens), F.col(f"`{n}`")) for n in names},
-            MALFORMED: F.when(cells > len(names), F.col(MALFORMED)),
-            "file_name": F.col("_metadata.file_name"),
-            ORDER: F.struct(F.col("_metadata.file_path").alias("f"),   # path order = name order within a folder
-                            F.col("_metadata.file_block_start").alias("b"),
-                            F.monotonically_increasing_id().alias("r")),
-        })
-        parts.append(df)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "escape": '"'}
+        plain = sorted(f for f in files if _bare(f) not in open_files)
+        if plain:
+            df = (spark.read.schema(schema).options(header=True, enforceSchema=True, **options).csv(plain)
+                  .select("*", F.col("_metadata.file_name").alias("file_name"), F.struct(
+                      F.col("_metadata.file_path").alias("f"),   # path order = name order within a folder
+                      F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("r")).alias(ORDER)))
+            parts.append(_cells(df, names, na_tokens))
+        rest = sorted(f for f in files if _bare(f) in open_files)
+        if rest:
+            whole, unclosed = records(spark, rest)
+            first = F.min(F.struct("b", "r")).over(Window.partitionBy("f", "b")) == F.struct("b", "r")  # of its block
+            text = F.regexp_replace("text", "\r$", "")
+            body = whole.withColumn("header", (F.col("b") == 0) & first).where(~F.col("header") & (F.trim(text) != F.lit("")))
+            df = body.select(F.from_csv(text, schema.toDDL(), options).alias("row"), F.col("name").alias("file_name"), F.struct("f", "b", "r").alias(ORDER))
+            parts.append(_cells(df.select("row.*", "file_name", ORDER), names, na_tokens))
+            lost = unclosed.select(*[F.lit(None).cast("string").alias(n) for n in names], F.lit("a quote is never closed: no record of the file is read").alias(MALFORMED),
+                                   F.element_at(F.split("f", "/"), -1).alias("file_name"), F.struct(F.col("f"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("r")).alias(ORDER))
+            parts.append(lost)
     if not parts:
         raise FileNotFoundError("no input files")
     return union_all(parts)
 
 
+def _bare(path: str) -> str:
+    """A path without the writing of a local scheme (file:/x, file:///x, /x)."""
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+
+
+def _cells(df: DataFrame, names: Sequence[str], na_tokens: Sequence[str]) -> DataFrame:
+    """Cells that equal one of `na_tokens` as null; MALFORMED only for records with more cells than `names`."""
+    bare = F.regexp_replace(MALFORMED, '"[^"]*"', "")   # quoted cells may hold commas
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    return df.withColumns({**{n: F.when(~F.col(f"`{n}`").isin(*na_tokens), F.col(f"`{n}`")) for n in names},
+                           MALFORMED: F.when(cells > len(names), F.col(MALFORMED))})
+
+
 def _paths(files: DataFrame | Sequence[str]) -> list[str]:
     if isinstance(files, DataFrame):
         return sorted(r["path"] for r in files.select("path").collect())
@@ -226,7 +262,7 @@ def _row_rejects(df: DataFrame, reason: Column, record: Column | None = None) ->
 
 
 def _malformed() -> Column:
-    return F.when(F.col(MALFORMED).isNotNull(), F.lit("more cells than the header"))
+    return F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed record"))
 
 
 # ---------------------------------------------------------------- generation
