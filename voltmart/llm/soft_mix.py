@@ -4,10 +4,11 @@
    bound) and keeps its MODEL_WORDS most telling words; it gives every document a posterior over the domains, its
    evidence tempered to at most EVIDENCE_WORDS telling words.
 2. Rates r >= 0 are fitted so that the expected domain tokens sum(r * tokens * posterior) meet the targets: accelerated
-   projected gradient descent on the squared misfit of each domain over its expected tokens, so that a rare domain moves
-   as fast as a plentiful one. A step needs only a few sums per domain over all documents; every document's rate follows
-   from the step vectors, so no state is kept per document. Steps end when every target is met, or when the projected
-   gradient vanishes: targets that no rates can meet are met as closely as the misfit allows, with a warning.
+   projected gradient descent on the squared misfit, measured by the inverse of the domains' Gram matrix (sums of tokens *
+   posterior * posterior'), so that all domains move alike, however rare or mixed up, and few steps are needed. A step
+   needs only a few sums per domain over all documents; every document's rate follows from the step vectors, so no state
+   is kept per document. Steps end when every target is met, or when the projected gradient vanishes: targets that no
+   rates can meet are met as closely as the misfit allows, with a warning.
 3. A document is given out floor(rate + u) times, u from a hash of its id and text.
 
 Defined results: a null or empty text has 0 tokens, the prior as posterior, and a rate like any other; labels that are
@@ -134,7 +135,8 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
     k = range(len(DOMAINS))
     weight = F.col("tokens") * F.col("copies")
     gram = known.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("all"),
-                     *[F.coalesce(F.sum(weight * F.col("p")[i]), F.lit(0.0)).alias(f"e{i}") for i in k]).first()
+                     *[F.coalesce(F.sum(weight * F.col("p")[i]), F.lit(0.0)).alias(f"e{i}") for i in k],
+                     *[F.coalesce(F.sum(weight * F.col("p")[i] * F.col("p")[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k]).first()
     expected = np.array([gram[f"e{i}"] for i in k])
     share = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS], dtype=float) * (expected > 0)
     if not gram["all"] or not share.any():
@@ -143,8 +145,8 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
     top = int(share.argmax())
     total = max(float(gram["all"]), expected[top] / share[top]) if total is None else total
     wanted = share * total
-    # posteriors add up to 1, so with this scale the largest eigenvalue is 1, and so is the step size
-    scale = np.where(expected > 0, 1.0 / np.where(expected > 0, expected, 1.0), 0.0)
+    # with this measure all eigenvalues are 1 (or 0), and so is the step size
+    scale = np.linalg.pinv(np.array([[gram[f"g{i}_{j}"] for j in k] for i in k]), rcond=1e-12, hermitian=True)
     bound = np.maximum(wanted, TOLERANCE * total)
     steps: list[tuple[float, np.ndarray]] = []
     reached = before = expected
@@ -155,14 +157,14 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
             break
         if len(steps) == LIMIT:
             raise RuntimeError(f"mixing: after {LIMIT} steps {dict(zip(DOMAINS, reached))}, wanted {dict(zip(DOMAINS, wanted))}")
-        misfit = float((scale * (reached - wanted) ** 2).sum())
+        misfit = float((reached - wanted) @ scale @ (reached - wanted))
         if misfit > last:  # momentum leads away: begin anew
             pace = 1.0
         last = misfit
         following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
         momentum, pace = (pace - 1) / following if steps else 0.0, following
         ahead = reached + momentum * (reached - before)  # totals are linear in the rates
-        steps.append((momentum, scale * (ahead - wanted)))
+        steps.append((momentum, scale @ (ahead - wanted)))
         sums = known.select(weight.alias("n"), "p", _walk(steps).alias("at")).agg(
             *[F.sum(F.col("n") * F.col("p")[i] * F.col("at.r")).alias(f"e{i}") for i in k],
             *[F.sum(F.col("n") * F.col("p")[i] * F.abs(F.col("at.r") - F.col("at.ahead"))).alias(f"m{i}") for i in k]).first()
