@@ -1,7 +1,9 @@
 """Near-duplicate detection by improved consistent weighted sampling over TF-IDF shingles.
 
 1. Document frequencies of all five-word shingles are counted over all documents into DF_BUCKETS hashed counters (a
-   table of fixed size), which gives every shingle its idf. Copies have one vote together: a first pass groups texts by
+   table of fixed size), which gives every shingle its idf. A counter that a rare shingle shares holds about (shingles of
+   a document) / DF_BUCKETS of all documents, 0.1% at 300 shingles, however many documents there are: so rare shingles
+   have nearly one idf, and those of more than some 0.1% of the documents a lower one. Copies have one vote together: a first pass groups texts by
    plain min-hashes (GROUP_BANDS x GROUP_ROWS), and each row votes with 1 / the rows of its group. So the size of a group
    doesn't push down what its members share.
 2. Each text draws HASHES consistent weighted samples (Ioffe's scheme: per shingle and hash two gamma variates and a
@@ -65,9 +67,8 @@ def _group_odds() -> np.ndarray:
     return rng.integers(0, 1 << 63, GROUP_BANDS * GROUP_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def group_keys(text: str) -> np.ndarray:
-    """Bucket key of each band of plain min-hashes; none for a text without words."""
-    found = common.shingles(common.word_hashes(text.encode("utf-8", "surrogatepass")), WORDS)
+def group_keys(found: np.ndarray) -> np.ndarray:
+    """Bucket key of each band of plain min-hashes of a text's shingles; none for a text without words."""
     if not len(found):
         return np.empty(0, dtype=np.int64)
     odd = _group_odds()[:, None]
@@ -75,15 +76,32 @@ def group_keys(text: str) -> np.ndarray:
     return _band_keys(low.reshape(GROUP_BANDS, GROUP_ROWS))
 
 
-def copy_votes(docs: DataFrame, path: str) -> DataFrame:
-    """node and vote (VOTE / rows of its group) of the texts in groups of several rows."""
+def packed_buckets(found: np.ndarray) -> bytes:
+    """Counters of a text's distinct shingles, sorted, as steps of two bytes, or as they are where a step is larger."""
+    at = np.sort(df_bucket(found))
+    steps = np.diff(at, prepend=0)
+    return b"\0" + steps.astype("<u2").tobytes() if not len(at) or steps.max() < 1 << 16 else b"\1" + at.astype("<u4").tobytes()
+
+
+def unpacked_buckets(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, "<u2", offset=1), dtype=np.int64) if data[:1] == b"\0" else np.frombuffer(data[1:], "<u4").astype(np.int64)
+
+
+def sketches(docs: DataFrame, path: str) -> DataFrame:
+    """One row per distinct text: node, keys of its plain min-hashes, counters of its shingles, n (rows)."""
 
     def sketched(batches):
         for pdf in batches:
-            yield pd.DataFrame({"node": pdf["node"], "keys": [group_keys(t) for t in pdf["text"]]})
+            found = [shingle_counts(t)[0] for t in pdf["text"]]
+            yield pd.DataFrame({"node": pdf["node"], "keys": [group_keys(x) for x in found], "buckets": [packed_buckets(x) for x in found]})
 
-    rows = common.text_of(docs).withColumn("node", node_of(F.col("text"))).mapInPandas(sketched, "node binary, keys array<long>")
-    nodes = _stored(rows.groupBy("node").agg(F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n")), f"{path}/sketches")
+    rows = common.text_of(docs).withColumn("node", node_of(F.col("text"))).mapInPandas(sketched, "node binary, keys array<long>, buckets binary")
+    return _stored(rows.groupBy("node").agg(F.first(F.struct("keys", "buckets")).alias("s"), F.count(F.lit(1)).alias("n"))
+                   .select("node", "s.keys", "s.buckets", "n"), f"{path}/sketches")
+
+
+def copy_votes(nodes: DataFrame, path: str) -> DataFrame:
+    """node and vote (VOTE / rows of its group) of the sketched texts in groups of several rows."""
     buckets = nodes.select("node", F.explode("keys").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("met")).where(F.col("met") > 1)
     edges = buckets.join(shared, "bucket").select(F.col("leader").alias("a"), F.col("node").alias("b"))
@@ -94,20 +112,23 @@ def copy_votes(docs: DataFrame, path: str) -> DataFrame:
 
 
 def idf_table(docs: DataFrame, path: str | None = None) -> np.ndarray:
-    """log(1 + N / df) per hashed counter, N and df in votes; DF_BUCKETS numbers whatever the input's size."""
+    """log(1 + N / df) per hashed counter, N and df in votes; DF_BUCKETS numbers whatever the input's size.
+
+    Texts are read once, for the sketches; votes meet the sketches' counters, a tenth of the texts' size.
+    """
 
     def counted(batches):
         total, n = np.zeros(DF_BUCKETS, dtype=np.int64), 0
         for pdf in batches:
-            n += int(pdf["vote"].sum())
-            for text, vote in zip(pdf["text"], pdf["vote"], strict=True):
-                np.add.at(total, df_bucket(shingle_counts(text)[0]), vote)
+            n += int(pdf["votes"].sum())
+            for data, votes in zip(pdf["buckets"], pdf["votes"], strict=True):
+                np.add.at(total, unpacked_buckets(data), votes)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": np.append(at, -1), "n": np.append(total[at], n)})
 
-    votes = copy_votes(docs, path or scratch_path(docs.sparkSession, "copy-groups"))
-    rows = (common.text_of(docs).withColumn("node", node_of(F.col("text"))).join(votes, "node", "left")
-            .select("text", F.coalesce("vote", F.lit(VOTE)).alias("vote")))
+    path = path or scratch_path(docs.sparkSession, "copy-groups")
+    nodes = sketches(docs, path)
+    rows = nodes.join(copy_votes(nodes, path), "node", "left").select("buckets", (F.col("n") * F.coalesce("vote", F.lit(VOTE))).alias("votes"))
     counts = rows.mapInPandas(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(DF_BUCKETS)
     known = counts[counts["bucket"] >= 0]
