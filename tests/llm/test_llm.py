@@ -15,8 +15,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltmart.llm import (
-    common, language_fusion, license_diagonals, piece_spans, quality_ledger, queries, rank_merge, soft_mix, threshold_topk,
-    token_dac, weighted_minhash, wrapper_induction,
+    attention_scores, common, conversation_trie, language_fusion, license_diagonals, piece_spans, quality_ledger, queries,
+    rank_merge, soft_mix, spelling_variants, threshold_topk, token_dac, weighted_minhash, wrapper_induction,
 )
 from voltmart.session import scratch_path
 
@@ -465,3 +465,248 @@ def test_registered_queries(spark):
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
     for name in ("op1_quality_ledger", "op5_threshold_topk", "op9_license_diagonals"):
         assert isinstance(queries.QUERIES[name](spark, SF).toPandas(), pd.DataFrame)
+
+
+# --- op11 ------------------------------------------------------------------------------------------------------------
+
+def plain_trie(sequences):
+    """Rows of the trie of {conv_id: turns} by its definition."""
+    members = collections.defaultdict(list)
+    for c, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = collections.Counter(p[:-1] for p in members if p)
+    own = {p: (len(cs) - 1) * len(p[-1][1]) if p else 0 for p, cs in members.items()}
+    leaves, saved = collections.Counter(), collections.Counter()
+    for p in members:
+        for d in range(len(p) + 1):
+            saved[p[:d]] += own[p]
+            leaves[p[:d]] += not children[p]
+    out = []
+    for p, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c in cs if tuple(sequences[c]) == p))
+        out.append((min(cs), len(p), min(members[p[:-1]]) if p else None, len(cs), children[p], leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def plain_rebuilt(turns):
+    own = collections.defaultdict(list)
+    for c, t, role, text in turns:
+        if c is not None:
+            own[c].append((t is not None, t or 0, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(x)] for c, x in own.items()}
+    out = {}
+    for c, mine in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = own.get(c - c % 100, [])[:h] + mine[h:]
+    return out
+
+
+def trie_rows(df):
+    return by_row(tuple(r) for r in df.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256").collect())
+
+
+TURNS = "conv_id long, turn int, role string, text string, lo int, a long, turns string"
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(conversation_trie, "BLOCK", 8)
+
+
+def test_trie_against_plain_definition(spark, small_blocks):
+    rng = random.Random(3)
+    rows = []
+    for c in [*range(0, 40), *range(100, 160), 200, 7_000_000_000]:
+        n = rng.choice([0, 1, 3, 5, 6, 7, 9, 17, 40] if c % 10 else [9])
+        rows += [(c, t, rng.choice(["user", "assistant", None]), rng.choice(["a", "bb", "", None, "é日"]), 1, 2, "x") for t in range(n)]
+    rows += [(5, None, "user", "null turn first", 0, 0, ""), (5, None, "user", "a tie", 0, 0, ""), (6, 1, "user", "tie", 0, 0, ""), (6, 1, "user", "tie", 0, 0, "")]
+    rows += [(None, 0, "user", "no conversation", 0, 0, "")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, TURNS).repartition(5)
+    got = conversation_trie.prefix_trie(conversation_trie.rebuilt(conversation_trie.sequences(df)))
+    assert trie_rows(got) == by_row(plain_trie(plain_rebuilt([r[:4] for r in rows])))
+
+
+def test_trie_of_copies_and_of_nothing(spark, small_blocks):
+    """A third of all conversations are one and the same; their numbers are digested over many tasks and blocks."""
+    rows = [(c, t, "user", f"t{t}" if c % 3 else f"t{t} of {c}", 0, 0, "") for c in range(1000, 1300) for t in range(3)]
+    df = spark.createDataFrame(rows, TURNS).repartition(7)
+    own = conversation_trie.sequences(df)
+    got = trie_rows(conversation_trie.prefix_trie(own))
+    assert got == by_row(plain_trie({c: [("user", f"t{t}" if c % 3 else f"t{t} of {c}") for t in range(3)] for c in range(1000, 1300)}))
+    nothing = conversation_trie.sequences(df.limit(0))
+    assert conversation_trie.prefix_trie(conversation_trie.rebuilt(nothing)).count() == 0
+
+
+def test_end_names_follow_the_cuts(spark):
+    rows = [(c, t, "u", f"{c}-{t}", 0, 0, "") for c in range(1, 12) for t in range(c)]
+    whole = conversation_trie.sequences(spark.createDataFrame(rows, TURNS))
+    tables = conversation_trie.trie(whole, scratch_path(spark, "trie-test"), 16)
+    names = {(r.a, r.b) for r in whole.select(conversation_trie.end_name(F.col("turns"), 16).alias("x")).select("x.*").collect()}
+    made = {(r.la, r.lb) for r in tables[1].where(F.size("turns") > 0).collect()}
+    assert len(names) == 11 and names <= made
+
+
+# --- op12 ------------------------------------------------------------------------------------------------------------
+
+def near_pairs(words):
+    """Pairs one edit apart, from shared rests."""
+    out = set()
+    rests = collections.defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            rests[i, w[:i] + w[i + 1:]].add(w)
+            if w[:i] + w[i + 1:] in words:
+                out |= {(w, w[:i] + w[i + 1:]), (w[:i] + w[i + 1:], w)}
+    for group in rests.values():
+        out |= {(a, b) for a in group for b in group if a != b}
+    return out
+
+
+def plain_variants(texts):
+    counts = collections.Counter()
+    for doc_id, text in texts:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text):
+            run = run.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run[:h % len(run)] + run[h % len(run) + 1:] if h % 97 == 0 else run] += 1
+    n = {w: k for w, k in counts.items() if len(w) >= 5 and k >= 3}
+    near = collections.defaultdict(list)
+    for a, b in near_pairs(set(n)):
+        near[a].append(b)
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 2 * n[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+    return [(w, form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n]
+
+
+def variant_rows(df):
+    return by_row(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
+
+
+def test_variants_against_plain_definition(docs, odd):
+    some = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    assert variant_rows(spelling_variants.variants(some)) == by_row(plain_variants(texts_of(some)))
+
+
+@pytest.mark.parametrize("cell, room", [(64, 400), (16, 1 << 22)])
+def test_variants_in_small_cells_and_blocks(spark, monkeypatch, cell, room):
+    """Cells, blocks and many anagrams at one point lose no link."""
+    monkeypatch.setattr(spelling_variants, "MANY", 4)
+    rng = random.Random(5)
+    words = {"".join(rng.choices("abcé", k=rng.choice([5, 6, 7]))) for _ in range(900)} | {"".join(x) for x in itertools.permutations("abcde")}
+    rows = [(i, " ".join(rng.choices(sorted(words), k=400))) for i in range(60)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("word", F.lit(1)).withColumn("n", F.lit("x")).repartition(4)
+    assert variant_rows(spelling_variants.variants(df, cell=cell, room=room)) == by_row(plain_variants([(i, t or "") for i, t in rows]))
+
+
+def test_variants_of_nothing(empty):
+    assert spelling_variants.variants(empty).count() == 0
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    monkeypatch.setattr(spelling_variants, "PIECE", 7)
+    data = "Éa bcdé-fghij×kl, mnö pq".encode()
+    assert b"".join(spelling_variants._pieces(data)) == data
+    assert [w for p in spelling_variants._pieces(data) for w in spelling_variants.RUN.findall(p)] == spelling_variants.RUN.findall(data)
+
+
+# --- op13 ------------------------------------------------------------------------------------------------------------
+
+def plain_base(texts):
+    held = {i: zlib.crc32(str("" if i is None else i).encode()) % 10 == 0 for i, _ in texts}
+    tokens = lambda t: [*t.encode().lower().split(), None]
+    counts = collections.Counter(w for i, t in texts if not held[i] for w in tokens(t))
+    total, kinds = sum(counts.values()), len(counts)
+    return [(i, held[i], len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), total,
+             sum(np.log10((counts[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in tokens(t))) for i, t in texts]
+
+
+@pytest.mark.parametrize("heavy", [1 << 20, 4])
+def test_base_scores_against_plain_counts(spark, docs, odd, monkeypatch, heavy):
+    monkeypatch.setattr(attention_scores, "HEAVY", heavy)  # 4: nearly all words go through the join
+    monkeypatch.setattr(attention_scores, "EPOCHS", 1)
+    some = docs.select("doc_id", "text").where("doc_id % 5 = 1").unionByName(odd.select("doc_id", "text")).withColumn("ids", F.lit(1)).withColumn("rid", F.lit(0))
+    got = attention_scores.scores(some).collect()
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    want = by_row((*x[:5], round(x[5], 3)) for x in plain_base(texts_of(some)))
+    found = by_row((*(getattr(r, c) for c in columns), round(r.base_score, 3)) for r in got)
+    assert [x[:5] for x in found] == [x[:5] for x in want]
+    assert np.allclose([x[5] for x in found], [x[5] for x in want], atol=2e-3)
+    assert all(r.score < 0 for r in got)
+
+
+def test_scores_of_nothing_and_without_training(spark, empty):
+    assert attention_scores.scores(empty).count() == 0
+    row = attention_scores.scores(spark.createDataFrame([(None, None)], "doc_id long, text string")).first()
+    assert (row.doc_id, row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (None, True, 1, 0, 0, 0.0)
+
+
+def test_attention_beats_single_ids_on_held_out_texts(docs):
+    """The trained model gives held-out texts more probability than the frequencies of the ids do."""
+    rows = attention_scores._stored(attention_scores.read(docs), scratch_path(docs.sparkSession, "lm-test"))
+    counts = np.zeros(attention_scores.VOCABULARY, dtype=np.int64)
+    for r in attention_scores.counts_of(rows).where("what = 1").collect():
+        counts[r["key"]] = r["n"]
+    counts[attention_scores.END] += rows.where("not held_out").count()
+    held = [np.array(r.ids, dtype=np.int64) for r in rows.where("held_out").collect()]
+    steps = sum(len(x) + 1 for x in held)
+    single = np.log10((counts + 0.1) / (counts + 0.1).sum())
+    alone = sum(single[x].sum() + single[attention_scores.END] for x in held) / steps
+    start = attention_scores.Scorer(attention_scores.Model(counts)).score(held).sum() / steps
+    model = attention_scores.fit(rows, counts)
+    assert attention_scores.Scorer(model).score(held).sum() / steps > max(alone, start) + 0.15
+
+
+def test_each_id_is_scored_once_with_its_window():
+    """Scores in batches equal those of a plain loop over the ids, with the context that the windows give."""
+    rng = np.random.default_rng(4)
+    A = attention_scores
+    model = A.Model(rng.integers(0, 50, A.VOCABULARY))
+    model.near = rng.standard_normal(A.WINDOW).astype(np.float32)
+    model.embed = rng.standard_normal(model.embed.shape).astype(np.float32) * 0.5
+    texts = [rng.integers(0, A.VOCABULARY, n) for n in (0, 1, 15, 16, 17, 31, 32, 70)]
+
+    def plain(ids):
+        given, total = [A.END, *ids], 0.0
+        for t, wanted in enumerate([*ids, A.END]):
+            begin = max(0, (t // A.STRIDE - 1) * A.STRIDE)
+            x = model.embed[given[begin:t + 1]].astype(float)
+            q = x[-1] @ model.q
+            a = np.exp((x @ model.k) @ q / 4 + model.near[t - begin::-1][:len(x)])
+            h = x[-1] + (a / a.sum()) @ (x @ model.v)
+            p = np.exp(model.out @ h + model.bias)
+            total += np.log(p[model.cls[wanted]] / p.sum()) + model.share[wanted]
+        return total / np.log(10)
+
+    assert np.allclose(A.Scorer(model).score(texts), [plain(x.tolist()) for x in texts], rtol=1e-4)
+    total = sum(np.exp(model.share[model.cls == c]).sum() for c in range(A.CLASSES))
+    assert abs(total - A.CLASSES) < 1e-2  # P(id | class) adds up to 1 in each class
+
+
+def test_training_lowers_the_loss():
+    A = attention_scores
+    rng = np.random.default_rng(2)
+    ids = np.tile(rng.integers(0, 300, 40), 60)  # a repeating text can be learned
+    model = A.Model(np.bincount(ids, minlength=A.VOCABULARY))
+    windows, trainer = A.windows_of(ids), A.Trainer(model)
+    losses = [trainer.step(windows) for _ in range(60)]
+    assert losses[-1] < 0.5 * losses[0]
+
+
+# --- long texts ------------------------------------------------------------------------------------------------------
+
+def test_quality_of_long_texts_in_linear_time():
+    import time
+    began = time.time()
+    for text in ("=" * 2_000_000, "=a" * 1_000_000, "same line\n" * 200_000, "word " * 400_000):
+        quality_ledger.measure(text)
+    assert time.time() - began < 60
+    assert quality_ledger.measure("a=b == _1 é1 日 12")[-1] == 3
