@@ -710,3 +710,53 @@ def test_quality_of_long_texts_in_linear_time():
         quality_ledger.measure(text)
     assert time.time() - began < 60
     assert quality_ledger.measure("a=b == _1 é1 日 12")[-1] == 3
+
+
+# --- op9: labels of the method ---------------------------------------------------------------------------------------
+
+def plain_passages(text):
+    """Label -> coverage by the definition: over all diagonals that are strongest within MAX_SHIFT."""
+    L = license_diagonals
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    places = collections.defaultdict(list)
+    for i in range(len(words) - 1):
+        places[words[i], words[i + 1]].append(i)
+    out = {}
+    for passage, label in L.PASSAGES:
+        w = passage.split()
+        met = collections.defaultdict(set)
+        for t in range(len(w) - 1):
+            for i in places[w[t], w[t + 1]]:
+                met[i - t].add(t)
+        for d, own in met.items():
+            near = [e for e in range(d - L.MAX_SHIFT, d + L.MAX_SHIFT + 1) if e in met]
+            if max(near, key=lambda e: (len(met[e]), -e)) == d:
+                share = len(set().union(*(met[e] for e in near))) / (len(w) - 1)
+                if share >= L.MIN_COVERAGE:
+                    out[label] = max(share, out.get(label, 0))
+    return out
+
+
+def test_license_labels_against_plain_diagonals(spark):
+    rng = random.Random(9)
+    rows = [(0, "the software " * 9), (1, "free of charge " * 12), (2, "the license the software " * 40)]
+    for i in range(3, 60):
+        words = []
+        for _ in range(rng.randint(1, 3)):
+            words += rng.choices(["the", "software", "license", "free", "of", "charge", "x", "mit", "and"], k=rng.randint(0, 30))
+            part = rng.choice(license_diagonals.PASSAGES)[0].split()
+            words += [w for w in part for _ in range(rng.choice([1, 1, 1, 1, 1, 1, 1, 0, 2]))][:rng.randint(3, 60)]
+        rows.append((i, rng.choice([" ", ", ", "\n"]).join(words)))
+    out = {r.doc_id: r for r in license_diagonals.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0].labels == out[1].labels == out[2].labels == ""
+    for i, text in rows:
+        want = plain_passages(text)
+        base = {x for x in out[i].base_labels.split(",") if x}
+        assert {x for x in out[i].labels.split(",") if x} == set(want) | base
+        assert out[i].score == pytest.approx(max([1.0] * bool(base) + list(want.values()), default=0.0))
+
+
+def test_equal_rows_are_put_together_before_they_are_dealt(spark):
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the mit license and the apache license").alias("text"))
+    out = license_diagonals.scan(rows)
+    assert out.count() == 4000 and out.distinct().count() == 1

@@ -2,15 +2,17 @@
 
 Every rolling k-gram of a text's words is joined with the k-gram positions of the license templates. A match votes for
 the diagonal (place in the text minus place in the template): an unbroken copy puts all its votes on one diagonal, an
-inserted or lost word moves the rest to a neighbouring one. Diagonals of one document and template that lie within
-MAX_SHIFT of each other are merged, and a merged span counts when enough of the template's k-grams stand in it (words
-are compared, not only hashes).
+inserted or lost word moves the rest to a neighbouring one. A diagonal with the most votes among those within MAX_SHIFT
+of it (ties: the smallest) takes them into its span. A span counts when the share of the template's k-grams that are
+matched in it, each once, is at least MIN_COVERAGE (words are compared, not only hashes): a phrase that repeats matches
+the same few k-grams again and again, and adds nothing.
 
 Templates are fixed texts of this module, so the joined side is of constant size and can be broadcast. The short
 phrases are templates that must match in full; the longer ones add labels of their own.
 
 Defined results: a null or empty text has no words, no places, empty labels and score 0; a null doc_id is carried;
-repeated rows get a row each; extra columns are ignored; an empty table gives an empty result.
+repeated rows get a row each; a very long text is scanned whole; extra columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -95,31 +97,34 @@ def matches(docs: DataFrame, grams: DataFrame) -> DataFrame:
     found = places.join(F.broadcast(grams), (F.col("key") == F.col("gram")) & (same | equal))
     place = F.when(whole, F.coalesce(F.col("place") + 1, F.lit(0))).otherwise(F.col("place"))
     keys = ["doc_id", "row", "template", "tpos", "place", "n_grams", "label", "phrase"]
-    # dealt once by text; the groupings and windows that follow stay on that deal
-    return (found.withColumn("place", place).select(*keys).repartition("doc_id", "row")
-            .groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")))
+    # equal rows are one from here on, put together before they are dealt; the groupings and windows that follow stay on
+    # the second deal
+    return (found.withColumn("place", place).select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+            .repartition("doc_id", "row"))
 
 
 def diagonals(found: DataFrame) -> DataFrame:
-    """Votes per text, template and diagonal, with neighbouring diagonals of a passage under one span number."""
-    votes = (found.groupBy("doc_id", "row", "template", "n_grams", "label", "phrase", (F.col("place") - F.col("tpos")).alias("diagonal"))
-             .agg(F.count(F.lit(1)).alias("votes"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("copies").alias("copies")))
-    along = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal")
-    far = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal").over(along) > MAX_SHIFT)  # phrases allow no gap
-    numbered = F.sum("far").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    return votes.withColumn("far", F.coalesce(far, F.lit(True)).cast("int")).withColumn("span", numbered)
+    """Votes per text, template and diagonal: the template positions matched on it (at most n_grams, each once), and
+    those matched within MAX_SHIFT of it."""
+    at = F.col("place") - F.col("tpos")
+    votes = (found.groupBy("doc_id", "row", "template", "n_grams", "label", "phrase", at.alias("diagonal"))
+             .agg(F.collect_set("tpos").alias("met"), F.min("place").alias("first"), F.max("place").alias("last"), F.max("copies").alias("copies"))
+             .withColumn("votes", F.size("met")))
+    near = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal").rangeBetween(-MAX_SHIFT, MAX_SHIFT)
+    strongest = F.max(F.struct("votes", -F.col("diagonal"))).over(near) == F.struct("votes", -F.col("diagonal"))
+    return (votes.withColumn("strongest", strongest).withColumn("around", F.size(F.array_distinct(F.flatten(F.collect_list("met").over(near)))))
+            .withColumn("begin", F.min("first").over(near)).withColumn("end", F.max("last").over(near)))
 
 
 def spans(found: DataFrame) -> DataFrame:
     """Verified spans: doc_id, row, template, label, phrase, first, last (words), coverage, copies; WHOLE rows stay."""
-    merged = (diagonals(found).groupBy("doc_id", "row", "template", "n_grams", "label", "phrase", "span")
-              .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"), F.max("copies").alias("copies")))
-    coverage = F.least(F.lit(1.0), F.col("votes") / F.col("n_grams"))
-    # a phrase needs all of its k-grams on its diagonal; a passage most of them, and no more room than twice its own
+    alone = (F.col("template") == WHOLE) | F.col("phrase")  # phrases allow no gap: all of their k-grams on one diagonal
+    coverage = F.when(alone, F.col("votes")).otherwise(F.col("around")) / F.col("n_grams")
     sound = F.when(F.col("template") == WHOLE, True).when(F.col("phrase"), F.col("votes") == F.col("n_grams")).otherwise(
-        (coverage >= MIN_COVERAGE) & (F.col("last") - F.col("first") < 2 * F.col("n_grams") + MAX_SHIFT))
-    return merged.where(sound).select("doc_id", "row", "template", "label", "phrase", "first",
-                                      (F.col("last") + K - 1).alias("last"), coverage.alias("coverage"), "copies")
+        F.col("strongest") & (coverage >= MIN_COVERAGE))
+    return diagonals(found).where(sound).select(
+        "doc_id", "row", "template", "label", "phrase", F.when(alone, F.col("first")).otherwise(F.col("begin")).alias("first"),
+        (F.when(alone, F.col("last")).otherwise(F.col("end")) + K - 1).alias("last"), coverage.alias("coverage"), "copies")
 
 
 def scan(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
