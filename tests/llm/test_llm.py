@@ -760,3 +760,26 @@ def test_equal_rows_are_put_together_before_they_are_dealt(spark):
     rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the mit license and the apache license").alias("text"))
     out = license_diagonals.scan(rows)
     assert out.count() == 4000 and out.distinct().count() == 1
+
+
+# --- op3: rates against a plain fit ----------------------------------------------------------------------------------
+
+def test_rates_against_a_plain_projected_fit(spark):
+    """Rates of 200 documents equal those of the same descent written plainly, meet the targets, and are never negative."""
+    rng = np.random.default_rng(6)
+    p = rng.dirichlet([0.3, 0.2, 0.3], 200)
+    n = rng.integers(1, 500, 200)
+    rows = [(i, i, 1, int(n[i]), [float(x) for x in p[i]]) for i in range(200)]
+    known = spark.createDataFrame(rows, "doc_id long, row long, copies int, tokens long, p array<double>")
+    steps, told = soft_mix.solve(known)
+    rate = np.array([r.r for r in known.select("doc_id", soft_mix.rate_of(steps).alias("r")).orderBy("doc_id").collect()])
+    share = np.array([soft_mix.TARGETS[d] for d in soft_mix.DOMAINS])
+    totals = lambda r: (r * n) @ p
+    wanted = share * max(n.sum(), totals(np.ones(200))[0] / share[0])
+    assert (rate >= 0).all() and np.allclose(totals(rate), wanted, rtol=2e-3) and np.allclose(told["targets"], wanted)
+    plain, active, whole = np.ones(200), np.ones(200, dtype=bool), (p * n[:, None]).T @ p
+    while (abs(totals(plain) - wanted) > 1e-3 * wanted).any():
+        gram = (p * (n * active)[:, None]).T @ p
+        plain = np.maximum(0, plain - p @ np.linalg.solve((1 - 1e-6) * gram + 1e-6 * whole, totals(plain) - wanted))
+        active = plain > 0
+    assert np.allclose(rate, plain, rtol=1e-4, atol=1e-6) and len(steps) < 30

@@ -3,12 +3,13 @@
 1. A naive Bayes classifier over words is fitted on labelled rows (the FIT_ROWS of smallest id hash, a documented
    bound) and keeps its MODEL_WORDS most telling words; it gives every document a posterior over the domains, its
    evidence tempered to at most EVIDENCE_WORDS telling words.
-2. Rates r >= 0 are fitted so that the expected domain tokens sum(r * tokens * posterior) meet the targets: accelerated
-   projected gradient descent on the squared misfit, measured by the inverse of the domains' Gram matrix (sums of tokens *
-   posterior * posterior'), so that all domains move alike, however rare or mixed up, and few steps are needed. A step
-   needs only a few sums per domain over all documents; every document's rate follows from the step vectors, so no state
-   is kept per document. Steps end when every target is met, or when the projected gradient vanishes: targets that no
-   rates can meet are met as closely as the misfit allows, with a warning.
+2. Rates r >= 0 are fitted so that the expected domain tokens sum(r * tokens * posterior) meet the targets: projected
+   gradient descent on the squared misfit, r <- max(0, r - posterior . step). The misfit is measured by the inverse of
+   the domains' Gram matrix (sums of tokens * posterior * posterior') over the documents that still have a rate, so that
+   all domains move alike, however rare or mixed up, and few steps are needed. A step needs only a few sums per domain
+   over all documents; every document's rate follows from the step vectors, so no state is kept per document. Steps end
+   when every target is met, or when the projected gradient vanishes: targets that no rates can meet are met as closely as
+   the misfit allows, with a warning.
 3. A document is given out floor(rate + u) times, u from a hash of its id and text.
 
 Defined results: a null or empty text has 0 tokens, the prior as posterior, and a rate like any other; labels that are
@@ -36,8 +37,9 @@ MODEL_WORDS = 4096
 MIN_COUNT = 5
 EVIDENCE_WORDS = 12
 ABSENT = -1e9  # log prior of a domain without labelled rows
-LIMIT = 1000  # steps; solve fails when they don't suffice
+LIMIT = 100  # steps; solve fails when they don't suffice
 TOLERANCE = 1e-3  # misfit of a domain over its target (of targets under TOLERANCE of the total: over that)
+WHOLE = 1e-6  # weight of all documents beside those that still have a rate
 STILL = 1e-5  # likewise, the tokens that a step still moves within a domain
 
 
@@ -107,26 +109,22 @@ def posteriors(docs: DataFrame, model: Model) -> DataFrame:
                        F.transform(raised, lambda x: x / mass).alias("p"))
 
 
-def rate_of(steps: list[tuple[float, np.ndarray]]) -> Column:
-    """A document's rate after the given (momentum, step) pairs, from r = 1: with y = r + momentum * (r - last r),
-    r <- max(0, y - p . step)."""
-    if not steps:
-        return F.lit(1.0)
-    return _walk(steps)["r"]
+def rate_of(steps: list[np.ndarray]) -> Column:
+    """A document's rate after the given steps, from r = 1: r <- max(0, r - p . step)."""
+    return _walk(steps)["r"] if steps else F.lit(1.0)
 
 
-def _walk(steps: list[tuple[float, np.ndarray]]) -> Column:
-    path = F.array(*[F.array(F.lit(float(m)), *[F.lit(float(x)) for x in step]) for m, step in steps])
+def _walk(steps: list[np.ndarray]) -> Column:
+    path = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
 
     def follow(at: Column, step: Column) -> Column:
-        down = sum((F.col("p")[i] * step[i + 1] for i in range(len(DOMAINS))), F.lit(0.0))
-        ahead = at["r"] + step[0] * (at["r"] - at["last"])
-        return F.struct(F.greatest(F.lit(0.0), ahead - down).alias("r"), at["r"].alias("last"), ahead.alias("ahead"))
+        down = sum((F.col("p")[i] * step[i] for i in range(len(DOMAINS))), F.lit(0.0))
+        return F.struct(F.greatest(F.lit(0.0), at["r"] - down).alias("r"), at["r"].alias("last"))
 
-    return F.aggregate(path, F.struct(*[F.lit(1.0).alias(x) for x in ("r", "last", "ahead")]), follow)
+    return F.aggregate(path, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("last")), follow)
 
 
-def solve(known: DataFrame, targets: dict[str, float] | None = None, total: float | None = None) -> tuple[list, dict]:
+def solve(known: DataFrame, targets: dict[str, float] | None = None, total: float | None = None) -> tuple[list[np.ndarray], dict]:
     """Steps of the projected gradient descent, and the targets and the totals it reaches.
 
     ``total``: tokens wanted in all; by default what the input has, or more where that would thin out the domain of
@@ -136,7 +134,7 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
     weight = F.col("tokens") * F.col("copies")
     gram = known.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("all"),
                      *[F.coalesce(F.sum(weight * F.col("p")[i]), F.lit(0.0)).alias(f"e{i}") for i in k],
-                     *[F.coalesce(F.sum(weight * F.col("p")[i] * F.col("p")[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k]).first()
+                     *[F.coalesce(F.sum(weight * F.col("p")[i] * F.col("p")[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k if i <= j]).first()
     expected = np.array([gram[f"e{i}"] for i in k])
     share = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS], dtype=float) * (expected > 0)
     if not gram["all"] or not share.any():
@@ -145,30 +143,31 @@ def solve(known: DataFrame, targets: dict[str, float] | None = None, total: floa
     top = int(share.argmax())
     total = max(float(gram["all"]), expected[top] / share[top]) if total is None else total
     wanted = share * total
-    # with this measure all eigenvalues are 1 (or 0), and so is the step size
-    scale = np.linalg.pinv(np.array([[gram[f"g{i}_{j}"] for j in k] for i in k]), rcond=1e-12, hermitian=True)
+    square = lambda row: np.array([[row[f"g{min(i, j)}_{max(i, j)}"] for j in k] for i in k], dtype=float)
+    whole = active = square(gram)
+    fixed = np.linalg.pinv(whole, rcond=1e-12, hermitian=True)
     bound = np.maximum(wanted, TOLERANCE * total)
-    steps: list[tuple[float, np.ndarray]] = []
-    reached = before = expected
-    pace, moved, last = 1.0, np.inf, np.inf
+    steps: list[np.ndarray] = []
+    reached = expected
+    pace, moved, best, since = 1.0, np.inf, np.inf, 0
     while (np.abs(reached - wanted) > TOLERANCE * bound).any():
         if np.max(moved) <= STILL:
             warnings.warn(f"no rates meet the targets {dict(zip(DOMAINS, wanted))}; reached: {dict(zip(DOMAINS, reached))}", stacklevel=2)
             break
         if len(steps) == LIMIT:
             raise RuntimeError(f"mixing: after {LIMIT} steps {dict(zip(DOMAINS, reached))}, wanted {dict(zip(DOMAINS, wanted))}")
-        misfit = float((reached - wanted) @ scale @ (reached - wanted))
-        if misfit > last:  # momentum leads away: begin anew
-            pace = 1.0
-        last = misfit
-        following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
-        momentum, pace = (pace - 1) / following if steps else 0.0, following
-        ahead = reached + momentum * (reached - before)  # totals are linear in the rates
-        steps.append((momentum, scale @ (ahead - wanted)))
+        misfit = float((reached - wanted) @ fixed @ (reached - wanted))
+        best, since = (misfit, 0) if misfit < best else (best, since + 1)
+        if since == 5:  # steps lead to and fro: shorter ones
+            pace, since = pace / 2, 0
+        measure = np.linalg.pinv((1 - WHOLE) * active + WHOLE * whole, rcond=1e-12, hermitian=True)
+        steps.append(pace * (measure @ (reached - wanted)))
+        at, p = F.col("at.r"), [F.col("p")[i] for i in k]
         sums = known.select(weight.alias("n"), "p", _walk(steps).alias("at")).agg(
-            *[F.sum(F.col("n") * F.col("p")[i] * F.col("at.r")).alias(f"e{i}") for i in k],
-            *[F.sum(F.col("n") * F.col("p")[i] * F.abs(F.col("at.r") - F.col("at.ahead"))).alias(f"m{i}") for i in k]).first()
-        before, reached = reached, np.array([float(sums[f"e{i}"]) for i in k])
+            *[F.sum(F.col("n") * p[i] * at).alias(f"e{i}") for i in k],
+            *[F.sum(F.when(at > 0, F.col("n") * p[i] * p[j]).otherwise(0.0)).alias(f"g{i}_{j}") for i in k for j in k if i <= j],
+            *[F.sum(F.col("n") * p[i] * F.abs(at - F.col("at.last"))).alias(f"m{i}") for i in k]).first()
+        reached, active = np.array([float(sums[f"e{i}"]) for i in k]), square(sums)
         moved = np.array([float(sums[f"m{i}"]) for i in k]) / bound
     return steps, {"targets": wanted, "reached": reached}
 
