@@ -656,7 +656,7 @@ def test_attention_beats_single_ids_on_held_out_texts(docs):
     for r in attention_scores.counts_of(rows).where("what = 1").collect():
         counts[r["key"]] = r["n"]
     counts[attention_scores.END] += rows.where("not held_out").count()
-    held = [np.array(r.ids, dtype=np.int64) for r in rows.where("held_out").collect()]
+    held = [np.frombuffer(r.ids, dtype=attention_scores.IDS).astype(np.int64) for r in rows.where("held_out").collect()]
     steps = sum(len(x) + 1 for x in held)
     single = np.log10((counts + 0.1) / (counts + 0.1).sum())
     alone = sum(single[x].sum() + single[attention_scores.END] for x in held) / steps
