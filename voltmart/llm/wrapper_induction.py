@@ -8,8 +8,11 @@ varies is content. Votes are summed over the host's blocks, so hosts of any size
 What the tags themselves say is used as well: navigation, footers, asides, forms, scripts, reader comments, adverts and
 the like never are content, and a page with an explicit article (or main) element is read, and aligned, from there on.
 Inside an article, too, a node is template if its own text stands at the same path in at least half of the host's
-distinct articles; copies of one article (equal in all own texts) count once. There, text with inline markup is judged
-as a whole: a constant word or link within a varying sentence is content.
+distinct articles, and in at least half of those that vote: articles that have at least a third of their text (by length) for
+themselves. Edited copies of one article share more than that, so they don't vote, and what only they share stays.
+There, text with inline markup is judged as a whole: a constant word or link within a varying sentence is content. A
+constant heading stays while varying text follows before the next heading of its level; a constant label (dt, th, td,
+caption and the like, or a block that is all bold) stays while the next block varies.
 
 Defined results: a null or empty html has the empty text; a null page_id or url is carried (pages without a host share
 one); repeated rows are extracted one by one, and only count once each in the votes' share; extra columns are ignored;
@@ -35,6 +38,7 @@ from .language_fusion import host_of
 BLOCK_PAGES = 64
 TEMPLATE_SHARE = 0.5
 TEMPLATE_PAGES = 3
+OWN_SHARE = 1 / 3  # of an article's text, for it to vote
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +61,9 @@ NEVER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "newsletter signup login footer pagination pager toolbar skip widget outbrain taboola hidden".split())
 MAIN_WORDS = frozenset("article content main post entry story body text page wrapper container".split())
 COMMENT_WORDS = frozenset("comment comments reply respond ad sponsored promo related".split())
+HEADINGS = {f"h{i}": i for i in range(1, 7)}
+LABELS = frozenset("dt th td caption legend summary figcaption".split())
+BOLD = frozenset("b strong".split())
 STATE_WORDS = frozenset("no has with without free enabled disabled".split())  # a name with one tells what the page has
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -165,14 +172,14 @@ def _own_text(node: Node) -> str:
 # --- skeletons and simple tree matching ------------------------------------------------------------------------------
 
 def skeleton(root: Node) -> bytes:
-    """Pre-order rows (depth, signature, hash of own text) of the nodes that may be content; the first one stands for the
-    page and says whether it has an article."""
+    """Pre-order rows (depth, signature, hash and length of own text) of the nodes that may be content; the first one stands
+    for the page and says whether it has an article."""
     explicit, tops = _tops(root)
-    rows = [(0, int(explicit), 0)]
+    rows = [(0, int(explicit), 0, 0)]
 
     def walk(node: Node, depth: int) -> None:
         text = _own_text(node)
-        rows.append((depth, node.sign, zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0))
+        rows.append((depth, node.sign, zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0, len(text)))
         for x in node.items:
             if isinstance(x, Node) and not x.never and x.tag not in RAW and x.tag not in VOID:
                 walk_stack.append((x, depth + 1))
@@ -195,9 +202,9 @@ class Slot:
 
 
 def tree(data: bytes, page: int = 0) -> Slot:
-    rows = np.frombuffer(data, "<u4").reshape(-1, 3).tolist()
+    rows = np.frombuffer(data, "<u4").reshape(-1, 4).tolist()
     path: list[Slot] = []
-    for depth, sign, text in rows:
+    for depth, sign, text, _ in rows:
         slot = Slot(sign)
         if text:
             slot.texts[text] = 1 << page
@@ -352,35 +359,52 @@ def votes(pages: list[bytes]) -> dict[int, int]:
     return {key: which.bit_count() for key, which in found.items() if which.bit_count() > 1 or len(pages) == 1}
 
 
+def own_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(path, text) key and text length of every node of a skeleton that has own text."""
+    rows = np.frombuffer(data, "<u4").reshape(-1, 4).tolist()
+    path, keys, lengths = [], [], []
+    for depth, sign, text, length in rows:
+        del path[depth:]
+        path.append(path_key(path[-1] if path else 0, sign))
+        if text:
+            keys.append(path_key(path[-1], text))
+            lengths.append(length)
+    return np.array(keys, dtype=np.int64), np.array(lengths, dtype=np.int64)
+
+
 # --- extraction ------------------------------------------------------------------------------------------------------
 
 def main_text(page: str, template: frozenset | set = frozenset()) -> str:
     """Blocks of the page's content, one per line. ``template``: keys of the host's constant nodes."""
     explicit, tops = _tops(parse(page))
-    blocks: list[str] = []
+    blocks: list[tuple[str, bool, str]] = []  # text, whether it varies, and the heading or label that it is
     held: list[str] = []
-    varies = False  # whether what is held has text that is not template
+    opened = [""]  # block elements around
+    varies = plain = False  # whether what is held has text that is not template; text that is not bold
 
     def close() -> None:
-        nonlocal varies
-        text = SPACES.sub(" ", html_lib.unescape("".join(held))).strip() if varies else ""
-        held.clear()
-        varies = False
+        nonlocal varies, plain
+        text = SPACES.sub(" ", html_lib.unescape("".join(held))).strip()
         if text:
-            blocks.append(text)
+            tag = opened[-1]
+            blocks.append((text, varies, tag if tag in HEADINGS or tag in LABELS else "" if plain else "b"))
+        held.clear()
+        varies = plain = False
 
     for top in tops:
-        # (node, path) to open, (string, whether it is template), or None to end a block
-        stack: list = [(top, path_key(0, int(explicit)))]
+        # (node, path, whether within bold text) to open, (string, whether it is template, bold), or None to end a block
+        stack: list = [(top, path_key(0, int(explicit)), False)]
         while stack:
             item = stack.pop()
             if item is None:
                 close()
+                opened.pop()
             elif isinstance(item[0], str):
                 held.append(item[0])
-                varies = varies or not item[1] and bool(html_lib.unescape(item[0]).strip())
+                if not (item[1] and item[2]) and html_lib.unescape(item[0]).strip():
+                    varies, plain = varies or not item[1], plain or not item[2]
             else:
-                node, parent = item
+                node, parent, bold = item
                 if node.never or node.tag in RAW:
                     continue
                 if node.tag == "br":
@@ -388,17 +412,38 @@ def main_text(page: str, template: frozenset | set = frozenset()) -> str:
                     continue
                 path = path_key(parent, node.sign)
                 block = node.tag not in INLINE
+                bold = not block and (bold or node.tag in BOLD)
                 if block:
                     close()
+                    opened.append(node.tag)
                     stack.append(None)
                 constant = False
                 if template:
                     text = _own_text(node)
                     constant = bool(text) and path_key(path, zlib.crc32(text.encode("utf-8", "surrogatepass"))) in template
-                stack += [(x, constant if isinstance(x, str) else path) for x in reversed(node.items)
+                stack += [(x, constant if isinstance(x, str) else path, bold) for x in reversed(node.items)
                           if explicit or not (constant and isinstance(x, str))]
         close()
-    return "\n".join(blocks)
+        blocks.append(("", False, "h1"))  # nothing leads over the end of a part
+    return "\n".join(_kept(blocks))
+
+
+def _kept(blocks: list[tuple[str, bool, str]]) -> list[str]:
+    """Texts of the blocks that vary, and of the constant headings and labels that lead to one."""
+    kept: list[str] = []
+    below = 0  # the sections that hold a kept block so far, seen from the end: bit n for a heading of level n
+    after = False  # whether the next block is kept
+    for text, keep, lead in reversed(blocks):
+        level = HEADINGS.get(lead, 0)
+        keep = keep or (bool(below >> level & 1) if level else bool(lead) and after)
+        if keep and text:
+            kept.append(text)
+        if level:  # the section ends here for every heading of this level or a lower one
+            below = (below if not text else below | 0x7E if keep else below) & ((1 << level) - 1)
+        elif keep:
+            below = 0x7E
+        after = keep and bool(text)
+    return kept[::-1]
 
 
 def _tops(root: Node) -> tuple[bool, list[Node]]:
@@ -486,6 +531,20 @@ def _block_votes(pdf: pd.DataFrame) -> pd.DataFrame:
                          "n": pd.Series(list(found.values()), dtype="int64")})
 
 
+def _own_votes(batches):
+    """Of every article with enough text of its own: a row without a node, and one per shared node it holds."""
+    for pdf in batches:
+        hosts, nodes = [], []
+        for host, data, shared in zip(pdf["host"], pdf["skeleton"], pdf["shared"], strict=True):
+            keys, lengths = own_keys(data)
+            common_text = np.isin(keys, np.asarray(shared, dtype=np.int64))
+            if lengths[~common_text].sum() >= OWN_SHARE * lengths.sum():
+                found = [None, *np.unique(keys[common_text]).tolist()]
+                hosts += [host] * len(found)
+                nodes += found
+        yield pd.DataFrame({"host": pd.Series(hosts, dtype=object), "node": pd.Series(nodes, dtype="Int64")})
+
+
 def induce(pages: DataFrame, path: str) -> DataFrame:
     """host and template: keys of the nodes whose text is constant over the host's distinct articles, or its distinct
     pages without one."""
@@ -502,7 +561,17 @@ def induce(pages: DataFrame, path: str) -> DataFrame:
     shared = voted.groupBy("host", "article", "node").agg(F.sum("n").alias("n")).join(hosts, ["host", "article"])
     constant = shared.where((F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("pages")))
     # at most the nodes of a page times 1 / TEMPLATE_SHARE per host
-    constant.groupBy("host").agg(F.collect_list("node").alias("template")).write.mode("errorifexists").parquet(f"{path}/templates")
+    constant.groupBy("host", "article").agg(F.collect_list("node").alias("shared")).write.mode("errorifexists").parquet(f"{path}/shared")
+    shared = spark.read.parquet(f"{path}/shared")
+    # the voting articles' own count of these nodes
+    voters = slim.where("article").join(shared.where("article"), ["host", "article"]).select("host", "skeleton", "shared")
+    voters.mapInPandas(_own_votes, "host string, node long").groupBy("host", "node").agg(F.count(F.lit(1)).alias("n")) \
+        .write.mode("errorifexists").parquet(f"{path}/voters")
+    counts = spark.read.parquet(f"{path}/voters")
+    voting = counts.where("node IS NULL").select("host", F.col("n").alias("voters"))
+    agreed = counts.where("node IS NOT NULL").join(voting, "host").where((F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("voters")))
+    nodes = agreed.select("host", "node").unionByName(shared.where(~F.col("article")).select("host", F.explode("shared").alias("node")))
+    nodes.groupBy("host").agg(F.collect_list("node").alias("template")).write.mode("errorifexists").parquet(f"{path}/templates")
     return spark.read.parquet(f"{path}/templates")
 
 
