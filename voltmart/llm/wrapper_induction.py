@@ -401,7 +401,7 @@ def main_text(page: str, template: frozenset | set = frozenset()) -> str:
                 opened.pop()
             elif isinstance(item[0], str):
                 held.append(item[0])
-                if not (item[1] and item[2]) and html_lib.unescape(item[0]).strip():
+                if not (varies and plain or item[1] and item[2]) and html_lib.unescape(item[0]).strip():
                     varies, plain = varies or not item[1], plain or not item[2]
             else:
                 node, parent, bold = item
