@@ -91,3 +91,32 @@ def test_only_a_missing_path_is_an_empty_table(spark, tmp):
     assert tables.read_table(spark, f"{tmp}/none") is None
     with pytest.raises(Exception):
         tables.read_table(spark, "nosuchscheme://x/y")
+
+
+def test_percentiles_of_large_groups_by_ranges(spark):
+    """Groups of far more distinct values than one range holds, beside small ones; a hot value; negative and huge keys."""
+    from voltmart.operators import aggregates
+    big = aggregates.WHOLE_GROUP * 3
+    df = spark.range(big * 2).select(
+        F.when(F.col("id") < big, F.lit("hot")).when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(17)).otherwise(F.pmod(F.xxhash64("id"), F.lit(1 << 60)) - F.lit(1 << 59)).alias("v"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.6, 0.95, 1.0]
+    names = [f"p{i}" for i in range(len(probs))]
+    rows = {}
+    for r in df.collect():
+        rows.setdefault(r.k, []).append(r.v)
+    got = {r["k"]: [r[n] for n in names] for r in percentiles(df, ["k"], "v", probs, names).collect()}
+    assert set(got) == set(rows)
+    for k, values in rows.items():
+        values.sort()
+        for p, value in zip(probs, got[k], strict=True):
+            x = (len(values) - 1) * p
+            lo, hi = int(x), min(int(x) + (x > int(x)), len(values) - 1)
+            plain = float(values[lo]) if lo == hi else (hi - x) * float(values[lo]) + (x - lo) * float(values[hi])
+            assert value == plain, (k, p)
+
+
+def test_percentile_plan_stays_small(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    plan = percentiles(df, ["k"], "v", [0.5, 0.95], ["m", "p"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") + plan.count("BroadcastExchange") <= 16 and plan.count("Range (") == 3

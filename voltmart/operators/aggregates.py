@@ -144,33 +144,50 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return joined if how == "left_semi" else joined.drop(*[f"__r_{k}" for k in keys])
 
 
-def _radix_select(freq: DataFrame, keys: list[str], targets: DataFrame,
-                  bits: int = 21, levels: int = 3) -> DataFrame:
-    """Value at each 0-based target rank of each group, without gathering a group.
-
-    freq: keys + __k (bigint, order-preserving) + __c (multiplicity).
-    targets: keys + __total + __rank. Each level narrows to the bucket of the next `bits`
-    high bits that holds the rank: a group-by on (group, prefix, bucket) and a
-    running count over at most 2**bits buckets per (group, prefix). Arithmetic
-    shift is monotone, so negative keys order correctly.
+RANGES = 256        # value ranges a large group is cut into: a power of two
+WHOLE_GROUP = 4096  # distinct values up to which a group is one range
+SALTS = 8           # join partitions a group's values are spread over
+
+
+def _range_of(bounds: Column, k: Column) -> Column:
+    """Number of the ascending bounds that are <= k: binary search in log2(RANGES) steps."""
+    steps = F.array(*[F.lit(RANGES >> i) for i in range(1, RANGES.bit_length())])
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(bounds, at + step - 1) <= k, step).otherwise(0))
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("__s", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+
+
+def _ranged_select(freq: DataFrame, keys: list[str], ranks: Callable[[Column], Column]) -> DataFrame:
+    """Value at the wanted 0-based ranks (an array, made from the group's total) of each group, without gathering a group.
+
+    freq: keys + __k (bigint, order-preserving) + __c (multiplicity). Each group's values are cut into ranges at approximate
+    quantiles of its distinct values; a row count per range turns every rank into a range and a place in it, and only the
+    ranges that hold a rank are sorted. The quantiles decide how even the ranges are, nothing else: a range's limits and the
+    count before it come from one evaluation and travel as data, so a re-run task that cuts elsewhere changes no result.
     """
-    cur = targets.withColumn("__r", F.col("__rank"))
-    prefix: list[str] = []
-    for lvl in range(levels):
-        bucket = f"__b{lvl}"
-        data = freq.withColumns({f"__b{j}": F.shiftright("__k", bits * (levels - 1 - j)) for j in range(lvl + 1)})
-        if prefix:
-            wanted = cur.select(*keys, *prefix).distinct()
-            data = _same_keys(data, wanted, keys + prefix, "left_semi")
-        part = keys + prefix
-        counts = data.groupBy(*part, bucket).agg(F.sum("__c").alias("__n"))
-        w = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        counts = counts.withColumn("__end", F.sum("__n").over(w)).withColumn("__start", F.col("__end") - F.col("__n"))
-        cur = (_same_keys(cur, counts, part)
-               .where((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__end")))
-               .select(*keys, "__total", "__rank", *prefix, bucket, (F.col("__r") - F.col("__start")).alias("__r")))
-        prefix.append(bucket)
-    return cur.select(*keys, "__total", "__rank", F.col(prefix[-1]).alias("__k"))
+    f = freq.withColumn("__s", F.pmod(F.hash("__k"), F.lit(SALTS)))
+    cuts = F.percentile_approx("__k", F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(4 * RANGES))
+    bounds = (freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), cuts.alias("__q"))
+              .select(*keys, F.when(F.col("__n") > WHOLE_GROUP, F.array_distinct("__q"))
+                      .otherwise(F.array().cast("array<bigint>")).alias("__q")))
+    placed = _same_keys(f, _salted(bounds), [*keys, "__s"]).withColumn("__at", _range_of(F.col("__q"), F.col("__k")))
+    ranges = placed.groupBy(*keys, "__at").agg(
+        F.sum("__c").alias("__n"),
+        F.first(F.get("__q", F.col("__at") - 1)).alias("__lo"), F.first(F.get("__q", F.col("__at"))).alias("__hi"))
+    group = Window.partitionBy(*keys)
+    ranges = (ranges.withColumns({"__total": F.sum("__n").over(group),
+                                  "__end": F.sum("__n").over(group.orderBy("__at").rowsBetween(Window.unboundedPreceding, 0))})
+              .withColumn("__start", F.col("__end") - F.col("__n")))
+    held = F.filter(ranks(F.col("__total")), lambda r: (r >= F.col("__start")) & (r < F.col("__end")))
+    wanted = ranges.select(*keys, "__total", "__start", "__lo", "__hi", held.alias("__ranks")).where(F.size("__ranks") > 0)
+    near = _same_keys(f, _salted(wanted), [*keys, "__s"]).where(
+        (F.col("__lo").isNull() | (F.col("__k") >= F.col("__lo"))) & (F.col("__hi").isNull() | (F.col("__k") < F.col("__hi"))))
+    w = Window.partitionBy(*keys, "__start").orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("__start") + F.sum("__c").over(w)
+    here = F.filter("__ranks", lambda r: (r >= F.col("__last") - F.col("__c")) & (r < F.col("__last")))
+    return near.withColumn("__last", last).select(*keys, "__total", F.explode(here).alias("__rank"), "__k")
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -194,9 +211,10 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
 
     Values are first counted per (group, value) - a partial aggregate, so a hot
     group is combined map-side. Then, at every size alike:
-      * "distributed": rank selection by radix buckets of an order-preserving
-        integer of the value (any numeric type); no group is held in one task.
-        The counts' exchange is the same in every level, so it is written once.
+      * "distributed": rank selection by value ranges over an order-preserving
+        integer of the value (any numeric type); no group is held in one task,
+        only the ranges that hold a wanted rank are sorted. The counts' exchange
+        is read three times and written once.
       * "builtin": ``percentile(value, probs, frequency)`` per group. Its buffer
         holds the group's distinct values: only for groups known to be small.
     """
@@ -210,12 +228,12 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[
         raise ValueError(f"unknown percentile strategy {strategy!r}")
     key_col, to_double = _order_key(df.schema[value].dataType, F.col(value))
     f = freq.select(*keys, key_col.alias("__k"), "__c")
-    sizes = f.groupBy(*keys).agg(F.sum("__c").alias("__total"))
-    pos = [(F.col("__total") - 1).cast("double") * F.lit(float(p)) for p in probs]
-    ranks = F.array_distinct(F.array(*[F.floor(x).cast("bigint") for x in pos],
-                                     *[F.ceil(x).cast("bigint") for x in pos]))
-    targets = sizes.select(*keys, "__total", F.explode(ranks).alias("__rank"))
-    picked = _radix_select(f, keys, targets)
+
+    def ranks(total: Column) -> Column:
+        pos = [(total - 1).cast("double") * F.lit(float(p)) for p in probs]
+        return F.array_distinct(F.array(*[F.floor(x).cast("bigint") for x in pos], *[F.ceil(x).cast("bigint") for x in pos]))
+
+    picked = _ranged_select(f, keys, ranks)
     # at most two ranks per prob in a group: a bounded map
     at = picked.groupBy(*keys).agg(
         F.first("__total").alias("__total"),

@@ -186,7 +186,7 @@ def q_price_percentiles(spark, sf_dir):
 
 @query("price_percentiles_distributed")
 def q_price_percentiles_distributed(spark, sf_dir):
-    """Same percentiles by distributed radix selection (no group in one task)."""
+    """Same percentiles by ranks over value ranges (no group in one task)."""
     s = _month_prices(spark, sf_dir)
     p = percentiles(s, ["trading_date"], "price_nzd_per_mwh", [0.5, 0.95], ["m", "p"], strategy="distributed")
     return p.select("trading_date", round_money("m").alias("median_price_nzd_per_mwh"),
