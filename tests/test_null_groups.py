@@ -120,3 +120,70 @@ def test_percentile_plan_stays_small(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     plan = percentiles(df, ["k"], "v", [0.5, 0.95], ["m", "p"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") + plan.count("BroadcastExchange") <= 16 and plan.count("Range (") == 3
+
+
+def test_presence_bitmaps_stand_for_the_stored_rows(spark, tmp):
+    """Loads with bitmaps equal loads without, over null keys, odd periods, a crash before the bitmaps, mixed loads."""
+    import datetime as dt
+    import random
+    import shutil
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("d", T.DateType()), T.StructField("p", T.IntegerType()), T.StructField("node", T.StringType()),
+                           T.StructField("v", T.LongType())])
+    rng, keys = random.Random(3), ["d", "p", "node"]
+    batches = []
+    for b in range(4):
+        rows = [(dt.date(2024, rng.randint(1, 3), rng.randint(1, 28)) if rng.random() < 0.95 else None,
+                 rng.choice([None, -70, -1, 0, 1, 47, 50, 63, 64, 99, 1 << 30]), rng.choice(["a", "b", None]), 1000 * b + i) for i in range(300)]
+        batches.append(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], f"d date, p int, node string, v long, seq int"))
+    for month in (None, "d"):
+        plain, kept = f"{tmp}/plain-{month}", f"{tmp}/kept-{month}"
+        for i, df in enumerate(batches):
+            if i == 2:  # as a crash after the batch leaves it
+                shutil.move(f"{kept}/presence/batch=2", f"{tmp}/lost-{month}")
+            tables.load_insert_ignore(spark, plain, df, keys, ["seq"], schema, month_of=month, conflicts=i == 3)
+            tables.load_insert_ignore(spark, kept, df, keys, ["seq"], schema, month_of=month, conflicts=i == 3, presence="p" if i != 1 else None)
+            if i == 1:
+                tables.read_presence(spark, kept, keys, "p")
+        a, b = (sorted(map(str, tables.read_table(spark, x).collect())) for x in (plain, kept))
+        assert a == b
+        a, b = (sorted(map(str, tables.read_conflicts(spark, x, 4).collect())) for x in (plain, kept))
+        assert a == b
+    words = tables.read_presence(spark, kept, keys, "p", [202401])
+    plan = words._jdf.queryExecution().executedPlan().toString()
+    assert "/presence/" in str(words.inputFiles()) and not [f for f in words.inputFiles() if "/presence/" not in f]
+    assert "202401" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+def test_presence_column_must_be_a_key(spark, tmp):
+    with pytest.raises(ValueError, match="part of the key"):
+        tables.load_insert_ignore(spark, tmp, spark.range(1), ["id"], [], spark.range(1).schema, presence="x")
+
+
+def test_distinct_counts_merge_over_days(spark):
+    from voltmart.operators import bitmap_words, count_words, merge_words
+    df = spark.range(5000).select((F.col("id") % 30).alias("day"), (F.pmod(F.xxhash64("id"), F.lit(900)) - 400).alias("v"), (F.col("id") % 7 > 1).alias("ok"))
+    days = bitmap_words(df.unionByName(df.limit(40).withColumn("v", F.lit(None))), ["day"], "v", F.col("ok"))
+    weeks = count_words(merge_words(days, [F.floor(F.col("day") / 7).alias("week")]), ["week"], "n")
+    plain = df.where("ok").groupBy(F.floor(F.col("day") / 7).alias("week")).agg(F.count_distinct("v").alias("n"))
+    assert sorted(map(tuple, weeks.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("rows, blocks", [(0, 4), (1, 4), (9, 4), (500, 7), (700, 64)])
+def test_windows_in_blocks_equal_those_in_one_task(spark, tmp, rows, blocks):
+    import datetime as dt
+    import random
+    from voltmart.operators import blocked_windows, days_since_last, rolling_sum
+    rng = random.Random(rows)
+    data = [(dt.date(2020, 1, 1) + dt.timedelta(days=rng.choice([0, i // 3, i * 2])), i, rng.choice([None, *range(9)]), rng.random() < 0.03) for i in range(rows)]
+    df = spark.createDataFrame(data, "d date, i int, v int, flag boolean")
+    order = ["d", "i"]
+    out = blocked_windows(df, order, f"{tmp}/w", sums={"s1": ("v", 1), "s7": ("v", 7), "s30": (F.when(F.col("flag"), 1).otherwise(0), 30)},
+                          days_since={"since": ("d", F.col("flag"))}, blocks=blocks)
+    plain = df.withColumns({"s1": rolling_sum("v", None, order, 1, day_grain=True), "s7": rolling_sum("v", None, order, 7, day_grain=True),
+                            "s30": rolling_sum(F.when(F.col("flag"), 1).otherwise(0), None, order, 30, day_grain=True)})
+    from pyspark.sql import Window
+    last = F.max(F.when(F.col("flag"), F.col("d"))).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    plain = plain.withColumn("since", F.datediff("d", last))
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.select(*out.columns).collect()))
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitmaps import mark_present
+
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -49,38 +51,44 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def insert_ignore(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  existing: DataFrame | None = None) -> DataFrame:
+                  existing: DataFrame | None = None, presence: tuple[str, DataFrame] | None = None) -> DataFrame:
     """Rows of `incoming` that a first-wins insert would add to `existing`.
 
     Earlier `order` beats later within the batch; existing rows beat all new
     ones (left anti join on the key). Rows with a null key part can match
     nothing, and all null keys would hash to one join partition, so they
-    bypass the join and are added back with a union.
+    bypass the join and are added back with a union. `presence` (an integer key
+    column and its merged bitmap rows, see bitmaps.py) stands for `existing`.
     """
     new_rows = first_wins(incoming, keys, order)
-    if existing is None:
+    if existing is None and presence is None:
         return new_rows
     null_key = _any_null(keys)
+    if presence is not None:
+        keyed = mark_present(new_rows.where(~null_key), keys, *presence, "__stored").where(~F.col("__stored"))
+        return keyed.select(*new_rows.columns).unionByName(new_rows.where(null_key))
     present = existing.select(*keys).where(~null_key)
     keyed = new_rows.where(~null_key).join(present, on=list(keys), how="left_anti")
     return keyed.select(*new_rows.columns).unionByName(new_rows.where(null_key))
 
 
 def insert_with_conflicts(incoming: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                          existing: DataFrame | None = None) -> DataFrame:
+                          existing: DataFrame | None = None, presence: tuple[str, DataFrame] | None = None) -> DataFrame:
     """One row per key of `incoming` with its winner, `__n` (rows the key had) and `__stored` (the key was in `existing`,
     so every one of those rows lost). Rows with a null key are rows of their own.
 
     The rows to add are those not stored; `conflict_ledger` makes the rest. One aggregation and one join for both.
     """
     rows = first_wins(incoming, keys, order, count_as="__n")
-    if existing is None:
+    if existing is None and presence is None:
         return rows.withColumn("__stored", F.lit(False))
     null_key = _any_null(keys)
+    nulls = rows.where(null_key).withColumn("__stored", F.lit(False))
+    if presence is not None:
+        return mark_present(rows.where(~null_key), keys, *presence, "__stored").select(*nulls.columns).unionByName(nulls)
     # a stored key is there once, so the join adds no rows
     present = existing.select(*keys).where(~null_key).withColumn("__stored", F.lit(True))
     keyed = rows.where(~null_key).join(present, on=list(keys), how="left").withColumn("__stored", F.coalesce("__stored", F.lit(False)))
-    nulls = rows.where(null_key).withColumn("__stored", F.lit(False))
     return keyed.select(*nulls.columns).unionByName(nulls)
 
 

@@ -9,7 +9,9 @@ takes a number above every folder present.
   a new ``<base>/batch=<n>`` directory (cost: the new rows plus an anti join on
   the keys, not a rewrite), and the table is the union of committed batches.
   With `month_of`, batches are partitioned by month and the anti join reads only
-  the months that the incoming rows touch.
+  the months that the incoming rows touch. With `presence`, an integer key column,
+  each batch has bitmaps of that key beside it (``<base>/presence/batch=<n>``), and
+  the anti join reads those: no stored row is read, and a day's periods are one row.
 * Upsert tables loaded with `month_of` write only the months that the incoming
   rows touch: a load is ``<base>/load=<n>/load_month=<m>``, each month whole, and
   readers take every month from its newest committed load. One marker commits a
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.bitmaps import bitmap_words, merge_words
 from ..operators.dedup import conflict_ledger, insert_ignore, insert_with_conflicts, upsert
 from ..schemas import ddl
 from ..session import scratch_path
@@ -119,9 +122,39 @@ def _months(incoming: DataFrame, month: Column) -> list[int]:
     return [r[0] for r in incoming.select(month).distinct().collect() if r[0] is not None]
 
 
+def _batch_presence(spark: SparkSession, path: str, keys: Sequence[str], number: str) -> DataFrame:
+    """Bitmap rows of one batch, from its key columns alone."""
+    rows = spark.read.parquet(path)
+    others = [k for k in keys if k != number]
+    complete = rows.select(*keys, *([MONTH] if MONTH in rows.columns else [])).dropna(subset=list(keys))
+    return bitmap_words(complete, [*others, *([MONTH] if MONTH in rows.columns else [])], number)
+
+
+def _write_presence(spark: SparkSession, base: str, batch: int, keys: Sequence[str], number: str) -> None:
+    words = _batch_presence(spark, f"{base}/batch={batch}", keys, number)
+    w = words.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    (w.partitionBy(MONTH) if MONTH in words.columns else w).parquet(f"{base}/presence/batch={batch}")
+
+
+def read_presence(spark: SparkSession, base: str, keys: Sequence[str], number: str,
+                  months: Sequence[int] | None = None) -> DataFrame | None:
+    """Merged bitmap rows (other keys, word, mask) of the stored keys of an append table. Batches without bitmaps, as a
+    crash between a batch and its bitmaps leaves them, or as loaded before, get them now, from their key columns."""
+    base = base.rstrip("/")
+    batches = _committed(spark, base, "batch")
+    if not batches:
+        return None
+    for batch in sorted(set(batches) - set(_committed(spark, f"{base}/presence", "batch"))):
+        _write_presence(spark, base, batch, keys, number)
+    words = spark.read.option("basePath", f"{base}/presence").parquet(*[f"{base}/presence/batch={b}" for b in batches])
+    if months is not None:
+        words = words.where(F.col(MONTH).isin(list(months)))
+    return merge_words(words, [k for k in keys if k != number])
+
+
 def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
                        order: Sequence[str | Column], schema: T.StructType, month_of: str | None = None,
-                       conflicts: bool = False) -> str:
+                       conflicts: bool = False, presence: str | None = None) -> str:
     """First-wins load of `incoming` into the append table at `base`: only the
     rows whose key is new are written, as one more batch.
 
@@ -133,18 +166,27 @@ def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys
     With `conflicts` the keys whose rows were not all loaded are kept too (``read_conflicts``),
     so that rows in = rows loaded + sum of n_lost. Winners and losers come from one pass, which
     is written to the shared scratch folder first.
+
+    `presence` names an integer key column (such as the period of a day): stored keys are then
+    looked up in bitmaps kept beside the batches, one row per word of 64 values, and no stored
+    row is read. Loads with and without it may alternate: bitmaps that are missing are made.
     """
     columns = [f.name for f in schema.fields]
     month = F.year(month_of) * 100 + F.month(month_of) if month_of else None
-    existing = read_table(spark, base, schema, _months(incoming, month) if month_of else None)
+    months = _months(incoming, month) if month_of else None
+    if presence is not None and presence not in keys:
+        raise ValueError(f"presence column {presence!r} must be part of the key")
+    stored = read_presence(spark, base, keys, presence, months) if presence else None
+    looked_up = (presence, stored) if stored is not None else None
+    existing = None if presence else read_table(spark, base, schema, months)
     if conflicts:
         staged = scratch_path(spark, "load")
-        insert_with_conflicts(incoming, keys, order, existing).write.mode("errorifexists").parquet(staged)
+        insert_with_conflicts(incoming, keys, order, existing, looked_up).write.mode("errorifexists").parquet(staged)
         resolved = spark.read.parquet(staged)
         added = resolved.where(~F.col("__stored"))
         ledger = conflict_ledger(resolved, keys)
     else:
-        added = insert_ignore(incoming, keys, order, existing)
+        added = insert_ignore(incoming, keys, order, existing, looked_up)
     if month_of is None:
         path = append_batch(added.select(*columns), base)
     else:
@@ -152,6 +194,8 @@ def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys
         path = append_batch(rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH, month_of), base, [MONTH])
     if conflicts:  # under the batch's number; a crash before this leaves the batch without its ledger, never the reverse
         ledger.write.mode("overwrite").parquet(f"{base.rstrip('/')}/conflicts/{path.rsplit('/', 1)[-1]}")
+    if presence:
+        _write_presence(spark, base.rstrip("/"), int(path.rsplit("=", 1)[-1]), keys, presence)
     return path
 
 
