@@ -137,6 +137,10 @@ def test_presence_bitmaps_stand_for_the_stored_rows(spark, tmp):
                  rng.choice([None, -70, -1, 0, 1, 47, 50, 63, 64, 99, 1 << 30]), rng.choice(["a", "b", None]), 1000 * b + i) for i in range(300)]
         batches.append(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], f"d date, p int, node string, v long, seq int"))
     for month in (None, "d"):
+        empty = f"{tmp}/empty-{month}"
+        for df in (batches[0].limit(0), batches[0], batches[0].dropna(subset=keys)):  # loads that add no row
+            tables.load_insert_ignore(spark, empty, df, keys, ["seq"], schema, month_of=month, presence="p")
+        assert len(tables._committed(spark, empty, "batch")) == 3 and tables.read_table(spark, empty).where("p IS NOT NULL").count() > 0
         plain, kept = f"{tmp}/plain-{month}", f"{tmp}/kept-{month}"
         for i, df in enumerate(batches):
             if i == 2:  # as a crash after the batch leaves it
@@ -144,12 +148,12 @@ def test_presence_bitmaps_stand_for_the_stored_rows(spark, tmp):
             tables.load_insert_ignore(spark, plain, df, keys, ["seq"], schema, month_of=month, conflicts=i == 3)
             tables.load_insert_ignore(spark, kept, df, keys, ["seq"], schema, month_of=month, conflicts=i == 3, presence="p" if i != 1 else None)
             if i == 1:
-                tables.read_presence(spark, kept, keys, "p")
+                tables.read_presence(spark, kept, keys, "p", schema, month)
         a, b = (sorted(map(str, tables.read_table(spark, x).collect())) for x in (plain, kept))
         assert a == b
         a, b = (sorted(map(str, tables.read_conflicts(spark, x, 4).collect())) for x in (plain, kept))
         assert a == b
-    words = tables.read_presence(spark, kept, keys, "p", [202401])
+    words = tables.read_presence(spark, kept, keys, "p", schema, "d", [202401])
     plan = words._jdf.queryExecution().executedPlan().toString()
     assert "/presence/" in str(words.inputFiles()) and not [f for f in words.inputFiles() if "/presence/" not in f]
     assert "202401" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
@@ -187,3 +191,47 @@ def test_windows_in_blocks_equal_those_in_one_task(spark, tmp, rows, blocks):
     plain = plain.withColumn("since", F.datediff("d", last))
     assert sorted(map(str, out.collect())) == sorted(map(str, plain.select(*out.columns).collect()))
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_labels_from_overlapping_ranges(spark):
+    import datetime as dt
+    import random
+    from voltmart.operators import label_by_ranges
+    rng = random.Random(8)
+    day = lambda n: dt.date(2020, 12, 1) + dt.timedelta(days=n)
+    ranges = [(day(a), day(a + rng.choice([-1, 0, 0, 1, 40, 400])), f"r{i}") for i, a in enumerate(rng.randrange(900) for _ in range(300))]
+    dates = [None, *[day(n) for n in range(-3, 1400)]]
+    out = label_by_ranges(spark.createDataFrame([(d, i) for i, d in enumerate(dates)], "d date, i int"), "d", ranges, "label")
+    plain = {i: next((x for a, b, x in ranges if d is not None and a <= d <= b), None) for i, d in enumerate(dates)}
+    got = out.collect()
+    assert len(got) == len(dates) and {r.i: r.label for r in got} == plain
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    assert label_by_ranges(out.drop("label"), "d", [], "label").where("label IS NULL").count() == len(dates)
+
+
+def test_date_layout_is_told_by_each_file(spark, tmp):
+    import datetime as dt
+    import os as _os
+    from voltmart.sources import files as FS
+    head = "trading_date,trading_period,node,price\n"
+    texts = {"day": "3/4/2024,1,A,1\n13/4/2024,2,A,1\n", "month": "3/4/2024,1,B,1\n4/13/2024,2,B,1\n2024-05-06,3,B,1\n",
+             "both": "3/4/2024,1,C,1\n13/4/2024,2,C,1\n4/13/2024,3,C,1\n2024-05-06,4,C,1\n", "none": "3/4/2024,1,D,1\nx,2,D,1\n"}
+    _os.makedirs(f"{tmp}/p")
+    for name, text in texts.items():
+        with open(f"{tmp}/p/{name} file.csv", "w") as f:
+            f.write(head + text)
+    rows, rejects = FS.read_prices(spark, FS.list_files(spark, f"{tmp}/p", "*.csv"))
+    got = sorted((r.node, r.trading_period, r.trading_date) for r in rows.collect())
+    assert got == [("A", 1, dt.date(2024, 4, 3)), ("A", 2, dt.date(2024, 4, 13)), ("B", 1, dt.date(2024, 3, 4)), ("B", 2, dt.date(2024, 4, 13)),
+                   ("B", 3, dt.date(2024, 5, 6)), ("C", 4, dt.date(2024, 5, 6)), ("D", 1, dt.date(2024, 4, 3))]
+    assert sorted(r.reason for r in rejects.collect()) == [FS.DISAGREE] * 3 + ["no valid trading_date"]
+    assert not [r for r in rejects.collect() if "__layout" in r.record]
+    gen = "Site_Code,POC_Code,Nwk_Code,Gen_Code,Fuel_Code,Tech_Code,Trading_Date,TP1\n"
+    _os.makedirs(f"{tmp}/g")
+    for name, dates in (("a", ("3/4/2024", "4/13/2024")), ("b", ("3/4/2024", "13/4/2024"))):
+        with open(f"{tmp}/g/{name}.csv", "w") as f:
+            f.write(gen + "".join(f"S,{name},N,G,Hydro,T,{d},5\n" for d in dates))
+    long, rejects = FS.read_generation(spark, FS.list_files(spark, f"{tmp}/g", "*.csv"))
+    assert sorted((r.poc_code, r.trading_date) for r in long.collect()) == [
+        ("a", dt.date(2024, 3, 4)), ("a", dt.date(2024, 4, 13)), ("b", dt.date(2024, 4, 3)), ("b", dt.date(2024, 4, 13))]
+    assert rejects.count() == 0

@@ -3,6 +3,8 @@ group total (join or window form), and multi-key joins with differing names."""
 
 from __future__ import annotations
 
+import datetime as dt
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +36,44 @@ def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how:
     return df.join(maybe_broadcast(dim, dim_rows, max_bytes), on=on, how=how)
 
 
+def disjoint_ranges(ranges: Sequence[tuple[dt.date, dt.date, str]]) -> list[tuple[dt.date, dt.date, str]]:
+    """Inclusive, possibly overlapping date ranges as disjoint ones in date order; where several hold, the first listed wins."""
+    day = dt.timedelta(days=1)
+    listed = sorted((start, i, end) for i, (start, end, _) in enumerate(ranges) if start <= end)
+    cuts = sorted({d for start, _, end in listed for d in (start, end + day)})
+    out: list[tuple[dt.date, dt.date, str]] = []
+    active: list[tuple[int, dt.date]] = []
+    at = 0
+    for start, after in zip(cuts, cuts[1:]):
+        while at < len(listed) and listed[at][0] <= start:
+            heapq.heappush(active, listed[at][1:])
+            at += 1
+        while active and active[0][1] < start:
+            heapq.heappop(active)
+        if active:
+            out.append((start, after - day, ranges[active[0][0]][2]))
+    return out
+
+
+def label_by_ranges(df: DataFrame, date_col: str, ranges: Sequence[tuple[dt.date, dt.date, str]], name: str) -> DataFrame:
+    """`df` with the label of the first listed range (start, end, label; both ends inclusive) that holds the date, else null.
+
+    For lists of any length, where ``label_periods`` would chain one condition per range: overlaps are resolved first, the
+    disjoint ranges are written once per month they touch (31 of them at most per month), and rows meet them by an
+    equi-join on the month. Broadcast while the ranges are small; the null date has no label.
+    """
+    spark = df.sparkSession
+    found = disjoint_ranges(ranges)
+    by_month = []
+    for start, end, label in found:
+        for month in range(start.year * 12 + start.month, end.year * 12 + end.month + 1):
+            by_month.append((month, start, end, label))
+    dim = spark.createDataFrame(by_month, "__month int, __from date, __to date, __label string")
+    d = F.col(date_col)
+    on = (F.year(d) * 12 + F.month(d) == F.col("__month")) & d.between(F.col("__from"), F.col("__to"))
+    return enrich(df, dim, on, "left", dim_rows=len(by_month)).select(*[F.col(f"`{c}`") for c in df.columns], F.col("__label").alias(name))
+
+
 def left_join_on(df: DataFrame, other: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:
     """Join on column pairs with different names; the right-hand key columns are dropped."""
     cond = None

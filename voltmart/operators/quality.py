@@ -66,6 +66,24 @@ def profile_series(df: DataFrame, key: str, time_col: str, measure: str, scale:
     )
 
 
+def smoke_profile(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Profile of the whole table (`is_total`) and of every key, in one scan: a row per column with the row count and the
+    column's nulls, distinct values, smallest and largest value (as text).
+
+    The null key is a key like any other; an empty table has no rows. Spark expands the distinct counts to (key, column,
+    value) groups, combined map-side, so neither the total nor a hot key is gathered in one task.
+    """
+    measures = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(columns):
+        v = F.col(c)
+        measures += [F.count(v).alias(f"__c{i}"), F.count_distinct(v).alias(f"__d{i}"), F.min(v).alias(f"__lo{i}"), F.max(v).alias(f"__hi{i}")]
+    flat = df.select(key, *[c for c in columns if c != key]).rollup(key).agg(F.grouping(key).alias("__total"), *measures)
+    rows = F.array(*[F.struct(
+        F.lit(c).alias("column_name"), (F.col("__n") - F.col(f"__c{i}")).alias("null_count"), F.col(f"__d{i}").alias("distinct_values"),
+        F.col(f"__lo{i}").cast("string").alias("min_value"), F.col(f"__hi{i}").cast("string").alias("max_value")) for i, c in enumerate(columns)])
+    return flat.select(key, (F.col("__total") == 1).alias("is_total"), F.col("__n").alias("row_count"), F.inline(rows))
+
+
 def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that violate NOT NULL on any key column (the rejects of a keyed load)."""
     cond = F.lit(False)

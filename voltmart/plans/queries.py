@@ -7,6 +7,7 @@ double, small integers to int, so results compare cleanly with other engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from .. import constants as C
 from ..functions import round_money, to_date_lenient, to_integral, to_number
 from ..functions import volatility_class
-from ..operators import (check_balanced, check_not_null, check_unique, completeness_pct,
+from ..operators import (bitmap_words, blocked_windows, count_words, label_by_ranges, merge_words, smoke_profile,
+                         check_balanced, check_not_null, check_unique, completeness_pct,
                          count_distinct_if, count_distinct_when, count_if, days_since_last, enrich,
                          ensure_columns, first_wins, head_rows, insert_ignore, lead_columns, normalise_headers,
                          ordered, out_of_range, percentiles, pivot_periods, profile_series, register_view, rename_present, rolling_sum,
@@ -25,7 +27,7 @@ from ..operators import (check_balanced, check_not_null, check_unique, completen
                          upsert)
 from ..schemas import RAW_PRICES, RAW_WEATHER
 from ..session import scratch_path
-from ..sinks import (append, create_table, load_insert_ignore, load_upsert, materialise, read_conflicts, read_table, write_csv)
+from ..sinks import (append, create_table, load_insert_ignore, load_upsert, materialise, read_conflicts, read_table, write_csv, write_version)
 from ..sources.files import (ORDER, list_files, read_generation, read_prices, read_retail, read_weather_csv,
                              read_weather_json, select_files_by_year)
 from ..sources.seeds import read_seed, seed
@@ -539,6 +541,68 @@ def q_insert_ignore_table(spark, sf_dir):
     return read_table(spark, base)
 
 
+@query("insert_ignore_presence")
+def q_insert_ignore_presence(spark, sf_dir):
+    """Both feeds loaded one after the other, the second twice; stored keys are looked up in bitmaps, no stored row is read."""
+    base = scratch_path(spark, "presence-table")
+    for rows, order in ((A.raw_prices_orders(spark, sf_dir), "o_orderkey"), (A.raw_prices_events(spark, sf_dir), "event_id"),
+                        (A.raw_prices_events(spark, sf_dir), "event_id")):
+        load_insert_ignore(spark, base, rows, C.PRICE_KEY, [order], RAW_PRICES, month_of="trading_date", presence="trading_period")
+    return read_table(spark, base)
+
+
+@query("distinct_rollup")
+def q_distinct_rollup(spark, sf_dir):
+    """Distinct customers per month and year, merged from stored bitmaps of each day."""
+    base = scratch_path(spark, "day-bitmaps")
+    orders = A.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    write_version(bitmap_words(orders, ["day"], "o_custkey"), base)
+    days = read_table(spark, base)
+    grains = [("month", F.year("day") * 100 + F.month("day")), ("year", F.year("day"))]
+    return union_all([count_words(merge_words(days, [F.lit(name).alias("grain"), of.alias("span")]), ["grain", "span"], "customers")
+                      for name, of in grains])
+
+
+@query("spike_rolling_records")
+def q_spike_rolling_records(spark, sf_dir):
+    """Spikes among the last 7 and 30 price records and days since the last one, at record grain, in blocks."""
+    s = _month_prices(spark, sf_dir).select("trading_date", "trading_period", "node", "is_price_spike")
+    flag = F.when(F.col("is_price_spike"), 1).otherwise(0)
+    return blocked_windows(s, ["trading_date", "trading_period", "node"], scratch_path(spark, "blocks"),
+                           sums={"spikes_last_7": (flag, 7), "spikes_last_30": (flag, 30)},
+                           days_since={"days_since_last_spike": ("trading_date", F.col("is_price_spike"))})
+
+
+@query("price_range_labels")
+def q_price_range_labels(spark, sf_dir):
+    """Every price row with its label from a list of 10,000 overlapping date ranges, the first listed winning."""
+    first = dt.date(2020, 1, 1)
+    starts = [first + dt.timedelta(days=k * 37 % 3000) for k in range(10_000)]
+    ranges = [(d, d + dt.timedelta(days=k % 9), f"r{k}") for k, d in enumerate(starts)]
+    s = raw_prices(spark, sf_dir).select("trading_date", "trading_period", "node")
+    return label_by_ranges(s, "trading_date", ranges, "label")
+
+
+@query("smoke_profile")
+def q_smoke_profile(spark, sf_dir):
+    """The weather table as a whole and per location: rows, nulls, distinct values, smallest and largest value of each column."""
+    return smoke_profile(raw_weather(spark, sf_dir), "location", ["time", "precipitation_sum", "snowfall_sum"])
+
+
+@query("date_layouts_per_file")
+def q_date_layouts(spark, sf_dir):
+    """The long price feed written as day-first files (odd months) and month-first files (even months), read without a parameter."""
+    base = scratch_path(spark, "layouts")
+    feed = raw_prices(spark, sf_dir)
+    odd = F.month("trading_date") % 2 == 1
+    for folder, rows, layout in (("day", feed.where(odd), "d/M/yyyy"), ("month", feed.where(~odd), "M/d/yyyy")):
+        # a file holds a node's rows of years, so days above 12 that tell its layout
+        rows.withColumn("trading_date", F.date_format("trading_date", layout))\
+            .repartition("node").write.option("header", True).csv(f"{base}/{folder}")
+    typed, _rejects = read_prices(spark, list_files(spark, base, "*.csv", recursive=True))
+    return typed.drop(ORDER)
+
+
 @query("upsert_table")
 def q_upsert_table(spark, sf_dir):
     """Two loads of a stored weather table, the second holding every row twice: the later one wins."""

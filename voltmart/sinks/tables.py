@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.bitmaps import bitmap_words, merge_words
+from ..operators.bitmaps import MASK, WORD, bitmap_words, merge_words
 from ..operators.dedup import conflict_ledger, insert_ignore, insert_with_conflicts, upsert
 from ..schemas import ddl
 from ..session import scratch_path
@@ -91,7 +91,8 @@ def read_table(spark: SparkSession, base: str, schema: T.StructType | None = Non
             p for p in [latest_version(spark, base)] if p]
     if not paths:
         return spark.createDataFrame([], schema) if schema is not None else None
-    df = spark.read.option("basePath", base).parquet(*paths)   # folder levels become columns: v, batch or load, month
+    reader = spark.read.option("basePath", base)   # a load without rows holds no file to tell the columns
+    df = (reader.schema(schema) if schema is not None else reader).parquet(*paths)   # folder levels become columns: v, batch or load, month
     if months is not None:
         df = df.where(F.col(MONTH).isin(list(months)))
     return df.drop("v", "batch", "load", MONTH)
@@ -122,22 +123,18 @@ def _months(incoming: DataFrame, month: Column) -> list[int]:
     return [r[0] for r in incoming.select(month).distinct().collect() if r[0] is not None]
 
 
-def _batch_presence(spark: SparkSession, path: str, keys: Sequence[str], number: str) -> DataFrame:
-    """Bitmap rows of one batch, from its key columns alone."""
-    rows = spark.read.parquet(path)
-    others = [k for k in keys if k != number]
-    complete = rows.select(*keys, *([MONTH] if MONTH in rows.columns else [])).dropna(subset=list(keys))
-    return bitmap_words(complete, [*others, *([MONTH] if MONTH in rows.columns else [])], number)
-
-
-def _write_presence(spark: SparkSession, base: str, batch: int, keys: Sequence[str], number: str) -> None:
-    words = _batch_presence(spark, f"{base}/batch={batch}", keys, number)
+def _write_presence(spark: SparkSession, base: str, batch: int, keys: Sequence[str], number: str,
+                    schema: T.StructType, month_of: str | None) -> None:
+    """Bitmap rows of one batch, from its key columns alone (a batch without rows holds no file to tell its columns)."""
+    rows = spark.read.schema(T.StructType([f for f in schema.fields if f.name in keys])).parquet(f"{base}/batch={batch}")
+    month = [(F.year(month_of) * 100 + F.month(month_of)).alias(MONTH)] if month_of else []
+    words = bitmap_words(rows.select(*keys, *month).dropna(subset=list(keys)), [k for k in keys if k != number] + [MONTH] * len(month), number)
     w = words.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    (w.partitionBy(MONTH) if MONTH in words.columns else w).parquet(f"{base}/presence/batch={batch}")
+    (w.partitionBy(MONTH) if month_of else w).parquet(f"{base}/presence/batch={batch}")
 
 
-def read_presence(spark: SparkSession, base: str, keys: Sequence[str], number: str,
-                  months: Sequence[int] | None = None) -> DataFrame | None:
+def read_presence(spark: SparkSession, base: str, keys: Sequence[str], number: str, schema: T.StructType,
+                  month_of: str | None = None, months: Sequence[int] | None = None) -> DataFrame | None:
     """Merged bitmap rows (other keys, word, mask) of the stored keys of an append table. Batches without bitmaps, as a
     crash between a batch and its bitmaps leaves them, or as loaded before, get them now, from their key columns."""
     base = base.rstrip("/")
@@ -145,8 +142,11 @@ def read_presence(spark: SparkSession, base: str, keys: Sequence[str], number: s
     if not batches:
         return None
     for batch in sorted(set(batches) - set(_committed(spark, f"{base}/presence", "batch"))):
-        _write_presence(spark, base, batch, keys, number)
-    words = spark.read.option("basePath", f"{base}/presence").parquet(*[f"{base}/presence/batch={b}" for b in batches])
+        _write_presence(spark, base, batch, keys, number, schema, month_of)
+    others = [f for f in schema.fields if f.name in keys and f.name != number]
+    numbers = [T.StructField(n, T.LongType()) for n in (WORD, MASK)] + [T.StructField(MONTH, T.IntegerType())] * bool(month_of)
+    words = (spark.read.schema(T.StructType(others + numbers)).option("basePath", f"{base}/presence")
+             .parquet(*[f"{base}/presence/batch={b}" for b in batches]))
     if months is not None:
         words = words.where(F.col(MONTH).isin(list(months)))
     return merge_words(words, [k for k in keys if k != number])
@@ -176,7 +176,7 @@ def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys
     months = _months(incoming, month) if month_of else None
     if presence is not None and presence not in keys:
         raise ValueError(f"presence column {presence!r} must be part of the key")
-    stored = read_presence(spark, base, keys, presence, months) if presence else None
+    stored = read_presence(spark, base, keys, presence, schema, month_of, months) if presence else None
     looked_up = (presence, stored) if stored is not None else None
     existing = None if presence else read_table(spark, base, schema, months)
     if conflicts:
@@ -195,7 +195,7 @@ def load_insert_ignore(spark: SparkSession, base: str, incoming: DataFrame, keys
     if conflicts:  # under the batch's number; a crash before this leaves the batch without its ledger, never the reverse
         ledger.write.mode("overwrite").parquet(f"{base.rstrip('/')}/conflicts/{path.rsplit('/', 1)[-1]}")
     if presence:
-        _write_presence(spark, base.rstrip("/"), int(path.rsplit("=", 1)[-1]), keys, presence)
+        _write_presence(spark, base.rstrip("/"), int(path.rsplit("=", 1)[-1]), keys, presence, schema, month_of)
     return path
 
 

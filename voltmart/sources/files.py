@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from .. import schemas as S
 from ..functions.parsing import to_date_lenient, to_integral, to_number
+from ..operators.joins import maybe_broadcast
 from ..operators.reshape import (ensure_columns, normalise_headers, rename_present, select_present,
                                  period_columns, union_all, unpivot_periods)
 from .csv_records import files_with_open_lines, records
@@ -253,7 +254,7 @@ def split_files_by_schema(spark: SparkSession, paths: Sequence[str], required: S
 
 def _row_rejects(df: DataFrame, reason: Column, record: Column | None = None) -> DataFrame:
     """Records of `df` (with the arrival column) that a reader does not load, where `reason` is not null."""
-    cells = [c for c in df.columns if c not in (ORDER, MALFORMED, "file_name")]
+    cells = [c for c in df.columns if c not in (ORDER, MALFORMED, "file_name", "__layout")]
     text = record if record is not None else F.to_json(F.struct(*[F.col(f"`{c}`") for c in cells]))
     if MALFORMED in df.columns:
         text = F.coalesce(F.col(MALFORMED), text)
@@ -265,6 +266,38 @@ def _malformed() -> Column:
     return F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed record"))
 
 
+# ---------------------------------------------------------------- date layouts
+
+_YEAR_LAST_DATE = r"^\s*([0-9]{1,2})[-/.]([0-9]{1,2})[-/.][0-9]{4}(?:[ T].*)?$"
+MONTH_FIRST, DISAGREE = "month first", "date layouts disagree within the file"
+
+
+def date_layouts(df: DataFrame, column: str) -> list[tuple[str, str]]:
+    """Files whose year-last dates are not to be read day-first: (path, MONTH_FIRST) where some date can only be month-first
+    and none only day-first, (path, DISAGREE) where both kinds occur. A file without a telling date is day-first.
+
+    One narrow aggregation over the date column; at most one row per file reaches the driver, bounded by the listing.
+    """
+    one, two = (F.regexp_extract(column, _YEAR_LAST_DATE, i).try_cast("int") for i in (1, 2))
+    told = df.select(F.col(f"{ORDER}.f").alias("f"), one.alias("a"), two.alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    kinds = told.groupBy("f").agg(F.count_if(F.col("a").between(13, 31) & F.col("b").between(1, 12)).alias("day"),
+                                  F.count_if(F.col("b").between(13, 31) & F.col("a").between(1, 12)).alias("month"))
+    return [(r["f"], DISAGREE if r["day"] else MONTH_FIRST) for r in kinds.where("month > 0").collect()]
+
+
+def with_dates(df: DataFrame, column: str) -> tuple[DataFrame, Column, Column]:
+    """`df` with what its files' date layouts need, the date column read by each file's layout, and the reason to reject a
+    record whose file holds both layouts (only its year-last dates; other layouts read the same everywhere)."""
+    layouts = date_layouts(df, column)
+    if not layouts:
+        return df, to_date_lenient(column), F.lit(None).cast("string")
+    known = df.sparkSession.createDataFrame(layouts, "__file string, __layout string")
+    held = df.join(maybe_broadcast(known, len(layouts)), F.col(f"{ORDER}.f") == F.col("__file"), "left").drop("__file")
+    unclear = (F.col("__layout") == DISAGREE) & F.col(column).rlike(_YEAR_LAST_DATE)
+    date = F.when(unclear, F.lit(None).cast("date")).when(F.col("__layout") == MONTH_FIRST, to_date_lenient(column, day_first=False)).otherwise(to_date_lenient(column))
+    return held, date, F.when(unclear, F.lit(DISAGREE))
+
+
 # ---------------------------------------------------------------- generation
 
 def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
@@ -281,9 +314,12 @@ def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
     wide = normalise_headers(read_csv_by_header(spark, ok))
     periods = period_columns(wide.columns)
     wide = wide.select(*ids, ORDER, MALFORMED, *periods)
-    no_date = F.when(to_date_lenient("trading_date").isNull(), F.lit("no trading_date"))
-    bad_row = F.coalesce(_malformed(), no_date)
+    wide, date, unclear = with_dates(wide, "trading_date")
+    no_date = F.when(date.isNull(), F.lit("no trading_date"))
+    bad_row = F.coalesce(_malformed(), unclear, no_date)
     sound = wide.where(bad_row.isNull())
+    if "__layout" in wide.columns:  # from here on the text is an ISO date
+        sound = sound.withColumn("trading_date", date.cast("string")).drop("__layout")
     cells = sound.select(ORDER, F.inline(F.array(*[
         F.struct(F.lit(c).alias("cell"), F.col(c).alias("text")) for c in periods])))
     bad_cell = F.when((F.trim("text") != F.lit("")) & to_number("text").isNull(), F.lit("not a number"))
@@ -299,13 +335,14 @@ def coerce_prices(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raw price text (with the arrival column) -> (typed rows, rejected records): a record is
     rejected if it has too many cells or lacks a valid date, whole period, node or price."""
     df = ensure_columns(df, T.StructType([T.StructField(c, T.StringType()) for c in ("load_mw", "generation_mw", MALFORMED)]))
+    df, date, unclear = with_dates(df, "trading_date")
     typed = {
-        "trading_date": to_date_lenient("trading_date"),
+        "trading_date": date,
         "trading_period": to_integral("trading_period", "smallint"),
         "node": F.col("node"),
         "price": to_number("price"),
     }
-    reason = F.coalesce(_malformed(), *[F.when(e.isNull(), F.lit(f"no valid {n}")) for n, e in typed.items()])
+    reason = F.coalesce(_malformed(), unclear, *[F.when(e.isNull(), F.lit(f"no valid {n}")) for n, e in typed.items()])
     rows = df.where(F.col(MALFORMED).isNull()).select(
         *[e.alias(n) for n, e in typed.items()],
         to_number("load_mw").alias("load_mw"),
@@ -354,7 +391,7 @@ def read_retail(spark: SparkSession, path: str, glob: str = C.CSV_FILE_GLOB) ->
     if not accepted:
         raise FileNotFoundError(f"no readable retail files under {path}")
     raw = read_csv_by_header(spark, accepted, lower=False)
-    cols = [c for c in raw.columns if c not in (ORDER, MALFORMED, "file_name")]
+    cols = [c for c in raw.columns if c not in (ORDER, MALFORMED, "file_name", "__layout")]
     rows = raw.where(F.col(MALFORMED).isNull()).select(*[F.col(f"`{c}`") for c in cols], F.col("file_name").alias("raw_filename"))
     return typed_by_content(rows, cols), rejects.unionByName(_row_rejects(raw, _malformed()))
 
