@@ -108,9 +108,14 @@ def test_token_files_round_trip(spark, docs, odd):
         assert by_row((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == by_row(
             (i, len(ids[t]), zlib.crc32(ids[t].tobytes())) for i, t in texts_of(df))
         first = next(t for i, t in texts_of(df) if i == out[-1].doc_id)
-        asked = spark.createDataFrame([(out[-1].start,), (0,), (at,)], "position long")
-        got = {r.position: r.token for r in token_dac.read_tokens(spark, path, asked).collect()}
-        assert set(got) == {out[-1].start, 0} and got[out[-1].start] == ids[first][0]
+        asked = spark.createDataFrame([(out[-1].start,), (0,), (at,), (0,), (-1,), (None,), *[(i,) for i in range(at - 50, at)]], "position long")
+        found = token_dac.read_tokens(spark, path, asked)
+        assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+        held = dict(texts_of(df))
+        every = np.concatenate([ids[held[r.doc_id]] for r in out]) if len(held) == len(out) else None  # where ids are unique
+        rows = [(r.position, r.token) for r in found.collect()]
+        assert sorted(p for p, _ in rows) == sorted([out[-1].start, 0, 0, *range(at - 50, at)])
+        assert dict(rows)[out[-1].start] == ids[first][0] and (every is None or all(t == every[p] for p, t in rows))
 
 
 def test_dac_random_access():

@@ -37,6 +37,7 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 CHUNK_BYTES = (1, 1, 2)
 BLOCK_BITS = 512
+POSITION_BITS = 20  # of a block of positions that shards are looked up by
 SHARD_SCHEMA = "part int, shard int, part_offset long, n_docs long, n_tokens long, doc_ids binary, no_id binary, data binary"
 
 
@@ -220,23 +221,30 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tokens(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
-    """Random access: position (tokens before it in the whole corpus) -> token; positions outside give no row.
+    """Random access: position (tokens before it in the whole corpus) -> token; positions outside give no row, repeated ones
+    a row each.
 
-    Positions meet their shard by the shard's range, found with a sorted union and a running maximum per part.
+    Positions meet their shard by an equi-join on blocks of 2^20 positions, a shard being listed in every block it touches.
+    A shard's data is joined once per block of its own positions, with the distinct ones asked for there.
     """
-    parts = spark.read.parquet(f"{path}/parts")
-    ranges = spark.read.parquet(f"{path}/shards").join(parts, "part").select(
-        "part", "shard", (F.col("base") + F.col("part_offset")).alias("start"), "n_tokens")
-    found = positions.join(ranges, (F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + F.col("n_tokens")))
-    wanted = found.select("part", "shard", "position", (F.col("position") - F.col("start")).alias("at"))
+    blocks = F.sequence(F.shiftright("start", POSITION_BITS), F.shiftright(F.col("start") + F.col("n_tokens") - 1, POSITION_BITS))
+    ranges = read_shards(spark, path).where("n_tokens > 0").select("part", "shard", "start", "n_tokens", F.explode(blocks).alias("block"))
+    asked = positions.select(F.col("position").cast("long").alias("position"))
+    placed = asked.distinct().withColumn("block", F.shiftright("position", POSITION_BITS)).join(ranges, "block").where(
+        (F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + F.col("n_tokens")))
+    at = F.col("position") - F.col("start")
+    wanted = placed.groupBy("part", "shard", F.shiftright(at, POSITION_BITS).alias("piece")).agg(
+        F.collect_list("position").alias("positions"), F.collect_list(at).alias("at"))
 
     def look(batches):
         for pdf in batches:
-            yield pd.DataFrame({"position": pdf["position"],
-                                "token": [Shard(d).token(i) for d, i in zip(pdf["data"], pdf["at"], strict=True)]})
+            for data, where, places in zip(pdf["data"], pdf["positions"], pdf["at"], strict=True):
+                shard = Shard(data)
+                yield pd.DataFrame({"position": where, "token": [shard.token(int(i)) for i in places]})
 
-    return (wanted.join(spark.read.parquet(f"{path}/shards").select("part", "shard", "data"), ["part", "shard"])
-            .select("position", "at", "data").mapInPandas(look, "position long, token long"))
+    found = (wanted.join(spark.read.parquet(f"{path}/shards").select("part", "shard", "data"), ["part", "shard"])
+             .select("positions", "at", "data").mapInPandas(look, "position long, token long"))
+    return asked.join(found, "position")
 
 
 def op2_token_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
