@@ -4,6 +4,7 @@ rows, empty tables, and extra columns with clashing names."""
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -337,7 +338,7 @@ def test_language_odd_rows(spark, docs, odd, empty):
     assert language_fusion.identify_documents(empty, "found").count() == 0
 
 
-def test_host_prior_decides_where_the_text_does_not(spark, docs):
+def test_pages_have_all_evidence(spark, docs):
     model = language_fusion.fit(docs)
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     out = language_fusion.identify_pages(pages, model).collect()
@@ -347,6 +348,128 @@ def test_host_prior_decides_where_the_text_does_not(spark, docs):
     assert [tuple(r) for r in got] == [("www.x.example.de", "de"), (None, None), (None, None)]
 
 
+def plain_trigrams(text):
+    """Buckets by one loop over the bytes: digits break a trigram, marks are spaces, two spaces in a row are no trigram."""
+    data = [c if c > 127 or chr(c).isalpha() else -1 if chr(c).isdigit() else 32 for c in f" {text.lower()} ".encode()]
+    windows = [data[i:i + 3] for i in range(len(data) - 2)]
+    return [((a << 16 | b << 8 | c) * 2654435761 % 2 ** 32) >> 18 for a, b, c in windows if -1 not in (a, b, c) and not (b == 32 and 32 in (a, c))]
+
+
+def plain_softmax(scores):
+    raised = [math.exp(x - max(scores)) for x in scores]
+    return [x / sum(raised) for x in raised]
+
+
+def plain_languages(rows, counts):
+    """Fusion written out row by row; rows of (text, declared, suffix language, host), counts of buckets per language."""
+    names, size = sorted(counts), language_fusion.BUCKETS
+    classes = [*names, "und"]
+    n = len(classes)
+
+    def text_scores(text):
+        found = plain_trigrams(text)
+        sums = [sum(math.log(0.95 * counts[x].get(b, 0) / sum(counts[x].values()) + 0.05 / size) for b in found) for x in names]
+        return [x * min(len(found), 120) / max(len(found), 1) for x in [*sums, -len(found) * math.log(size)]]
+
+    def told(name, trust):
+        code = re.split("[-_]", (name or "").lower())[0]
+        at = code if code in names else "und"
+        return [0.0] * n if code in ("", "und") else [math.log(trust if x == at else (1 - trust) / (n - 1)) for x in classes]
+
+    lettered = [bool(re.search(r"[^\W\d_]", t or "")) for t, *_ in rows]
+    scores = [text_scores(t) if ok else None for (t, *_), ok in zip(rows, lettered, strict=True)]
+    own = [plain_softmax(s) if s else [0.0] * n for s in scores]
+    parent = lambda host: ".".join(host.split(".")[-2:]) if "." in host else None
+    out = []
+    for i, (_, declared, suffix, host) in enumerate(rows):
+        if not lettered[i]:
+            out.append((None, 0.0, False))
+            continue
+        prior = [1 / n] * n
+        for strength, same in ((n, lambda j: True), (100.0, lambda j: parent(host or "") and parent(rows[j][3] or "") == parent(host)),
+                               (20.0, lambda j: (rows[j][3] or "") == (host or ""))):
+            if strength == 100.0 and not parent(host or ""):
+                continue
+            others = [own[j] for j in range(len(rows)) if j != i and lettered[j] and same(j)]
+            prior = [(sum(o[k] for o in others) + strength * prior[k]) / (len(others) + strength) for k in range(n)]
+        fused = plain_softmax([a + b + c + math.log(d) for a, b, c, d in zip(scores[i], told(declared, 0.9), told(suffix, 0.7), prior, strict=True)])
+        at = fused.index(max(fused))
+        out.append((classes[at], max(fused), classes[at] != "und" and max(fused) >= 0.5))
+    return out
+
+
+def test_languages_against_a_plain_version(spark, docs):
+    labelled = docs.where("lang is not null and text is not null").limit(60).select("doc_id", "text", "lang").cache()
+    model = language_fusion.fit(labelled)
+    counts = collections.defaultdict(collections.Counter)
+    for r in labelled.collect():
+        counts[r.lang].update(plain_trigrams(r.text))
+    words = [t for r in docs.limit(40).collect() for t in [r.text.split()[:3 + r.doc_id % 5]] if t]
+    hosts = ["a.example.de", "b.example.de", "example.de", "x.site.fr", "y.site.fr", "plain", None, "c.example.pl", "z.co.uk"]
+    tags = ["en", "de-AT", "FR_fr", "xx", "", None, "und", "es"]
+    texts = [" ".join(w) for w in words] + ["", None, "1 2 3", "1a2", "日本語", "a", "ok", "Wszyscy ludzie rodzą się wolni"] * 2
+    rows = [(i, t, tags[i % len(tags)], f"https://{h}/p{i}" if "." in (h or "") else None, h) for i, t in enumerate(texts) for h in [hosts[i * 5 % len(hosts)]]]
+    df = spark.createDataFrame(rows, "n int, t string, d string, u string, h string").repartition(4)
+    out = language_fusion.identify(df, model, F.col("t"), F.col("d"), F.col("u"), F.col("h"), keep=["n"]).orderBy("n").collect()
+    suffix = lambda u: language_fusion.SUFFIX_LANGUAGE.get(u.split("/")[2].rsplit(".", 1)[-1]) if u else None
+    want = plain_languages([(t, d, suffix(u), h) for _, t, d, u, h in rows], counts)
+    assert [(r.identified.language, r.identified.kept) for r in out] == [(a, c) for a, _, c in want]
+    assert max(abs(r.identified.confidence - b) for r, (_, b, _) in zip(out, want, strict=True)) < 1e-3  # float32 logs, long products
+
+
+def test_suffix_and_parent_host_decide_where_the_text_does_not(spark, docs):
+    model = language_fusion.fit(docs)
+    german = [r.text for r in docs.where("lang = 'de'").limit(30).collect()]
+    french = [r.text for r in docs.where("lang = 'fr'").limit(30).collect()]
+    rows = [(i, t, f"http://a{i}.zeitung.com/") for i, t in enumerate(german)] + [(100 + i, t, f"http://b{i}.journal.com/") for i, t in enumerate(french)]
+    spanish = [r.text for r in docs.where("lang = 'es'").limit(10).collect()]
+    rows += [(300 + i, t, f"http://sitio{i}.com/") for i, t in enumerate(spanish)]
+    # "1a2" has no trigram: it says nothing about its language
+    rows += [(200, "1a2", "http://new.zeitung.com/"), (201, "1a2", "http://new.journal.com/"), (202, "1a2", "http://far.off.es/x"), (203, "1a2", "http://far.off.com/x")]
+    df = spark.createDataFrame(rows, "n int, t string, u string")
+    none = F.lit(None).cast("string")
+    out = {r.n: r.f for r in language_fusion.identify(df, model, F.col("t"), none, F.col("u"), language_fusion.host_of(F.col("u")), "f").collect()}
+    assert [out[i].language for i in (200, 201)] == ["de", "fr"]  # the parent's other hosts
+    assert out[202].language == "es" and out[203].language != "es"  # the suffix
+    assert all(out[i].language == "de" for i in range(30))
+
+
+@pytest.mark.parametrize("text", [
+    "Tämä on suomenkielinen lause, jossa kerrotaan säästä ja kalastuksesta järvellä.", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności.",
+    "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv.", "Все люди рождаются свободными", "今日は天気がいい。",
+])
+def test_languages_outside_the_sample_are_rejected(spark, docs, text):
+    model = language_fusion.fit(docs)
+    df = spark.createDataFrame([(1, text, None, None), (2, text * 50, "en", "s")], "doc_id long, text string, lang string, source string")
+    out = language_fusion.identify_documents(df.unionByName(docs.select(*df.columns).limit(50)), model=model).where("doc_id in (1, 2) and text like '%s%%'" % text[:12]).collect()
+    assert {(r.identified.language, r.identified.kept) for r in out} == {("und", False)}
+
+
+def test_trigrams_do_not_depend_on_blocks():
+    text = "Grüße 12 an alle, die das hier lesen: 7x7 — ok? " * 50
+    whole = plain_trigrams(text)
+    for size in (3, 7, 64, 1 << 20):
+        assert np.concatenate(list(language_fusion.blocks(text, size))).tolist() == whole
+    assert list(language_fusion.blocks("")) == [] or not len(np.concatenate(list(language_fusion.blocks(""))))
+
+
+def test_each_text_is_scored_once(spark, docs, tmp_path):
+    model = language_fusion.fit(docs)
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counted(language_fusion.TrigramModel):
+        def __init__(self):
+            self.languages, self.log = model.languages, model.log
+
+        def score(self, text):
+            calls.add(1)
+            return super().score(text)
+
+    out = language_fusion.identify_documents(docs, model=Counted())
+    assert out.count() == out.where("identified.kept or true").count() == docs.count()
+    assert calls.value == docs.count()
+
+
 # --- op9 -------------------------------------------------------------------------------------------------------------
 
 def plain_licenses(text):

@@ -16,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     piece_spans.op6_piece_spans,
     rank_merge.op7_rank_merge,
     language_fusion.op8_language_fusion,
+    language_fusion.op8_page_languages,
     license_diagonals.op9_license_diagonals,
     wrapper_induction.op10_wrapper_induction,
     conversation_trie.op11_prefix_trie,
