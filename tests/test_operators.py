@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -218,3 +219,27 @@ def test_percentiles_distributed_all_radix_levels(spark):
     assert set(a) == set(b) == {"0", "1", "2"}
     for g in a:
         assert b[g] == pytest.approx(a[g], rel=1e-12)
+
+
+def test_wide_generation_is_compiled(spark):
+    """The JVM compiles no method of more than 8000 bytes of code; a wide table must not make one."""
+    rows = [("s", "p1", "n", "g", "Wind", "T", "2024-03-01", 1, Decimal("1.5")), ("s", "p1", "n", "g", "Wind", "T", "2024-03-01", 1, Decimal("2.5")),
+            ("s", "p1", "n", "g", "Wind", "T", "2024-03-01", 50, None), ("s", None, "n", "g", None, "T", None, None, Decimal("7")),
+            ("s", "p2", "n", "g", "Wind", "T", "2024-03-01", 48, Decimal("-3"))]
+    long = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in C.GENERATION_ID_COLUMNS) + ", trading_period smallint, output_kw decimal(18,6)")
+    ids = list(C.GENERATION_ID_COLUMNS)
+    wide = pivot_periods(long, ids, "trading_period", "output_kw")
+    assert wide.columns == ids + [f"tp{i}" for i in range(1, 51)] and wide.schema["tp7"].dataType == long.schema["output_kw"].dataType
+    assert sorted((r["poc_code"] or "", r["tp1"], r["tp48"], r["tp50"]) for r in wide.collect()) == [
+        ("", None, None, None), ("p1", Decimal("2.500000"), None, None), ("p2", None, Decimal("-3.000000"), None)]
+    back = unpivot_periods(wide.select(*ids, *[F.col(f"tp{i}").cast("string") for i in range(1, 51)]), ids)
+    assert sorted((r["poc_code"], r["trading_period"], r["output_kw"]) for r in back.collect()) == [
+        ("p1", 1, Decimal("2.500000")), ("p2", 48, Decimal("-3.000000"))]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = spark._jvm.PythonSQLUtils.explainString(back.select("*")._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) <= 8000

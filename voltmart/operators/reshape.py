@@ -87,11 +87,10 @@ def unpivot_periods(df: DataFrame, ids: Sequence[str] = C.GENERATION_ID_COLUMNS,
 
     Blank and null cells are dropped, values are parsed leniently (junk -> null,
     dropped), the date is parsed leniently, and rows missing date, period or
-    value are dropped. A narrow, shuffle-free transformation: each wide row
-    builds an array of (period, cell) pairs, keeps the non-blank ones, and
-    ``inline`` emits them, so empty cells never become rows (an Expand of 50
-    projections would emit every cell and, fused with the parsing, exceeds
-    what whole-stage codegen compiles).
+    value are dropped. A narrow, shuffle-free transformation: the cells of a wide
+    row are one array of texts that ``posexplode`` walks, and blank ones are left
+    out there, in one short loop of generated code (an Expand of 50 projections,
+    or 50 structs to filter, make methods that the JVM only interprets).
     """
     missing = [c for c in ids if c not in df.columns]
     if missing:
@@ -99,15 +98,14 @@ def unpivot_periods(df: DataFrame, ids: Sequence[str] = C.GENERATION_ID_COLUMNS,
     values = period_columns(df.columns, prefix, max_period)
     if not values:
         raise ValueError(f"no {prefix}N columns present")
-    cells = F.array(*[F.struct(F.lit(int(v[len(prefix):])).cast("smallint").alias("p"),
-                               F.col(v).cast("string").alias("v")) for v in values])
-    present = F.filter(cells, lambda c: c["v"].isNotNull() & (F.trim(c["v"]) != F.lit("")))
     if date_col:  # once per wide row, not per cell
         df = df.withColumn(date_col, to_date_lenient(date_col)).where(F.col(date_col).isNotNull())
-    long = df.select(*ids, F.inline(present))
-    long = long.withColumns({
-        period_name: F.col("p"),
-        value_name: to_number("v", value_type),
+    at = F.array(*[F.lit(int(v[len(prefix):])).cast("smallint") for v in values])
+    cells = df.select(*ids, F.posexplode(F.array(*[F.col(v).cast("string") for v in values])).alias("__at", "__cell"))
+    present = cells.where(F.col("__cell").isNotNull() & (F.trim("__cell") != F.lit("")))
+    long = present.withColumns({
+        period_name: F.get(at, F.col("__at")),
+        value_name: to_number("__cell", value_type),
     })
     required = [period_name, value_name] + ([date_col] if date_col else [])
     return long.na.drop(subset=required).select(*ids, period_name, value_name)
@@ -117,11 +115,16 @@ def pivot_periods(df: DataFrame, ids: Sequence[str], period_col: str, value_col:
                   prefix: str = C.PERIOD_PREFIX, max_period: int = C.MAX_PERIOD) -> DataFrame:
     """Long -> wide with one column per period (max per cell); inverse of unpivot_periods.
 
-    The period list is given, so no extra job runs to discover pivot values.
+    The period list is given, so no extra job runs to discover pivot values. Cells are reduced to one per (ids, period)
+    before the shuffle; a group then gathers at most one cell per period, and its columns are looked up there, so rows are
+    as wide as their filled cells until they are written out (a pivot aggregate holds every column of every group).
     """
     periods = list(range(1, max_period + 1))
+    kind = df.schema[period_col].dataType
     unknown = F.concat(F.lit(f"pivot_periods: period outside [1, {max_period}]: "), F.col(period_col).cast("string"))
     df = df.withColumn(period_col, F.when(F.col(period_col).isNull() | F.col(period_col).between(1, max_period), F.col(period_col))
-                       .otherwise(F.raise_error(unknown).cast(df.schema[period_col].dataType)))
-    wide = df.groupBy(*ids).pivot(period_col, periods).agg(F.max(value_col))
-    return wide.withColumnsRenamed({str(i): f"{prefix}{i}" for i in periods})
+                       .otherwise(F.raise_error(unknown).cast(kind)))
+    cells = df.groupBy(*ids, period_col).agg(F.max(value_col).alias("__value"))
+    filled = F.when(F.col(period_col).isNotNull() & F.col("__value").isNotNull(), F.struct(F.col(period_col), F.col("__value")))
+    held = F.map_from_entries(F.collect_list(filled))  # made once per group
+    return cells.groupBy(*ids).agg(*[F.try_element_at(held, F.lit(i).cast(kind)).alias(f"{prefix}{i}") for i in periods])
