@@ -867,6 +867,23 @@ def test_each_id_is_scored_once_with_its_window():
     assert abs(total - A.CLASSES) < 1e-2  # P(id | class) adds up to 1 in each class
 
 
+def test_every_training_document_is_learned_from(spark):
+    """Each document holds an id of its own; the parameters of all those of training documents move, and no others."""
+    A = attention_scores
+    rng = np.random.default_rng(6)
+    texts = [np.concatenate([rng.integers(0, 100, 320), [1000 + i], rng.integers(0, 100, 319)]) for i in range(600)]  # 12600 windows
+    made = [(i % 10 == 0, int(rng.integers(-1 << 62, 1 << 62)), bytearray(x.astype(A.IDS).tobytes())) for i, x in enumerate(texts)]
+    common.prepare(spark)
+    rows = spark.createDataFrame(made, "held_out boolean, place long, ids binary").repartition(5)
+    counts = np.bincount(np.concatenate([x for i, x in enumerate(texts) if i % 10]), minlength=A.VOCABULARY)
+    counts[A.END] += 540
+    moved = (A.fit(rows, counts).embed != A.Model(counts).embed).any(axis=1)
+    assert [bool(moved[1000 + i]) for i in range(600)] == [i % 10 != 0 for i in range(600)]
+    for windows in (0, 1, A.FIT_WINDOWS, 3 * A.FIT_WINDOWS, 10 ** 6, 10 ** 12):
+        cuts = A.rounds_of(windows)
+        assert cuts[0][0] == 0 and cuts[-1][1] == A.PLACES and all(x[1] == y[0] for x, y in zip(cuts, cuts[1:], strict=False))
+
+
 def test_training_lowers_the_loss():
     A = attention_scores
     rng = np.random.default_rng(2)

@@ -7,10 +7,11 @@ network.
 
 1. Each text is read once: its subword ids and its words (a 64-bit hash each, with how often) are written.
 2. Words and ids are counted over all training documents, in tasks before the shuffle.
-3. The network starts from FIT_WINDOWS windows (a documented bound), trained on the driver. Then one round runs over
-   the data: every task trains on from there with the training documents whose hash ROUND_SHARE divides, whole texts,
-   and the parameters are averaged, each row by how often the tasks used it. So what is learned grows with the input,
-   while only one set of parameters (a fixed size) reaches the driver.
+3. The network learns from every id of every training document, in rounds that take documents by hash, each in one round:
+   the first about FIT_WINDOWS windows (one task, EPOCHS passes, so that the tasks after it start alike), then one document
+   in MIDDLE, then all others. In a round every task trains on from the parameters before it with its part of the
+   documents, and the parameters are averaged, each row by how often the tasks used it. So only one set of parameters (a
+   fixed size) reaches the driver.
 4. Scoring cuts every text into windows of WINDOW ids that overlap by half; each window scores its second half (the
    first one all it has), so each id is scored once, with at least STRIDE ids before it where the text has them. Many
    windows go through one masked attention.
@@ -48,9 +49,12 @@ END = 50256
 WIDTH = 16
 STRIDE, WINDOW = 16, 32
 CLASSES, SINGLE = 64, 48
-FIT_ROWS, FIT_WINDOWS, EPOCHS = 4000, 8192, 6
-ROUND_SHARE = 32
+PLACES = 1 << 30  # that documents are put at by hash
+FIT_WINDOWS, EPOCHS = 8192, 6  # of the first round: about so many windows, passes over them
+MIDDLE = 16  # one in so many documents in the first two rounds
+LEARNERS = 8  # tasks per core that learn side by side
 BATCH = 128
+TURN = 64 * BATCH  # windows that are shuffled at a time
 RATE = 0.25
 HEAVY = 1 << 20
 HELD = 1 << 20  # words that a task counts at a time
@@ -185,6 +189,8 @@ class Model:
 
 _BACK = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # distance from query to key
 _SEEN = _BACK >= 0
+_SCALE = np.float32(1 / math.sqrt(WIDTH))
+_ONES, _CLASS_ONES = np.ones((WINDOW, 1), dtype=np.float32), np.ones((CLASSES, 1), dtype=np.float32)
 
 
 class Trainer:
@@ -204,44 +210,48 @@ class Trainer:
     def step(self, ids: np.ndarray) -> float:
         """One step on windows (rows of WINDOW + 1 ids, -1 beyond a text's end); mean loss of the classes, in nats."""
         m = self.model
-        given, wanted = ids[:, :-1], ids[:, 1:]
-        real = wanted >= 0
-        given, target = np.maximum(given, 0), m.cls[np.maximum(wanted, 0)]
+        given, wanted = np.maximum(ids[:, :-1], 0).ravel(), ids[:, 1:].ravel()
+        real = np.flatnonzero(wanted >= 0)
+        n, many = max(1, len(real)), len(ids)
+        target = m.cls[wanted[real]]
         x = m.embed[given]
-        q, k, v = x @ m.q, x @ m.k, x @ m.v
-        scale = np.float32(1 / math.sqrt(WIDTH))
-        mark = np.where(_SEEN, m.near[np.maximum(_BACK, 0)], np.float32(-1e9))
-        a = q @ k.transpose(0, 2, 1) * scale + mark
-        a = np.exp(a - a.max(axis=2, keepdims=True))
-        a /= a.sum(axis=2, keepdims=True)
-        h = x + a @ v
-        p = h @ m.out.T + m.bias
-        p = np.exp(p - p.max(axis=2, keepdims=True))
-        p /= p.sum(axis=2, keepdims=True)
-        i, j = np.nonzero(real)
-        loss = float(-np.log(np.maximum(p[i, j, target[i, j]], 1e-30)).mean())
-        n = max(1, len(i))
-        p[i, j, target[i, j]] -= 1
-        d = p * real[:, :, None].astype(np.float32) / np.float32(n)
-        flat = d.reshape(-1, CLASSES)
-        g_out, g_bias = flat.T @ h.reshape(-1, WIDTH), flat.sum(axis=0)
-        dh = d @ m.out
-        da = dh @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+        mix = np.concatenate([m.q * _SCALE, m.k, m.v], axis=1)
+        q, k, v = (np.ascontiguousarray(part).reshape(many, WINDOW, WIDTH) for part in np.split(x @ mix, 3, axis=1))
+        a = q @ k.transpose(0, 2, 1)
+        a += np.where(_SEEN, m.near[np.maximum(_BACK, 0)], np.float32(-1e9))
+        np.minimum(a, 80, out=a)  # far outside trained values
+        np.exp(a, out=a)
+        a /= np.maximum(a @ _ONES, np.float32(1e-30))
+        h = (a @ v).reshape(-1, WIDTH)
+        h += x
+        p = h @ m.out.T
+        p += m.bias
+        np.clip(p, -80, 80, out=p)
+        np.exp(p, out=p)
+        weight = np.zeros((len(given), 1), dtype=np.float32)
+        total = p @ _CLASS_ONES
+        weight[real] = 1 / (total[real] * np.float32(n))
+        loss = float(np.log(total[real, 0] / p[real, target]).mean()) if len(real) else 0.0
+        p *= weight
+        p[real, target] -= np.float32(1 / n)
+        g_out, g_bias = p.T @ h, p.sum(axis=0)
+        dh = p @ m.out
+        dv = a.transpose(0, 2, 1) @ dh.reshape(many, WINDOW, WIDTH)
+        ds = dh.reshape(many, WINDOW, WIDTH) @ v.transpose(0, 2, 1)
+        ds *= a
+        ds -= a * (ds @ _ONES)
         g_near = np.bincount(_BACK[_SEEN], weights=ds.sum(axis=0)[_SEEN], minlength=WINDOW).astype(np.float32)
-        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q * scale
-        dx = dh + dq @ m.q.T + dk @ m.k.T + dv @ m.v.T
-        columns = x.reshape(-1, WIDTH).T
-        g_q, g_k, g_v = columns @ dq.reshape(-1, WIDTH), columns @ dk.reshape(-1, WIDTH), columns @ dv.reshape(-1, WIDTH)
-        order = np.argsort(given.ravel(), kind="stable")
-        names, first, times = np.unique(given.ravel()[order], return_index=True, return_counts=True)
-        g_embed = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
-        self._apply("embed", g_embed, names)
-        for name, gradient in (("q", g_q), ("k", g_k), ("v", g_v), ("out", g_out), ("bias", g_bias), ("near", g_near)):
+        moved = np.concatenate([(ds @ k).reshape(-1, WIDTH), (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH), dv.reshape(-1, WIDTH)], axis=1)
+        g_mix = x.T @ moved
+        dh += moved @ mix.T
+        order = np.argsort(given.astype(np.uint16), kind="stable")  # VOCABULARY fits in 16 bits
+        names, first, times = np.unique(given[order], return_index=True, return_counts=True)
+        self._apply("embed", np.add.reduceat(dh[order], first, axis=0), names)
+        g_q, g_k, g_v = np.split(g_mix, 3, axis=1)
+        for name, gradient in (("q", g_q * _SCALE), ("k", g_k), ("v", g_v), ("out", g_out), ("bias", g_bias), ("near", g_near)):
             self._apply(name, gradient)
         self.times[names] += times
-        self.tokens += len(i)
+        self.tokens += len(real)
         return loss
 
 
@@ -254,56 +264,43 @@ def windows_of(ids: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, WINDOW + 1)[::WINDOW]
 
 
-def first_fit(rows: DataFrame, model: Model, sample: int = FIT_ROWS, limit: int = FIT_WINDOWS, epochs: int = EPOCHS) -> Model:
-    """Train from at most ``limit`` windows of at most ``sample`` training documents, both chosen by hash."""
-
-    def cut(batches):
-        for pdf in batches:
-            for ids in numbers(pdf["ids"], IDS):
-                for part in np.array_split(windows_of(ids), len(ids) // (1 << 20) + 1):
-                    yield pd.DataFrame({"window": [w.astype("<i4").tobytes() for w in part]})
-
-    few = common.bounded_sample(rows.where(~F.col("held_out")).select("place", "ids"), sample, "place")
-    windows = few.select("ids").mapInPandas(cut, "window binary")
-    chosen = windows.orderBy(F.xxhash64("window"), "window").limit(limit).toPandas()["window"]
-    if len(chosen):
-        ids = np.frombuffer(b"".join(chosen), dtype="<i4").reshape(-1, WINDOW + 1).astype(np.int64)
-        trainer = Trainer(model)
-        rng = np.random.Generator(np.random.PCG64(17))
-        for _ in range(epochs):
-            order = rng.permutation(len(ids))
-            for at in range(0, len(ids), BATCH):
-                trainer.step(ids[order[at:at + BATCH]])
-    return model
+def rounds_of(windows: int) -> list[tuple[int, int]]:
+    """Ranges of the documents' places (0 .. PLACES - 1) that the rounds learn from; together they hold every place once."""
+    first = min(PLACES, max(1, PLACES * FIT_WINDOWS // max(1, windows)))
+    cuts = sorted({0, first, max(first, PLACES // MIDDLE), PLACES})
+    return list(zip(cuts, cuts[1:], strict=False))
 
 
-def data_round(rows: DataFrame, model: Model, share: int = ROUND_SHARE) -> Model:
-    """Every task trains on with its part of the training documents; the rows that changed are averaged by use."""
+def learned(rows: DataFrame, model: Model, rate: float, passes: int = 1) -> Model:
+    """Every task trains on with its part of ``rows``, all ids of all texts; the rows that changed are averaged by use."""
     held = rows.sparkSession.sparkContext.broadcast(model)
     old = model.rows()
 
     def trained(batches):
         mine = Model.__new__(Model)
         mine.__dict__.update({k: v.copy() for k, v in held.value.__dict__.items()})
-        trainer = Trainer(mine, RATE / 4)
+        trainer = Trainer(mine, rate)
+        rng = np.random.Generator(np.random.PCG64(17))
         waiting: list[np.ndarray] = []
-        size = 0
 
-        def run(whole: bool):
-            nonlocal waiting, size
-            cut = np.concatenate(waiting) if waiting else np.empty((0, WINDOW + 1), dtype=np.int64)
-            stop = len(cut) if whole else len(cut) // BATCH * BATCH
-            for at in range(0, stop, BATCH):
-                trainer.step(cut[at:min(at + BATCH, stop)])
-            waiting, size = [cut[stop:]], len(cut) - stop
+        def run():
+            nonlocal waiting
+            cut = np.concatenate(waiting)
+            for _ in range(passes):
+                order = rng.permutation(len(cut))
+                for at in range(0, len(cut), BATCH):
+                    trainer.step(cut[order[at:at + BATCH]])
+            waiting = []
 
         for pdf in batches:
             for ids in numbers(pdf["ids"], IDS):
-                waiting.append(windows_of(ids))
-                size += len(waiting[-1])
-                if size >= 64 * BATCH:
-                    run(False)
-        run(True)
+                cut = windows_of(ids)
+                for at in range(0, len(cut), TURN):
+                    waiting.append(cut[at:at + TURN])
+                    if sum(map(len, waiting)) >= TURN:
+                        run()
+        if waiting:
+            run()
         if trainer.tokens:
             used = np.full(len(old), trainer.tokens, dtype=np.int64)
             used[:VOCABULARY] = trainer.times
@@ -311,9 +308,8 @@ def data_round(rows: DataFrame, model: Model, share: int = ROUND_SHARE) -> Model
             new = (mine.rows()[at] - old[at]).astype(np.float64)
             yield pd.DataFrame({"row": at, "used": used[at], **{f"v{i}": new[:, i] for i in range(WIDTH)}})
 
-    chosen = ~F.col("held_out") & (F.pmod("place", F.lit(share)) == 0)
     schema = "row int, used long, " + ", ".join(f"v{i} double" for i in range(WIDTH))
-    moved = (rows.where(chosen).select("ids").mapInPandas(trained, schema).groupBy("row")
+    moved = (rows.select("ids").mapInPandas(trained, schema).groupBy("row")
              .agg(*[(F.sum(F.col("used") * F.col(f"v{i}")) / F.sum("used")).alias(f"v{i}") for i in range(WIDTH)])).toPandas()
     new = old.copy()
     new[moved["row"].to_numpy(int)] += moved[[f"v{i}" for i in range(WIDTH)]].to_numpy(np.float32)
@@ -421,8 +417,17 @@ def _scored(rows: DataFrame, model: Model, heavy: tuple[np.ndarray, np.ndarray])
 
 
 def fit(rows: DataFrame, id_counts: np.ndarray) -> Model:
-    """The model of documents that were ``read``, given the counts of their subword ids."""
-    return data_round(rows, first_fit(rows, Model(id_counts)))
+    """The model of documents that were ``read``, given the counts of their subword ids; see the module's text."""
+    model = Model(id_counts)
+    learners = LEARNERS * rows.sparkSession.sparkContext.defaultParallelism
+    place = F.pmod("place", F.lit(PLACES))
+    for begin, end in rounds_of(int(id_counts.sum()) // WINDOW):
+        part = rows.where(~F.col("held_out") & (place >= begin) & (place < end)).select("place", "ids")
+        if begin == 0:  # about FIT_WINDOWS windows, however large the input is
+            learned(part.repartition(1).sortWithinPartitions("place", "ids"), model, RATE, EPOCHS)
+        else:
+            learned(part.coalesce(learners), model, RATE / 4)
+    return model
 
 
 def scores(documents: DataFrame, path: str | None = None) -> DataFrame:
