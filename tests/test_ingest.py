@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -299,3 +300,39 @@ def test_rows_in_are_rows_loaded_and_conflicts(spark, tmp):
         assert rows(ledger, "trading_period", "node", "n_lost", "to_stored") == lost
         before, total = total, read_table(spark, base).count()
         assert len(keys) == total - before + sum(r["n_lost"] for r in ledger.collect())
+
+
+def test_wide_files_are_read_by_compiled_code(spark, tmp):
+    """Missing cells, junk, both date layouts and records without a date, by scans whose generated methods the JVM compiles."""
+    periods = ",".join(f"TP{i}" for i in range(1, 51))
+    head = f"Site_Code,POC_Code,Nwk_Code,Gen_Code,Fuel_Code,Tech_Code,Trading_Date,{periods}\n"
+    cells = lambda first, last: ",".join([first, *[""] * 48, last])
+    write(f"{tmp}/w/202401_Generation_MD.csv", head + f"S1,P1,N1,G1,NA,T,2024-01-15,{cells('1.5', 'NA')}\n" + f"S1,P2,N1,G1,Wind,T,junk,{cells('n/a', '3')}\n")
+    write(f"{tmp}/w/202403_Generation_MD.csv", head + f"S1,P1,N1,G1,Wind,T,03/25/2024,{cells('2', 'x')}\n" + f"S1,P1,N1,G1,Wind,T,03/04/2024,{cells('null', '4')}\n")
+    long, rejects = FS.read_generation(spark, FS.list_files(spark, f"{tmp}/w", C.GENERATION_FILE_GLOB))
+    assert rows(long, "fuel_code", "trading_date", "trading_period", "output_kw") == sorted([
+        (None, dt.date(2024, 1, 15), 1, Decimal("1.500000")), ("Wind", dt.date(2024, 3, 25), 1, Decimal("2.000000")),
+        ("Wind", dt.date(2024, 3, 4), 50, Decimal("4.000000"))], key=repr)
+    found = {(r["reason"], r["record"]) for r in rejects.collect()}
+    assert found == {("not a number", "tp50=x"),
+                     ("no trading_date", '{"site_code":"S1","poc_code":"P2","nwk_code":"N1","gen_code":"G1","fuel_code":"Wind","tech_code":"T","trading_date":"junk","tp50":"3"}')}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = spark._jvm.PythonSQLUtils.explainString(long.select("*")._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_layouts_are_looked_for_only_where_a_year_stands_last(spark, tmp, monkeypatch):
+    asked = []
+    plain = FS.date_layouts
+    monkeypatch.setattr(FS, "date_layouts", lambda df, column: asked.append(column) or plain(df, column))
+    head = "Site_Code,POC_Code,Nwk_Code,Gen_Code,Fuel_Code,Tech_Code,Trading_Date,TP1\n"
+    for name, date, want, scans in (("a", "2024-03-04", dt.date(2024, 3, 4), 0), ("b", '" 3/25/2024 10:00"', dt.date(2024, 3, 25), 1)):
+        write(f"{tmp}/{name}/202401_Generation_MD.csv", head + f"S1,P1,N1,G1,Wind,T,{date},12.5\n")
+        asked.clear()
+        long, _ = FS.read_generation(spark, FS.list_files(spark, f"{tmp}/{name}"))
+        assert (rows(long, "trading_date"), len(asked)) == ([(want,)], scans)

@@ -16,9 +16,8 @@ from .expressions import _col
 # Supported date layouts (time parts after a space or 'T' are dropped):
 #   yyyy-M-d, yyyy/M/d, yyyy.M.d, d/M/yyyy, d-M-yyyy, d.M.yyyy, yyyyMMdd
 _DATE_TOKEN = r"^([0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}|[0-9]{8})(?:[ T].*)?$"
-_YEAR_LAST = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})$"
-_YEAR_FIRST = r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})$"
-_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
+# every layout but the ISO one, in one pattern: parts of the layouts that a text does not have are empty
+_OTHER = r"^(?:([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})|([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})|([0-9]{4})([0-9]{2})([0-9]{2}))$"
 
 
 def blank_to_null(c: str | Column) -> Column:
@@ -45,7 +44,5 @@ def to_date_lenient(c: str | Column, day_first: bool = True) -> Column:
     """Text to date over the supported layouts; time parts dropped, junk -> null.
     `day_first` reads 3/4/2024 as 3 April, else as 4 March."""
     token = F.regexp_extract(F.trim(_col(c).cast("string")), _DATE_TOKEN, 1)
-    iso = F.regexp_replace(token, _YEAR_LAST, "$3-$2-$1" if day_first else "$3-$1-$2")
-    iso = F.regexp_replace(iso, _YEAR_FIRST, "$1-$2-$3")
-    iso = F.regexp_replace(iso, _COMPACT, "$1-$2-$3")
-    return F.try_to_date(iso, "yyyy-M-d")
+    iso = F.regexp_replace(token, _OTHER, "$3$4$7-$2$5$8-$1$6$9" if day_first else "$3$4$7-$1$5$8-$2$6$9")
+    return iso.try_cast("date")  # a token has a year, a month and a day, so the cast reads nothing shorter

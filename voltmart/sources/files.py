@@ -26,7 +26,7 @@ from ..functions.parsing import to_date_lenient, to_integral, to_number
 from ..operators.joins import maybe_broadcast
 from ..operators.reshape import (ensure_columns, normalise_headers, rename_present, select_present,
                                  period_columns, union_all, unpivot_periods)
-from .csv_records import files_with_open_lines, records
+from .csv_records import files_with_lines, files_with_open_lines, records
 
 ORDER = "__arrival"
 MALFORMED = "__malformed"
@@ -168,11 +168,13 @@ def header_names(line: str) -> tuple[str, ...]:
 
 
 def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[str, ...], list[str]],
-                       lower: bool = True, na_tokens: Sequence[str] = C.NA_TOKENS) -> DataFrame:
+                       lower: bool = True, na_tokens: Sequence[str] = C.NA_TOKENS, na_columns: Sequence[str] | None = None) -> DataFrame:
     """All-string read of CSV files whose headers may differ, matched by name.
 
     `paths` may already be grouped by header (as ``split_files_by_schema``
-    returns them). Cells that equal one of `na_tokens` become null. Adds file
+    returns them). Cells that equal one of `na_tokens` become null (only those of
+    `na_columns`, if given; a test for each of many columns makes the scan's
+    generated method too long for the JVM to compile). Adds file
     lineage (`file_name`), an arrival order column (`__arrival`: file path, split
     start, row id) for first-wins loading, and `__malformed`: the text of a
     record with more cells than its header (null for sound and for short ones,
@@ -193,7 +195,7 @@ def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[st
                   .select("*", F.col("_metadata.file_name").alias("file_name"), F.struct(
                       F.col("_metadata.file_path").alias("f"),   # path order = name order within a folder
                       F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("r")).alias(ORDER)))
-            parts.append(_cells(df, names, na_tokens))
+            parts.append(_cells(df, names, na_tokens, na_columns))
         rest = sorted(f for f in files if _bare(f) in open_files)
         if rest:
             whole, unclosed = records(spark, rest)
@@ -201,7 +203,7 @@ def read_csv_by_header(spark: SparkSession, paths: Sequence[str] | dict[tuple[st
             text = F.regexp_replace("text", "\r$", "")
             body = whole.withColumn("header", (F.col("b") == 0) & first).where(~F.col("header") & (F.trim(text) != F.lit("")))
             df = body.select(F.from_csv(text, schema.toDDL(), options).alias("row"), F.col("name").alias("file_name"), F.struct("f", "b", "r").alias(ORDER))
-            parts.append(_cells(df.select("row.*", "file_name", ORDER), names, na_tokens))
+            parts.append(_cells(df.select("row.*", "file_name", ORDER), names, na_tokens, na_columns))
             lost = unclosed.select(*[F.lit(None).cast("string").alias(n) for n in names], F.lit("a quote is never closed: no record of the file is read").alias(MALFORMED),
                                    F.element_at(F.split("f", "/"), -1).alias("file_name"), F.struct(F.col("f"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("r")).alias(ORDER))
             parts.append(lost)
@@ -215,12 +217,16 @@ def _bare(path: str) -> str:
     return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
 
 
-def _cells(df: DataFrame, names: Sequence[str], na_tokens: Sequence[str]) -> DataFrame:
-    """Cells that equal one of `na_tokens` as null; MALFORMED only for records with more cells than `names`."""
+def _null_tokens(names: Sequence[str], na_tokens: Sequence[str]) -> dict[str, Column]:
+    return {n: F.when(~F.col(f"`{n}`").isin(*na_tokens), F.col(f"`{n}`")) for n in names}
+
+
+def _cells(df: DataFrame, names: Sequence[str], na_tokens: Sequence[str], na_columns: Sequence[str] | None = None) -> DataFrame:
+    """Cells (of `na_columns`) that equal one of `na_tokens` as null; MALFORMED only for records with more cells than `names`."""
     bare = F.regexp_replace(MALFORMED, '"[^"]*"', "")   # quoted cells may hold commas
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
-    return df.withColumns({**{n: F.when(~F.col(f"`{n}`").isin(*na_tokens), F.col(f"`{n}`")) for n in names},
-                           MALFORMED: F.when(cells > len(names), F.col(MALFORMED))})
+    tested = names if na_columns is None else [n for n in names if n in na_columns]
+    return df.withColumns({**_null_tokens(tested, na_tokens), MALFORMED: F.when(cells > len(names), F.col(MALFORMED))})
 
 
 def _paths(files: DataFrame | Sequence[str]) -> list[str]:
@@ -269,6 +275,7 @@ def _malformed() -> Column:
 # ---------------------------------------------------------------- date layouts
 
 _YEAR_LAST_DATE = r"^\s*([0-9]{1,2})[-/.]([0-9]{1,2})[-/.][0-9]{4}(?:[ T].*)?$"
+YEAR_LAST_ANYWHERE = "[0-9][-/.][0-9]{1,2}[-/.][0-9]{4}"  # in each text that _YEAR_LAST_DATE matches
 MONTH_FIRST, DISAGREE = "month first", "date layouts disagree within the file"
 
 
@@ -285,10 +292,14 @@ def date_layouts(df: DataFrame, column: str) -> list[tuple[str, str]]:
     return [(r["f"], DISAGREE if r["day"] else MONTH_FIRST) for r in kinds.where("month > 0").collect()]
 
 
-def with_dates(df: DataFrame, column: str) -> tuple[DataFrame, Column, Column]:
+def with_dates(df: DataFrame, column: str, files: Sequence[str] | None = None) -> tuple[DataFrame, Column, Column]:
     """`df` with what its files' date layouts need, the date column read by each file's layout, and the reason to reject a
-    record whose file holds both layouts (only its year-last dates; other layouts read the same everywhere)."""
-    layouts = date_layouts(df, column)
+    record whose file holds both layouts (only its year-last dates; other layouts read the same everywhere).
+
+    `files` are those that `df` reads, if known: their cells are parsed for layouts only if some line of them holds what a
+    year-last date looks like.
+    """
+    layouts = date_layouts(df, column) if files is None or files_with_lines(df.sparkSession, files, YEAR_LAST_ANYWHERE) else []
     if not layouts:
         return df, to_date_lenient(column), F.lit(None).cast("string")
     known = df.sparkSession.createDataFrame(layouts, "__file string, __layout string")
@@ -311,21 +322,20 @@ def read_generation(spark: SparkSession, files: DataFrame | Sequence[str],
     ok, rejects = split_files_by_schema(spark, _paths(files), ids, lower=True, need_prefix=C.PERIOD_PREFIX)
     if not ok:
         return spark.createDataFrame([], _with_order(S.RAW_GENERATION)), rejects
-    wide = normalise_headers(read_csv_by_header(spark, ok))
+    wide = normalise_headers(read_csv_by_header(spark, ok, na_columns=ids))
     periods = period_columns(wide.columns)
     wide = wide.select(*ids, ORDER, MALFORMED, *periods)
-    wide, date, unclear = with_dates(wide, "trading_date")
+    wide, date, unclear = with_dates(wide, "trading_date", [f for fs in ok.values() for f in fs])
     no_date = F.when(date.isNull(), F.lit("no trading_date"))
     bad_row = F.coalesce(_malformed(), unclear, no_date)
-    sound = wide.where(bad_row.isNull())
-    if "__layout" in wide.columns:  # from here on the text is an ISO date
-        sound = sound.withColumn("trading_date", date.cast("string")).drop("__layout")
+    sound = wide.where(bad_row.isNull()).withColumn("trading_date", date)
     cells = sound.select(ORDER, F.inline(F.array(*[
         F.struct(F.lit(c).alias("cell"), F.col(c).alias("text")) for c in periods])))
-    bad_cell = F.when((F.trim("text") != F.lit("")) & to_number("text").isNull(), F.lit("not a number"))
-    long = unpivot_periods(sound.drop(MALFORMED), list(ids) + [ORDER])
+    # a missing cell is no number either, so it gives no row; here it is told apart from junk
+    bad_cell = F.when(~F.col("text").isin(*C.NA_TOKENS) & (F.trim("text") != F.lit("")) & to_number("text").isNull(), F.lit("not a number"))
+    long = unpivot_periods(sound, list(ids) + [ORDER], date_col=None)  # the date is there, and parsed
     return (long.select(*[f.name for f in S.RAW_GENERATION.fields], ORDER),
-            rejects.unionByName(_row_rejects(wide, bad_row))
+            rejects.unionByName(_row_rejects(wide.withColumns(_null_tokens(periods, C.NA_TOKENS)), bad_row))
             .unionByName(_row_rejects(cells, bad_cell, F.concat_ws("=", "cell", "text"))))
 
 
