@@ -638,7 +638,7 @@ def test_pipeline_stages(spark, docs, odd, empty):
 
 
 def test_registered_queries(spark):
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted({int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES}) == list(range(1, 14))
     for name in ("op1_quality_ledger", "op5_threshold_topk", "op9_license_diagonals"):
         assert isinstance(queries.QUERIES[name](spark, SF).toPandas(), pd.DataFrame)
 
@@ -894,6 +894,18 @@ def test_training_lowers_the_loss():
     assert losses[-1] < 0.5 * losses[0]
 
 
+def test_units_are_asked_for_once_and_kept():
+    """op2 remembers more distinct units than the default table, and adding them moves none."""
+    asked = []
+    encoder = token_dac.unit_encoder(P.path("byte_bpe_50k.json"))
+    table = common.UnitTable(lambda units: asked.append(len(units)) or [np.array([len(u), int(u)]) for u in units], encoder.table.limit)
+    texts = [" ".join(map(str, range(at, at + 100_000))) for at in range(0, 1_100_000, 100_000)]
+    first, second = table.encode(texts), table.encode(texts)
+    assert sum(asked) == 1_100_000
+    for at, x, y in zip(range(0, 1_100_000, 100_000), first, second, strict=True):
+        assert (x == y).all() and (x[1::2] == np.arange(at, at + 100_000)).all()
+
+
 # --- long texts ------------------------------------------------------------------------------------------------------
 
 def test_quality_of_long_texts_in_linear_time():

@@ -154,6 +154,7 @@ class UnitTable:
 
     def _reset(self) -> None:
         self.slots = np.full(1 << 22, -1, dtype=np.int32)
+        self.held = {}  # the arrays with room behind them, so that adding a few entries does not copy all
         self.key = np.empty((0, 2), dtype=_U64)
         self.at, self.length = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         self.values = np.empty(0, dtype=np.uint32)
@@ -172,14 +173,24 @@ class UnitTable:
             rest = rest[(found >= 0) & (self.key[found] != key[rest]).any(axis=1)]
         return entry
 
+    def _longer(self, name: str, more: np.ndarray) -> np.ndarray:
+        """The array of that name with ``more`` behind it."""
+        now = getattr(self, name)
+        n = len(now) + len(more)
+        if name not in self.held or n > len(self.held[name]):
+            self.held[name] = np.empty((n + n // 4, *now.shape[1:]), dtype=now.dtype)
+            self.held[name][:len(now)] = now
+        self.held[name][len(now):n] = more
+        return self.held[name][:n]
+
     def _add(self, key: np.ndarray, numbers: list[np.ndarray]) -> None:
         """Put in new, distinct keys."""
         lengths = np.array([len(x) for x in numbers], dtype=np.int64)
         new = np.arange(len(self.key), len(self.key) + len(key), dtype=np.int32)
-        self.key = np.concatenate([self.key, key])
-        self.at = np.concatenate([self.at, len(self.values) + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.values = np.concatenate([self.values, *numbers]).astype(np.uint32, copy=False)
+        self.at = self._longer("at", len(self.values) + np.cumsum(lengths) - lengths)
+        self.key = self._longer("key", key)
+        self.length = self._longer("length", lengths)
+        self.values = self._longer("values", np.concatenate(numbers).astype(np.uint32, copy=False))
         place = (key[:, 0] & _U64(len(self.slots) - 1)).astype(np.int64)
         while len(new):
             free = self.slots[place] < 0

@@ -35,6 +35,7 @@ from . import common
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
+UNITS = 3_000_000  # that a task remembers, about 150 MB
 CHUNK_BYTES = (1, 1, 2)
 BLOCK_BITS = 512
 POSITION_BITS = 20  # of a block of positions that shards are looked up by
@@ -117,14 +118,14 @@ class UnitEncoder:
     is one known id, and every unit is pre-tokenized by itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
         self.joined = Tokenizer.from_file(path)
         self.joined.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\x00", "isolated"), self.whole.pre_tokenizer])
         (self.zero,) = self.whole.encode("\x00", add_special_tokens=False).ids
-        self.table = common.UnitTable(self._encode_units)
+        self.table = common.UnitTable(self._encode_units, limit)
 
     def _encode_units(self, units: list[str]) -> list[np.ndarray]:
         plain = [u for u in units if "\x00" not in u]
@@ -148,7 +149,7 @@ class UnitEncoder:
 
 @functools.cache
 def unit_encoder(path: str) -> UnitEncoder:
-    return UnitEncoder(path)
+    return UnitEncoder(path, UNITS)
 
 
 # --- files -----------------------------------------------------------------------------------------------------------
