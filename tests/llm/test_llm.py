@@ -783,6 +783,30 @@ def test_variants_in_small_cells_and_blocks(spark, monkeypatch, cell, room):
     assert variant_rows(spelling_variants.variants(df, cell=cell, room=room)) == by_row(plain_variants([(i, t or "") for i, t in rows]))
 
 
+def test_words_are_dealt_in_large_frames():
+    """Words from many small batches go through the trees together: few frames, and the rows that each word has by itself."""
+    S = spelling_variants
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choices("abcdefgé", k=rng.choice([5, 6, 7]))) for _ in range(3000)})
+    rng.shuffle(words)
+    pdf = pd.DataFrame({"word": words, "n": np.arange(len(words)) + 3, "length": [len(w) for w in words]})
+    trees = {k: S.Tree(S.points_of(*S.codes_of([w for w in words if len(w) == k])), 100) for k in (6, 7)}
+
+    class Table:  # hands out the function that its tasks would run
+        select = lambda self, *columns: self
+        mapInPandas = lambda self, run, schema: run
+
+    frames = list(S.dealt(Table(), trees)(pdf[at:at + 50] for at in range(0, len(pdf), 50)))
+    want = []
+    for word, n, length in pdf.itertuples(index=False):
+        point = S.points_of(*S.codes_of([word]))
+        for side, target, more, less in ((0, length, 0, 0), (1, length, 1, 1), (2, length + 1, 1, 0)):
+            want += [(target, leaf, side, word, n) for leaf in ([c for c, _ in trees[target].reach(point, more, less)] if target in trees else [0])]
+    assert by_row(r for f in frames for r in f.itertuples(index=False, name=None)) == by_row(want)
+    assert len(frames) < 20 < len(pdf) // 50
+    assert [len(f) for f in S._gathered((pdf[at:at + 50] for at in range(0, 220, 50)), 100)] == [100, 100, 50]
+
+
 def test_variants_of_nothing(empty):
     assert spelling_variants.variants(empty).count() == 0
 

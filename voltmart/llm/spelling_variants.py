@@ -51,6 +51,7 @@ CELL = 1 << 15  # words in a cell
 SAMPLE = 1 << 15  # points that cells are cut by, over all lengths
 ROOM = 1 << 22  # letters in one side of a block
 LEAF = 8
+PLACED = 1 << 16  # words that are dealt to cells at a time
 MANY = 4096  # pairs of words at two points from which they are matched by their rests
 
 
@@ -310,24 +311,40 @@ def cell_trees(words: DataFrame, counts: dict[int, int], cell: int = CELL) -> di
     return trees
 
 
+def _gathered(batches, size: int):
+    """The same rows in frames of at least ``size`` rows (the last one: what is left)."""
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= size:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
 def dealt(words: DataFrame, trees: dict[int, Tree]) -> DataFrame:
     """length and cell of the data searched, side (0: data, 1: query of the same length, 2: one letter shorter), word, n."""
 
     def placed(batches):
-        for pdf in batches:
+        for pdf in _gathered(batches, PLACED):
             for length, rows in pdf.groupby("length"):
                 length = int(length)
                 whole = np.arange(len(rows))
+                word, n = rows["word"].to_numpy(), rows["n"].to_numpy()
                 points = None
-                out = []
                 for side, target, more, less in ((0, length, 0, 0), (1, length, 1, 1), (2, length + 1, 1, 0)):
                     if target in trees:
-                        points = points_of(*codes_of(rows["word"].tolist())) if points is None else points
-                        out += [(side, target, leaf, at) for leaf, at in trees[target].reach(points, more, less)]
+                        points = points_of(*codes_of(word.tolist())) if points is None else points
+                        cells, held = zip(*trees[target].reach(points, more, less), strict=True)
                     else:
-                        out.append((side, target, 0, whole))
-                for side, target, leaf, at in out:
-                    yield pd.DataFrame({"length": target, "cell": leaf, "side": side, "word": rows["word"].to_numpy()[at], "n": rows["n"].to_numpy()[at]})
+                        cells, held = (0,), (whole,)
+                    cell = np.repeat(cells, [len(at) for at in held])
+                    at = np.concatenate(held)
+                    for begin in range(0, len(at), PLACED):
+                        some = at[begin:begin + PLACED]
+                        yield pd.DataFrame({"length": target, "cell": cell[begin:begin + PLACED], "side": side, "word": word[some], "n": n[some]})
 
     return words.select("word", "n", "length").mapInPandas(placed, "length int, cell int, side int, word string, n long")
 
