@@ -918,6 +918,19 @@ def test_training_lowers_the_loss():
     assert losses[-1] < 0.5 * losses[0]
 
 
+def test_steps_clip_only_far_values(monkeypatch):
+    """Values that cannot overflow are not passed over once more; far ones still are, and the loss stays finite."""
+    A = attention_scores
+    calls, clip = [], np.clip
+    monkeypatch.setattr(np, "clip", lambda *args, **kw: calls.append(1) or clip(*args, **kw))
+    ids = np.random.default_rng(9).integers(0, 300, 2000)
+    trainer = A.Trainer(A.Model(np.bincount(ids, minlength=A.VOCABULARY)))
+    assert np.isfinite(trainer.step(A.windows_of(ids))) and not calls
+    trainer.model.out *= np.float32(1e4)
+    trainer.model.q *= np.float32(1e6)
+    assert np.isfinite(trainer.step(A.windows_of(ids))) and calls
+
+
 def test_units_are_asked_for_once_and_kept():
     """op2 remembers more distinct units than the default table, and adding them moves none."""
     asked = []

@@ -59,7 +59,7 @@ RATE = 0.25
 HEAVY = 1 << 20
 HELD = 1 << 20  # words that a task counts at a time
 TOGETHER = 1 << 18  # ids scored at a time (a longer text by itself)
-CHUNK = 512  # windows that go through the attention at once
+CHUNK = 128  # windows that go through the attention at once
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -202,10 +202,16 @@ class Trainer:
         self.times = np.zeros(VOCABULARY, dtype=np.int64)
         self.tokens = 0
 
-    def _apply(self, name: str, gradient: np.ndarray, rows=slice(None)) -> None:
+    def _apply(self, name: str, gradient: np.ndarray, rows: np.ndarray | None = None) -> None:
         held, squares = getattr(self.model, name), self.squares[name]
-        squares[rows] += gradient * gradient
-        held[rows] -= self.rate * gradient / np.sqrt(squares[rows])
+        if rows is None:
+            squares += gradient * gradient
+            held -= self.rate * gradient / np.sqrt(squares)
+            return
+        now = squares.take(rows, axis=0)
+        now += gradient * gradient
+        squares[rows] = now
+        held[rows] = held.take(rows, axis=0) - self.rate * gradient / np.sqrt(now)
 
     def step(self, ids: np.ndarray) -> float:
         """One step on windows (rows of WINDOW + 1 ids, -1 beyond a text's end); mean loss of the classes, in nats."""
@@ -214,39 +220,48 @@ class Trainer:
         real = np.flatnonzero(wanted >= 0)
         n, many = max(1, len(real)), len(ids)
         target = m.cls[wanted[real]]
-        x = m.embed[given]
+        at = real * CLASSES + target
+        x = m.embed.take(given, axis=0)
         mix = np.concatenate([m.q * _SCALE, m.k, m.v], axis=1)
-        q, k, v = (np.ascontiguousarray(part).reshape(many, WINDOW, WIDTH) for part in np.split(x @ mix, 3, axis=1))
+        q, k, v = np.split((x @ mix).reshape(many, WINDOW, 3 * WIDTH), 3, axis=2)
         a = q @ k.transpose(0, 2, 1)
         a += np.where(_SEEN, m.near[np.maximum(_BACK, 0)], np.float32(-1e9))
-        np.minimum(a, 80, out=a)  # far outside trained values
+        if a.max() > 80:  # far outside trained values
+            np.minimum(a, 80, out=a)
         np.exp(a, out=a)
         a /= np.maximum(a @ _ONES, np.float32(1e-30))
         h = (a @ v).reshape(-1, WIDTH)
         h += x
         p = h @ m.out.T
         p += m.bias
-        np.clip(p, -80, 80, out=p)
+        if max(p.max(), -p.min()) > 80:
+            np.clip(p, -80, 80, out=p)
         np.exp(p, out=p)
         weight = np.zeros((len(given), 1), dtype=np.float32)
         total = p @ _CLASS_ONES
         weight[real] = 1 / (total[real] * np.float32(n))
-        loss = float(np.log(total[real, 0] / p[real, target]).mean()) if len(real) else 0.0
+        loss = float(np.log(total[real, 0] / p.ravel().take(at)).mean()) if len(real) else 0.0
         p *= weight
-        p[real, target] -= np.float32(1 / n)
+        p.ravel()[at] -= np.float32(1 / n)
         g_out, g_bias = p.T @ h, p.sum(axis=0)
         dh = p @ m.out
-        dv = a.transpose(0, 2, 1) @ dh.reshape(many, WINDOW, WIDTH)
+        moved = np.empty((many, WINDOW, 3 * WIDTH), dtype=np.float32)
+        np.matmul(a.transpose(0, 2, 1), dh.reshape(many, WINDOW, WIDTH), out=moved[:, :, 2 * WIDTH:])
         ds = dh.reshape(many, WINDOW, WIDTH) @ v.transpose(0, 2, 1)
         ds *= a
         ds -= a * (ds @ _ONES)
         g_near = np.bincount(_BACK[_SEEN], weights=ds.sum(axis=0)[_SEEN], minlength=WINDOW).astype(np.float32)
-        moved = np.concatenate([(ds @ k).reshape(-1, WIDTH), (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH), dv.reshape(-1, WIDTH)], axis=1)
+        np.matmul(ds, k, out=moved[:, :, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=moved[:, :, WIDTH:2 * WIDTH])
+        moved = moved.reshape(-1, 3 * WIDTH)
         g_mix = x.T @ moved
         dh += moved @ mix.T
-        order = np.argsort(given.astype(np.uint16), kind="stable")  # VOCABULARY fits in 16 bits
-        names, first, times = np.unique(given[order], return_index=True, return_counts=True)
-        self._apply("embed", np.add.reduceat(dh[order], first, axis=0), names)
+        bits = len(given).bit_length()
+        order = np.sort((given << bits) + np.arange(len(given)))  # by id, and by place within an id
+        names, order = order >> bits, order & ((1 << bits) - 1)
+        first = np.append(0, np.flatnonzero(names[1:] != names[:-1]) + 1)
+        names, times = names[first], np.diff(first, append=len(order))
+        self._apply("embed", np.add.reduceat(dh.take(order, axis=0), first, axis=0), names)
         g_q, g_k, g_v = np.split(g_mix, 3, axis=1)
         for name, gradient in (("q", g_q * _SCALE), ("k", g_k), ("v", g_v), ("out", g_out), ("bias", g_bias), ("near", g_near)):
             self._apply(name, gradient)
@@ -282,22 +297,24 @@ def learned(rows: DataFrame, model: Model, rate: float, passes: int = 1) -> Mode
         trainer = Trainer(mine, rate)
         rng = np.random.Generator(np.random.PCG64(17))
         waiting: list[np.ndarray] = []
+        size = 0
 
         def run():
-            nonlocal waiting
+            nonlocal waiting, size
             cut = np.concatenate(waiting)
             for _ in range(passes):
                 order = rng.permutation(len(cut))
                 for at in range(0, len(cut), BATCH):
                     trainer.step(cut[order[at:at + BATCH]])
-            waiting = []
+            waiting, size = [], 0
 
         for pdf in batches:
             for ids in numbers(pdf["ids"], IDS):
                 cut = windows_of(ids)
                 for at in range(0, len(cut), TURN):
                     waiting.append(cut[at:at + TURN])
-                    if sum(map(len, waiting)) >= TURN:
+                    size += len(waiting[-1])
+                    if size >= TURN:
                         run()
         if waiting:
             run()
@@ -339,7 +356,7 @@ class Scorer:
     def _run(self, given: np.ndarray, target: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Natural log probability of each target; ``given`` has one more block of STRIDE ids, in front."""
         n = len(first)
-        rows = self.table[given]
+        rows = self.table.take(given, axis=0)
         k, v = rows[:, WIDTH:2 * WIDTH], rows[:, 2 * WIDTH:3 * WIDTH]
         spans = lambda x: np.lib.stride_tricks.as_strided(  # noqa: E731  blocks of WINDOW rows that overlap by half
             x, (n, WINDOW, WIDTH), (STRIDE * x.strides[0], *x.strides), writeable=False)
@@ -357,10 +374,10 @@ class Scorer:
         logits = h @ self.out
         if self.clip[1]:
             np.clip(logits, -80, 80, out=logits)
-        cls = self.cls[target]
-        mine = logits[np.arange(len(cls)), cls] + self.bias[cls]
+        cls = self.cls.take(target)
+        mine = logits.ravel().take(np.arange(0, logits.size, CLASSES) + cls) + self.bias.take(cls)
         np.exp(logits, out=logits)
-        return mine - np.log(logits @ self.mass) + self.share[target]
+        return mine - np.log(logits @ self.mass) + self.share.take(target)
 
     def score(self, ids: list[np.ndarray]) -> np.ndarray:
         part = np.cumsum([len(x) + 1 for x in ids]) // TOGETHER
