@@ -926,8 +926,7 @@ def test_steps_clip_only_far_values(monkeypatch):
     ids = np.random.default_rng(9).integers(0, 300, 2000)
     trainer = A.Trainer(A.Model(np.bincount(ids, minlength=A.VOCABULARY)))
     assert np.isfinite(trainer.step(A.windows_of(ids))) and not calls
-    trainer.model.out *= np.float32(1e4)
-    trainer.model.q *= np.float32(1e6)
+    trainer.model.bias += np.float32(200)
     assert np.isfinite(trainer.step(A.windows_of(ids))) and calls
 
 
