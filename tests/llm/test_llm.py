@@ -930,6 +930,30 @@ def test_steps_clip_only_far_values(monkeypatch):
     assert np.isfinite(trainer.step(A.windows_of(ids))) and calls
 
 
+def test_words_end_before_marks_and_digits_with_the_same_ids():
+    """op13 asks for a word once, whatever mark or digit stands behind it; ids are those of the library."""
+    import random
+    encoder = type(attention_scores.encoder(P.path("byte_bpe_50k.json")))(P.path("byte_bpe_50k.json"))
+    asked, compute = [], encoder.table.compute
+    encoder.table.compute = lambda units: asked.extend(units) or compute(units)
+    encoder.encode([" word, word. word; word5 (word) word's"])
+    assert asked.count(" word") == 1 and asked.count(",") == 1 and not any(u.startswith(" word") and u != " word" for u in asked)
+    draw = random.Random(3)
+    parts = ["a", "s", "t", "ll", "'", "'s", "5", "12", " ", "  ", "\n", "\t", "é", "×", "ñ", "中", "(", ".", "\x00", "$", "_", "<|endoftext|>", "\u0301", "\xa0", "Ж", "½", "\x7f", "re"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
+    assert [x.tolist() for x in encoder.encode(texts)] == [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("piece", [1 << 17, 8])
+def test_words_of_many_texts_equal_those_of_each(monkeypatch, piece):
+    monkeypatch.setattr(attention_scores, "PIECE", piece)
+    texts = [b"", b" ", b"b a\tb ", b"", b"\x00 x", b"a" * 5000 + b" c", b"", b"x y x y x", b"\n", b"z"]
+    for some in ([], texts[:1], texts[:2], texts):
+        found = attention_scores.words_of(some)
+        want = [np.unique(common.word_hashes(t).view(np.int64), return_counts=True) for t in some]
+        assert [(w.tolist(), n.tolist()) for w, n in found] == [(w.tolist(), n.tolist()) for w, n in want]
+
+
 def test_units_are_asked_for_once_and_kept():
     """op2 remembers more distinct units than the default table, and adding them moves none."""
     asked = []

@@ -29,7 +29,9 @@ an empty table gives an empty result. Scores are rounded (base: 6 places, model:
 from __future__ import annotations
 
 import functools
+import itertools
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import common
+from .rank_merge import byte_alphabet
 from .token_dac import UnitEncoder
 
 FOLDS = 10  # documents whose hash this divides are held out
@@ -49,6 +52,7 @@ END = 50256
 WIDTH = 16
 STRIDE, WINDOW = 16, 32
 CLASSES, SINGLE = 64, 48
+UNITS, PIECE = 2_000_000, 1 << 17  # that a task remembers, about 100 MB; bytes of texts that go through at a time
 PLACES = 1 << 30  # that documents are put at by hash
 FIT_WINDOWS, EPOCHS = 8192, 6  # of the first round: about so many windows, passes over them
 MIDDLE = 16  # one in so many documents in the first two rounds
@@ -78,16 +82,88 @@ def ids_of(texts: list[bytes]) -> list[np.ndarray]:
     return encoder(public_tokenizers.path(TOKENIZER)).encode([t.decode("utf-8", "surrogatepass") for t in texts])
 
 
-@functools.cache
-def encoder(path: str) -> UnitEncoder:
-    found = UnitEncoder(path)
-    found.whole.encode_special_tokens = found.joined.encode_special_tokens = True
+def _ends() -> np.ndarray:
+    """Whether the tokenizer's words always end between two bytes: ASCII letters, digits and marks of different kinds, but
+    not between an apostrophe and a letter (``'s`` is a word)."""
+    kind = np.zeros(256, dtype=np.int64)
+    kind[33:127] = 3
+    kind[ord("'")] = 4
+    for part, number in ((range(48, 58), 2), (range(65, 91), 1), (range(97, 123), 1)):
+        kind[part] = number
+    apart = np.zeros((5, 5), dtype=bool)
+    for one, other in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 3), (2, 4), (3, 1), (3, 2), (4, 2)):
+        apart[one, other] = True
+    return apart[kind[:, None], kind[None, :]].ravel()
+
+
+ENDS = _ends()
+# units that are one word of the tokenizer
+ONE_WORD = re.compile(r" ?(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+|[0-9]+|[!-/:-@\[-`{-~]+)")
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    found = np.zeros(len(data), dtype=bool)
+    pairs = data[:-1].astype(np.uint16)
+    pairs <<= 8
+    pairs |= data[1:]
+    ENDS.take(pairs, out=found[1:])
     return found
 
 
-def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct words [^\\x20\\x09-\\x0D]+ of a lowered text, and how often each stands in it."""
-    return np.unique(common.word_hashes(text).view(np.int64), return_counts=True)
+class WordEncoder(UnitEncoder):
+    """Units are cut at every sure end of a word, so there are fewer distinct ones; those that are one word go straight to
+    the tokenizer's model. Strings of special tokens are ordinary text."""
+
+    def __init__(self, path: str):
+        super().__init__(path, UNITS)
+        self.whole.encode_special_tokens = self.joined.encode_special_tokens = True
+        self.table = common.UnitTable(self._encode_units, UNITS, PIECE, _cuts)
+        self.model = self.whole.model
+        self.alphabet = {byte: char for char, byte in byte_alphabet().items()}
+
+    def _encode_units(self, units: list[str]) -> list[np.ndarray]:
+        one = [ONE_WORD.fullmatch(u) is not None for u in units]
+        ids, ends = [], []
+        for unit, word in zip(units, one, strict=True):
+            if word:
+                spelled = unit if unit.isascii() else unit.encode().decode("latin-1")  # a character for each byte
+                ids += [t.id for t in self.model.tokenize(spelled.translate(self.alphabet))]
+                ends.append(len(ids))
+        flat = np.array(ids, dtype=np.uint32)
+        words = iter([flat[i:j] for i, j in zip([0, *ends], ends, strict=False)])
+        rest = iter(super()._encode_units([u for u, x in zip(units, one, strict=True) if not x]))
+        return [next(words if x else rest) for x in one]
+
+
+encoder = functools.cache(WordEncoder)
+
+
+def words_of(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each lowered text the hashes of its distinct words [^\\x20\\x09-\\x0D]+, ascending, and how often each stands in it."""
+    part = np.cumsum([len(t) for t in texts]) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return [found for i, j in itertools.pairwise(cuts) for found in _words_of(texts[i:j])]
+
+
+def _words_of(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    data = b"\n".join(texts)
+    word = ~common.SPACE[np.frombuffer(data, dtype=np.uint8)]
+    word[1:] &= ~word[:-1]  # where words begin
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    ends = np.searchsorted(np.flatnonzero(word), ends)  # in words
+    hashes = common.word_hashes(data).view(np.int64)
+    first = np.ones(len(hashes), dtype=bool)
+    begin = 0
+    for end in ends.tolist():
+        hashes[begin:end].sort()
+        begin = end
+    np.not_equal(hashes[1:], hashes[:-1], out=first[1:])
+    first[ends[ends < len(hashes)]] = True
+    at = np.flatnonzero(first)
+    times = np.diff(at, append=len(hashes))
+    ends = np.searchsorted(at, ends).tolist()
+    hashes = hashes[at]
+    return [(hashes[i:j], times[i:j]) for i, j in itertools.pairwise([0, *ends])]
 
 
 IDS, WORDS, TIMES = np.dtype("<u2"), np.dtype("<i8"), np.dtype("<u4")  # as they are written; VOCABULARY fits in two bytes
@@ -108,7 +184,7 @@ def read(docs: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 40
         for pdf in batches:
             texts = [lowered(t) for t in pdf["text"]]
-            words = [words_of(t) for t in texts]
+            words = words_of(texts)
             yield pd.DataFrame({"rid": number + np.arange(len(pdf)), "doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "place": pdf["place"],
                                 "ids": [x.astype(IDS).tobytes() for x in ids_of(texts)], "words": [w.tobytes() for w, _ in words],
                                 "times": [n.astype(TIMES).tobytes() for _, n in words]})
@@ -125,21 +201,23 @@ def counts_of(rows: DataFrame) -> DataFrame:
         words, times, size = [], [], 0
 
         def summed():
-            nonlocal words, times
-            keys, back = np.unique(np.concatenate(words), return_inverse=True)
-            n = np.bincount(back, weights=np.concatenate(times), minlength=len(keys)).astype(np.int64)
-            words, times = [], []
-            return pd.DataFrame({"what": 0, "key": keys, "n": n})
+            nonlocal words, times, size
+            keys, n = np.concatenate(words), np.concatenate(times)
+            order = np.argsort(keys)
+            keys = keys.take(order)
+            first = np.append(0, np.flatnonzero(keys[1:] != keys[:-1]) + 1)
+            words, times, size = [], [], 0
+            return pd.DataFrame({"what": 0, "key": keys.take(first), "n": np.add.reduceat(n.take(order), first, dtype=np.int64)})
 
         for pdf in batches:
             docs += len(pdf)
-            words += numbers(pdf["words"], WORDS)
-            times += numbers(pdf["times"], TIMES)
-            size = sum(map(len, words))
+            words.append(np.frombuffer(b"".join(pdf["words"]), dtype=WORDS))
+            times.append(np.frombuffer(b"".join(pdf["times"]), dtype=TIMES))
+            size += len(words[-1])
             ids += np.bincount(np.frombuffer(b"".join(pdf["ids"]), dtype=IDS), minlength=VOCABULARY)
             if size > HELD:
                 yield summed()
-        if words:
+        if size:
             yield summed()
         at = np.flatnonzero(ids)
         yield pd.DataFrame({"what": 1, "key": at, "n": ids[at]})
@@ -418,14 +496,23 @@ def _scored(rows: DataFrame, model: Model, heavy: tuple[np.ndarray, np.ndarray])
         scorer = Scorer(model)
         for pdf in batches:
             base, known, rest, left, n_tokens = [], [], [], [], []
-            for words, times in zip(numbers(pdf["words"], WORDS), numbers(pdf["times"], TIMES), strict=True):
-                at = np.minimum(np.searchsorted(names, words), max(0, len(names) - 1))
-                hit = names[at] == words if len(names) else np.zeros(len(words), dtype=bool)
-                base.append(float((times[hit] * weight[at[hit]]).sum()))
-                known.append(int(times[hit].sum()))
-                n_tokens.append(int(times.sum()) + 1)
-                rest.append(words[~hit])
-                left.append(times[~hit].astype(np.int32))
+            words, times = (np.frombuffer(b"".join(pdf[name]), dtype=kind) for name, kind in (("words", WORDS), ("times", TIMES)))
+            at = np.minimum(np.searchsorted(names, words), max(0, len(names) - 1))
+            hit = names[at] == words if len(names) else np.zeros(len(words), dtype=bool)
+            tally = np.append(0, np.cumsum(times, dtype=np.int64))
+            heavy, light = np.flatnonzero(hit), np.flatnonzero(~hit)
+            heavy_tally = np.append(0, np.cumsum(times[heavy], dtype=np.int64))
+            weighed = times[heavy] * weight[at[heavy]]
+            words, times = words[light], times[light].astype(np.int32)
+            cuts = np.append(0, np.cumsum([len(x) for x in pdf["words"]]) // WORDS.itemsize)
+            for n, seen, (a, b), (c, d) in zip(np.diff(tally[cuts]).tolist(), np.diff(heavy_tally[np.searchsorted(heavy, cuts)]).tolist(),
+                                               itertools.pairwise(np.searchsorted(heavy, cuts).tolist()),
+                                               itertools.pairwise(np.searchsorted(light, cuts).tolist()), strict=True):
+                n_tokens.append(n + 1)
+                known.append(seen)
+                base.append(float(weighed[a:b].sum()))
+                rest.append(words[c:d])
+                left.append(times[c:d])
             yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "n_tokens": n_tokens, "n_known": known,
                                 "base": base, "score": scorer.score(numbers(pdf["ids"], IDS)), "rest": rest, "times": left})
 
