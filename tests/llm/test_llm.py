@@ -908,6 +908,15 @@ def test_every_training_document_is_learned_from(spark):
         assert cuts[0][0] == 0 and cuts[-1][1] == A.PLACES and all(x[1] == y[0] for x, y in zip(cuts, cuts[1:], strict=False))
 
 
+def test_windows_hold_every_id_once():
+    A = attention_scores
+    for n in (0, 1, 30, 31, 32, 33, 100):
+        ids = np.arange(n).astype(A.IDS)
+        whole = [A.END, *range(n), A.END]
+        windows = [whole[at:at + A.WINDOW + 1] for at in range(0, len(whole) - 1, A.WINDOW)]
+        assert A.windows_of(ids).tolist() == [w + [-1] * (A.WINDOW + 1 - len(w)) for w in windows]
+
+
 def test_training_lowers_the_loss():
     A = attention_scores
     rng = np.random.default_rng(2)

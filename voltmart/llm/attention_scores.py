@@ -267,6 +267,7 @@ class Model:
 
 _BACK = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # distance from query to key
 _SEEN = _BACK >= 0
+_DISTANCES, _TAKEN = _BACK[_SEEN], np.maximum(_BACK, 0)
 _SCALE = np.float32(1 / math.sqrt(WIDTH))
 _ONES, _CLASS_ONES = np.ones((WINDOW, 1), dtype=np.float32), np.ones((CLASSES, 1), dtype=np.float32)
 
@@ -301,9 +302,10 @@ class Trainer:
         at = real * CLASSES + target
         x = m.embed.take(given, axis=0)
         mix = np.concatenate([m.q * _SCALE, m.k, m.v], axis=1)
-        q, k, v = np.split((x @ mix).reshape(many, WINDOW, 3 * WIDTH), 3, axis=2)
+        qkv = (x @ mix).reshape(many, WINDOW, 3 * WIDTH)
+        q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH:2 * WIDTH], qkv[:, :, 2 * WIDTH:]
         a = q @ k.transpose(0, 2, 1)
-        a += np.where(_SEEN, m.near[np.maximum(_BACK, 0)], np.float32(-1e9))
+        a += np.where(_SEEN, m.near[_TAKEN], np.float32(-1e9))
         if a.max() > 80:  # far outside trained values
             np.minimum(a, 80, out=a)
         np.exp(a, out=a)
@@ -327,8 +329,9 @@ class Trainer:
         np.matmul(a.transpose(0, 2, 1), dh.reshape(many, WINDOW, WIDTH), out=moved[:, :, 2 * WIDTH:])
         ds = dh.reshape(many, WINDOW, WIDTH) @ v.transpose(0, 2, 1)
         ds *= a
-        ds -= a * (ds @ _ONES)
-        g_near = np.bincount(_BACK[_SEEN], weights=ds.sum(axis=0)[_SEEN], minlength=WINDOW).astype(np.float32)
+        a *= ds @ _ONES
+        ds -= a
+        g_near = np.bincount(_DISTANCES, weights=ds.sum(axis=0)[_SEEN], minlength=WINDOW).astype(np.float32)
         np.matmul(ds, k, out=moved[:, :, :WIDTH])
         np.matmul(ds.transpose(0, 2, 1), q, out=moved[:, :, WIDTH:2 * WIDTH])
         moved = moved.reshape(-1, 3 * WIDTH)
@@ -337,10 +340,14 @@ class Trainer:
         bits = len(given).bit_length()
         order = np.sort((given << bits) + np.arange(len(given)))  # by id, and by place within an id
         names, order = order >> bits, order & ((1 << bits) - 1)
-        first = np.append(0, np.flatnonzero(names[1:] != names[:-1]) + 1)
-        names, times = names[first], np.diff(first, append=len(order))
+        begins = np.empty(len(names) + 1, dtype=bool)
+        begins[0] = begins[-1] = True
+        np.not_equal(names[1:], names[:-1], out=begins[1:-1])
+        cuts = np.flatnonzero(begins)
+        first, times = cuts[:-1], cuts[1:] - cuts[:-1]
+        names = names[first]
         self._apply("embed", np.add.reduceat(dh.take(order, axis=0), first, axis=0), names)
-        g_q, g_k, g_v = np.split(g_mix, 3, axis=1)
+        g_q, g_k, g_v = g_mix[:, :WIDTH], g_mix[:, WIDTH:2 * WIDTH], g_mix[:, 2 * WIDTH:]
         for name, gradient in (("q", g_q * _SCALE), ("k", g_k), ("v", g_v), ("out", g_out), ("bias", g_bias), ("near", g_near)):
             self._apply(name, gradient)
         self.times[names] += times
@@ -350,11 +357,11 @@ class Trainer:
 
 def windows_of(ids: np.ndarray) -> np.ndarray:
     """A text's ids after END and before END, in windows of WINDOW steps; each begins with the last id of the one before."""
-    whole = np.concatenate([[END], ids.astype(np.int64), [END]])
-    steps = len(whole) - 1
-    padded = np.full(-(-steps // WINDOW) * WINDOW + 1, -1, dtype=np.int64)
-    padded[:len(whole)] = whole
-    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW + 1)[::WINDOW]
+    many = -(-(len(ids) + 1) // WINDOW)
+    padded = np.full(many * WINDOW + 1, -1, dtype=np.int64)
+    padded[1:len(ids) + 1] = ids
+    padded[0] = padded[len(ids) + 1] = END
+    return np.ndarray((many, WINDOW + 1), np.int64, padded, strides=(WINDOW * padded.itemsize, padded.itemsize))
 
 
 def rounds_of(windows: int) -> list[tuple[int, int]]:
@@ -435,17 +442,18 @@ class Scorer:
         """Natural log probability of each target; ``given`` has one more block of STRIDE ids, in front."""
         n = len(first)
         rows = self.table.take(given, axis=0)
-        k, v = rows[:, WIDTH:2 * WIDTH], rows[:, 2 * WIDTH:3 * WIDTH]
-        spans = lambda x: np.lib.stride_tricks.as_strided(  # noqa: E731  blocks of WINDOW rows that overlap by half
-            x, (n, WINDOW, WIDTH), (STRIDE * x.strides[0], *x.strides), writeable=False)
+        length, size = rows.strides
+        spans = lambda column: np.ndarray(  # noqa: E731  blocks of WINDOW rows that overlap by half
+            (n, WINDOW, WIDTH), rows.dtype, rows, column * size, (STRIDE * length, length, size))
+        k, v = spans(WIDTH), spans(2 * WIDTH)
         own = rows[STRIDE:]
-        a = own[:, :WIDTH].reshape(n, STRIDE, WIDTH) @ spans(k).transpose(0, 2, 1)
+        a = own[:, :WIDTH].reshape(n, STRIDE, WIDTH) @ k.transpose(0, 2, 1)
         a += self.near
         a[first] += self.alone - self.near
         if self.clip[0]:
             np.clip(a, -80, 80, out=a)
         np.exp(a, out=a)
-        h = a @ spans(v)
+        h = a @ v
         h /= a @ self.ones
         h = h.reshape(-1, WIDTH)
         h += own[:, 3 * WIDTH:]
